@@ -1 +1,9 @@
 """Record, document and offer processing on Spark DataFrames."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions that run in Python workers travel with their code, so that the
+# package need not be installed on the executors.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

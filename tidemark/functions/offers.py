@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -50,23 +52,32 @@ def offer_score(offer: Column) -> Column:
     )
 
 
+def bind(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once per row, however often it is used."""
+    return F.transform(F.array(value), use)[0]
+
+
 def payload_offers(payload: Column) -> Column:
     """Offers in a JSON payload: a bare list, or a list under ``cards``.
 
     An object without ``cards`` holds no offers. Text that is neither, or a list
     with anything but objects in it, gives null.
     """
-    doc = F.try_parse_json(payload)
-    bare = F.try_variant_get(doc, "$", "array<variant>")
-    wrapped = F.try_variant_get(doc, "$.cards", "array<variant>")
-    is_object = F.try_variant_get(doc, "$", "map<string,variant>").isNotNull()
-    has_cards = F.try_variant_get(doc, "$.cards", "variant").isNotNull()
-    none = F.array().cast("array<variant>")
-    found = F.coalesce(bare, wrapped, F.when(is_object & ~has_cards, none))
     as_map = "map<string,variant>"
-    return F.when(
-        F.forall(found, lambda o: F.try_variant_get(o, "$", as_map).isNotNull()), found
-    )
+
+    def listed(doc: Column) -> Column:
+        bare = F.try_variant_get(doc, "$", "array<variant>")
+        wrapped = F.try_variant_get(doc, "$.cards", "array<variant>")
+        is_object = F.try_variant_get(doc, "$", as_map).isNotNull()
+        has_cards = F.try_variant_get(doc, "$.cards", "variant").isNotNull()
+        none = F.array().cast("array<variant>")
+        return F.coalesce(bare, wrapped, F.when(is_object & ~has_cards, none))
+
+    def objects(found: Column) -> Column:
+        whole = F.forall(found, lambda o: F.try_variant_get(o, "$", as_map).isNotNull())
+        return F.when(whole, found)
+
+    return bind(bind(F.try_parse_json(payload), listed), objects)
 
 
 def ranked_offers(offers: Column) -> Column:
@@ -74,26 +85,28 @@ def ranked_offers(offers: Column) -> Column:
 
     The offers of one payload lie in one row, so they are ranked in that row.
     """
-    scored = F.transform(
-        offers,
-        lambda o, i: F.struct(
-            (-offer_score(o)).alias("down"), i.alias("pos"), F.to_json(o).alias("offer")
-        ),
-    )
-    return F.transform(
-        F.array_sort(scored),
-        lambda s, i: F.struct(
-            (i + 1).alias("rank"),
-            s["pos"].alias("pos"),
-            (F.lit(0.0) - s["down"]).alias("score"),
-            s["offer"].alias("offer"),
-        ),
-    )
+
+    def rank(given: Column) -> Column:
+        scored = F.transform(
+            given,
+            lambda o, i: F.struct((-offer_score(o)).alias("down"), i.alias("pos")),
+        )
+        return F.transform(
+            F.array_sort(scored),
+            lambda s, i: F.struct(
+                (i + 1).alias("rank"),
+                s["pos"].alias("pos"),
+                (F.lit(0.0) - s["down"]).alias("score"),
+                F.get(given, s["pos"]).alias("offer"),
+            ),
+        )
+
+    return bind(offers, rank)
 
 
 def with_rank_fields(offer: Column, score: Column, rank: Column) -> Column:
     """The offer as JSON text with its ``score`` and ``rank`` set."""
-    fields = F.try_variant_get(F.parse_json(offer), "$", "map<string,variant>")
+    fields = F.try_variant_get(offer, "$", "map<string,variant>")
     others = F.map_filter(fields, lambda k, _: ~k.isin("score", "rank"))
     return F.to_json(
         F.map_concat(

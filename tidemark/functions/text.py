@@ -48,13 +48,6 @@ def chunk_key(source_key: Column, index: Column) -> Column:
     )
 
 
-def tokens(text: Column) -> Column:
-    """Lower-cased words between spaces, tabs and line ends."""
-    return F.filter(
-        F.split(F.lower(text), r"[ \t\r\n]+"), lambda t: t != F.lit("")
-    )
-
-
 def url_unquote(key: Column) -> Column:
     """Decode ``%xx`` and ``+``; a ``%`` without two hex digits stays as it is."""
     return F.url_decode(F.regexp_replace(key, "%(?![0-9A-Fa-f]{2})", "%25"))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark import fixed
+from tidemark.functions.offers import bind
 
 BLOCKS = "array<struct<type string, id string, name string, input variant>>"
 CHOICES = (
@@ -63,7 +64,7 @@ def response_calls(df: DataFrame, response: str) -> DataFrame:
         )
 
     others = [c for c in df.columns if c != response]
-    bound = F.transform(F.array(parsed), read)[0].alias("_read")
+    bound = bind(parsed, read).alias("_read")
     return df.select(*others, bound).select(*others, "_read.*")
 
 

@@ -113,7 +113,7 @@ def ranked_documents(
             ),
         )
 
-    return df.withColumn("document", F.transform(F.array(ranked), document)[0])
+    return df.withColumn("document", offers.bind(ranked, document))
 
 
 def write_ranked_documents(df: DataFrame, payload: str, path: str, **options) -> None:

@@ -69,13 +69,17 @@ def rows_of_last(batch: DataFrame, key: str, ordinal: str) -> DataFrame:
     return keyed.unionByName(batch.where(F.col(key).isNull()))
 
 
-def replace_by_keys(target: DataFrame, batch: DataFrame, key: str) -> DataFrame:
+def replace_by_keys(
+    target: DataFrame, batch: DataFrame, key: str, keyed: DataFrame | None = None
+) -> DataFrame:
     """Target rows with a key of the batch go; every batch row is added.
 
     Repeated keys within the batch are kept, and so is a batch without keys,
-    which makes it a plain append.
+    which makes it a plain append. ``keyed`` gives the keys where they are
+    cheaper to read than the batch.
     """
-    kept = target.join(distinct_keys(batch, key), key, "left_anti")
+    keys = distinct_keys(batch if keyed is None else keyed, key)
+    kept = target.join(keys, key, "left_anti")
     return kept.select(target.columns).unionByName(batch.select(target.columns))
 
 
@@ -93,8 +97,9 @@ def merge_by_key(
     job over the key column; pass ``check=False`` for a source known unique.
     """
     if ordinal is not None:
-        source = latest_per_key(source, key, ordinal)
-    elif check:
+        latest = latest_per_key(source, key, ordinal)
+        return replace_by_keys(target, latest, key, keyed=source)
+    if check:
         check_unique(source, key)
     return replace_by_keys(target, source, key)
 

@@ -132,8 +132,8 @@ ORACLES = {
         UNION ALL
         SELECT s_suppkey, true, NULL, 7, NULL FROM supplier WHERE s_acctbal BETWEEN 0 AND 5000""",
     "document_files": f"""
-        SELECT page_id, '{BUCKET}' AS source_bucket, sha1(concat(html, chr(10))) AS digest,
-               length(html) + 1 AS n_chars FROM pages""",
+        SELECT item_id, '{BUCKET}' AS source_bucket, sha1(concat(text, chr(10))) AS digest,
+               length(text) + 1 AS n_chars FROM benchmark""",
     "table_create_read": "SELECT * FROM customer",
     "upsert_merge": """
         SELECT event_id AS entry_id, value AS amount, event_type AS kind FROM events

@@ -22,6 +22,7 @@ from tidemark.operators import (
     upsert,
 )
 from tidemark.operators import offers as responses
+from tidemark.operators.spread import spread
 from tidemark.sources import documents, json_records, storage, tables, vector_table
 from tidemark.streaming.notifications import NotificationJob
 
@@ -100,15 +101,15 @@ def record_payloads(spark, sf):
 
 @query
 def document_files(spark, sf):
-    """Pages written as one text object each, read back under a prefix."""
+    """Benchmark items written as one text object each, read back under a prefix."""
     root = storage.scratch_path(spark, "objects")
-    table(spark, sf, "pages").select("page_id", "html").repartition("page_id").write.partitionBy(
-        "page_id"
-    ).text(f"{root}/{BUCKET}/raw")
-    good = documents.read_documents(spark, root, BUCKET, "raw/page_id=").good
-    page = F.regexp_extract("source_key", r"^raw/page_id=(\d+)/", 1).cast("bigint")
+    table(spark, sf, "benchmark").select("item_id", "text").write.partitionBy("item_id").text(
+        f"{root}/{BUCKET}/raw"
+    )
+    good = documents.read_documents(spark, root, BUCKET, "raw/item_id=").good
+    item = F.regexp_extract("source_key", r"^raw/item_id=(\d+)/", 1).cast("bigint")
     return good.select(
-        page.alias("page_id"),
+        item.alias("item_id"),
         "source_bucket",
         F.sha1("text").alias("digest"),
         F.length("text").cast("bigint").alias("n_chars"),
@@ -301,8 +302,12 @@ def top_by_value(spark, sf):
 # Chunks and vectors -----------------------------------------------------------
 
 
+def _documents(spark, sf):
+    return spread(table(spark, sf, "documents").select("doc_id", "text"), "doc_id")
+
+
 def _document_chunks(spark, sf):
-    return chunks.chunk_documents(table(spark, sf, "documents").select("doc_id", "text"))
+    return chunks.chunk_documents(_documents(spark, sf))
 
 
 def _source_key():
@@ -347,7 +352,7 @@ def _weights(df, vector, *columns):
 
 @query
 def embed_hash(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", "text")
+    docs = _documents(spark, sf)
     return _weights(embed.embed(docs, "text", dims=DIMS), "vector", "doc_id")
 
 
@@ -362,7 +367,7 @@ def text_shape():
 
 @query
 def embed_model(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", "text")
+    docs = _documents(spark, sf)
     v = F.col("vector")
     return embed.embed(docs, "text", dims=3, load=text_shape).select(
         "doc_id", *[v[i].cast("bigint").alias(n) for i, n in enumerate(("chars", "spaces", "lines"))]
@@ -373,7 +378,7 @@ def embed_model(spark, sf):
 def ingest_documents(spark, sf):
     """Documents to a stored chunk table."""
     stored = tables.SnapshotTable(spark, storage.scratch_path(spark, "chunks"))
-    docs = table(spark, sf, "documents").select(
+    docs = _documents(spark, sf).select(
         F.lit(BUCKET).alias("source_bucket"), _source_key().alias("source_key"), "text"
     )
     vector_table.ingest_documents(docs, stored, dims=DIMS)
@@ -403,7 +408,7 @@ def vector_upsert(spark, sf):
     base = table(spark, sf, "embeddings").select(
         F.col("vec_id").alias("key"), F.col("embedding").alias("vector"), meta("embeddings")
     )
-    docs = embed.embed(table(spark, sf, "documents"), "text", dims=DIMS).select(
+    docs = embed.embed(_documents(spark, sf), "text", dims=DIMS).select(
         F.col("doc_id").alias("key"), "vector", meta("documents")
     )
     vector_table.put_chunks(base, stored)
@@ -601,7 +606,9 @@ def _run_notifications(spark, sf) -> NotificationJob:
     accounts = _supplier_accounts(spark, sf)
     accounts.select(
         "account_id", F.to_json(F.struct(*accounts.columns)).alias("value")
-    ).repartition("account_id").write.partitionBy("account_id").text(
+    ).repartition(spark.sparkContext.defaultParallelism, "account_id").write.partitionBy(
+        "account_id"
+    ).text(
         f"{root}/{BUCKET}/{fixed.DATA_PREFIX}accounts"
     )
     uploaded = (
@@ -766,7 +773,7 @@ def offer_payload(spark, sf):
         F.col("rank").cast("bigint").alias("rank"),
         F.col("pos").cast("bigint").alias("pos"),
         "score",
-        F.get_json_object("offer", "$.name").alias("name"),
+        offers.offer_field(F.col("offer"), "$.name", "string").alias("name"),
     )
 
 
