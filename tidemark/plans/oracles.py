@@ -296,7 +296,7 @@ ORACLES = {
         SELECT concat('s-', s_suppkey) AS message_id, CAST(1 AS BIGINT) AS attempts,
                'ok' AS status, '' AS reason, false AS dead FROM supplier
         UNION ALL
-        SELECT concat('n-', n_nationkey), {fixed.MAX_ATTEMPTS}, 'failed', 'missing file', true
+        SELECT concat('n-', n_nationkey), {fixed.MAX_ATTEMPTS}, 'failed', 'missing or empty file', true
         FROM nation""",
     "metadata_variant": """
         SELECT event_id, CAST(CASE WHEN event_type = 'error' THEN 0 ELSE 3 END AS BIGINT) AS n_fields,

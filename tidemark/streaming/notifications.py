@@ -158,7 +158,7 @@ class NotificationJob:
             refs.withColumn("path", normal_path(F.col("path")))
             .join(found, F.col("path") == F.col("_path"), "left")
             .groupBy("message_id")
-            .agg(F.max(F.coalesce("_state", F.lit("missing file"))).alias("_reason"))
+            .agg(F.max(F.coalesce("_state", F.lit("missing or empty file"))).alias("_reason"))
         )
         reason = F.when(~F.col("readable"), "bad message").otherwise(
             F.coalesce(F.col("_reason"), F.lit(""))
