@@ -156,11 +156,13 @@ def chunk(key, doc, i, text):
 def test_put_chunks(spark, tmp_path):
     t = SnapshotTable(spark, f"{tmp_path}/t")
     put = lambda *c, **k: vector_table.put_chunks(spark.createDataFrame(list(c), CHUNK), t, **k)
-    assert put() == 0
+    assert put() == 0 and not t.exists()
     assert put(chunk("k0", "d", 0, "x"), chunk("k1", "d", 1, "y"), chunk("e0", "e", 0, "z")) == 3
     assert put() == 0
     assert put(chunk("k0", "d", 0, "new")) == 1
     assert {r.key: r.metadata.text for r in t.read().collect()} == {"k0": "new", "k1": "y", "e0": "z"}
+    assert put(chunk("c", "f", 0, "low"), chunk("c", "f", 0, "top")) == 1
+    t.replace(spark.createDataFrame([], CHUNK), "key", drop=spark.createDataFrame([("c",)], "key string"))
     assert put(chunk("k0", "d", 0, "last"), replace_document=True) == 1
     assert {r.key: r.metadata.text for r in t.read().collect()} == {"k0": "last", "e0": "z"}
 

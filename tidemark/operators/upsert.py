@@ -1,9 +1,8 @@
 """Keyed upserts as joins and unions.
 
 Both forms drop the target rows that the batch replaces and append the batch,
-matching columns by name. The batch side of the join holds each key once, so
-one heavy key of the target is spread by AQE's skew join, which splits the
-streamed side of an anti join. Null keys match nothing.
+matching columns by name. Null keys match nothing. The joins hold each key once
+on the batch side and split the heavy keys of the other; see ``keyed_join``.
 """
 
 from __future__ import annotations
@@ -11,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.operators.keyed_join import keyed_join
+
 
 class DuplicateKeys(ValueError):
     """The source of an upsert holds a key more than once."""
@@ -56,16 +57,8 @@ def latest_per_key(batch: DataFrame, key: str, ordinal: Column) -> DataFrame:
 
 def rows_of_last(batch: DataFrame, key: str, ordinal: str) -> DataFrame:
     """All rows of each key that share the key's highest ordinal."""
-    last = (
-        batch.where(F.col(key).isNotNull())
-        .groupBy(F.col(key).alias("_key"))
-        .agg(F.max(ordinal).alias("_last"))
-    )
-    keyed = batch.join(
-        last,
-        (F.col(key) == F.col("_key")) & (F.col(ordinal) == F.col("_last")),
-        "left_semi",
-    )
+    last = batch.groupBy(key).agg(F.max(ordinal).alias(ordinal))
+    keyed = keyed_join(batch, last, [key, ordinal], "left_semi")
     return keyed.unionByName(batch.where(F.col(key).isNull()))
 
 
@@ -79,7 +72,7 @@ def replace_by_keys(
     cheaper to read than the batch.
     """
     keys = distinct_keys(batch if keyed is None else keyed, key)
-    kept = target.join(keys, key, "left_anti")
+    kept = keyed_join(target, keys, [key], "left_anti")
     return kept.select(target.columns).unionByName(batch.select(target.columns))
 
 

@@ -17,11 +17,12 @@ from dataclasses import dataclass, field
 from typing import NamedTuple
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators import upsert
+from tidemark.operators.keyed_join import keyed_join
 from tidemark.sources import storage
 from tidemark.sources.json_records import fit_schema
 from tidemark.sources.names import check_names, ensure_namespace, table_exists
@@ -49,6 +50,16 @@ class Written(NamedTuple):
     rows: int
 
 
+class Once(NamedTuple):
+    """Whether a batch may repeat a key, and which row then counts."""
+
+    checked: bool
+    ordinal: Column | None = None
+
+
+ANY = Once(False)
+
+
 class SnapshotTable:
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
@@ -122,6 +133,24 @@ class SnapshotTable:
         schema = _nullable(df.schema)
         return Written(folders, self._load(folders.values(), schema).count())
 
+    def _stage(
+        self, df: DataFrame, schema: T.StructType, key: str, n: int, once: Once
+    ) -> Written:
+        """Write a batch whose keys are checked or thinned out as ``once`` says.
+
+        The check reads only the keys that were just written, so the batch is
+        evaluated once, and is written a second time only if keys do repeat.
+        """
+        staged = self._write(df, key, n)
+        if not once.checked:
+            return staged
+        rows = self._load(staged.folders.values(), schema)
+        if once.ordinal is None:
+            upsert.check_unique(rows, key)
+        elif not upsert.duplicate_keys(rows, key).isEmpty():
+            staged = self._write(upsert.latest_per_key(rows, key, once.ordinal), key, n)
+        return staged
+
     def _load(self, folders: Iterable[str], schema: T.StructType) -> DataFrame:
         paths = [f"{self.path}/data/{f}" for f in folders]
         if not paths:
@@ -133,15 +162,17 @@ class SnapshotTable:
         df: DataFrame,
         key: str,
         n_buckets: int = 16,
-        unique: bool = False,
+        once: Once = ANY,
+        keep_empty: bool = True,
     ) -> Version:
-        """First version. Raises ``TableExists`` when there already is one."""
+        """First version. Raises ``TableExists`` when there already is one.
+
+        ``keep_empty=False`` makes no table out of no rows.
+        """
         if self.exists():
             raise TableExists(self.path)
         schema = _nullable(df.schema)
-        staged = self._write(df, key, n_buckets)
-        if unique:
-            upsert.check_unique(self._load(staged.folders.values(), schema), key)
+        staged = self._stage(df, schema, key, n_buckets, once)
         version = Version(
             0,
             key,
@@ -151,7 +182,8 @@ class SnapshotTable:
             {b: [f] for b, f in staged.folders.items()},
         )
         try:
-            self._commit(version)
+            if staged.rows or keep_empty:
+                self._commit(version)
         except FileExistsError as e:
             raise TableExists(self.path) from e
         return version
@@ -159,7 +191,7 @@ class SnapshotTable:
     def _upsert(
         self,
         batch: DataFrame,
-        unique: bool = False,
+        once: Once = ANY,
         drop: DataFrame | None = None,
         stream: tuple[str, int] | None = None,
     ) -> tuple[Version, int]:
@@ -170,11 +202,10 @@ class SnapshotTable:
         """
         old = self.current()
         schema = T.StructType.fromJson(json.loads(old.schema))
-        staged = self._write(fit_schema(batch, schema), old.key, old.n_buckets)
-        rows = self._load(staged.folders.values(), schema)
-        if unique:
-            upsert.check_unique(rows, old.key)
-        gone = rows.select(old.key)
+        staged = self._stage(
+            fit_schema(batch, schema), schema, old.key, old.n_buckets, once
+        )
+        gone = self._load(staged.folders.values(), schema).select(old.key)
         if drop is not None:
             gone = gone.unionByName(drop.select(old.key))
         elif not staged.rows:
@@ -190,7 +221,7 @@ class SnapshotTable:
         }
         before = self._read(old, touched)
         left = self._write(
-            before.join(gone, old.key, "left_anti").select(schema.names),
+            keyed_join(before, gone, [old.key], "left_anti").select(schema.names),
             old.key,
             old.n_buckets,
         )
@@ -217,16 +248,14 @@ class SnapshotTable:
         the source repeats a key, on the first load too; with ``ordinal`` the
         row of the highest ordinal is taken instead.
         """
-        if ordinal is not None:
-            source = upsert.latest_per_key(source, key, ordinal)
-        unique = ordinal is None
+        once = Once(True, ordinal)
         if not self.exists():
             try:
-                return self.create(source, key, n_buckets, unique).rows
+                return self.create(source, key, n_buckets, once).rows
             except TableExists:
                 pass  # lost the race to create it
         self._check_key(key)
-        return self._upsert(source, unique)[0].rows
+        return self._upsert(source, once)[0].rows
 
     def replace(
         self,
@@ -234,15 +263,17 @@ class SnapshotTable:
         key: str,
         drop: DataFrame | None = None,
         stream: tuple[str, int] | None = None,
+        once: Once = ANY,
     ) -> int:
         """Replace the rows of the batch's keys; gives the batch's row count.
 
-        Repeated keys of the batch stay, rows without a key are appended, and
-        an empty batch leaves the table alone. ``drop`` names further keys to
-        delete; ``stream`` marks the version with a stream's batch number.
+        Repeated keys of the batch stay unless ``once`` says otherwise, rows
+        without a key are appended, and an empty batch leaves the table alone.
+        ``drop`` names further keys to delete; ``stream`` marks the version with
+        a stream's batch number.
         """
         self._check_key(key)
-        return self._upsert(batch, drop=drop, stream=stream)[1]
+        return self._upsert(batch, once, drop, stream)[1]
 
     def _check_key(self, key: str) -> None:
         have = self.current().key

@@ -6,10 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark import fixed
-from tidemark.operators import upsert
 from tidemark.operators.chunks import chunk_documents, keyed_chunks
 from tidemark.operators.embed import embed
-from tidemark.sources.tables import SnapshotTable
+from tidemark.operators.keyed_join import keyed_join
+from tidemark.sources.tables import Once, SnapshotTable
 
 KEY = "key"
 
@@ -26,22 +26,17 @@ def put_chunks(
     can give, one stays. No chunks leave the table alone. A document that became
     shorter leaves its old tail behind unless ``replace_document`` drops it.
     """
-    chunks = upsert.latest_per_key(
-        chunks, KEY, F.struct("metadata.source_bucket", "metadata.text")
-    )
+    once = Once(True, F.struct("metadata.source_bucket", "metadata.text"))
     if not table.exists():
-        return table.create(chunks, KEY, n_buckets).rows
+        return table.create(chunks, KEY, n_buckets, once, keep_empty=False).rows
     drop = None
     if replace_document:
         source = F.col("metadata.source_key").alias("source")
         # Keys of the old chunks of these documents; reads two columns.
-        drop = (
-            table.read()
-            .select(KEY, source)
-            .join(chunks.select(source).distinct(), "source", "left_semi")
-            .select(KEY)
-        )
-    return table.replace(chunks, KEY, drop)
+        held = table.read().select(KEY, source)
+        sources = chunks.select(source).distinct()
+        drop = keyed_join(held, sources, ["source"], "left_semi").select(KEY)
+    return table.replace(chunks, KEY, drop, once=once)
 
 
 def ingest_documents(
