@@ -173,7 +173,28 @@ def test_ingest_is_idempotent(spark, tmp_path):
         [("b", "d1", "word " * 200), ("b", "d2", "   "), ("b", "d3", "short")],
         "source_bucket string, source_key string, text string",
     )
-    assert vector_table.ingest_documents(docs, t, dims=8) == 4
-    assert vector_table.ingest_documents(docs, t, dims=8) == 4
+    assert vector_table.ingest_documents(docs, t, dims=8).stored == 4
+    assert vector_table.ingest_documents(docs, t, dims=8).stored == 4
     assert t.count() == 4
     assert {r.metadata.source_key for r in t.read().collect()} == {"d1", "d3"}
+
+
+def test_a_document_fails_whole(spark, tmp_path):
+    t = SnapshotTable(spark, f"{tmp_path}/t")
+    docs = spark.createDataFrame(
+        [("b", "good", "aaaa"), ("b", "bad", "aa!a"), ("c", "bad", "cc"), ("b", "odd", "zzzz")],
+        "source_bucket string, source_key string, text string",
+    ).coalesce(1)
+
+    def load():
+        def model(texts):
+            if any("!" in x for x in texts):
+                raise RuntimeError("cannot")
+            return [[1.0, 2.0]] * len(texts) if "zz" not in texts else [[1.0]]
+
+        return model
+
+    done = vector_table.ingest_documents(docs, t, 2, 2, 0, load)
+    assert done.stored == t.count() == 3
+    rejected = sorted((r.source_bucket, r.source_key) for r in done.rejects.collect())
+    assert rejected == [("b", "bad"), ("b", "odd")]

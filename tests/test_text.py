@@ -125,10 +125,16 @@ def test_decode_vectors(spark):
 
 
 def test_decode_answers(spark):
-    said = ['{"content":[{"type":"text","text":"yes\\n"},{"text":"no"}]}', '{"content":[]}', "{"]
+    said = [
+        '{"content":[{"type":"text","text":"yes\\n"},{"text":"no"}]}',
+        '{"content":[]}',
+        "{",
+        '{"choices":[{"message":{"content":"maybe"}}]}',
+        '{"choices":[{"message":{"content":null}}]}',
+    ]
     df = spark.createDataFrame([(s,) for s in said], "r string")
     got = [r.answer for r in prompts.decode_answers(df, "r").collect()]
-    assert got == ["yes\n", None, None]
+    assert got == ["yes\n", None, None, "maybe", None]
 
 
 HIT = (

@@ -213,6 +213,15 @@ ORACLES = {
         SELECT key, source_key, chunk_index, sha1(chunk) AS digest,
                (SELECT count(*) FROM weight WHERE weight.key = keyed.key) AS n_dims
         FROM keyed""",
+    "ingest_rejects": f"""
+        WITH {_chunks("conversations", "conv_id, turn", 200, 20)}, doc AS (
+            SELECT concat_ws('/', conv_id, turn) AS source_key, count(*) AS n,
+                   CAST(sum(length(chunk)) AS BIGINT) AS chars,
+                   bool_or(contains(chunk, '?')) AS bad
+            FROM chunk GROUP BY conv_id, turn
+        )
+        SELECT source_key, CASE WHEN NOT bad THEN n END AS n_chunks,
+               CASE WHEN NOT bad THEN chars END AS n_chars, bad AS rejected FROM doc""",
     "vector_upsert": f"""
         WITH {_weights("documents", "doc_id", "text", DIMS)}, base AS (
             SELECT vec_id, unnest(embedding) AS w, unnest(range(0, len(embedding))) AS dim
@@ -274,9 +283,14 @@ ORACLES = {
                '{fixed.PROMPT_SYSTEM.replace("'", "''")}' AS system, 'user' AS role,
                concat('Context:', chr(10), chr(10), chr(10), 'Question: ', text) AS content
         FROM conversations WHERE role = 'user'""",
+    "chat_bodies": f"""
+        SELECT concat_ws('-', conv_id, turn) AS question_id, 'model-1' AS model,
+               '{fixed.PROMPT_SYSTEM.replace("'", "''")}' AS system, 'user' AS role,
+               text AS content
+        FROM conversations WHERE role = 'user'""",
     "answer_decode": """
-        SELECT conv_id, turn, CASE WHEN role = 'assistant' THEN text END AS answer,
-               role <> 'assistant' AS rejected FROM conversations""",
+        SELECT conv_id, turn, CASE WHEN role <> 'system' THEN text END AS answer,
+               role = 'system' AS rejected FROM conversations""",
     "vector_decode": """
         SELECT vec_id, unnest(range(0, len(embedding))) AS dim,
                round(CAST(unnest(embedding) AS DOUBLE), 6) AS x FROM embeddings""",

@@ -392,6 +392,36 @@ def ingest_documents(spark, sf):
     )
 
 
+def picky_model():
+    """A model that fails on texts with a question mark."""
+
+    def model(texts: list[str]) -> np.ndarray:
+        if any("?" in t for t in texts):
+            raise ValueError("no questions")
+        return np.array([[len(t), 1] for t in texts])
+
+    return model
+
+
+@query
+def ingest_rejects(spark, sf):
+    """Conversation turns as documents, some of which the model cannot take."""
+    stored = tables.SnapshotTable(spark, storage.scratch_path(spark, "chunks"))
+    docs = table(spark, sf, "conversations").select(
+        F.lit(BUCKET).alias("source_bucket"),
+        F.concat_ws("/", "conv_id", "turn").alias("source_key"),
+        "text",
+    )
+    rejects = vector_table.ingest_documents(docs, stored, 2, 200, 20, picky_model).rejects
+    kept = stored.read().groupBy(F.col("metadata.source_key").alias("source_key")).agg(
+        F.count("*").alias("n_chunks"),
+        F.sum(F.col("vector")[0].cast("bigint")).alias("n_chars"),
+    )
+    return kept.withColumn("rejected", F.lit(False)).unionByName(
+        rejects.select("source_key", F.lit(True).alias("rejected")), allowMissingColumns=True
+    )
+
+
 @query
 def vector_upsert(spark, sf):
     """Hashed documents put over the embeddings with the same number."""
@@ -523,15 +553,35 @@ def request_bodies(spark, sf):
     )
 
 
+@query
+def chat_bodies(spark, sf):
+    """Every question as a chat request."""
+    asked = _questions(spark, sf).withColumn(
+        "body", prompts.chat_body(F.col("question"), F.lit("model-1"))
+    )
+    return asked.select(
+        "question_id",
+        F.get_json_object("body", "$.model").alias("model"),
+        F.get_json_object("body", "$.messages[0].content").alias("system"),
+        F.get_json_object("body", "$.messages[1].role").alias("role"),
+        F.get_json_object("body", "$.messages[1].content").alias("content"),
+    )
+
+
 @query
 def answer_decode(spark, sf):
-    """Answers of assistant turns; other responses hold no content."""
+    """Answers of assistant turns in one layout, of users in the other; none of systems."""
     block = F.struct(F.lit("text").alias("type"), "text")
-    content = F.when(F.col("role") == "assistant", F.array(block)).otherwise(
-        F.array().cast("array<struct<type string, text string>>")
+    blocks = F.to_json(F.struct(F.array(block).alias("content")))
+    message = F.struct(F.struct(F.col("text").alias("content")).alias("message"))
+    choices = F.to_json(F.struct(F.array(message).alias("choices")))
+    response = (
+        F.when(F.col("role") == "assistant", blocks)
+        .when(F.col("role") == "user", choices)
+        .otherwise('{"content":[]}')
     )
     stored = table(spark, sf, "conversations").select(
-        "conv_id", "turn", F.to_json(F.struct(content.alias("content"))).alias("response")
+        "conv_id", "turn", response.alias("response")
     )
     return prompts.decode_answers(stored, "response").select(
         "conv_id", "turn", "answer", F.col("answer").isNull().alias("rejected")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,6 +11,7 @@ from tidemark import fixed
 from tidemark.operators.chunks import chunk_documents, keyed_chunks
 from tidemark.operators.embed import embed
 from tidemark.operators.keyed_join import keyed_join
+from tidemark.sources.storage import scratch_path
 from tidemark.sources.tables import Once, SnapshotTable
 
 KEY = "key"
@@ -39,6 +42,11 @@ def put_chunks(
     return table.replace(chunks, KEY, drop, once=once)
 
 
+class Ingested(NamedTuple):
+    stored: int
+    rejects: DataFrame
+
+
 def ingest_documents(
     documents: DataFrame,
     table: SnapshotTable,
@@ -47,15 +55,29 @@ def ingest_documents(
     overlap: int = fixed.CHUNK_OVERLAP,
     load=None,
     replace_document: bool = False,
-) -> int:
+) -> Ingested:
     """Chunk, embed and store ``(source_bucket, source_key, text)`` documents.
 
-    Gives the number of chunks stored. Documents that cannot be read are set
-    aside by the reader; see ``sources.documents``.
+    Gives the number of chunks stored, and the documents that were set aside: a
+    document is stored whole or, when the model fails on any of its chunks, not
+    at all. Files that cannot be read are set aside by the reader before.
     """
+    spark = documents.sparkSession
+    document = ["source_key", "source_bucket"]
     chunks = chunk_documents(documents, "text", size, overlap)
     keyed = keyed_chunks(chunks, F.col("source_bucket"), F.col("source_key"))
-    vectors = embed(keyed, "metadata.text", "vector", dims, load)
-    return put_chunks(
-        vectors.select(KEY, "vector", "metadata"), table, replace_document
+    embedded = embed(keyed, "metadata.text", "vector", dims, load, isolate=True).select(
+        KEY, "vector", "metadata"
+    )
+    if load is None:
+        none = spark.createDataFrame([], documents.select(document).schema)
+        return Ingested(put_chunks(embedded, table, replace_document), none)
+    # Written once: a model is too costly to run for the rejects and again.
+    path = scratch_path(spark, "embedded")
+    embedded.write.parquet(path)
+    embedded = spark.read.parquet(path).select(
+        "*", "metadata.source_key", "metadata.source_bucket"
     )
+    rejects = embedded.where("vector IS NULL").select(document).distinct()
+    good = keyed_join(embedded, rejects, document, "left_anti").drop(*document)
+    return Ingested(put_chunks(good, table, replace_document), rejects)
