@@ -217,7 +217,7 @@ ORACLES = {
         WITH {_chunks("conversations", "conv_id, turn", 200, 20)}, doc AS (
             SELECT concat_ws('/', conv_id, turn) AS source_key, count(*) AS n,
                    CAST(sum(length(chunk)) AS BIGINT) AS chars,
-                   bool_or(contains(chunk, '?')) AS bad
+                   bool_or(contains(chunk, 'ç')) AS bad
             FROM chunk GROUP BY conv_id, turn
         )
         SELECT source_key, CASE WHEN NOT bad THEN n END AS n_chunks,
