@@ -1,0 +1,76 @@
+import json
+
+import numpy as np
+
+from tidemark.operators.spread import spread
+from tidemark.plans import jobs
+from tidemark.sources import tables
+from tidemark.sources.tables import SnapshotTable
+
+
+def put(folder, name, body):
+    folder.mkdir(parents=True, exist_ok=True)
+    (folder / name).write_bytes(body if isinstance(body, bytes) else body.encode())
+
+
+def test_load_cards_is_idempotent(spark, tmp_path):
+    rows = [{"card_id": f"C{i}", "credit_limit": 100.0 * i, "card_status": "ACTIVE"} for i in range(1, 6)]
+    put(tmp_path / "in", "cards.json", json.dumps([*rows, {"card_status": "ACTIVE"}]))
+    put(tmp_path / "in", "cut.json", "[{")
+    for _ in range(2):
+        done = jobs.load_cards(spark, str(tmp_path / "in"), "bank", root=str(tmp_path / "t"))
+        assert done.rows == 5
+        assert sorted(r.reason for r in done.rejects.collect()) == ["malformed", "null key"]
+    got = tables.read_table(spark, "bank", "credit_cards", root=str(tmp_path / "t"))
+    assert sorted(r.card_id for r in got.collect()) == ["C1", "C2", "C3", "C4", "C5"]
+    assert len(got.columns) == 21
+
+
+def test_load_transactions(spark, tmp_path):
+    put(tmp_path / "in", "t.json", '{"transaction_id":"T1","amount":-3.5,"status":"POSTED"}')
+    done = jobs.load_transactions(spark, str(tmp_path / "in"), "bank", root=str(tmp_path / "t"))
+    assert done.rows == 1 and done.rejects.count() == 0
+
+
+def test_ingest_prefix(spark, tmp_path):
+    docs = tmp_path / "objects" / "b" / "docs"
+    put(docs, "a.txt", "x" * 30)
+    put(docs, "bad.txt", b"\xff\xff\xfe")
+    put(docs, "fails.txt", "boom")
+    put(docs.parent / "other", "c.txt", "no")
+
+    def load():
+        def model(texts):
+            if "boom" in texts:
+                raise RuntimeError
+            return np.ones((len(texts), 4))
+
+        return model
+
+    t = SnapshotTable(spark, f"{tmp_path}/t")
+    done = jobs.ingest_prefix(
+        spark, f"{tmp_path}/objects", "b", "docs/", t, dims=4, size=10, overlap=0, load=load
+    )
+    assert done.stored == 3
+    assert sorted(r.source_key for r in done.rejects.collect()) == ["docs/bad.txt", "docs/fails.txt"]
+    assert {r.metadata.source_key for r in t.read().collect()} == {"docs/a.txt"}
+
+
+def test_saved_rankings(spark):
+    def save(payload):
+        block = {"type": "tool_use", "id": "1", "name": "save_top_cards", "input": {"cards_json": payload}}
+        return json.dumps({"stop_reason": "tool_use", "content": [block]})
+
+    said = [(1, save('[{"name":"a"},{"name":"b","bonus_score":3}]')), (2, save("cut [")), (3, "{}")]
+    df = spark.createDataFrame(said, "run int, response string").coalesce(1)
+    got = jobs.saved_rankings(df, "response").collect()
+    assert [r.run for r in got] == [1, 2]
+    assert [c["name"] for c in json.loads(got[0].document)["top_cards"]] == ["b", "a"]
+    assert got[1].document is None
+
+
+def test_spread_leaves_large_inputs_alone(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    assert spread(docs, "doc_id").rdd.getNumPartitions() == cores
+    assert spread(docs, "doc_id", bytes_per_core=1) is docs

@@ -109,11 +109,24 @@ _OFFERS = """
         FROM scored
     )"""
 
+_ORDERS = """
+    SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice,
+           strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate, o_orderpriority
+    FROM orders
+"""
+
+_ENVELOPE = f"""
+    WITH {_OFFERS}
+    SELECT c_custkey, '{fixed.RANKING_SOURCE}' AS source, CAST(3 AS BIGINT) AS total,
+           name, score, rank FROM ranked
+    UNION ALL
+    SELECT c_custkey, '{fixed.RANKING_SOURCE}', 0, NULL, NULL, NULL
+    FROM customer WHERE c_mktsegment = 'MACHINERY'
+"""
+
 ORACLES = {
-    "json_typed_read": """
-        SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice,
-               strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate, o_orderpriority
-        FROM orders""",
+    "json_typed_read": _ORDERS,
+    "json_to_table": _ORDERS,
     "json_rejects": """
         SELECT CASE event_type WHEN 'error' THEN 'malformed' WHEN 'signup' THEN 'null key'
                     ELSE 'good' END AS reason,
@@ -213,6 +226,10 @@ ORACLES = {
         SELECT key, source_key, chunk_index, sha1(chunk) AS digest,
                (SELECT count(*) FROM weight WHERE weight.key = keyed.key) AS n_dims
         FROM keyed""",
+    "ingest_prefix": f"""
+        WITH item AS (SELECT item_id, concat(text, chr(10)) AS text FROM benchmark),
+        {_chunks("item", "item_id", fixed.CHUNK_SIZE, fixed.CHUNK_OVERLAP)}
+        SELECT item_id, chunk_index, chunk, true AS keyed FROM chunk""",
     "ingest_rejects": f"""
         WITH {_chunks("conversations", "conv_id, turn", 200, 20)}, doc AS (
             SELECT concat_ws('/', conv_id, turn) AS source_key, count(*) AS n,
@@ -322,13 +339,8 @@ ORACLES = {
     "offer_rank": _PART_RANK,
     "offer_rank_ranges": _PART_RANK,
     "offer_payload": f"WITH {_OFFERS} SELECT c_custkey, rank, pos, score, name FROM ranked",
-    "rank_envelope": f"""
-        WITH {_OFFERS}
-        SELECT c_custkey, '{fixed.RANKING_SOURCE}' AS source, CAST(3 AS BIGINT) AS total,
-               name, score, rank FROM ranked
-        UNION ALL
-        SELECT c_custkey, '{fixed.RANKING_SOURCE}', 0, NULL, NULL, NULL
-        FROM customer WHERE c_mktsegment = 'MACHINERY'""",
+    "rank_envelope": _ENVELOPE,
+    "saved_rankings": _ENVELOPE,
     "ranked_sink": f"""
         WITH {_OFFERS}
         SELECT '{fixed.RANKING_SOURCE}' AS source, CAST(3 AS BIGINT) AS total, name, score, rank

@@ -23,6 +23,7 @@ from tidemark.operators import (
 )
 from tidemark.operators import offers as responses
 from tidemark.operators.spread import spread
+from tidemark.plans import jobs
 from tidemark.sources import documents, json_records, storage, tables, vector_table
 from tidemark.streaming.notifications import NotificationJob
 
@@ -46,15 +47,33 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 # Sources ----------------------------------------------------------------------
 
 
-@query
-def json_typed_read(spark, sf):
+ORDERS = """o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING,
+    o_totalprice DOUBLE, o_orderdate STRING, o_orderpriority STRING"""
+
+
+def _orders_json(spark, sf) -> str:
     path = storage.scratch_path(spark, "orders-json")
     day = F.date_format("o_orderdate", "yyyy-MM-dd").alias("o_orderdate")
     orders = table(spark, sf, "orders")
     orders.select(*[c for c in orders.columns if c != "o_orderdate"], day).write.json(path)
-    schema = """o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING,
-        o_totalprice DOUBLE, o_orderdate STRING, o_orderpriority STRING"""
-    return json_records.read_json(spark, path, schema, "o_orderkey", multiline=False).good
+    return path
+
+
+@query
+def json_typed_read(spark, sf):
+    path = _orders_json(spark, sf)
+    return json_records.read_json(spark, path, ORDERS, "o_orderkey", multiline=False).good
+
+
+@query
+def json_to_table(spark, sf):
+    """JSON files loaded into a table by key, twice."""
+    path, root = _orders_json(spark, sf), storage.scratch_path(spark, "tables")
+    for _ in range(2):
+        jobs.load_records(
+            spark, path, ORDERS, "o_orderkey", "bank", "orders", root=root, multiline=False
+        )
+    return tables.read_table(spark, "bank", "orders", root=root)
 
 
 @query
@@ -99,13 +118,19 @@ def record_payloads(spark, sf):
     )
 
 
+def _item_files(spark, sf) -> str:
+    """Benchmark items written as one text object each."""
+    root = storage.scratch_path(spark, "objects")
+    cores = spark.sparkContext.defaultParallelism
+    items = table(spark, sf, "benchmark").select("item_id", "text").repartition(cores, "item_id")
+    items.write.partitionBy("item_id").text(f"{root}/{BUCKET}/raw")
+    return root
+
+
 @query
 def document_files(spark, sf):
-    """Benchmark items written as one text object each, read back under a prefix."""
-    root = storage.scratch_path(spark, "objects")
-    table(spark, sf, "benchmark").select("item_id", "text").write.partitionBy("item_id").text(
-        f"{root}/{BUCKET}/raw"
-    )
+    """Text objects read under a prefix."""
+    root = _item_files(spark, sf)
     good = documents.read_documents(spark, root, BUCKET, "raw/item_id=").good
     item = F.regexp_extract("source_key", r"^raw/item_id=(\d+)/", 1).cast("bigint")
     return good.select(
@@ -392,6 +417,20 @@ def ingest_documents(spark, sf):
     )
 
 
+@query
+def ingest_prefix(spark, sf):
+    """Text objects under a prefix to a stored chunk table."""
+    stored = tables.SnapshotTable(spark, storage.scratch_path(spark, "chunks"))
+    jobs.ingest_prefix(spark, _item_files(spark, sf), BUCKET, "raw/", stored, dims=DIMS)
+    m = F.col("metadata")
+    return stored.read().select(
+        F.regexp_extract(m["source_key"], r"item_id=(\d+)/", 1).cast("bigint").alias("item_id"),
+        m["chunk_index"].cast("bigint").alias("chunk_index"),
+        m["text"].alias("chunk"),
+        (F.col("key") == text_fns.chunk_key(m["source_key"], m["chunk_index"])).alias("keyed"),
+    )
+
+
 def picky_model():
     """A model that fails on texts with a letter it does not know."""
 
@@ -902,3 +941,26 @@ def response_stops(spark, sf):
     return responses.response_calls(_responses(spark, sf), "response").select(
         "conv_id", "turn", "stop_reason", F.size("calls").cast("bigint").alias("n_calls")
     )
+
+
+@query
+def saved_rankings(spark, sf):
+    """Payloads saved by calls in stored responses, ranked."""
+    call = F.struct(
+        F.lit("tool_use").alias("type"),
+        F.col("c_custkey").cast("string").alias("id"),
+        F.lit(fixed.SAVE_CALL).alias("name"),
+        F.struct(F.col("payload").alias(fixed.SAVE_FIELD)).alias("input"),
+    )
+    stored = _payloads(spark, sf).select(
+        "c_custkey",
+        F.to_json(
+            F.struct(F.lit("tool_use").alias("stop_reason"), F.array(call).alias("content"))
+        ).alias("response"),
+    )
+    parsed = jobs.saved_rankings(stored, "response").select(
+        "c_custkey", F.from_json("document", DOCUMENT).alias("d")
+    )
+    return parsed.select(
+        "c_custkey", "d.source", "d.total", F.explode_outer("d.top_cards").alias("c")
+    ).select("c_custkey", "source", "total", "c.name", "c.score", "c.rank")
