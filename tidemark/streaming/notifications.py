@@ -18,6 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemark import fixed
 from tidemark.operators import notifications, upsert
+from tidemark.operators.keyed_join import fits_broadcast
 from tidemark.sources import storage
 from tidemark.sources.documents import normal_path
 from tidemark.sources.json_records import read_data_files
@@ -178,12 +179,13 @@ class NotificationJob:
     def _rows(self, refs: DataFrame, status: DataFrame, files: DataFrame) -> DataFrame:
         """Records of the good messages; per key, those of the last file."""
         good = status.where("status = 'ok'").select("message_id")
-        wanted = (
-            refs.join(good, "message_id", "left_semi")
-            .select(normal_path(F.col("path")).alias("path"), "ordinal")
+        wanted = refs.join(good, "message_id", "left_semi").select(
+            normal_path(F.col("path")).alias("path"), "ordinal"
         )
-        # One row per reference, whose paths the driver has listed already.
-        rows = files.join(F.broadcast(wanted), "path").select(
+        # Joined to the references, the contents of the files stay in place.
+        if fits_broadcast(wanted):
+            wanted = F.broadcast(wanted)
+        rows = files.join(wanted, "path").select(
             F.col("ordinal").alias("_ordinal"), F.inline("records")
         )
         return upsert.rows_of_last(rows, self.key, "_ordinal").drop("_ordinal")
