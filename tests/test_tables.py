@@ -198,3 +198,41 @@ def test_a_document_fails_whole(spark, tmp_path):
     assert done.stored == t.count() == 3
     rejected = sorted((r.source_bucket, r.source_key) for r in done.rejects.collect())
     assert rejected == [("b", "bad"), ("b", "odd")]
+
+
+def test_buckets_by_size(spark, sf):
+    assert tables.estimated_buckets(spark.read.parquet(f"{sf}/orders.parquet")) == 16
+    wide = spark.range(10**10).select(F.repeat(F.lit("x"), 10).alias("k"))
+    assert 16 < tables.estimated_buckets(wide) <= 65_536
+
+
+def test_many_versions(spark, tmp_path):
+    t = SnapshotTable(spark, f"{tmp_path}/t")
+    held = {}
+    t.create(frame(spark, *[(str(i), 0.0) for i in range(40)]), "card_id", 8)
+    held.update({str(i): 0.0 for i in range(40)})
+    for n in range(1, 5):
+        batch = [(str(i), float(n)) for i in range(n, 60, 7 * n)]
+        t.replace(frame(spark, *batch), "card_id")
+        held.update(dict(batch))
+        assert rows(t.read()) == sorted(held.items(), key=repr)
+    t.expire()
+    assert rows(t.read()) == sorted(held.items(), key=repr)
+    assert t.read().schema.simpleString() == "struct<card_id:string,amount:double>"
+
+
+def test_created_in_a_catalog(spark, tmp_path, monkeypatch):
+    """The catalog route up to MERGE, which needs a catalog with row-level changes."""
+    spark.sql(f"CREATE NAMESPACE IF NOT EXISTS spark_catalog.teller LOCATION '{tmp_path}/ns'")
+    monkeypatch.setattr(tables, "has_catalog", lambda *_: True)
+    save = dict(namespace="teller", table="cards", key="card_id", catalog="spark_catalog")
+    try:
+        assert tables.save_table(frame(spark, ("a", 1.0)), **save) == 1
+        assert rows(tables.read_table(spark, "teller", "cards", "spark_catalog")) == [("a", 1.0)]
+        with pytest.raises(Exception, match="MERGE"):
+            tables.save_table(frame(spark, ("a", 2.0)), **save)
+        monkeypatch.setattr(tables, "table_exists", lambda *_: False)
+        with pytest.raises(Exception, match="MERGE"):
+            tables.save_table(frame(spark, ("a", 2.0)), **save)
+    finally:
+        spark.sql("DROP NAMESPACE IF EXISTS spark_catalog.teller CASCADE")

@@ -4,7 +4,8 @@ A snapshot table is a folder of Parquet data and numbered version files. Rows
 are split by a hash of the key into a fixed number of buckets. A version lists
 the data folders of every bucket, so a commit is one small file: readers see a
 version whole or not at all, and an upsert rewrites only the buckets that its
-batch touches. One writer at a time; a writer that comes second fails on the
+batch touches. Data written together is one folder, read as one path until a
+later batch takes the place of some of it. One writer at a time; a writer that comes second fails on the
 version name.
 """
 
@@ -12,7 +13,6 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Iterable
 from dataclasses import dataclass, field
 from typing import NamedTuple
 
@@ -27,7 +27,9 @@ from tidemark.sources import storage
 from tidemark.sources.json_records import fit_schema
 from tidemark.sources.names import check_names, ensure_namespace, table_exists
 
-BUCKET = "_bucket"
+BATCH, BUCKET = "_batch", "_bucket"
+BUCKET_BYTES = 1 << 30
+LEAST_BUCKETS, MOST_BUCKETS, UNKNOWN_BUCKETS = 16, 65_536, 1024
 
 
 class TableExists(Exception):
@@ -41,12 +43,15 @@ class Version:
     n_buckets: int
     schema: str
     rows: int
+    # Batches that hold rows of a bucket, and the number of buckets of each batch.
     folders: dict[str, list[str]] = field(default_factory=dict)
+    sizes: dict[str, int] = field(default_factory=dict)
     marks: dict[str, int] = field(default_factory=dict)
 
 
 class Written(NamedTuple):
-    folders: dict[str, str]
+    batch: str
+    buckets: list[str]
     rows: int
 
 
@@ -95,15 +100,38 @@ class SnapshotTable:
 
     def _read(self, version: Version, buckets: set[str] | None = None) -> DataFrame:
         schema = T.StructType.fromJson(json.loads(version.schema))
-        return self._load(
-            [
-                folder
-                for bucket, held in version.folders.items()
-                if buckets is None or bucket in buckets
-                for folder in held
-            ],
-            schema,
-        )
+        wanted: dict[str, list[str]] = {}
+        for bucket, batches in version.folders.items():
+            if buckets is None or bucket in buckets:
+                for batch in batches:
+                    wanted.setdefault(batch, []).append(bucket)
+        return self._load(wanted, schema, version.sizes)
+
+    def _load(
+        self,
+        wanted: dict[str, list[str]],
+        schema: T.StructType,
+        sizes: dict[str, int],
+    ) -> DataFrame:
+        """Rows of some buckets by batch; a batch wanted whole is one path."""
+        base = f"{self.path}/data"
+        paths = []
+        for batch, buckets in wanted.items():
+            folder = f"{base}/{BATCH}={batch}"
+            if len(buckets) == sizes.get(batch):
+                paths.append(folder)
+            else:
+                paths += [f"{folder}/{BUCKET}={b}" for b in buckets]
+        if not paths:
+            return self.spark.createDataFrame([], schema)
+        read = self.spark.read.schema(schema).option("basePath", base)
+        return read.parquet(*paths).select(schema.names)
+
+    def _load_written(self, written: Written, schema: T.StructType) -> DataFrame:
+        if not written.buckets:
+            return self.spark.createDataFrame([], schema)
+        sizes = {written.batch: len(written.buckets)}
+        return self._load({written.batch: written.buckets}, schema, sizes)
 
     def count(self) -> int:
         return self.current().rows
@@ -119,19 +147,19 @@ class SnapshotTable:
 
     def _write(self, df: DataFrame, key: str, n: int) -> Written:
         """Write rows by bucket into new folders, evaluating ``df`` once."""
-        label = uuid.uuid4().hex
-        base = f"{self.path}/data/{label}"
+        batch = f"b{uuid.uuid4().hex}"
+        folder = f"{self.path}/data/{BATCH}={batch}"
         # Rebalanced: a bucket with one heavy key is split over several files,
         # small buckets share a task.
         self._bucketed(df, key, n).hint("rebalance", BUCKET).write.partitionBy(
             BUCKET
-        ).parquet(base)
-        names = [
-            c for c in storage.child_names(self.spark, base) if c.startswith(f"{BUCKET}=")
-        ]
-        folders = {c.split("=")[1]: f"{label}/{c}" for c in names}
-        schema = _nullable(df.schema)
-        return Written(folders, self._load(folders.values(), schema).count())
+        ).parquet(folder)
+        names = storage.child_names(self.spark, folder)
+        buckets = [c.split("=")[1] for c in names if c.startswith(f"{BUCKET}=")]
+        written = Written(batch, buckets, 0)
+        return written._replace(
+            rows=self._load_written(written, _nullable(df.schema)).count()
+        )
 
     def _stage(
         self, df: DataFrame, schema: T.StructType, key: str, n: int, once: Once
@@ -144,33 +172,30 @@ class SnapshotTable:
         staged = self._write(df, key, n)
         if not once.checked:
             return staged
-        rows = self._load(staged.folders.values(), schema)
+        rows = self._load_written(staged, schema)
         if once.ordinal is None:
             upsert.check_unique(rows, key)
         elif not upsert.duplicate_keys(rows, key).isEmpty():
             staged = self._write(upsert.latest_per_key(rows, key, once.ordinal), key, n)
         return staged
 
-    def _load(self, folders: Iterable[str], schema: T.StructType) -> DataFrame:
-        paths = [f"{self.path}/data/{f}" for f in folders]
-        if not paths:
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(*paths)
-
     def create(
         self,
         df: DataFrame,
         key: str,
-        n_buckets: int = 16,
+        n_buckets: int | None = None,
         once: Once = ANY,
         keep_empty: bool = True,
     ) -> Version:
         """First version. Raises ``TableExists`` when there already is one.
 
-        ``keep_empty=False`` makes no table out of no rows.
+        The number of buckets stays as it is chosen here: one per gigabyte of
+        the estimated size unless given. ``keep_empty=False`` makes no table out
+        of no rows.
         """
         if self.exists():
             raise TableExists(self.path)
+        n_buckets = n_buckets or estimated_buckets(df)
         schema = _nullable(df.schema)
         staged = self._stage(df, schema, key, n_buckets, once)
         version = Version(
@@ -179,7 +204,8 @@ class SnapshotTable:
             n_buckets,
             schema.json(),
             staged.rows,
-            {b: [f] for b, f in staged.folders.items()},
+            {b: [staged.batch] for b in staged.buckets},
+            {staged.batch: len(staged.buckets)},
         )
         try:
             if staged.rows or keep_empty:
@@ -205,7 +231,7 @@ class SnapshotTable:
         staged = self._stage(
             fit_schema(batch, schema), schema, old.key, old.n_buckets, once
         )
-        gone = self._load(staged.folders.values(), schema).select(old.key)
+        gone = self._load_written(staged, schema).select(old.key)
         if drop is not None:
             gone = gone.unionByName(drop.select(old.key))
         elif not staged.rows:
@@ -226,9 +252,12 @@ class SnapshotTable:
             old.n_buckets,
         )
         folders = {b: list(f) for b, f in old.folders.items() if b not in touched}
+        sizes = dict(old.sizes)
         for written in (left, staged):
-            for b, f in written.folders.items():
-                folders.setdefault(b, []).append(f)
+            sizes[written.batch] = len(written.buckets)
+            for b in written.buckets:
+                folders.setdefault(b, []).append(written.batch)
+        live = {batch for held in folders.values() for batch in held}
         version = Version(
             old.number + 1,
             old.key,
@@ -236,12 +265,13 @@ class SnapshotTable:
             old.schema,
             old.rows - before.count() + left.rows + staged.rows,
             folders,
+            {batch: n for batch, n in sizes.items() if batch in live},
             {**old.marks, **({stream[0]: stream[1]} if stream else {})},
         )
         self._commit(version)
         return version, staged.rows
 
-    def merge(self, source: DataFrame, key: str, n_buckets: int = 16, ordinal=None) -> int:
+    def merge(self, source: DataFrame, key: str, n_buckets: int | None = None, ordinal=None) -> int:
         """Create the table or upsert into it; gives the total row count after.
 
         Update-all and insert-all by column name. Raises ``DuplicateKeys`` when
@@ -283,7 +313,7 @@ class SnapshotTable:
     def expire(self) -> int:
         """Delete old versions and data no longer used; gives the folders deleted."""
         version = self.current()
-        used = {f.split("/")[0] for held in version.folders.values() for f in held}
+        used = {f"{BATCH}={batch}" for batch in version.sizes}
         for name in self._versions()[:-1]:
             storage.remove_tree(self.spark, f"{self.path}/versions/{name}")
         stale = [
@@ -296,6 +326,14 @@ class SnapshotTable:
         return len(stale)
 
 
+def estimated_buckets(df: DataFrame) -> int:
+    """Buckets of about a gigabyte each, by the optimizer's estimate of the size."""
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    if size >= 1 << 60:
+        return UNKNOWN_BUCKETS
+    return min(max(-(-size // BUCKET_BYTES), LEAST_BUCKETS), MOST_BUCKETS)
+
+
 def _nullable(schema: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(f.name, f.dataType, True) for f in schema])
 
@@ -322,7 +360,7 @@ def save_table(
     key: str,
     catalog: str = "local",
     root: str | None = None,
-    n_buckets: int = 16,
+    n_buckets: int | None = None,
 ) -> int:
     """Create the table or upsert into it by key; gives its row count after.
 

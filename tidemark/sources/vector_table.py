@@ -21,7 +21,7 @@ def put_chunks(
     chunks: DataFrame,
     table: SnapshotTable,
     replace_document: bool = False,
-    n_buckets: int = 16,
+    n_buckets: int | None = None,
 ) -> int:
     """Upsert ``(key, vector, metadata)`` rows; gives the number of chunks stored.
 
