@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tidemark.functions import text
-from tidemark.operators import chunks, embed, prompts
+from tidemark.operators import chunks, embed, generate, knn, prompts
 
 
 def windows(spark, value, size, overlap):
@@ -171,3 +171,67 @@ def test_retrieval_finds_the_chunk(spark):
     asked = spark.createDataFrame([("q", "bus or tram")], "q string, question string")
     got = prompts.retrieve_prompts(asked, corpus, "q", "question", k=1, dims=256).first()
     assert got.prompt == "Context:\n[Source: k2 chunk 0]\ncar bus tram\n\nQuestion: bus or tram"
+
+
+def test_replies(spark):
+    said = ["a", None, "boom", "ccc"]
+    df = spark.createDataFrame([(s,) for s in said], "t string").coalesce(1)
+
+    def load():
+        def model(texts):
+            if "boom" in texts:
+                raise RuntimeError("cannot")
+            return [t.upper() for t in texts]
+
+        return model
+
+    got = df.select(generate.model_text(F.col("t"), load, isolate=True).alias("r")).collect()
+    assert [r.r for r in got] == ["A", None, None, "CCC"]
+    with pytest.raises(Exception, match="cannot"):
+        df.select(generate.model_text(F.col("t"), load)).collect()
+    with pytest.raises(Exception, match="replies"):
+        df.select(generate.model_text(F.col("t"), lambda: lambda texts: [])).collect()
+
+
+def test_answers(spark):
+    corpus = spark.createDataFrame(
+        [("k", "blue sky"), ("l", "green grass")], "key string, body string"
+    ).select(
+        "key",
+        F.struct(
+            F.lit("b").alias("source_bucket"),
+            F.col("key").alias("source_key"),
+            F.lit(0).alias("chunk_index"),
+            F.col("body").alias("text"),
+        ).alias("metadata"),
+    )
+    corpus = embed.embed(corpus, "metadata.text", dims=64)
+    asked = spark.createDataFrame([("1", "the sky"), ("2", "fail")], "q string, question string")
+
+    def reply():
+        import json
+
+        def model(bodies):
+            out = []
+            for body in bodies:
+                request = json.loads(body)
+                if "Question: fail" in request["messages"][0]["content"]:
+                    raise RuntimeError
+                out.append(json.dumps({"content": [{"text": str(sorted(request))}]}))
+            return out
+
+        return model
+
+    got = prompts.answer_questions(asked, corpus, "q", "question", reply, k=1, dims=64)
+    assert {r.q: r.answer for r in got.collect()} == {
+        "1": "['anthropic_version', 'max_tokens', 'messages', 'system']",
+        "2": None,
+    }
+
+
+def test_query_chunks(spark):
+    rows = [("a", [1.0, 0.0], "x"), ("b", [0.0, 1.0], "y"), ("c", [1.0, 1.0], "z")]
+    chunks_ = spark.createDataFrame(rows, "key string, vector array<float>, metadata string")
+    got = knn.query_chunks(chunks_, [1.0, 0.1], 2).collect()
+    assert [(r.key, r.metadata) for r in got] == [("a", "x"), ("c", "z")]
+    assert knn.query_chunks(chunks_.limit(0), [1.0, 0.1]).collect() == []

@@ -294,6 +294,16 @@ ORACLES = {
         SELECT question_id, concat('Context:', chr(10), coalesce(context, ''), chr(10), chr(10),
                    'Question: ', question) AS prompt
         FROM question LEFT JOIN context USING (question_id)""",
+    "answer_questions": """
+        SELECT concat_ws('-', conv_id, turn) AS question_id, text AS answer
+        FROM conversations WHERE role = 'user'""",
+    "query_chunks": f"""
+        WITH {_KEYED}, {_weights("keyed", "key", "chunk", DIMS)}, scored AS (
+            SELECT key, round(sum(CAST(w AS DOUBLE)) / (sqrt(sum(CAST(w AS DOUBLE) * w))
+                   * sqrt({DIMS})), 9) AS score FROM weight GROUP BY key
+        )
+        SELECT key, round(score, 6) AS score, source_key, chunk_index
+        FROM scored JOIN keyed USING (key) ORDER BY scored.score DESC, key LIMIT 20""",
     "request_bodies": f"""
         SELECT concat_ws('-', conv_id, turn) AS question_id, '{fixed.PROMPT_VERSION}' AS version,
                CAST({fixed.PROMPT_MAX_TOKENS} AS BIGINT) AS max_tokens,

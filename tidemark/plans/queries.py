@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 import numpy as np
@@ -565,13 +566,48 @@ def _questions(spark, sf):
 @query
 def prompt_build(spark, sf):
     """Every user turn asked over the chunks of all documents."""
-    keyed = chunks.keyed_chunks(_document_chunks(spark, sf), F.lit(BUCKET), _source_key())
-    corpus = embed.embed(keyed, "metadata.text", dims=DIMS)
     return prompts.retrieve_prompts(
-        _questions(spark, sf), corpus, "question_id", "question", dims=DIMS
+        _questions(spark, sf), _chunk_table(spark, sf), "question_id", "question", dims=DIMS
     ).select("question_id", "prompt")
 
 
+def last_line():
+    """A stand-in for a model: answers a request with the question in it."""
+
+    def reply(bodies: list[str]) -> list[str]:
+        asked = [json.loads(b)["messages"][0]["content"] for b in bodies]
+        said = [a.rsplit("\n\nQuestion: ", 1)[1] for a in asked]
+        return [json.dumps({"content": [{"type": "text", "text": t}]}) for t in said]
+
+    return reply
+
+
+def _chunk_table(spark, sf):
+    keyed = chunks.keyed_chunks(_document_chunks(spark, sf), F.lit(BUCKET), _source_key())
+    return embed.embed(keyed, "metadata.text", dims=DIMS)
+
+
+@query
+def answer_questions(spark, sf):
+    return prompts.answer_questions(
+        _questions(spark, sf), _chunk_table(spark, sf), "question_id", "question", last_line,
+        dims=DIMS,
+    ).select("question_id", "answer")
+
+
+@query
+def query_chunks(spark, sf):
+    """Chunks nearest to a vector that weighs all dimensions alike."""
+    found = knn.query_chunks(_chunk_table(spark, sf), [1.0] * DIMS, 20)
+    m = F.col("metadata")
+    return found.select(
+        "key",
+        F.round("score", 6).alias("score"),
+        m["source_key"].alias("source_key"),
+        m["chunk_index"].cast("bigint").alias("chunk_index"),
+    )
+
+
 @query
 def request_bodies(spark, sf):
     """Request JSON of questions for which nothing was found."""
@@ -726,7 +762,7 @@ def _run_notifications(spark, sf) -> NotificationJob:
         state=f"{root}/state",
         object_root=root,
     )
-    job.start(files_per_batch=2, wait=None).awaitTermination()
+    job.start(files_per_batch=4, wait=None).awaitTermination()
     job.redeliver()
     return job
 
