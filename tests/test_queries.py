@@ -17,7 +17,10 @@ def test_every_query_has_a_twin():
 
 @pytest.mark.parametrize("name", sorted(spec.queries()))
 def test_query(spark, sf, con, name):
-    mine = spec.queries()[name](spark, sf).toArrow()
+    df = spec.queries()[name](spark, sf)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
+    mine = df.toArrow()
     assert mine.num_rows
     assert compare(mine, con.sql(spec.oracle_sql()[name]).to_arrow_table()) == ""
 
@@ -26,3 +29,32 @@ def test_entry(spark):
     prompts = spec.entry(spark)
     assert prompts.columns == ["question_id", "prompt"]
     assert prompts.count() > 0
+
+
+def plan_of(spark, sf, name):
+    return spec.queries()[name](spark, sf)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_model_runs_once(spark, sf):
+    for name in ("embed_hash", "embed_model"):
+        assert plan_of(spark, sf, name).count("ArrowEvalPython") == 1
+
+
+def test_metadata_is_joined_without_the_vectors(spark, sf):
+    plan = plan_of(spark, sf, "prompt_build")
+    assert "ArrowEvalPython" not in plan and "BroadcastHashJoin" in plan
+
+
+def test_filters_and_columns_reach_the_scan(spark, sf):
+    plan = plan_of(spark, sf, "filtered_rows")
+    assert "LessThan(c_acctbal,0.0)" in plan and "c_name" not in plan
+    assert "ReadSchema: struct<o_orderkey:bigint>" in plan_of(spark, sf, "upsert_merge")
+
+
+def test_narrow_work_has_no_shuffle(spark, sf):
+    for name in ("offer_payload", "rank_envelope", "tool_calls", "notification_refs", "offer_score"):
+        assert "Exchange" not in plan_of(spark, sf, name)
+
+
+def test_top_rows_are_not_sorted_whole(spark, sf):
+    assert "TakeOrderedAndProject" in plan_of(spark, sf, "top_by_value")
