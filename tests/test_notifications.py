@@ -201,6 +201,7 @@ def test_replay_has_no_second_effect(spark, job, tmp_path):
     assert rows(job.table.read()) == done and len(outcomes(job)) == 1
     # Crash after the table was written and before the outcomes were.
     job.state += "-lost"
+    job._finished.clear()
     job.process(new, "batch0", ("s", 0))
     assert rows(job.table.read()) == done and outcomes(job) == [("m", 1, "ok", "")]
 
@@ -212,3 +213,12 @@ def test_batches_are_bounded(job, tmp_path):
     run(job, files_per_batch=2)
     assert job.table.count() == 7
     assert job.table.mark("notifications") == 2
+
+
+def test_unfinished_rounds_do_not_count(job, tmp_path):
+    notify(tmp_path, "e.json", event(("bad", "no")))
+    run(job)
+    (tmp_path / "state" / "outcomes" / "00000001-batch9").mkdir()
+    assert job.redeliver() == 2
+    assert [r.attempt for r in job.dead_letters().collect()] == [3]
+    assert len(outcomes(job)) == 3

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,17 +45,24 @@ class NotificationJob:
     prefix: str = fixed.DATA_PREFIX
     max_attempts: int = fixed.MAX_ATTEMPTS
     name: str = "notifications"
+    _finished: set[str] = field(default_factory=set, repr=False)
 
     # State: one folder of outcomes per round, in order.
 
     def _rounds(self) -> list[str]:
-        names = storage.child_names(self.spark, f"{self.state}/outcomes")
-        # Only the last folder can be one that a crash left unfinished.
-        if names and not storage.exists(
-            self.spark, f"{self.state}/outcomes/{names[-1]}/_SUCCESS"
-        ):
-            names.pop()
-        return names
+        # A crash can leave a folder unfinished; finished ones are looked at once.
+        folder = f"{self.state}/outcomes"
+        names = storage.child_names(self.spark, folder)
+        self._finished.update(
+            n
+            for n in names
+            if n not in self._finished
+            and storage.exists(self.spark, f"{folder}/{n}/_SUCCESS")
+        )
+        return [n for n in names if n in self._finished]
+
+    def _next(self, rounds: Sequence[str]) -> int:
+        return int(rounds[-1].split("-")[0]) + 1 if rounds else 0
 
     def _read(self, rounds: Sequence[str]) -> DataFrame:
         if not rounds:
@@ -137,19 +144,17 @@ class NotificationJob:
             )
         else:
             files = self.spark.createDataFrame([], "path string, records array<int>")
-        status = self._status(read, refs, files, present).persist()
+        status = self._status(read, refs, files).persist()
         done = mark is not None and self.table.mark(mark[0]) >= mark[1]
         if present and not done:
             rows = self._rows(refs, status, files)
             self.table.replace(rows, self.key, stream=mark)
-        folder = f"{self.state}/outcomes/{len(rounds):08d}-{tag}"
+        folder = f"{self.state}/outcomes/{self._next(rounds):08d}-{tag}"
         status.write.mode("overwrite").parquet(folder)
         for held in (read, files, status):
             held.unpersist()
 
-    def _status(
-        self, read: DataFrame, refs: DataFrame, files: DataFrame, present: Sequence[str]
-    ) -> DataFrame:
+    def _status(self, read: DataFrame, refs: DataFrame, files: DataFrame) -> DataFrame:
         """Outcome of every message: it fails when any of its files does."""
         found = files.select(
             F.col("path").alias("_path"),
@@ -231,6 +236,7 @@ class NotificationJob:
         none = self.spark.createDataFrame([], f"message_id string, body string, {PLACE}")
         count = 0
         while not self.pending().isEmpty():
-            self.process(none, f"again{len(self._rounds())}")
+            number = self._next(self._rounds())
+            self.process(none, f"again{number}", (f"{self.name}-again", number))
             count += 1
         return count
