@@ -728,23 +728,16 @@ def _run_notifications(spark, sf) -> NotificationJob:
     message about a file that does not exist.
     """
     root = storage.scratch_path(spark, "uploads")
+    folder = f"{BUCKET}/{fixed.DATA_PREFIX}accounts"
     accounts = _supplier_accounts(spark, sf)
-    accounts.select(
-        "account_id", F.to_json(F.struct(*accounts.columns)).alias("value")
-    ).repartition(spark.sparkContext.defaultParallelism, "account_id").write.partitionBy(
-        "account_id"
-    ).text(
-        f"{root}/{BUCKET}/{fixed.DATA_PREFIX}accounts"
-    )
-    uploaded = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .load(f"{root}/{BUCKET}")
-        .select(F.regexp_extract("path", f"/{BUCKET}/({fixed.DATA_PREFIX}.*)$", 1).alias("key"))
-    )
-    good = uploaded.select(
-        F.regexp_extract("key", r"account_id=(\d+)", 1).alias("id"), F.url_encode("key").alias("key")
-    ).select(F.concat(F.lit("s-"), "id").alias("message_id"), _body(F.col("key")).alias("body"))
+    accounts.select(F.to_json(F.struct(*accounts.columns)).alias("value")).repartition(
+        spark.sparkContext.defaultParallelism
+    ).write.option("maxRecordsPerFile", 1).text(f"{root}/{folder}")
+    key = F.concat(F.lit(f"{fixed.DATA_PREFIX}accounts/"), F.col("_metadata.file_name"))
+    good = spark.read.text(f"{root}/{folder}").select(
+        F.concat(F.lit("s-"), F.get_json_object("value", "$.account_id")).alias("message_id"),
+        _body(F.url_encode(key)).alias("body"),
+    )
     lost = table(spark, sf, "nation").select(
         F.concat(F.lit("n-"), F.col("n_nationkey").cast("string")).alias("message_id"),
         _wrapped(_body(F.concat(F.lit("data/lost/"), "n_name"))).alias("body"),
