@@ -45,6 +45,32 @@ def test_bad_files_and_null_keys_are_rejected(spark, tmp_path):
     }
 
 
+def test_a_bad_value_rejects_its_file_once(spark, tmp_path):
+    records = ",".join(f'{{"id":"k{i}","n":{i}}}' for i in range(2000))
+    write(tmp_path, "big.json", f'[{records},{{"id":"x","n":"no"}}]')
+    write(tmp_path, "two.json", '{"id":"a"}\n{"id":"b"}')
+    write(tmp_path, "bytes.json", b'{"id":"\xff"}')
+    good, bad = json_records.read_json(spark, str(tmp_path), SCHEMA, key="id")
+    assert good.count() == 0
+    assert sorted(r.file.rsplit("/", 1)[1] for r in bad.collect()) == [
+        "big.json",
+        "bytes.json",
+        "two.json",
+    ]
+    assert max(len(r.text) for r in bad.collect()) > 40_000
+
+
+def test_lines(spark, tmp_path):
+    write(tmp_path, "l.json", '{"id":"a","n":1}\n{"id":"b","n":"x"}\n{"n":3}\ncut {\n{"id":"c"}\n')
+    good, bad = json_records.read_json(spark, str(tmp_path), SCHEMA, "id", multiline=False)
+    assert sorted(r.id for r in good.collect()) == ["a", "c"]
+    assert sorted((r.reason, r.text or "") for r in bad.collect()) == [
+        ("malformed", "cut {"),
+        ("malformed", '{"id":"b","n":"x"}'),
+        ("null key", ""),
+    ]
+
+
 @pytest.mark.parametrize(
     "text, count",
     [

@@ -31,29 +31,51 @@ def read_json(
 ) -> Records:
     """Typed JSON read, with unreadable records and null keys set aside.
 
-    ``multiline`` reads a whole file as one array or object, so a file is one
-    task; with ``multiline=False`` every line is a record and files are split.
-    Rejects carry ``file``, ``reason`` and the bad text.
+    With ``multiline=False`` every line is a record, files are split, and bad
+    lines are rejected one by one. ``multiline`` takes a whole file as one array
+    or object, good or bad as a whole: a file is one task, of two gigabytes at
+    most and not compressed. Spark's own multiline reader would repeat the text
+    of a bad file in each of its rows. Rejects carry ``file``, ``reason`` and the
+    bad text.
     """
     fields = as_struct(schema)
     columns = fields.names
-    raw = (
-        spark.read.schema(T.StructType([*fields, T.StructField(BAD_TEXT, T.StringType())]))
-        .option("multiline", multiline)
-        .option("columnNameOfCorruptRecord", BAD_TEXT)
-        .json(path)
-        .withColumn("file", F.col("_metadata.file_path"))
-    )
-    malformed = F.col(BAD_TEXT).isNotNull()
-    no_key = F.lit(False) if key is None else F.col(key).isNull()
-    good = raw.where(~malformed & ~no_key).select(*columns)
-    rejects = raw.where(malformed | no_key).select(
+    if multiline:
+        files = spark.read.format("binaryFile").load(path)
+        text = F.col("content").cast("string")
+        parsed = files.select(
+            F.col("path").alias("file"), _strict(text, fields).alias("_records"), "content"
+        )
+        rows = parsed.select("file", F.inline("_records"))
+        broken = parsed.where("_records IS NULL").select(
+            "file",
+            F.lit("malformed").alias("reason"),
+            text.alias("text"),
+            *[F.lit(None).cast(f.dataType).alias(f.name) for f in fields],
+        )
+    else:
+        raw = (
+            spark.read.schema(
+                T.StructType([*fields, T.StructField(BAD_TEXT, T.StringType())])
+            )
+            .option("columnNameOfCorruptRecord", BAD_TEXT)
+            .json(path)
+            .withColumn("file", F.col("_metadata.file_path"))
+        )
+        rows = raw.where(F.col(BAD_TEXT).isNull()).select("file", *columns)
+        broken = raw.where(F.col(BAD_TEXT).isNotNull()).select(
+            "file", F.lit("malformed").alias("reason"), F.col(BAD_TEXT).alias("text"), *columns
+        )
+    if key is None:
+        return Records(rows.select(*columns), broken)
+    no_key = F.col(key).isNull()
+    keyless = rows.where(no_key).select(
         "file",
-        F.when(malformed, "malformed").otherwise("null key").alias("reason"),
-        F.col(BAD_TEXT).alias("text"),
+        F.lit("null key").alias("reason"),
+        F.lit(None).cast("string").alias("text"),
         *columns,
     )
-    return Records(good, rejects)
+    return Records(rows.where(~no_key).select(*columns), broken.unionByName(keyless))
 
 
 def parse_records(text: Column, schema: str | T.StructType) -> Column:
@@ -88,6 +110,11 @@ def parse_records(text: Column, schema: str | T.StructType) -> Column:
     return checked[0]
 
 
+def _strict(text: Column, schema: str | T.StructType) -> Column:
+    """``parse_records`` of text that may not be UTF-8."""
+    return parse_records(F.when(F.is_valid_utf8(text), text), schema)
+
+
 def fit_schema(df: DataFrame, schema: str | T.StructType) -> DataFrame:
     """Rows in the table's shape: extra columns dropped, absent ones null."""
     have = set(df.columns)
@@ -115,9 +142,6 @@ def read_data_files(
     spark: SparkSession, paths: Sequence[str], schema: str | T.StructType
 ) -> DataFrame:
     """``(path, records)`` of JSON data files; ``records`` is null for a bad file."""
-    text = F.when(
-        F.is_valid_utf8(F.col("content").cast("string")), F.col("content").cast("string")
-    )
     return read_files(spark, paths).select(
-        "path", parse_records(text, schema).alias("records")
+        "path", _strict(F.col("content").cast("string"), schema).alias("records")
     )
