@@ -136,6 +136,12 @@ ORACLES = {
                CASE WHEN event_type = 'error' THEN concat('{"event_id":', event_id,
                    ',"event_type":"', event_type, '","user_id":', user_id) END AS text
         FROM events""",
+    "json_whole_files": """
+        SELECT s_suppkey AS account_id, CASE WHEN s_acctbal >= 0 THEN s_name END AS holder,
+               CASE WHEN s_acctbal >= 0 THEN s_nationkey END AS nation,
+               CASE WHEN s_acctbal >= 0 THEN s_acctbal END AS balance,
+               CASE WHEN s_acctbal >= 0 THEN 'good' ELSE 'malformed' END AS reason
+        FROM supplier""",
     "record_payloads": """
         SELECT s_suppkey, s_acctbal >= 0 AS readable,
                CASE WHEN s_acctbal >= 0 THEN s_name END AS name,

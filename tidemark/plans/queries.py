@@ -95,6 +95,24 @@ def json_rejects(spark, sf):
     return marked.select(columns).unionByName(bad.select(columns))
 
 
+@query
+def json_whole_files(spark, sf):
+    """One account per file, over several lines; overdrawn ones are cut short."""
+    path = storage.scratch_path(spark, "accounts-json")
+    accounts = _supplier_accounts(spark, sf)
+    text = F.replace(F.to_json(F.struct(*accounts.columns)), F.lit(","), F.lit(",\n"))
+    cut = F.substring(text, F.lit(1), F.length(text) - 1)
+    accounts.select(F.when(F.col("balance") < 0, cut).otherwise(text)).repartition(
+        spark.sparkContext.defaultParallelism
+    ).write.option("maxRecordsPerFile", 1).text(path)
+    schema = "account_id BIGINT, holder STRING, nation INT, balance DOUBLE"
+    good, bad = json_records.read_json(spark, path, schema, "account_id")
+    account = F.regexp_extract("text", r'"account_id":(\d+)', 1).cast("bigint")
+    return good.withColumn("reason", F.lit("good")).unionByName(
+        bad.withColumn("account_id", account).select(*good.columns, "reason")
+    )
+
+
 @query
 def record_payloads(spark, sf):
     """Payloads with one object, a list of two, or text cut short."""
