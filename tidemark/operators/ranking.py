@@ -10,34 +10,31 @@ from tidemark.functions import offers
 from tidemark.sources.storage import shared_dir
 
 HOT_ROWS = 4_000_000
+MOST_HOT_BATCHES = 100_000
 
 
 def rank_rows(
     df: DataFrame, batch: str, score: str, tie: str, hot_rows: int = HOT_ROWS
 ) -> DataFrame:
-    """Adds ``rank``: 1..n per batch, by score descending, then ``tie``.
+    """Adds ``rank`` (bigint): 1..n per batch, by score descending, then ``tie``.
 
     ``(batch, tie)`` must be unique. Batches up to ``hot_rows`` rows go through
     a window, which sorts a batch in one task. Larger ones are range-sorted over
-    all tasks and numbered from the counts of the ranges before. Their number
-    is at most rows / ``hot_rows``, so the list of them is small.
+    all tasks and numbered from the counts of the ranges before. At most
+    ``MOST_HOT_BATCHES`` are treated so, which bounds the list of them.
     """
     order = [F.col(score).desc_nulls_last(), F.col(tie)]
-    hot = [
-        r[0]
-        for r in df.groupBy(batch)
-        .count()
-        .where(F.col("count") > hot_rows)
-        .select(batch)
-        .collect()
-    ]
-    window = F.row_number().over(Window.partitionBy(batch).orderBy(*order))
-    if not hot:
+    sizes = df.groupBy(F.col(batch).alias("_hot")).agg(F.count("*").alias("_rows"))
+    many = max(hot_rows, df.count() // MOST_HOT_BATCHES)
+    found = sizes.where(F.col("_rows") > many).select("_hot")
+    hot = df.sparkSession.createDataFrame(found.collect(), found.schema)
+    window = F.row_number().over(Window.partitionBy(batch).orderBy(*order)).cast("bigint")
+    if hot.isEmpty():
         return df.withColumn("rank", window)
-    is_hot = F.col(batch).isin([h for h in hot if h is not None])
-    is_hot = F.coalesce(is_hot, F.lit(None in hot))
-    small = df.where(~is_hot).withColumn("rank", window)
-    return small.unionByName(_rank_by_range(df.where(is_hot), batch, order))
+    same = F.col(batch).eqNullSafe(F.col("_hot"))
+    small = df.join(F.broadcast(hot), same, "left_anti").withColumn("rank", window)
+    large = df.join(F.broadcast(hot), same, "left_semi")
+    return small.unionByName(_rank_by_range(large, batch, order))
 
 
 def _rank_by_range(df: DataFrame, batch: str, order: list) -> DataFrame:
@@ -67,7 +64,7 @@ def _rank_by_range(df: DataFrame, batch: str, order: list) -> DataFrame:
         F.col(batch).eqNullSafe(F.col("_batch")) & (F.col("_range") == F.col("_at")),
     )
     rank = F.col("_row") - F.col("_first") + F.col("_before") + 1
-    return joined.select(*columns, rank.cast("int").alias("rank"))
+    return joined.select(*columns, rank.alias("rank"))
 
 
 def rank_payloads(df: DataFrame, payload: str) -> DataFrame:
