@@ -63,7 +63,8 @@ def _nearest(score: str, k: int = 5) -> str:
         SELECT *, row_number() OVER (PARTITION BY query_id
             ORDER BY score DESC NULLS LAST, key) AS rank FROM pair
     )
-    SELECT query_id, key, rank, round(score, 6) AS score FROM ranked WHERE rank <= {k}
+    SELECT query_id, key, rank, CASE WHEN score = 0 THEN 0.0::DOUBLE ELSE round(score, 6) END AS score
+    FROM ranked WHERE rank <= {k}
     """
 
 
