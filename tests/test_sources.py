@@ -1,3 +1,4 @@
+import gzip
 import json
 
 import pytest
@@ -6,6 +7,7 @@ from pyspark.sql import functions as F
 from tidemark import fixed
 from tidemark.operators.quality import card_quality
 from tidemark.sources import documents, json_records, names, storage
+from tidemark.sources.objects import read_objects
 
 SCHEMA = "id STRING, amount DOUBLE, n INT"
 
@@ -35,6 +37,8 @@ def test_bad_files_and_null_keys_are_rejected(spark, tmp_path):
     write(tmp_path, "cut.json", '[{"id":"y"},{"id":')
     write(tmp_path, "typed.json", '[{"id":"t","amount":"12.5"}]')
     write(tmp_path, "nokey.json", '[{"amount":2}]')
+    write(tmp_path, "list.json", '[1, {"id":"k"}, null]')
+    write(tmp_path, "bytes.json", b'{"id":"\xff"}')
     good, bad = json_records.read_json(spark, str(tmp_path), SCHEMA, key="id")
     assert [r.id for r in good.collect()] == ["x"]
     reasons = {r.file.rsplit("/", 1)[1]: r.reason for r in bad.collect()}
@@ -42,22 +46,35 @@ def test_bad_files_and_null_keys_are_rejected(spark, tmp_path):
         "cut.json": "malformed",
         "typed.json": "malformed",
         "nokey.json": "null key",
+        "list.json": "malformed",
+        "bytes.json": "malformed",
     }
 
 
-def test_a_bad_value_rejects_its_file_once(spark, tmp_path):
-    records = ",".join(f'{{"id":"k{i}","n":{i}}}' for i in range(2000))
-    write(tmp_path, "big.json", f'[{records},{{"id":"x","n":"no"}}]')
-    write(tmp_path, "two.json", '{"id":"a"}\n{"id":"b"}')
-    write(tmp_path, "bytes.json", b'{"id":"\xff"}')
+def test_a_bad_value_rejects_its_record_alone(spark, tmp_path):
+    records = [{"id": f"k{i}", "n": "no" if i % 7 == 0 else i, "more": [i]} for i in range(2000)]
+    write(tmp_path, "big.json", json.dumps(records, indent=1))
     good, bad = json_records.read_json(spark, str(tmp_path), SCHEMA, key="id")
-    assert good.count() == 0
-    assert sorted(r.file.rsplit("/", 1)[1] for r in bad.collect()) == [
-        "big.json",
-        "bytes.json",
-        "two.json",
-    ]
-    assert max(len(r.text) for r in bad.collect()) > 40_000
+    assert sorted(r.n for r in good.collect()) == [i for i in range(2000) if i % 7]
+    rejects = bad.collect()
+    assert sorted(json.loads(r.text)["id"] for r in rejects) == sorted(f"k{i}" for i in range(0, 2000, 7))
+    assert {r.reason for r in rejects} == {"malformed"}
+
+
+def test_compressed_files(spark, tmp_path):
+    write(tmp_path, "a.json.gz", gzip.compress(b'[{"id":"x","n":1},\n{"id":"y","n":"z"}]'))
+    good, bad = json_records.read_json(spark, str(tmp_path), SCHEMA, key="id")
+    assert [(r.id, r.n) for r in good.collect()] == [("x", 1)]
+    assert [r.text for r in bad.collect()] == ['{"id":"y","n":"z"}']
+
+
+def test_values_after_the_first_are_named(spark, tmp_path):
+    write(tmp_path, "two.json", '{"id":"a"}\n{"id":"b"}\n')
+    write(tmp_path, "pretty.json", '{\n"id":\n"c"}\n\n')
+    write(tmp_path, "lines.json", '[{"id":"d"},\n{"id":"e"}]')
+    good, bad = json_records.read_json(spark, str(tmp_path), SCHEMA, key="id")
+    assert sorted(r.id for r in good.collect()) == ["a", "c", "d", "e"]
+    assert [(r.file.rsplit("/", 1)[1], r.reason) for r in bad.collect()] == [("two.json", "more than one value")]
 
 
 def test_lines(spark, tmp_path):
@@ -103,15 +120,25 @@ def test_strict_payload(spark, text, count):
     assert (None if got.bad else got.n) == count
 
 
-def test_data_files_keep_odd_names(spark, tmp_path):
+def test_objects_keep_odd_names(spark, tmp_path):
     paths = [
         write(tmp_path, "a file [1].json", '[{"id":"x"}]'),
         write(tmp_path, "b%20{c}.json", '{"id":"y"}'),
-        write(tmp_path, "bytes.json", b'{"id":"\xff"}'),
+        write(tmp_path, "empty", ""),
+        f"file://{tmp_path}/a file [1].json",
+        f"{tmp_path}/gone",
+        str(tmp_path),
     ]
-    rows = json_records.read_data_files(spark, paths, SCHEMA).collect()
-    found = {r.path.rsplit("/", 1)[1]: r.records and [x.id for x in r.records] for r in rows}
-    assert found == {"a file [1].json": ["x"], "b%20{c}.json": ["y"], "bytes.json": None}
+    df = spark.createDataFrame([(p,) for p in [*paths, paths[0]]], "path string")
+    found = {r.path: r.content for r in read_objects(df).collect()}
+    assert found == {
+        paths[0]: b'[{"id":"x"}]',
+        paths[1]: b'{"id":"y"}',
+        paths[2]: b"",
+        paths[3]: b'[{"id":"x"}]',
+        paths[4]: None,
+        paths[5]: None,
+    }
 
 
 def test_fit_schema(spark):
@@ -139,6 +166,21 @@ def test_documents_under_a_prefix(spark, tmp_path):
     assert sorted(r.source_key for r in some.collect()) == ["notes/b c.txt"]
 
 
+@pytest.mark.parametrize("spelled", ["{}", "/{}", "/.{}", "file://{}", "{}/", "{}/x/.."])
+def test_root_in_any_spelling(spark, tmp_path, spelled):
+    write(tmp_path / "b" / "n", "a.txt", "one")
+    (tmp_path / "x").mkdir()
+    root = spelled.format(tmp_path)
+    assert [r.source_key for r in documents.read_documents(spark, root, "b", "n/").good.collect()] == ["n/a.txt"]
+
+
+def test_empty_prefix_gives_nothing(spark, tmp_path):
+    write(tmp_path / "b" / "n", "a.txt", "one")
+    for prefix in ("gone/", "n/zzz", "gone/deeper/"):
+        good, bad = documents.read_documents(spark, str(tmp_path), "b", prefix)
+        assert good.count() == bad.count() == 0
+
+
 def test_names():
     names.check_names(table="cards_1", key="_id")
     for bad in ("bad-name!", "bad catalog", "1a", "", "a\n", None):
@@ -151,6 +193,25 @@ def test_shared_dir_is_the_sessions(spark):
     assert storage.shared_dir(spark) == (named or storage.shared_dir(spark)).rstrip("/")
 
 
+def test_a_cluster_must_name_its_folder(spark, monkeypatch):
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+        class conf:
+            @staticmethod
+            def get(name, default):
+                return default
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        storage.shared_dir(Session())
+
+
 def test_write_new_refuses_a_taken_name(spark, tmp_path):
     path = f"{tmp_path}/one"
     storage.write_new(spark, path, "first")

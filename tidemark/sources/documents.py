@@ -4,37 +4,39 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, SparkSession
+from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.sources import storage
 from tidemark.sources.json_records import Records
 
 
-def normal_path(path: Column) -> Column:
-    """Paths in one spelling: ``file:///x``, ``file:/x`` and ``/x`` are the same."""
-    return F.regexp_replace(path, "^file:/+", "/")
-
-
 def read_documents(spark: SparkSession, root: str, bucket: str, prefix: str = "") -> Records:
     """Every UTF-8 text object under ``root/bucket`` whose key starts with ``prefix``.
 
     Good rows are ``(source_bucket, source_key, text)``; the key is the path
-    below the bucket. Files that are not UTF-8 go to the rejects: the ``text``
-    source would replace their bad bytes without a word. Spark skips empty files
-    and names that start with ``_`` or ``.``.
+    below the bucket, whatever way the root is spelled. A prefix with nothing
+    under it gives no rows. Files that are not UTF-8 go to the rejects: the
+    ``text`` source would replace their bad bytes without a word. Spark skips
+    empty files and names that start with ``_`` or ``.``.
     """
-    base = f"{root.rstrip('/')}/{bucket}"
+    base = storage.qualified(spark, f"{root.rstrip('/')}/{bucket}")
     folder = f"{base}/{prefix}".rsplit("/", 1)[0]
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .load(folder)
-    )
-    skip = len(re.sub("^file:/+", "/", base)) + 2
-    path = normal_path(F.col("path"))
+    if storage.exists(spark, folder):
+        files = (
+            spark.read.format("binaryFile")
+            .option("recursiveFileLookup", True)
+            .load(_literal(folder))
+        )
+    else:
+        files = spark.createDataFrame([], "path string, content binary")
+    path = F.col("path")
+    key = F.when(
+        path.startswith(f"{base}/"), F.substring(path, F.lit(len(base) + 2), F.length(path))
+    ).otherwise(F.raise_error(F.concat(path, F.lit(f" is not under {base}"))))
     rows = files.select(
         F.lit(bucket).alias("source_bucket"),
-        F.substring(path, F.lit(skip), F.length(path)).alias("source_key"),
+        key.alias("source_key"),
         F.col("content").cast("string").alias("text"),
     ).where(F.col("source_key").startswith(prefix))
     valid = F.is_valid_utf8("text")
@@ -44,3 +46,8 @@ def read_documents(spark: SparkSession, root: str, bucket: str, prefix: str = ""
             "source_bucket", "source_key", F.lit("not UTF-8").alias("reason")
         ),
     )
+
+
+def _literal(path: str) -> str:
+    """The path with its glob characters escaped."""
+    return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)

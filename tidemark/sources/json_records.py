@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
 from typing import NamedTuple
 
@@ -11,6 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BAD_TEXT = "_bad_text"
+#: Multiline files up to this size are looked at for values after the first, and lines up to that length.
+LOOKED_AT, LINE = 256 << 20, 1 << 20
 
 
 class Records(NamedTuple):
@@ -31,41 +32,49 @@ def read_json(
 ) -> Records:
     """Typed JSON read, with unreadable records and null keys set aside.
 
-    With ``multiline=False`` every line is a record, files are split, and bad
-    lines are rejected one by one. ``multiline`` takes a whole file as one array
-    or object, good or bad as a whole: a file is one task, of two gigabytes at
-    most and not compressed. Spark's own multiline reader would repeat the text
-    of a bad file in each of its rows. Rejects carry ``file``, ``reason`` and the
+    With ``multiline=False`` every line is a record and files are split.
+    ``multiline`` takes a file as one array or object, read as a stream by one
+    task, whatever its size and compression. Either way a record with a value of
+    the wrong type is rejected alone. A file that is not JSON from start to end
+    of its value, or lists something other than objects, is rejected once, with
+    its text. What follows the first value of a multiline file is not read, as
+    by Spark's reader: JSON lines are for ``multiline=False``. A file up to
+    ``LOOKED_AT`` bytes whose first line is a value by itself, with more lines
+    after it, is named in the rejects. Rejects carry ``file``, ``reason`` and the
     bad text.
     """
     fields = as_struct(schema)
     columns = fields.names
-    if multiline:
-        files = spark.read.format("binaryFile").load(path)
-        text = F.col("content").cast("string")
-        parsed = files.select(
-            F.col("path").alias("file"), _strict(text, fields).alias("_records"), "content"
-        )
-        rows = parsed.select("file", F.inline("_records"))
-        broken = parsed.where("_records IS NULL").select(
-            "file",
-            F.lit("malformed").alias("reason"),
-            text.alias("text"),
-            *[F.lit(None).cast(f.dataType).alias(f.name) for f in fields],
-        )
-    else:
-        raw = (
-            spark.read.schema(
-                T.StructType([*fields, T.StructField(BAD_TEXT, T.StringType())])
-            )
-            .option("columnNameOfCorruptRecord", BAD_TEXT)
-            .json(path)
-            .withColumn("file", F.col("_metadata.file_path"))
+    # Nothing is of the wrong type for a variant, so one record cannot spoil its file.
+    loose = [
+        f if isinstance(f.dataType, T.StringType) else T.StructField(f.name, T.VariantType())
+        for f in fields
+    ]
+    asked = loose if multiline else list(fields)
+    raw = (
+        spark.read.schema(T.StructType([*asked, T.StructField(BAD_TEXT, T.StringType())]))
+        .option("columnNameOfCorruptRecord", BAD_TEXT)
+        .option("multiLine", multiline)
+        .json(path)
+        .withColumn("file", F.col("_metadata.file_path"))
+    )
+    if multiline and loose != list(fields):
+        text = F.to_json(F.struct(*columns))
+        typed = F.from_json(
+            text,
+            T.StructType([*fields, T.StructField(BAD_TEXT, T.StringType())]),
+            {"columnNameOfCorruptRecord": BAD_TEXT},
         )
-        rows = raw.where(F.col(BAD_TEXT).isNull()).select("file", *columns)
-        broken = raw.where(F.col(BAD_TEXT).isNotNull()).select(
-            "file", F.lit("malformed").alias("reason"), F.col(BAD_TEXT).alias("text"), *columns
+        # Bound once: every use of a bare from_json column would parse again.
+        raw = raw.select("file", BAD_TEXT, F.explode(F.array(typed)).alias("_r")).select(
+            "file", F.coalesce(BAD_TEXT, F.col("_r")[BAD_TEXT]).alias(BAD_TEXT), *[F.col("_r")[c].alias(c) for c in columns]
         )
+    rows = raw.where(F.col(BAD_TEXT).isNull()).select("file", *columns)
+    broken = raw.where(F.col(BAD_TEXT).isNotNull()).select(
+        "file", F.lit("malformed").alias("reason"), F.col(BAD_TEXT).alias("text"), *columns
+    )
+    if multiline:
+        broken = broken.unionByName(_second_values(spark, path), allowMissingColumns=True)
     if key is None:
         return Records(rows.select(*columns), broken)
     no_key = F.col(key).isNull()
@@ -78,6 +87,20 @@ def read_json(
     return Records(rows.where(~no_key).select(*columns), broken.unionByName(keyless))
 
 
+def _second_values(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+    """``file`` and ``reason`` of files that go on after a value that ends with their first line."""
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.struct("_metadata.file_block_start", F.monotonically_increasing_id()).alias("at"),
+        F.when(F.length("value") <= LINE, F.col("value")).alias("value"),
+        F.col("_metadata.file_size").alias("size"),
+    )
+    lines = lines.where((F.col("size") <= LOOKED_AT) & (F.coalesce(F.trim("value"), F.lit("-")) != ""))
+    files = lines.groupBy("file").agg(F.min_by("value", "at").alias("first"), F.count("*").alias("n"))
+    several = (F.col("n") > 1) & F.try_parse_json("first").isNotNull()
+    return files.where(several).select("file", F.lit("more than one value").alias("reason"))
+
+
 def parse_records(text: Column, schema: str | T.StructType) -> Column:
     """Strict parse of a JSON array, or one object, into ``array<struct>``.
 
@@ -110,11 +133,6 @@ def parse_records(text: Column, schema: str | T.StructType) -> Column:
     return checked[0]
 
 
-def _strict(text: Column, schema: str | T.StructType) -> Column:
-    """``parse_records`` of text that may not be UTF-8."""
-    return parse_records(F.when(F.is_valid_utf8(text), text), schema)
-
-
 def fit_schema(df: DataFrame, schema: str | T.StructType) -> DataFrame:
     """Rows in the table's shape: extra columns dropped, absent ones null."""
     have = set(df.columns)
@@ -126,22 +144,3 @@ def fit_schema(df: DataFrame, schema: str | T.StructType) -> DataFrame:
             for f in as_struct(schema)
         ]
     )
-
-
-def read_files(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """``(path, size, content)`` of whole files; names are taken literally."""
-    literal = [re.sub(r"([\\{}\[\]*?])", r"\\\1", p) for p in paths]
-    return (
-        spark.read.format("binaryFile")
-        .load(literal)
-        .select("path", F.col("length").alias("size"), "content")
-    )
-
-
-def read_data_files(
-    spark: SparkSession, paths: Sequence[str], schema: str | T.StructType
-) -> DataFrame:
-    """``(path, records)`` of JSON data files; ``records`` is null for a bad file."""
-    return read_files(spark, paths).select(
-        "path", _strict(F.col("content").cast("string"), schema).alias("records")
-    )

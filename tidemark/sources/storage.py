@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -11,15 +12,19 @@ CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach, as the session names it.
+    """Folder every executor can reach, as the session names it in ``spark.checkpoint.dir``.
 
-    Only a session that names none, as in a test, gets a temporary folder.
+    Only a local session that names none gets a temporary folder; on a cluster
+    the executors would write to their own disks, so it must name one.
     """
     named = spark.conf.get(CHECKPOINT_DIR, None)
+    context = spark.sparkContext
     if not named:
-        context = spark.sparkContext
-        if not context.getCheckpointDir():
-            context.setCheckpointDir(tempfile.mkdtemp(prefix="tidemark-"))
+        named = context.getCheckpointDir()
+    if not named:
+        if not re.match(r"local(\[[^\]]*\])?$", context.master):
+            raise ValueError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="tidemark-"))
         named = context.getCheckpointDir()
     return named.rstrip("/")
 
@@ -63,7 +68,11 @@ def read_small(spark: SparkSession, path: str) -> str:
 
 
 def write_new(spark: SparkSession, path: str, text: str) -> None:
-    """Write a file under a name that must be free; seen whole or not at all."""
+    """Write a file under a name that must be free.
+
+    The check and the renaming are one step on HDFS and local disks, not on
+    object stores: there two writers at once can both believe they were first.
+    """
     files, target = _handle(spark, path)
     _, hidden = _handle(
         spark, f"{path.rsplit('/', 1)[0]}/.{uuid.uuid4().hex}.tmp"
@@ -76,6 +85,26 @@ def write_new(spark: SparkSession, path: str, text: str) -> None:
         raise FileExistsError(f"{path} was written by someone else")
 
 
+def write_over(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file, in place of one that is there."""
+    files, target = _handle(spark, path)
+    stream = files.create(target, True)
+    stream.write(text.encode("utf-8"))
+    stream.close()
+
+
+def tree_bytes(spark: SparkSession, path: str) -> int:
+    files, target = _handle(spark, path)
+    return files.getContentSummary(target).getLength() if files.exists(target) else 0
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path as Spark spells it in its results: with scheme, without ``//`` or ``/./``."""
+    # Without a scheme, what follows two slashes would be taken for a host.
+    files, target = _handle(spark, re.sub("^/+", "/", path))
+    return files.makeQualified(target).toString()
+
+
 def remove_tree(spark: SparkSession, path: str) -> None:
     files, target = _handle(spark, path)
     files.delete(target, True)
