@@ -31,6 +31,14 @@ def test_merge_last_wins(spark):
     assert rows(merged) == [("b", 9)]
 
 
+def test_null_ordinals_come_last(spark):
+    source = frame(spark, ("a", None), ("b", 4), ("b", None), (None, None))
+    merged = upsert.merge_by_key(frame(spark, ("a", 1), ("z", 2)), source, "k", ordinal=F.col("v"))
+    assert rows(merged) == [("a", None), ("b", 4), ("z", 2), (None, None)]
+    got = upsert.rows_of_last(source.withColumn("o", F.col("v")), "k", "o").select("k", "v")
+    assert rows(got) == [("a", None), ("b", 4), (None, None)]
+
+
 def test_replace_keeps_copies(spark):
     target = frame(spark, ("a", 1), ("b", 2), ("b", 3))
     batch = frame(spark, ("b", 9), ("b", 9), ("c", 1), (None, 1))
@@ -76,23 +84,38 @@ def test_ways_to_join_agree(spark, skewed, how, with_hot):
         assert rows(kj.keyed_join(skewed, unique, ["k"], how, limit, hot_rows)) == want
 
 
-def test_hot_rows_are_not_shuffled(spark, skewed):
-    unique = spark.range(0, 500).select(F.col("id").cast("string").alias("k")).distinct()
-    joined = kj.keyed_join(skewed, unique, ["k"], "left_anti", limit=0, hot_rows=1000)
+def joined_plan(spark, df):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
     try:
-        joined.count()
-        plan = joined._jdf.queryExecution().sparkPlan().toString()
+        return df._jdf.queryExecution().sparkPlan().toString()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert plan.count("BroadcastHashJoin") == 4
+
+
+@pytest.mark.parametrize("hot_rows", [1000, 10**9])
+def test_the_target_is_read_once(spark, skewed, tmp_path, hot_rows):
+    skewed.write.parquet(f"{tmp_path}/big")
+    big = spark.read.parquet(f"{tmp_path}/big")
+    unique = spark.range(0, 500).select(F.col("id").cast("string").alias("k")).distinct()
+    plan = joined_plan(spark, kj.keyed_join(big, unique, ["k"], "left_anti", 0, hot_rows))
+    assert plan.count("FileScan parquet") == 1
     assert plan.count("SortMergeJoin") == 1
 
 
-def test_hot_keys_are_few(spark, skewed, monkeypatch):
-    assert rows(kj.hot_keys(skewed, "k", 1000)) == [("hot",)]
-    monkeypatch.setattr(kj, "MOST_HOT_KEYS", 4)
-    assert kj.hot_keys(skewed, "k", 1).count() <= 4
+def test_hot_rows_are_dealt_to_parts(spark, skewed):
+    unique = spark.createDataFrame([("hot",), ("1",)], "k string")
+    joined = kj.keyed_join(skewed, unique, ["k"], "left_anti", limit=0, hot_rows=100)
+    assert rows(joined) == rows(skewed.where("k IS NULL OR k NOT IN ('hot', '1')"))
+    assert rows(kj.hot_keys(skewed, "k", 1000)) == [("hot", 3)]
+
+
+def test_every_hot_key_is_split(spark):
+    """More hot keys than any fixed number would have named."""
+    big = spark.range(60_000).select((F.col("id") % 12_000).alias("k"), "id")
+    assert kj.hot_keys(big, "k", 4).count() == 12_000
+    assert {r._parts for r in kj.hot_keys(big, "k", 4).collect()} == {2}
+    unique = spark.range(0, 12_000, 2).select(F.col("id").alias("k"))
+    assert kj.keyed_join(big, unique, ["k"], "left_semi", 0, 4).count() == 30_000
 
 
 def test_broadcast_is_measured(spark):

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BROADCAST_BYTES = 64 << 20
 HOT_ROWS = 4_000_000
-MOST_HOT_KEYS = 10_000
+#: Parts that rows without a key are spread over.
+NULL_PARTS = 64
 
 
 def fits_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
@@ -23,14 +24,22 @@ def fits_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
 
 
 def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Keys with more than ``hot_rows`` rows, and never more than ten thousand keys.
+    """Keys with more than ``hot_rows`` rows, and the ``_parts`` of so many rows they make.
 
     Rows are counted before the shuffle, so a heavy key costs one row per task.
+    The list holds one key per ``hot_rows`` rows of the table at most: a quarter
+    of a million at 10**12 rows.
     """
     counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_n"))
-    many = max(hot_rows, df.count() // MOST_HOT_KEYS)
-    found = counts.where(F.col("_n") > many).select(key).collect()
-    return df.sparkSession.createDataFrame(found, T.StructType([df.schema[key]]))
+    parts = F.ceil(F.col("_n") / hot_rows).cast("int").alias("_parts")
+    found = counts.where(F.col("_n") > hot_rows).select(key, parts)
+    return df.sparkSession.createDataFrame(found.collect(), found.schema)
+
+
+def _spread(df: DataFrame, key: str) -> Column:
+    """A number that differs between rows of one key and is the same in every run."""
+    plain = [f.name for f in df.schema if isinstance(f.dataType, T.AtomicType)]
+    return F.xxhash64(*plain) if plain else F.lit(0)
 
 
 def keyed_join(
@@ -44,29 +53,30 @@ def keyed_join(
     """``big`` left_semi or left_anti ``unique``, whatever rows a key of ``big`` has.
 
     ``unique`` holds the key ``on[0]`` at most once. When it fits a broadcast,
-    ``big`` is filtered as it is read. Otherwise the two are shuffled by key, but
-    for the rows of hot keys: those stay where they are and meet the few rows of
-    ``unique`` that concern them. AQE would not split such keys, as it only does
-    for sides that come straight from a shuffle, and ``unique`` mostly comes from
-    an aggregate. Null keys match nothing and take no part.
+    ``big`` is filtered as it is read. Otherwise the two are shuffled by key and
+    part: the rows of a hot key are dealt to several parts by a hash of the row,
+    and its row in ``unique`` is copied to each. ``big`` is read once for the
+    count of its keys and once for the join. AQE would not split such keys, as it
+    only does for sides that come straight from a shuffle, and ``unique`` mostly
+    comes from an aggregate. Null keys match nothing; they are spread as well.
     """
     key, on = on[0], list(on)
     unique = unique.where(F.col(key).isNotNull())
     if fits_broadcast(unique, limit):
         return big.join(F.broadcast(unique), on, how)
+    if how == "left_semi":
+        big = big.where(F.col(key).isNotNull())
     hot = hot_keys(big, key, hot_rows)
-    some = not hot.isEmpty()
-    cold = big.where(F.col(key).isNotNull())
-    if some:
-        cold = cold.join(F.broadcast(hot), key, "left_anti")
-    parts = [cold.join(unique, on, how)]
-    if some:
-        concerned = unique.join(F.broadcast(hot), key, "left_semi")
-        warm = big.join(F.broadcast(hot), key, "left_semi")
-        parts.append(warm.join(F.broadcast(concerned), on, how))
-    if how == "left_anti":
-        parts.append(big.where(F.col(key).isNull()))
-    joined = parts[0].select(big.columns)
-    for part in parts[1:]:
-        joined = joined.unionByName(part.select(big.columns))
-    return joined
+    columns = big.columns
+    parts = F.when(F.col(key).isNull(), NULL_PARTS).otherwise(F.lit(1))
+    if not hot.isEmpty():
+        named = F.broadcast(hot.withColumnRenamed(key, "_hot"))
+        big = big.join(named, F.col(key) == F.col("_hot"), "left")
+        unique = unique.join(named, F.col(key) == F.col("_hot"), "left")
+        parts = F.coalesce("_parts", parts)
+        copies = F.explode(F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1))
+        unique = unique.select(*on, copies.alias("_part"))
+    else:
+        unique = unique.select(*on, F.lit(0).alias("_part"))
+    dealt = big.withColumn("_part", F.pmod(_spread(big, key), parts).cast("int"))
+    return dealt.join(unique, [*on, "_part"], how).select(*columns)

@@ -10,7 +10,6 @@ from tidemark.functions import offers
 from tidemark.sources.storage import shared_dir
 
 HOT_ROWS = 4_000_000
-MOST_HOT_BATCHES = 100_000
 
 
 def rank_rows(
@@ -20,13 +19,12 @@ def rank_rows(
 
     ``(batch, tie)`` must be unique. Batches up to ``hot_rows`` rows go through
     a window, which sorts a batch in one task. Larger ones are range-sorted over
-    all tasks and numbered from the counts of the ranges before. At most
-    ``MOST_HOT_BATCHES`` are treated so, which bounds the list of them.
+    all tasks and numbered from the counts of the ranges before. There is one
+    such batch per ``hot_rows`` rows at most, which bounds the list of them.
     """
     order = [F.col(score).desc_nulls_last(), F.col(tie)]
     sizes = df.groupBy(F.col(batch).alias("_hot")).agg(F.count("*").alias("_rows"))
-    many = max(hot_rows, df.count() // MOST_HOT_BATCHES)
-    found = sizes.where(F.col("_rows") > many).select("_hot")
+    found = sizes.where(F.col("_rows") > hot_rows).select("_hot")
     hot = df.sparkSession.createDataFrame(found.collect(), found.schema)
     window = F.row_number().over(Window.partitionBy(batch).orderBy(*order)).cast("bigint")
     if hot.isEmpty():
@@ -113,7 +111,8 @@ def ranked_documents(
     return df.withColumn("document", offers.bind(ranked, document))
 
 
-def write_ranked_documents(df: DataFrame, payload: str, path: str, **options) -> None:
-    """Write one ranked JSON document per line; unreadable payloads are left out."""
-    documents = ranked_documents(df, payload, **options).where("document IS NOT NULL")
-    documents.select("document").write.text(path)
+def write_ranked_documents(df: DataFrame, payload: str, path: str, **options) -> DataFrame:
+    """Write one ranked JSON document per line; gives the rows with an unreadable payload."""
+    documents = ranked_documents(df, payload, **options)
+    documents.where("document IS NOT NULL").select("document").write.text(path)
+    return documents.where("document IS NULL").drop("document")

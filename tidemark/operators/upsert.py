@@ -43,22 +43,29 @@ def check_unique(batch: DataFrame, key: str) -> None:
 def latest_per_key(batch: DataFrame, key: str, ordinal: Column) -> DataFrame:
     """The row of the highest ordinal per key; rows without a key all stay.
 
-    ``max_by`` combines before the shuffle, so a key with most of the rows
+    A null ordinal is below all others; of several rows with the highest one
+    stays. ``max_by`` combines before the shuffle, so a key with most of the rows
     sends one row per task.
     """
     keyed = (
         batch.where(F.col(key).isNotNull())
         .groupBy(key)
-        .agg(F.max_by(F.struct(*batch.columns), ordinal).alias("row"))
+        .agg(F.max_by(F.struct(*batch.columns), _comparable(ordinal)).alias("row"))
         .select("row.*")
     )
     return keyed.unionByName(batch.where(F.col(key).isNull()))
 
 
+def _comparable(ordinal: Column) -> Column:
+    """Never null, and ordered as the ordinal with nulls first: aggregates skip nulls."""
+    return F.struct(ordinal.isNotNull().alias("given"), ordinal.alias("ordinal"))
+
+
 def rows_of_last(batch: DataFrame, key: str, ordinal: str) -> DataFrame:
-    """All rows of each key that share the key's highest ordinal."""
-    last = batch.groupBy(key).agg(F.max(ordinal).alias(ordinal))
-    keyed = keyed_join(batch, last, [key, ordinal], "left_semi")
+    """All rows of each key that share the key's highest ordinal; nulls are below all others."""
+    held = batch.withColumn("_place", _comparable(F.col(ordinal)))
+    last = held.groupBy(key).agg(F.max("_place").alias("_place"))
+    keyed = keyed_join(held, last, [key, "_place"], "left_semi").drop("_place")
     return keyed.unionByName(batch.where(F.col(key).isNull()))
 
 
