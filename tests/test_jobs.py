@@ -5,7 +5,7 @@ import numpy as np
 from tidemark.operators.spread import spread
 from tidemark.plans import jobs
 from tidemark.sources import tables
-from tidemark.sources.tables import SnapshotTable
+from tidemark.sources.tables import BucketTable
 
 
 def put(folder, name, body):
@@ -47,12 +47,13 @@ def test_ingest_prefix(spark, tmp_path):
 
         return model
 
-    t = SnapshotTable(spark, f"{tmp_path}/t")
+    t = BucketTable(spark, f"{tmp_path}/t")
     done = jobs.ingest_prefix(
         spark, f"{tmp_path}/objects", "b", "docs/", t, dims=4, size=10, overlap=0, load=load
     )
     assert done.stored == 3
-    assert sorted(r.source_key for r in done.rejects.collect()) == ["docs/bad.txt", "docs/fails.txt"]
+    rejects = {r.source_key: r.reason for r in done.rejects.collect()}
+    assert rejects == {"docs/bad.txt": "not UTF-8", "docs/fails.txt": "RuntimeError: "}
     assert {r.metadata.source_key for r in t.read().collect()} == {"docs/a.txt"}
 
 

@@ -11,7 +11,7 @@ from tidemark.operators.offers import saved_payloads, tool_calls
 from tidemark.operators.ranking import ranked_documents
 from tidemark.sources.documents import read_documents
 from tidemark.sources.json_records import read_json
-from tidemark.sources.tables import SnapshotTable, save_table
+from tidemark.sources.tables import BucketTable, save_table
 from tidemark.sources.vector_table import Ingested, ingest_documents
 
 
@@ -59,16 +59,17 @@ def ingest_prefix(
     root: str,
     bucket: str,
     prefix: str,
-    table: SnapshotTable,
+    table: BucketTable,
     **options,
 ) -> Ingested:
     """Every text object under a prefix into a chunk table.
 
-    The rejects hold documents that are not UTF-8 and those the model failed on.
+    The rejects hold documents that are not UTF-8 and those the model failed on,
+    with the reason.
     """
     good, unreadable = read_documents(spark, root, bucket, prefix)
     stored, failed = ingest_documents(good, table, **options)
-    columns = ["source_bucket", "source_key"]
+    columns = ["source_bucket", "source_key", "reason"]
     return Ingested(stored, unreadable.select(columns).unionByName(failed.select(columns)))
 
 

@@ -1,19 +1,16 @@
-"""Keyed tables: Parquet snapshots, or the caller's own catalog.
-
-A snapshot table is a folder of Parquet data and numbered version files. Rows
-are split by a hash of the key into a fixed number of buckets. A version lists
-the data folders of every bucket, so a commit is one small file: readers see a
-version whole or not at all, and an upsert rewrites only the buckets that its
-batch touches. Data written together is one folder, read as one path until a
-later batch takes the place of some of it. One writer at a time; a writer that comes second fails on the
-version name.
+"""Keyed tables: the caller's own catalog, or Parquet partitioned by a hash of the key.
+
+With a v2 catalog, ``writeTo`` and ``MERGE`` do the work. Without one, a table is
+a folder of Parquet partitioned by a bucket of the key, and an upsert lets
+Spark's dynamic partition overwrite replace the buckets that the batch touches.
+That is for one writer at a time, and readers should not be under way meanwhile:
+tables that are shared belong in a catalog.
 """
 
 from __future__ import annotations
 
 import json
 import uuid
-from dataclasses import dataclass, field
 from typing import NamedTuple
 
 from pyspark.errors import AnalysisException
@@ -27,34 +24,17 @@ from tidemark.sources import storage
 from tidemark.sources.json_records import fit_schema
 from tidemark.sources.names import check_names, ensure_namespace, table_exists
 
-BATCH, BUCKET = "_batch", "_bucket"
+BUCKET = "_bucket"
+#: Rows without a key match nothing; they are only ever appended, here.
+NO_KEY = -1
 BUCKET_BYTES = 1 << 30
-LEAST_BUCKETS, MOST_BUCKETS, UNKNOWN_BUCKETS = 16, 65_536, 1024
+LEAST_BUCKETS, MOST_BUCKETS = 16, 65_536
 
 
 class TableExists(Exception):
     """The table was created in the meantime."""
 
 
-@dataclass
-class Version:
-    number: int
-    key: str
-    n_buckets: int
-    schema: str
-    rows: int
-    # Batches that hold rows of a bucket, and the number of buckets of each batch.
-    folders: dict[str, list[str]] = field(default_factory=dict)
-    sizes: dict[str, int] = field(default_factory=dict)
-    marks: dict[str, int] = field(default_factory=dict)
-
-
-class Written(NamedTuple):
-    batch: str
-    buckets: list[str]
-    rows: int
-
-
 class Once(NamedTuple):
     """Whether a batch may repeat a key, and which row then counts."""
 
@@ -65,119 +45,71 @@ class Once(NamedTuple):
 ANY = Once(False)
 
 
-class SnapshotTable:
+class BucketTable:
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
         self.path = path.rstrip("/")
 
-    # Versions
-
-    def _versions(self) -> list[str]:
-        names = storage.child_names(self.spark, f"{self.path}/versions")
-        return [n for n in names if not n.startswith(".")]
+    # Layout: one small file says the key, the schema and the folder of the rows.
 
     def exists(self) -> bool:
-        return bool(self._versions())
+        return storage.exists(self.spark, f"{self.path}/table.json")
 
-    def current(self) -> Version:
-        names = self._versions()
-        if not names:
+    def _layout(self) -> dict:
+        if not self.exists():
             raise FileNotFoundError(f"no table at {self.path}")
-        text = storage.read_small(self.spark, f"{self.path}/versions/{names[-1]}")
-        return Version(**json.loads(text))
-
-    def _commit(self, version: Version) -> None:
-        name = f"{self.path}/versions/{version.number:012d}.json"
-        storage.write_new(self.spark, name, json.dumps(vars(version)))
-
-    # Reading
+        return json.loads(storage.read_small(self.spark, f"{self.path}/table.json"))
 
     def schema(self) -> T.StructType:
-        return T.StructType.fromJson(json.loads(self.current().schema))
+        return T.StructType.fromJson(self._layout()["schema"])
 
     def read(self) -> DataFrame:
-        return self._read(self.current())
-
-    def _read(self, version: Version, buckets: set[str] | None = None) -> DataFrame:
-        schema = T.StructType.fromJson(json.loads(version.schema))
-        wanted: dict[str, list[str]] = {}
-        for bucket, batches in version.folders.items():
-            if buckets is None or bucket in buckets:
-                for batch in batches:
-                    wanted.setdefault(batch, []).append(bucket)
-        return self._load(wanted, schema, version.sizes)
-
-    def _load(
-        self,
-        wanted: dict[str, list[str]],
-        schema: T.StructType,
-        sizes: dict[str, int],
-    ) -> DataFrame:
-        """Rows of some buckets by batch; a batch wanted whole is one path."""
-        base = f"{self.path}/data"
-        paths = []
-        for batch, buckets in wanted.items():
-            folder = f"{base}/{BATCH}={batch}"
-            if len(buckets) == sizes.get(batch):
-                paths.append(folder)
-            else:
-                paths += [f"{folder}/{BUCKET}={b}" for b in buckets]
-        if not paths:
-            return self.spark.createDataFrame([], schema)
-        read = self.spark.read.schema(schema).option("basePath", base)
-        return read.parquet(*paths).select(schema.names)
-
-    def _load_written(self, written: Written, schema: T.StructType) -> DataFrame:
-        if not written.buckets:
-            return self.spark.createDataFrame([], schema)
-        sizes = {written.batch: len(written.buckets)}
-        return self._load({written.batch: written.buckets}, schema, sizes)
+        layout = self._layout()
+        return self._rows(layout, self._buckets(layout))
 
     def count(self) -> int:
-        return self.current().rows
+        return self.read().count()
+
+    def _folder(self, layout: dict) -> str:
+        return f"{self.path}/rows-{layout['buckets']}"
+
+    def _buckets(self, layout: dict) -> list[int]:
+        """Buckets that have a folder."""
+        names = storage.child_names(self.spark, self._folder(layout))
+        return [int(n.split("=")[1]) for n in names if n.startswith(f"{BUCKET}=")]
 
-    def mark(self, stream: str) -> int:
-        """Highest batch of a stream that is in the table, or -1."""
-        return self.current().marks.get(stream, -1) if self.exists() else -1
+    def _rows(self, layout: dict, buckets: list[int]) -> DataFrame:
+        schema = T.StructType.fromJson(layout["schema"])
+        if not buckets:
+            return self.spark.createDataFrame([], schema)
+        folder = self._folder(layout)
+        read = self.spark.read.schema(schema).option("basePath", folder)
+        return read.parquet(*[f"{folder}/{BUCKET}={b}" for b in buckets]).select(schema.names)
 
     # Writing
 
-    def _bucketed(self, df: DataFrame, key: str, n: int) -> DataFrame:
-        return df.withColumn(BUCKET, F.pmod(F.xxhash64(key), F.lit(n)).cast("int"))
+    def _bucketed(self, df: DataFrame, layout: dict) -> DataFrame:
+        key = F.col(layout["key"])
+        place = F.pmod(F.xxhash64(key), F.lit(layout["buckets"])).cast("int")
+        return df.withColumn(BUCKET, F.when(key.isNull(), NO_KEY).otherwise(place))
 
-    def _write(self, df: DataFrame, key: str, n: int) -> Written:
-        """Write rows by bucket into new folders, evaluating ``df`` once."""
-        batch = f"b{uuid.uuid4().hex}"
-        folder = f"{self.path}/data/{BATCH}={batch}"
+    def _write(self, df: DataFrame, layout: dict, mode: str = "overwrite") -> None:
         # Rebalanced: a bucket with one heavy key is split over several files,
         # small buckets share a task.
-        self._bucketed(df, key, n).hint("rebalance", BUCKET).write.partitionBy(
-            BUCKET
-        ).parquet(folder)
-        names = storage.child_names(self.spark, folder)
-        buckets = [c.split("=")[1] for c in names if c.startswith(f"{BUCKET}=")]
-        written = Written(batch, buckets, 0)
-        return written._replace(
-            rows=self._load_written(written, _nullable(df.schema)).count()
-        )
-
-    def _stage(
-        self, df: DataFrame, schema: T.StructType, key: str, n: int, once: Once
-    ) -> Written:
-        """Write a batch whose keys are checked or thinned out as ``once`` says.
-
-        The check reads only the keys that were just written, so the batch is
-        evaluated once, and is written a second time only if keys do repeat.
-        """
-        staged = self._write(df, key, n)
-        if not once.checked:
-            return staged
-        rows = self._load_written(staged, schema)
-        if once.ordinal is None:
+        self._bucketed(df, layout).hint("rebalance", BUCKET).write.mode(mode).option(
+            "partitionOverwriteMode", "dynamic"
+        ).partitionBy(BUCKET).parquet(self._folder(layout))
+
+    def _stage(self, df: DataFrame, schema: T.StructType, key: str, once: Once) -> DataFrame:
+        """The batch, evaluated once and written to the shared folder; its keys checked or thinned out."""
+        path = storage.scratch_path(self.spark, "batch")
+        fit_schema(df, schema).write.parquet(path)
+        rows = self.spark.read.schema(schema).parquet(path)
+        if once.checked and once.ordinal is None:
             upsert.check_unique(rows, key)
-        elif not upsert.duplicate_keys(rows, key).isEmpty():
-            staged = self._write(upsert.latest_per_key(rows, key, once.ordinal), key, n)
-        return staged
+        elif once.checked and not upsert.duplicate_keys(rows, key).isEmpty():
+            rows = upsert.latest_per_key(rows, key, once.ordinal)
+        return rows
 
     def create(
         self,
@@ -186,90 +118,75 @@ class SnapshotTable:
         n_buckets: int | None = None,
         once: Once = ANY,
         keep_empty: bool = True,
-    ) -> Version:
-        """First version. Raises ``TableExists`` when there already is one.
+    ) -> int:
+        """First rows; gives their count. Raises ``TableExists`` when there already is a table.
 
-        The number of buckets stays as it is chosen here: one per gigabyte of
-        the estimated size unless given. ``keep_empty=False`` makes no table out
-        of no rows.
+        The number of buckets is one per gigabyte as written, unless given.
+        ``keep_empty=False`` makes no table out of no rows.
         """
         if self.exists():
             raise TableExists(self.path)
-        n_buckets = n_buckets or estimated_buckets(df)
         schema = _nullable(df.schema)
-        staged = self._stage(df, schema, key, n_buckets, once)
-        version = Version(
-            0,
-            key,
-            n_buckets,
-            schema.json(),
-            staged.rows,
-            {b: [staged.batch] for b in staged.buckets},
-            {staged.batch: len(staged.buckets)},
-        )
+        rows = self._stage(df, schema, key, once)
+        count = rows.count()
+        if not count and not keep_empty:
+            return 0
+        layout = {
+            "key": key,
+            "buckets": n_buckets or buckets_for(written_bytes(rows)),
+            "schema": schema.jsonValue(),
+        }
         try:
-            if staged.rows or keep_empty:
-                self._commit(version)
+            storage.write_new(self.spark, f"{self.path}/table.json", json.dumps(layout))
         except FileExistsError as e:
             raise TableExists(self.path) from e
-        return version
+        self._write(rows, layout)
+        return count
 
-    def _upsert(
-        self,
-        batch: DataFrame,
-        once: Once = ANY,
-        drop: DataFrame | None = None,
-        stream: tuple[str, int] | None = None,
-    ) -> tuple[Version, int]:
-        """Next version, and the number of rows in the batch.
+    def replace(
+        self, batch: DataFrame, key: str, drop: DataFrame | None = None, once: Once = ANY
+    ) -> int:
+        """Replace the rows of the batch's keys; gives the batch's row count.
 
-        The batch is written as it is. Of the old rows, only buckets that hold
-        a key of the batch, or of ``drop``, are written again without them.
+        Repeated keys of the batch stay unless ``once`` says otherwise, rows
+        without a key are appended, and an empty batch leaves the table alone.
+        ``drop`` names further keys to delete. Only buckets that hold a key of
+        the batch or of ``drop`` are written again. Running a batch again changes
+        nothing, except that its rows without a key are appended once more.
         """
-        old = self.current()
-        schema = T.StructType.fromJson(json.loads(old.schema))
-        staged = self._stage(
-            fit_schema(batch, schema), schema, old.key, old.n_buckets, once
-        )
-        gone = self._load_written(staged, schema).select(old.key)
+        layout = self._layout()
+        if key != layout["key"]:
+            raise ValueError(f"table at {self.path} is keyed by {layout['key']}, not {key}")
+        schema = T.StructType.fromJson(layout["schema"])
+        rows = self._stage(batch, schema, key, once)
+        count = rows.count()
+        if not count and drop is None:
+            return 0
+        path = storage.scratch_path(self.spark, "keys")
+        keys = rows.select(key)
         if drop is not None:
-            gone = gone.unionByName(drop.select(old.key))
-        elif not staged.rows:
-            return old, 0
-        gone = upsert.distinct_keys(gone, old.key)
-        # At most n_buckets small numbers.
-        touched = {
-            str(r[0])
-            for r in self._bucketed(gone, old.key, old.n_buckets)
-            .select(BUCKET)
-            .distinct()
-            .collect()
-        }
-        before = self._read(old, touched)
-        left = self._write(
-            keyed_join(before, gone, [old.key], "left_anti").select(schema.names),
-            old.key,
-            old.n_buckets,
-        )
-        folders = {b: list(f) for b, f in old.folders.items() if b not in touched}
-        sizes = dict(old.sizes)
-        for written in (left, staged):
-            sizes[written.batch] = len(written.buckets)
-            for b in written.buckets:
-                folders.setdefault(b, []).append(written.batch)
-        live = {batch for held in folders.values() for batch in held}
-        version = Version(
-            old.number + 1,
-            old.key,
-            old.n_buckets,
-            old.schema,
-            old.rows - before.count() + left.rows + staged.rows,
-            folders,
-            {batch: n for batch, n in sizes.items() if batch in live},
-            {**old.marks, **({stream[0]: stream[1]} if stream else {})},
-        )
-        self._commit(version)
-        return version, staged.rows
+            keys = keys.unionByName(drop.select(key))
+        # Written once: the keys are asked for their buckets and joined.
+        self._bucketed(upsert.distinct_keys(keys, key), layout).write.parquet(path)
+        keys = self.spark.read.parquet(path)
+        # At most one small number per bucket.
+        touched = {r[0] for r in keys.select(BUCKET).distinct().collect()}
+        held = sorted(touched.intersection(self._buckets(layout)))
+        left = keyed_join(self._rows(layout, held), keys.select(key), [key], "left_anti")
+        emptied: set[int] = set()
+        if drop is not None:
+            keep = left.select(key).unionByName(rows.where(F.col(key).isNotNull()).select(key))
+            full = self._bucketed(keep, layout).select(BUCKET).distinct().collect()
+            emptied = set(held) - {r[0] for r in full}
+        self._write(left.unionByName(rows.where(F.col(key).isNotNull())), layout)
+        # Dynamic overwrite leaves a bucket without new rows as it was.
+        for b in emptied:
+            storage.remove_tree(self.spark, f"{self._folder(layout)}/{BUCKET}={b}")
+        keyless = rows.where(F.col(key).isNull())
+        if not keyless.isEmpty():
+            self._write(keyless, layout, "append")
+        self._grow(layout)
+        return count
 
     def merge(self, source: DataFrame, key: str, n_buckets: int | None = None, ordinal=None) -> int:
         """Create the table or upsert into it; gives the total row count after.
@@ -281,57 +198,37 @@ class SnapshotTable:
         once = Once(True, ordinal)
         if not self.exists():
             try:
-                return self.create(source, key, n_buckets, once).rows
+                return self.create(source, key, n_buckets, once)
             except TableExists:
                 pass  # lost the race to create it
-        self._check_key(key)
-        return self._upsert(source, once)[0].rows
+        self.replace(source, key, once=once)
+        return self.count()
+
+    def _grow(self, layout: dict) -> None:
+        """Deal the rows to more buckets once these hold more than twice what they should."""
+        size = storage.tree_bytes(self.spark, self._folder(layout))
+        if size > 2 * BUCKET_BYTES * layout["buckets"]:
+            self.rebucket(max(buckets_for(size), layout["buckets"]))
+
+    def rebucket(self, n_buckets: int) -> None:
+        """Write all rows to that many buckets, then point the table at them."""
+        layout = self._layout()
+        if n_buckets == layout["buckets"]:
+            return
+        new = {**layout, "buckets": n_buckets}
+        self._write(self.read(), new)
+        storage.write_over(self.spark, f"{self.path}/table.json", json.dumps(new))
+        storage.remove_tree(self.spark, self._folder(layout))
+
+
+def buckets_for(size: int) -> int:
+    """Buckets of about a gigabyte each."""
+    return min(max(-(-size // BUCKET_BYTES), LEAST_BUCKETS), MOST_BUCKETS)
 
-    def replace(
-        self,
-        batch: DataFrame,
-        key: str,
-        drop: DataFrame | None = None,
-        stream: tuple[str, int] | None = None,
-        once: Once = ANY,
-    ) -> int:
-        """Replace the rows of the batch's keys; gives the batch's row count.
 
-        Repeated keys of the batch stay unless ``once`` says otherwise, rows
-        without a key are appended, and an empty batch leaves the table alone.
-        ``drop`` names further keys to delete; ``stream`` marks the version with
-        a stream's batch number.
-        """
-        self._check_key(key)
-        return self._upsert(batch, once, drop, stream)[1]
-
-    def _check_key(self, key: str) -> None:
-        have = self.current().key
-        if key != have:
-            raise ValueError(f"table at {self.path} is keyed by {have}, not {key}")
-
-    def expire(self) -> int:
-        """Delete old versions and data no longer used; gives the folders deleted."""
-        version = self.current()
-        used = {f"{BATCH}={batch}" for batch in version.sizes}
-        for name in self._versions()[:-1]:
-            storage.remove_tree(self.spark, f"{self.path}/versions/{name}")
-        stale = [
-            c
-            for c in storage.child_names(self.spark, f"{self.path}/data")
-            if c not in used
-        ]
-        for c in stale:
-            storage.remove_tree(self.spark, f"{self.path}/data/{c}")
-        return len(stale)
-
-
-def estimated_buckets(df: DataFrame) -> int:
-    """Buckets of about a gigabyte each, by the optimizer's estimate of the size."""
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    if size >= 1 << 60:
-        return UNKNOWN_BUCKETS
-    return min(max(-(-size // BUCKET_BYTES), LEAST_BUCKETS), MOST_BUCKETS)
+def written_bytes(rows: DataFrame) -> int:
+    """Bytes of a table's files, as the optimizer has them from the listing."""
+    return int(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
 def _nullable(schema: T.StructType) -> T.StructType:
@@ -365,7 +262,7 @@ def save_table(
     """Create the table or upsert into it by key; gives its row count after.
 
     With a v2 catalog of that name in the session, the catalog's own ``MERGE``
-    does the work; otherwise a snapshot table under ``root``.
+    does the work; otherwise a bucketed table under ``root``.
     """
     check_names(catalog=catalog, namespace=namespace, table=table, key=key)
     spark = df.sparkSession
@@ -397,11 +294,11 @@ def open_table(
     table: str,
     catalog: str = "local",
     root: str | None = None,
-) -> SnapshotTable:
-    """The snapshot table of that name, under ``root`` or the shared folder."""
+) -> BucketTable:
+    """The bucketed table of that name, under ``root`` or the shared folder."""
     check_names(catalog=catalog, namespace=namespace, table=table)
     root = root or f"{storage.shared_dir(spark)}/tidemark/tables"
-    return SnapshotTable(spark, f"{root}/{catalog}/{namespace}/{table}")
+    return BucketTable(spark, f"{root}/{catalog}/{namespace}/{table}")
 
 
 def read_table(

@@ -9,36 +9,39 @@ from pyspark.sql import functions as F
 
 from tidemark import fixed
 from tidemark.operators.chunks import chunk_documents, keyed_chunks
-from tidemark.operators.embed import embed
+from tidemark.operators.embed import embed, model_error
 from tidemark.operators.keyed_join import keyed_join
 from tidemark.sources.storage import scratch_path
-from tidemark.sources.tables import Once, SnapshotTable
+from tidemark.sources.tables import Once, BucketTable
 
 KEY = "key"
 
 
+DOCUMENT = ("source_key", "source_bucket")
+
+
 def put_chunks(
     chunks: DataFrame,
-    table: SnapshotTable,
-    replace_document: bool = False,
+    table: BucketTable,
+    replaced: DataFrame | None = None,
     n_buckets: int | None = None,
 ) -> int:
     """Upsert ``(key, vector, metadata)`` rows; gives the number of chunks stored.
 
     Of several chunks with one key, which two buckets with the same object name
     can give, one stays. No chunks leave the table alone. A document that became
-    shorter leaves its old tail behind unless ``replace_document`` drops it.
+    shorter, or blank, leaves its old tail behind unless ``replaced`` names it,
+    by ``source_key`` and ``source_bucket``: its old chunks then go.
     """
     once = Once(True, F.struct("metadata.source_bucket", "metadata.text"))
     if not table.exists():
-        return table.create(chunks, KEY, n_buckets, once, keep_empty=False).rows
+        return table.create(chunks, KEY, n_buckets, once, keep_empty=False)
     drop = None
-    if replace_document:
-        source = F.col("metadata.source_key").alias("source")
-        # Keys of the old chunks of these documents; reads two columns.
-        held = table.read().select(KEY, source)
-        sources = chunks.select(source).distinct()
-        drop = keyed_join(held, sources, ["source"], "left_semi").select(KEY)
+    if replaced is not None:
+        # Keys of the old chunks of these documents; reads three columns.
+        held = table.read().select(KEY, *[F.col(f"metadata.{c}").alias(c) for c in DOCUMENT])
+        named = replaced.select(*DOCUMENT).distinct()
+        drop = keyed_join(held, named, DOCUMENT, "left_semi").select(KEY)
     return table.replace(chunks, KEY, drop, once=once)
 
 
@@ -49,7 +52,7 @@ class Ingested(NamedTuple):
 
 def ingest_documents(
     documents: DataFrame,
-    table: SnapshotTable,
+    table: BucketTable,
     dims: int = fixed.EMBED_DIMS,
     size: int = fixed.CHUNK_SIZE,
     overlap: int = fixed.CHUNK_OVERLAP,
@@ -58,26 +61,39 @@ def ingest_documents(
 ) -> Ingested:
     """Chunk, embed and store ``(source_bucket, source_key, text)`` documents.
 
-    Gives the number of chunks stored, and the documents that were set aside: a
-    document is stored whole or, when the model fails on any of its chunks, not
-    at all. Files that cannot be read are set aside by the reader before.
+    Gives the number of chunks stored, and the documents that were set aside,
+    with the ``reason``: a document is stored whole or, when the model fails on
+    any of its chunks, not at all. With ``replace_document`` the old chunks of
+    every document given go, but for those set aside. Files that cannot be read
+    are set aside by the reader before.
     """
     spark = documents.sparkSession
-    document = ["source_key", "source_bucket"]
+    document = list(DOCUMENT)
     chunks = chunk_documents(documents, "text", size, overlap)
     keyed = keyed_chunks(chunks, F.col("source_bucket"), F.col("source_key"))
     embedded = embed(keyed, "metadata.text", "vector", dims, load, isolate=True).select(
         KEY, "vector", "metadata"
     )
+    replaced = documents.select(document) if replace_document else None
     if load is None:
         none = spark.createDataFrame([], documents.select(document).schema)
-        return Ingested(put_chunks(embedded, table, replace_document), none)
+        none = none.withColumn("reason", F.lit(None).cast("string"))
+        return Ingested(put_chunks(embedded, table, replaced), none)
     # Written once: a model is too costly to run for the rejects and again.
     path = scratch_path(spark, "embedded")
     embedded.write.parquet(path)
     embedded = spark.read.parquet(path).select(
         "*", "metadata.source_key", "metadata.source_bucket"
     )
-    rejects = embedded.where("vector IS NULL").select(document).distinct()
-    good = keyed_join(embedded, rejects, document, "left_anti").drop(*document)
-    return Ingested(put_chunks(good, table, replace_document), rejects)
+    failed = embedded.where("vector IS NULL")
+    reason = model_error(F.col("metadata.text"), load, dims)
+    path = scratch_path(spark, "rejects")
+    failed.select(*document, reason.alias("reason")).groupBy(document).agg(
+        F.coalesce(F.min("reason"), F.lit("failed once")).alias("reason")
+    ).write.parquet(path)
+    rejects = spark.read.parquet(path)
+    named = rejects.select(document)
+    good = keyed_join(embedded, named, document, "left_anti").drop(*document)
+    if replaced is not None:
+        replaced = keyed_join(replaced, named, document, "left_anti")
+    return Ingested(put_chunks(good, table, replaced), rejects)
