@@ -64,8 +64,7 @@ RANKING_SOURCE = "web_search"
 SAVE_CALL = "save_top_cards"
 SAVE_FIELD = "cards_json"
 
-# Notifications: object prefix, batch bounds and delivery attempts.
+# Notifications: object prefix and batch bounds.
 DATA_PREFIX = "data/"
 MAX_MESSAGES = 10
 BATCH_WAIT = "30 seconds"
-MAX_ATTEMPTS = 3

@@ -13,20 +13,29 @@ REFS = (
 
 
 def event_messages(events: DataFrame, event: str) -> DataFrame:
-    """One row per message of each event: ``position``, ``message_id``, ``body``.
+    """One row per message of each event: ``position``, ``message_id``, ``body``, ``bad_event``.
 
-    An event without ``Records`` has no messages.
+    An event without ``Records`` has no messages. One that cannot be read, or
+    whose records are not messages, is one row with ``bad_event``, position -1
+    and its text as the body, so that nothing is lost.
     """
-    records = F.from_json(
-        event, "Records array<struct<messageId string, body string>>"
-    )["Records"]
+    notice = F.from_json(
+        event,
+        "Records array<struct<messageId string, body string>>, _bad string",
+        {"columnNameOfCorruptRecord": "_bad"},
+    )
     others = [c for c in events.columns if c != event]
-    return events.select(*others, F.posexplode(records).alias("position", "_m")).select(
-        *others,
-        "position",
-        F.col("_m.messageId").alias("message_id"),
-        F.col("_m.body").alias("body"),
+    read = events.select(*others, event, F.explode(F.array(notice)).alias("_n"))
+    bad = F.col("_n").isNull() | F.col("_n._bad").isNotNull()
+    shape = "struct<position:int,message_id:string,body:string,bad_event:boolean>"
+    broken = F.array(
+        F.struct(F.lit(-1), F.lit(None).cast("string"), F.col(event), F.lit(True)).cast(shape)
+    )
+    messages = F.transform(
+        "_n.Records",
+        lambda m, i: F.struct(i, m["messageId"], m["body"], F.lit(False)).cast(shape),
     )
+    return read.select(*others, F.inline(F.when(bad, broken).otherwise(messages)))
 
 
 def _notice(text: Column) -> Column:

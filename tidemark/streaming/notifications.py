@@ -1,16 +1,14 @@
 """Upload notifications to table upserts, as a stream of micro-batches.
 
 Each line of an event file holds ``{"Records": [{"messageId", "body"}, ...]}``. A
-message names uploaded JSON files; all of their records go into the table by key, or the
-message fails as a whole and the others go on. Failed messages are delivered
-again with later batches, up to a number of attempts, then kept as dead letters.
+message names uploaded JSON files; all of their records go into the table by
+key, or the message fails as a whole and the others go on. Outcomes say which
+failed and why; delivering those again is the queue's business.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,17 +18,17 @@ from tidemark import fixed
 from tidemark.operators import notifications, upsert
 from tidemark.operators.keyed_join import fits_broadcast
 from tidemark.sources import storage
-from tidemark.sources.documents import normal_path
-from tidemark.sources.json_records import read_data_files
-from tidemark.sources.tables import SnapshotTable
+from tidemark.sources.json_records import parse_records
+from tidemark.sources.objects import read_objects
+from tidemark.sources.tables import BucketTable
 
-OUTCOME = "message_id string, body string, attempt int, status string, reason string"
-PLACE = "file string, block bigint, line bigint, position int"
+OUTCOME = "message_id string, body string, status string, reason string, batch bigint"
+PLACE = ("file", "block", "line", "position")
 
 
 @dataclass
 class NotificationJob:
-    """Where one notification stream reads, writes and keeps its state.
+    """Where one notification stream reads, writes and keeps its outcomes.
 
     ``object_root`` is put before ``/bucket/key`` to find a file; the state
     folder must be shared by the cluster.
@@ -38,144 +36,88 @@ class NotificationJob:
 
     spark: SparkSession
     events: str
-    table: SnapshotTable
+    table: BucketTable
     key: str
     state: str
     object_root: str
     prefix: str = fixed.DATA_PREFIX
-    max_attempts: int = fixed.MAX_ATTEMPTS
     name: str = "notifications"
-    _finished: set[str] = field(default_factory=set, repr=False)
 
-    # State: one folder of outcomes per round, in order.
-
-    def _rounds(self) -> list[str]:
-        # A crash can leave a folder unfinished; finished ones are looked at once.
+    def outcomes(self) -> DataFrame:
+        """Every delivery so far: message, body, status, reason and batch."""
         folder = f"{self.state}/outcomes"
-        names = storage.child_names(self.spark, folder)
-        self._finished.update(
-            n
-            for n in names
-            if n not in self._finished
-            and storage.exists(self.spark, f"{folder}/{n}/_SUCCESS")
-        )
-        return [n for n in names if n in self._finished]
-
-    def _next(self, rounds: Sequence[str]) -> int:
-        return int(rounds[-1].split("-")[0]) + 1 if rounds else 0
-
-    def _read(self, rounds: Sequence[str]) -> DataFrame:
-        if not rounds:
+        if not storage.child_names(self.spark, folder):
             return self.spark.createDataFrame([], OUTCOME)
-        return self.spark.read.schema(OUTCOME).parquet(
-            *[f"{self.state}/outcomes/{r}" for r in rounds]
-        )
-
-    def outcomes(self) -> DataFrame:
-        """Every delivery so far: message, attempt, status and reason."""
-        return self._read(self._rounds())
+        return self.spark.read.schema(OUTCOME).parquet(folder)
 
     def failures(self) -> DataFrame:
-        """``(itemIdentifier, attempt, reason)`` of every failed delivery."""
+        """``(itemIdentifier, reason)`` of every failed delivery; a bad event has no identifier."""
         return self.outcomes().where("status = 'failed'").select(
-            F.col("message_id").alias("itemIdentifier"), "attempt", "reason"
-        )
-
-    def pending(self) -> DataFrame:
-        """Messages of the last round that are due another attempt."""
-        return self._read(self._rounds()[-1:]).where(
-            (F.col("status") == "failed") & (F.col("attempt") < self.max_attempts)
+            F.col("message_id").alias("itemIdentifier"), "reason"
         )
 
-    def dead_letters(self) -> DataFrame:
-        return self.outcomes().where(
-            (F.col("status") == "failed") & (F.col("attempt") >= self.max_attempts)
-        )
-
-    # One round
-
     def _path(self, bucket: Column, key: Column) -> Column:
-        root = self.object_root.rstrip("/")
+        root = storage.qualified(self.spark, self.object_root).rstrip("/")
         return F.concat(F.lit(f"{root}/"), bucket, F.lit("/"), key)
 
-    def _present(self, paths: Sequence[str]) -> list[str]:
-        """Paths that exist. A round has at most a few messages of limited size."""
-        with ThreadPoolExecutor(16) as pool:
-            found = pool.map(lambda p: storage.is_file(self.spark, p), paths)
-            return [p for p, there in zip(paths, found) if there]
+    def process(self, new: DataFrame, batch: int) -> None:
+        """Run one batch of messages with their place in the input.
 
-    def process(self, new: DataFrame, tag: str, mark: tuple[str, int] | None = None) -> None:
-        """Run one round over ``(message_id, body)`` and their place in the input.
-
-        A round that already has its outcomes is skipped, and the table is not
-        written again when it carries the round's mark, so that a batch replayed
-        after a crash has no second effect.
+        A batch that has its outcomes is skipped. One that stopped before runs
+        again: the same rows replace themselves by key, while rows without a key
+        are appended once more, as at-least-once delivery has it. Messages are
+        told apart by their place; equal or missing identifiers do not matter.
         """
-        rounds = self._rounds()
-        if any(r.endswith(f"-{tag}") for r in rounds):
+        done = f"{self.state}/outcomes/batch={batch}"
+        if storage.exists(self.spark, f"{done}/_SUCCESS"):
             return
-        place = ["file", "block", "line", "position"]
-        fresh = new.select("message_id", "body", F.lit(1).alias("attempt"), *place)
-        waiting = self.pending().select(
-            "message_id",
-            "body",
-            F.col("attempt") + 1,
-            F.lit(""),
-            F.lit(0).cast("bigint"),
-            F.lit(0).cast("bigint"),
-            F.lit(0),
-        )
-        messages = fresh.union(waiting)
-        read = notifications.message_refs(messages, "body", self.prefix).persist()
-        # Older messages come first, so that a newer upload wins over a retry.
-        order = F.struct((-F.col("attempt")).alias("age"), *place, "ref")
-        refs = read.select("*", F.posexplode("refs").alias("ref", "_r")).select(
-            "message_id",
-            order.alias("ordinal"),
+        # Pinned: places hold line numbers that must not change between uses.
+        at = storage.scratch_path(self.spark, f"{self.name}-messages")
+        read = notifications.message_refs(new, "body", self.prefix)
+        read.withColumn("place", F.struct(*PLACE)).drop(*PLACE).write.parquet(at)
+        read = self.spark.read.parquet(at)
+        refs = read.where("NOT bad_event").select("*", F.posexplode("refs").alias("ref", "_r")).select(
+            "place",
+            F.struct("place", "ref").alias("ordinal"),
             self._path(F.col("_r.bucket"), F.col("_r.key")).alias("path"),
         )
-        paths = [r[0] for r in refs.select("path").distinct().collect()]
-        present = self._present(paths)
-        if present:
-            files = (
-                read_data_files(self.spark, present, self.table.schema())
-                .withColumn("path", normal_path(F.col("path")))
-                .persist()
-            )
-        else:
-            files = self.spark.createDataFrame([], "path string, records array<int>")
-        status = self._status(read, refs, files).persist()
-        done = mark is not None and self.table.mark(mark[0]) >= mark[1]
-        if present and not done:
-            rows = self._rows(refs, status, files)
-            self.table.replace(rows, self.key, stream=mark)
-        folder = f"{self.state}/outcomes/{self._next(rounds):08d}-{tag}"
-        status.write.mode("overwrite").parquet(folder)
-        for held in (read, files, status):
-            held.unpersist()
+        at = storage.scratch_path(self.spark, f"{self.name}-objects")
+        text = F.col("content").cast("string")
+        records = parse_records(F.when(F.is_valid_utf8(text), text), self.table.schema())
+        # Opened and parsed once; what became of each object goes with its records.
+        state = F.when(F.coalesce(F.length("content"), F.lit(0)) == 0, "missing or empty file").when(
+            F.col("records").isNull(), "bad file"
+        )
+        read_objects(refs.select("path")).withColumn("records", records).select(
+            "path", "records", F.coalesce(state, F.lit("")).alias("state")
+        ).write.parquet(at)
+        files = self.spark.read.parquet(at)
+        at = storage.scratch_path(self.spark, f"{self.name}-status")
+        self._status(read, refs, files).write.parquet(at)
+        status = self.spark.read.parquet(at)
+        self.table.replace(self._rows(refs, status, files), self.key)
+        status.drop("place").write.mode("overwrite").parquet(done)
 
     def _status(self, read: DataFrame, refs: DataFrame, files: DataFrame) -> DataFrame:
         """Outcome of every message: it fails when any of its files does."""
-        found = files.select(
-            F.col("path").alias("_path"),
-            F.when(F.col("records").isNull(), "bad file").otherwise("").alias("_state"),
-        )
         per_message = (
-            refs.withColumn("path", normal_path(F.col("path")))
-            .join(found, F.col("path") == F.col("_path"), "left")
-            .groupBy("message_id")
-            .agg(F.max(F.coalesce("_state", F.lit("missing or empty file"))).alias("_reason"))
+            refs.join(files.select("path", "state"), "path", "left")
+            .groupBy("place")
+            .agg(F.max("state").alias("_reason"))
         )
-        reason = F.when(~F.col("readable"), "bad message").otherwise(
-            F.coalesce(F.col("_reason"), F.lit(""))
+        reason = (
+            F.when(F.col("bad_event"), "bad event")
+            .when(F.col("message_id").isNull(), "no message id")
+            .when(~F.col("readable"), "bad message")
+            .otherwise(F.coalesce(F.col("_reason"), F.lit("")))
         )
         return (
-            read.join(per_message, "message_id", "left")
+            read.join(per_message, "place", "left")
             .withColumn("reason", reason)
             .select(
+                "place",
                 "message_id",
                 "body",
-                "attempt",
                 F.when(F.col("reason") == "", "ok").otherwise("failed").alias("status"),
                 "reason",
             )
@@ -183,10 +125,8 @@ class NotificationJob:
 
     def _rows(self, refs: DataFrame, status: DataFrame, files: DataFrame) -> DataFrame:
         """Records of the good messages; per key, those of the last file."""
-        good = status.where("status = 'ok'").select("message_id")
-        wanted = refs.join(good, "message_id", "left_semi").select(
-            normal_path(F.col("path")).alias("path"), "ordinal"
-        )
+        good = status.where("status = 'ok'").select("place")
+        wanted = refs.join(good, "place", "left_semi").select("path", "ordinal")
         # Joined to the references, the contents of the files stay in place.
         if fits_broadcast(wanted):
             wanted = F.broadcast(wanted)
@@ -195,20 +135,21 @@ class NotificationJob:
         )
         return upsert.rows_of_last(rows, self.key, "_ordinal").drop("_ordinal")
 
-    # Stream
-
     def _batch(self, events: DataFrame, batch_id: int) -> None:
         # The line number grows within a block of a file, which one task reads.
         lines = events.withColumn("line", F.monotonically_increasing_id())
-        messages = notifications.event_messages(lines, "event")
-        self.process(messages, f"batch{batch_id}", (self.name, batch_id))
+        self.process(notifications.event_messages(lines, "event"), batch_id)
 
     def start(
         self,
         files_per_batch: int = fixed.MAX_MESSAGES,
         wait: str | None = fixed.BATCH_WAIT,
     ) -> StreamingQuery:
-        """Start the stream; ``wait=None`` takes what is there and stops."""
+        """Start the stream; ``wait=None`` takes what is there and stops.
+
+        A batch takes so many event files at most. A file may hold any number of
+        messages: they, their references and objects stay in the tasks.
+        """
         events = (
             self.spark.readStream.format("text")
             .option("maxFilesPerTrigger", files_per_batch)
@@ -227,16 +168,3 @@ class NotificationJob:
             .foreachBatch(self._batch)
             .start()
         )
-
-    def redeliver(self) -> int:
-        """Deliver waiting messages until each is done or dead; gives the rounds run.
-
-        For use between runs of the stream, which redelivers by itself.
-        """
-        none = self.spark.createDataFrame([], f"message_id string, body string, {PLACE}")
-        count = 0
-        while not self.pending().isEmpty():
-            number = self._next(self._rounds())
-            self.process(none, f"again{number}", (f"{self.name}-again", number))
-            count += 1
-        return count
