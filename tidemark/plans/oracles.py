@@ -125,6 +125,49 @@ _ENVELOPE = f"""
     FROM customer WHERE c_mktsegment = 'MACHINERY'
 """
 
+_CARDS = """
+    card AS (
+        SELECT CASE WHEN c_custkey % 50 <> 0 THEN concat('C', c_custkey) END AS card_id,
+               c_name AS cardholder_name, c_nationkey * 100.0::DOUBLE AS credit_limit,
+               c_acctbal AS current_balance,
+               CASE c_mktsegment WHEN 'MACHINERY' THEN 'LOST' WHEN 'BUILDING' THEN 'BLOCKED'
+                    ELSE 'ACTIVE' END AS card_status,
+               CASE WHEN c_nationkey <> 3 THEN 'EUR' END AS currency
+        FROM customer
+    )
+"""
+
+_FOUND = f"""
+    WITH {_KEYED}, question AS (
+        SELECT concat_ws('-', conv_id, turn) AS question_id, text AS question
+        FROM conversations WHERE role = 'user'
+    ), said AS (
+        SELECT question_id AS key, question AS chunk FROM question
+        UNION ALL SELECT key, chunk FROM keyed
+    ), {_weights("said", "key", "chunk", DIMS)}, dense AS (
+        SELECT g.key, list(CAST(coalesce(w, 0) AS DOUBLE) ORDER BY d) AS v
+        FROM (SELECT key, d FROM (SELECT DISTINCT key FROM said), range({DIMS}) r(d)) g
+        LEFT JOIN weight ON weight.key = g.key AND weight.dim = g.d GROUP BY g.key
+    ), pair AS (
+        SELECT question_id, c.key,
+               CASE WHEN list_inner_product(q.v, q.v) > 0 AND list_inner_product(c.v, c.v) > 0
+                    THEN round(list_cosine_similarity(q.v, c.v), 9) END AS score
+        FROM question JOIN dense q ON q.key = question_id,
+             (SELECT dense.* FROM dense JOIN keyed USING (key)) c
+    ), hit AS (
+        SELECT * FROM pair QUALIFY row_number() OVER (
+            PARTITION BY question_id ORDER BY score DESC NULLS LAST, key) <= {fixed.TOP_K}
+    ), context AS (
+        SELECT question_id, string_agg(concat('[Source: ', source_key, ' chunk ', chunk_index,
+                   ']', chr(10), chunk), concat(chr(10), chr(10), '---', chr(10), chr(10))
+                   ORDER BY score DESC NULLS LAST, key) AS context
+        FROM hit JOIN keyed USING (key) GROUP BY question_id
+    ), asked AS (
+        SELECT question_id, coalesce(context, '') AS context, concat('Context:', chr(10),
+                   coalesce(context, ''), chr(10), chr(10), 'Question: ', question) AS prompt
+        FROM question LEFT JOIN context USING (question_id)
+    )"""
+
 ORACLES = {
     "json_typed_read": _ORDERS,
     "json_to_table": _ORDERS,
@@ -143,6 +186,31 @@ ORACLES = {
                CASE WHEN s_acctbal >= 0 THEN s_acctbal END AS balance,
                CASE WHEN s_acctbal >= 0 THEN 'good' ELSE 'malformed' END AS reason
         FROM supplier""",
+    "json_mixed_file": """
+        SELECT o_orderkey, o_custkey, o_orderstatus,
+               CASE WHEN o_orderkey % 7 <> 0 THEN o_totalprice END AS o_totalprice,
+               CASE WHEN o_orderkey % 7 <> 0 THEN 'good' ELSE 'malformed' END AS reason
+        FROM orders""",
+    "json_compressed": _ORDERS,
+    "card_load": f"""
+        WITH {_CARDS}
+        SELECT card_id, cardholder_name, credit_limit, current_balance, card_status, currency,
+               CASE WHEN card_id IS NULL THEN 'null key' ELSE 'good' END AS reason FROM card""",
+    "card_checks": f"""
+        WITH {_CARDS}, c AS (SELECT * FROM card WHERE card_id IS NOT NULL), n AS (
+            SELECT count(*) FILTER (card_status NOT IN ('ACTIVE', 'INACTIVE', 'BLOCKED', 'EXPIRED')) AS a,
+                   count(*) FILTER (credit_limit <= 0) AS b,
+                   count(*) FILTER (current_balance < 0) AS c,
+                   count(*) FILTER (currency IS NULL) AS d,
+                   count(*) - count(DISTINCT card_id) AS e,
+                   greatest(100000 - count(*), 0) AS f FROM c
+        )
+        SELECT 'card_status' AS "check", a AS violations FROM n
+        UNION ALL SELECT 'credit_limit', b FROM n
+        UNION ALL SELECT 'current_balance', c FROM n
+        UNION ALL SELECT 'currency', d FROM n
+        UNION ALL SELECT 'unique_key', e FROM n
+        UNION ALL SELECT 'min_rows', f FROM n""",
     "record_payloads": """
         SELECT s_suppkey, s_acctbal >= 0 AS readable,
                CASE WHEN s_acctbal >= 0 THEN s_name END AS name,
@@ -160,11 +228,13 @@ ORACLES = {
         WHERE event_id NOT IN (SELECT o_orderkey FROM orders)
         UNION ALL SELECT o_orderkey, o_totalprice, o_orderstatus FROM orders""",
     "upsert_last_wins": """
-        SELECT c_custkey AS entry_id, CAST(NULL AS BIGINT) AS event_id, c_acctbal AS amount
+        SELECT c_custkey AS entry_id, CAST(NULL AS BIGINT) AS event_id, CAST(NULL AS DOUBLE) AS amount
         FROM customer WHERE c_custkey NOT IN (SELECT user_id FROM events)
         UNION ALL
-        SELECT user_id, event_id, value FROM events
-        QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) = 1""",
+        SELECT user_id, CASE WHEN event_type <> 'error' THEN event_id END,
+               CASE WHEN event_type <> 'error' THEN value END FROM events
+        QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY
+            CASE WHEN event_type <> 'error' THEN event_id END DESC NULLS LAST) = 1""",
     "upsert_replace_keys": _REPLACED,
     "append_unkeyed": """
         SELECT o_custkey AS entry_id, o_totalprice AS amount, o_orderstatus AS kind FROM orders
@@ -245,7 +315,14 @@ ORACLES = {
             FROM chunk GROUP BY conv_id, turn
         )
         SELECT source_key, CASE WHEN NOT bad THEN n END AS n_chunks,
-               CASE WHEN NOT bad THEN chars END AS n_chars, bad AS rejected FROM doc""",
+               CASE WHEN NOT bad THEN chars END AS n_chars, bad AS rejected,
+               CASE WHEN bad THEN 'ValueError: unknown letter' END AS reason FROM doc""",
+    "replaced_documents": f"""
+        WITH now AS (
+            SELECT conv_id, turn, CASE turn % 3 WHEN 0 THEN '  ' WHEN 1 THEN substring(text, 1, 70)
+                   ELSE text END AS text FROM conversations
+        ), {_chunks("now", "conv_id, turn", 60, 10)}
+        SELECT concat_ws('/', conv_id, turn) AS source_key, chunk_index, chunk FROM chunk""",
     "vector_upsert": f"""
         WITH {_weights("documents", "doc_id", "text", DIMS)}, base AS (
             SELECT vec_id, unnest(embedding) AS w, unnest(range(0, len(embedding))) AS dim
@@ -272,38 +349,11 @@ ORACLES = {
     "knn_dot": _nearest("list_inner_product(q.v, c.v)"),
     "knn_blocks": _COSINE,
     "knn_cells": _COSINE,
-    "prompt_build": f"""
-        WITH {_KEYED}, question AS (
-            SELECT concat_ws('-', conv_id, turn) AS question_id, text AS question
-            FROM conversations WHERE role = 'user'
-        ), said AS (
-            SELECT question_id AS key, question AS chunk FROM question
-            UNION ALL SELECT key, chunk FROM keyed
-        ), {_weights("said", "key", "chunk", DIMS)}, dense AS (
-            SELECT g.key, list(CAST(coalesce(w, 0) AS DOUBLE) ORDER BY d) AS v
-            FROM (SELECT key, d FROM (SELECT DISTINCT key FROM said), range({DIMS}) r(d)) g
-            LEFT JOIN weight ON weight.key = g.key AND weight.dim = g.d GROUP BY g.key
-        ), pair AS (
-            SELECT question_id, c.key,
-                   CASE WHEN list_inner_product(q.v, q.v) > 0 AND list_inner_product(c.v, c.v) > 0
-                        THEN round(list_cosine_similarity(q.v, c.v), 9) END AS score
-            FROM question JOIN dense q ON q.key = question_id,
-                 (SELECT dense.* FROM dense JOIN keyed USING (key)) c
-        ), hit AS (
-            SELECT * FROM pair QUALIFY row_number() OVER (
-                PARTITION BY question_id ORDER BY score DESC NULLS LAST, key) <= {fixed.TOP_K}
-        ), context AS (
-            SELECT question_id, string_agg(concat('[Source: ', source_key, ' chunk ', chunk_index,
-                       ']', chr(10), chunk), concat(chr(10), chr(10), '---', chr(10), chr(10))
-                       ORDER BY score DESC NULLS LAST, key) AS context
-            FROM hit JOIN keyed USING (key) GROUP BY question_id
-        )
-        SELECT question_id, concat('Context:', chr(10), coalesce(context, ''), chr(10), chr(10),
-                   'Question: ', question) AS prompt
-        FROM question LEFT JOIN context USING (question_id)""",
-    "answer_questions": """
-        SELECT concat_ws('-', conv_id, turn) AS question_id, text AS answer
-        FROM conversations WHERE role = 'user'""",
+    "prompt_build": f"{_FOUND} SELECT question_id, prompt FROM asked",
+    "answer_questions": f"""{_FOUND}
+        SELECT question_id, concat(CASE WHEN context = '' THEN 'nothing found'
+                   ELSE split_part(context, chr(10), 1) END, ' in ', length(context)) AS answer
+        FROM asked""",
     "query_chunks": f"""
         WITH {_KEYED}, {_weights("keyed", "key", "chunk", DIMS)}, scored AS (
             SELECT key, round(sum(CAST(w AS DOUBLE)) / (sqrt(sum(CAST(w AS DOUBLE) * w))
@@ -311,12 +361,11 @@ ORACLES = {
         )
         SELECT key, round(score, 6) AS score, source_key, chunk_index
         FROM scored JOIN keyed USING (key) ORDER BY scored.score DESC, key LIMIT 20""",
-    "request_bodies": f"""
-        SELECT concat_ws('-', conv_id, turn) AS question_id, '{fixed.PROMPT_VERSION}' AS version,
+    "request_bodies": f"""{_FOUND}
+        SELECT question_id, '{fixed.PROMPT_VERSION}' AS version,
                CAST({fixed.PROMPT_MAX_TOKENS} AS BIGINT) AS max_tokens,
                '{fixed.PROMPT_SYSTEM.replace("'", "''")}' AS system, 'user' AS role,
-               concat('Context:', chr(10), chr(10), chr(10), 'Question: ', text) AS content
-        FROM conversations WHERE role = 'user'""",
+               prompt AS content FROM asked""",
     "chat_bodies": f"""
         SELECT concat_ws('-', conv_id, turn) AS question_id, 'model-1' AS model,
                '{fixed.PROMPT_SYSTEM.replace("'", "''")}' AS system, 'user' AS role,
@@ -336,16 +385,19 @@ ORACLES = {
                     THEN concat('{fixed.DATA_PREFIX}', url, ' v1') END AS key
         FROM pages""",
     "notification_upsert": """
+        WITH sent AS (SELECT * FROM supplier WHERE s_nationkey <> 0)
         SELECT c_custkey AS account_id, c_name AS holder, c_nationkey AS nation,
                c_acctbal AS balance
-        FROM customer WHERE c_custkey NOT IN (SELECT s_suppkey FROM supplier)
-        UNION ALL SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier""",
-    "notification_outcomes": f"""
-        SELECT concat('s-', s_suppkey) AS message_id, CAST(1 AS BIGINT) AS attempts,
-               'ok' AS status, '' AS reason, false AS dead FROM supplier
-        UNION ALL
-        SELECT concat('n-', n_nationkey), {fixed.MAX_ATTEMPTS}, 'failed', 'missing or empty file', true
-        FROM nation""",
+        FROM customer WHERE c_custkey NOT IN (SELECT s_suppkey FROM sent)
+        UNION ALL SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM sent""",
+    "notification_outcomes": """
+        WITH part AS (SELECT DISTINCT s_nationkey, s_suppkey % 2 AS half FROM supplier), said AS (
+            SELECT CASE WHEN s_nationkey <> 0 THEN concat('s-', s_nationkey, '-', half) END AS id,
+                   CASE WHEN s_nationkey <> 0 THEN '' ELSE 'no message id' END AS reason FROM part
+            UNION ALL SELECT concat('n-', n_nationkey), 'missing or empty file' FROM nation
+        ), outcome AS (SELECT * FROM said UNION ALL SELECT NULL, 'bad event' FROM said)
+        SELECT id AS message_id, CASE reason WHEN '' THEN 'ok' ELSE 'failed' END AS status, reason,
+               count(*) AS n FROM outcome GROUP BY ALL""",
     "metadata_variant": """
         SELECT event_id, CAST(CASE WHEN event_type = 'error' THEN 0 ELSE 3 END AS BIGINT) AS n_fields,
                CASE WHEN event_type <> 'error' THEN event_type END AS type,
@@ -359,9 +411,12 @@ ORACLES = {
     "rank_envelope": _ENVELOPE,
     "saved_rankings": _ENVELOPE,
     "ranked_sink": f"""
-        WITH {_OFFERS}
-        SELECT '{fixed.RANKING_SOURCE}' AS source, CAST(3 AS BIGINT) AS total, name, score, rank
-        FROM ranked""",
+        WITH {_OFFERS}, cut AS (
+            SELECT c_custkey FROM customer WHERE c_mktsegment = 'FURNITURE')
+        SELECT '{fixed.RANKING_SOURCE}' AS source, CAST(3 AS BIGINT) AS total, name, score, rank,
+               CAST(NULL AS BIGINT) AS rejected
+        FROM ranked WHERE c_custkey NOT IN (SELECT c_custkey FROM cut)
+        UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, c_custkey FROM cut""",
     "tool_calls": f"""
         SELECT conv_id, turn, 'tool_use' AS stop_reason,
                concat_ws('-', 'call', conv_id, turn) AS id, '{fixed.SAVE_CALL}' AS name,

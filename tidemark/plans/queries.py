@@ -113,6 +113,91 @@ def json_whole_files(spark, sf):
     )
 
 
+def _orders_array(spark, sf, bad, **options) -> str:
+    """All orders of a group as one JSON array per file; some have a price of the wrong type."""
+    path = storage.scratch_path(spark, "orders-array")
+    day = F.date_format("o_orderdate", "yyyy-MM-dd").alias("o_orderdate")
+    price = F.col("o_totalprice")
+    raw = F.when(bad, F.to_json(F.struct(F.lit("unknown").alias("o_totalprice")))).otherwise(
+        F.to_json(F.struct(price))
+    )
+    rest = F.to_json(F.struct("o_orderkey", "o_custkey", "o_orderstatus", day, "o_orderpriority"))
+    record = F.concat(F.substring(rest, F.lit(1), F.length(rest) - 1), F.lit(","), F.substring(raw, F.lit(2), F.length(raw)))
+    orders = table(spark, sf, "orders").select((F.col("o_orderkey") % 16).alias("part"), record.alias("r"))
+    grouped = orders.groupBy("part").agg(F.array_join(F.collect_list("r"), ",\n").alias("all"))
+    text = F.concat(F.lit("["), F.col("all"), F.lit("]"))
+    grouped.select(text.alias("value"), "part").write.partitionBy("part").options(**options).text(path)
+    return path
+
+
+def _good_and_bad(records, *columns):
+    good, bad = records
+    return good.select(*columns, F.lit("good").alias("reason")).unionByName(
+        bad.select(*columns, "reason")
+    )
+
+
+@query
+def json_mixed_file(spark, sf):
+    """Whole arrays in which every seventh record has a bad value: the others are kept."""
+    path = _orders_array(spark, sf, F.col("o_orderkey") % 7 == 0)
+    records = json_records.read_json(spark, path, ORDERS, "o_orderkey")
+    return _good_and_bad(records, "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
+
+
+@query
+def json_compressed(spark, sf):
+    """Whole arrays in compressed files."""
+    path = _orders_array(spark, sf, F.lit(False), compression="gzip")
+    return json_records.read_json(spark, path, ORDERS, "o_orderkey").good
+
+
+def _card_files(spark, sf) -> str:
+    """Customers as card accounts, many to a file; some statuses and limits break the checks."""
+    path = storage.scratch_path(spark, "cards")
+    customers = table(spark, sf, "customer")
+    status = (
+        F.when(F.col("c_mktsegment") == "MACHINERY", "LOST")
+        .when(F.col("c_mktsegment") == "BUILDING", "BLOCKED")
+        .otherwise("ACTIVE")
+    )
+    card = F.to_json(
+        F.struct(
+            F.when(F.col("c_custkey") % 50 != 0, F.concat(F.lit("C"), F.col("c_custkey"))).alias("card_id"),
+            F.col("c_name").alias("cardholder_name"),
+            (F.col("c_nationkey") * 100.0).alias("credit_limit"),
+            F.col("c_acctbal").alias("current_balance"),
+            status.alias("card_status"),
+            F.when(F.col("c_nationkey") != 3, "EUR").alias("currency"),
+        )
+    )
+    listed = customers.select((F.col("c_custkey") % 8).alias("part"), card.alias("card"))
+    grouped = listed.groupBy("part").agg(F.array_join(F.collect_list("card"), ",").alias("all"))
+    text = F.concat(F.lit("["), F.col("all"), F.lit("]"))
+    grouped.select(text.alias("value"), "part").write.partitionBy("part").text(path)
+    return path
+
+
+@query
+def card_load(spark, sf):
+    """Card files into a table, twice; cards without an identifier are set aside."""
+    path, root = _card_files(spark, sf), storage.scratch_path(spark, "tables")
+    for _ in range(2):
+        rejects = jobs.load_cards(spark, path, "bank", root=root).rejects
+    columns = ["cardholder_name", "credit_limit", "current_balance", "card_status", "currency"]
+    stored = tables.read_table(spark, "bank", "credit_cards", root=root)
+    return stored.select("card_id", *columns, F.lit("good").alias("reason")).unionByName(
+        rejects.select("card_id", *columns, "reason")
+    )
+
+
+@query
+def card_checks(spark, sf):
+    """The checks of a card table over cards as they were read."""
+    good = json_records.read_json(spark, _card_files(spark, sf), fixed.CARD_SCHEMA, fixed.CARD_KEY).good
+    return quality.card_quality(good, min_rows=100_000)
+
+
 @query
 def record_payloads(spark, sf):
     """Payloads with one object, a list of two, or text cut short."""
@@ -146,11 +231,19 @@ def _item_files(spark, sf) -> str:
     return root
 
 
+def _odd_spelling(path: str) -> str:
+    """The same folder, as ``/./`` in the middle and a slash too many at the end."""
+    head, tail = path.rsplit("/", 1)
+    return f"{head}/./{tail}/"
+
+
 @query
 def document_files(spark, sf):
-    """Text objects read under a prefix."""
-    root = _item_files(spark, sf)
+    """Text objects read under a prefix, by a root spelled oddly, and none under another."""
+    root = _odd_spelling(_item_files(spark, sf))
     good = documents.read_documents(spark, root, BUCKET, "raw/item_id=").good
+    none = documents.read_documents(spark, root, BUCKET, "nothing/here/").good
+    good = good.unionByName(none)
     item = F.regexp_extract("source_key", r"^raw/item_id=(\d+)/", 1).cast("bigint")
     return good.select(
         item.alias("item_id"),
@@ -220,10 +313,16 @@ def upsert_last_wins(spark, sf):
         F.lit(None).cast("bigint").alias("event_id"),
         F.col("c_acctbal").alias("amount"),
     )
+    # Errors have no ordinal, and come after all that have one.
+    ordinal = F.when(F.col("event_type") != "error", F.col("event_id")).alias("event_id")
     source = table(spark, sf, "events").select(
-        F.col("user_id").alias("entry_id"), "event_id", F.col("value").alias("amount")
+        F.col("user_id").alias("entry_id"), ordinal, F.col("value").alias("amount")
+    )
+    rows = upsert.merge_by_key(target, source, "entry_id", ordinal=F.col("event_id"))
+    # Of several rows without an ordinal any may stay; those of the target never had one.
+    return rows.select(
+        "entry_id", "event_id", F.when(F.col("event_id").isNotNull(), F.col("amount")).alias("amount")
     )
-    return upsert.merge_by_key(target, source, "entry_id", ordinal=F.col("event_id"))
 
 
 @query
@@ -271,7 +370,7 @@ def upsert_table(spark, sf):
 def replace_table(spark, sf):
     """Orders of a customer replaced by that customer's events, in a stored table."""
     path = storage.scratch_path(spark, "entries")
-    stored = tables.SnapshotTable(spark, path)
+    stored = tables.BucketTable(spark, path)
     stored.create(_order_entries(spark, sf, "o_custkey"), "entry_id")
     stored.replace(_event_entries(spark, sf, "user_id"), "entry_id")
     return stored.read()
@@ -421,7 +520,7 @@ def embed_model(spark, sf):
 @query
 def ingest_documents(spark, sf):
     """Documents to a stored chunk table."""
-    stored = tables.SnapshotTable(spark, storage.scratch_path(spark, "chunks"))
+    stored = tables.BucketTable(spark, storage.scratch_path(spark, "chunks"))
     docs = _documents(spark, sf).select(
         F.lit(BUCKET).alias("source_bucket"), _source_key().alias("source_key"), "text"
     )
@@ -439,7 +538,7 @@ def ingest_documents(spark, sf):
 @query
 def ingest_prefix(spark, sf):
     """Text objects under a prefix to a stored chunk table."""
-    stored = tables.SnapshotTable(spark, storage.scratch_path(spark, "chunks"))
+    stored = tables.BucketTable(spark, storage.scratch_path(spark, "chunks"))
     jobs.ingest_prefix(spark, _item_files(spark, sf), BUCKET, "raw/", stored, dims=DIMS)
     m = F.col("metadata")
     return stored.read().select(
@@ -464,7 +563,7 @@ def picky_model():
 @query
 def ingest_rejects(spark, sf):
     """Conversation turns as documents, some of which the model cannot take."""
-    stored = tables.SnapshotTable(spark, storage.scratch_path(spark, "chunks"))
+    stored = tables.BucketTable(spark, storage.scratch_path(spark, "chunks"))
     docs = table(spark, sf, "conversations").select(
         F.lit(BUCKET).alias("source_bucket"),
         F.concat_ws("/", "conv_id", "turn").alias("source_key"),
@@ -476,14 +575,37 @@ def ingest_rejects(spark, sf):
         F.sum(F.col("vector")[0].cast("bigint")).alias("n_chars"),
     )
     return kept.withColumn("rejected", F.lit(False)).unionByName(
-        rejects.select("source_key", F.lit(True).alias("rejected")), allowMissingColumns=True
+        rejects.select("source_key", F.lit(True).alias("rejected"), "reason"),
+        allowMissingColumns=True,
+    )
+
+
+@query
+def replaced_documents(spark, sf):
+    """Documents stored twice; the second time some are shorter, and some blank."""
+    stored = tables.BucketTable(spark, storage.scratch_path(spark, "chunks"))
+    docs = table(spark, sf, "conversations").select(
+        F.lit(BUCKET).alias("source_bucket"),
+        F.concat_ws("/", "conv_id", "turn").alias("source_key"),
+        F.col("turn"),
+        "text",
+    )
+    vector_table.ingest_documents(docs.drop("turn"), stored, 4, 60, 10)
+    short = F.when(F.col("turn") % 3 == 0, F.lit("  ")).otherwise(F.substring("text", 1, 70))
+    again = docs.where(F.col("turn") % 3 < 2).withColumn("text", short).drop("turn")
+    vector_table.ingest_documents(again, stored, 4, 60, 10, replace_document=True)
+    m = F.col("metadata")
+    return stored.read().select(
+        m["source_key"].alias("source_key"),
+        m["chunk_index"].cast("bigint").alias("chunk_index"),
+        m["text"].alias("chunk"),
     )
 
 
 @query
 def vector_upsert(spark, sf):
     """Hashed documents put over the embeddings with the same number."""
-    stored = tables.SnapshotTable(spark, storage.scratch_path(spark, "vectors"))
+    stored = tables.BucketTable(spark, storage.scratch_path(spark, "vectors"))
 
     def meta(source):
         return F.struct(
@@ -589,12 +711,16 @@ def prompt_build(spark, sf):
     ).select("question_id", "prompt")
 
 
-def last_line():
-    """A stand-in for a model: answers a request with the question in it."""
+def first_source():
+    """A stand-in for a model: names the best source of its context, and its length."""
 
     def reply(bodies: list[str]) -> list[str]:
-        asked = [json.loads(b)["messages"][0]["content"] for b in bodies]
-        said = [a.rsplit("\n\nQuestion: ", 1)[1] for a in asked]
+        said = []
+        for body in bodies:
+            context = json.loads(body)["messages"][0]["content"].rsplit("\n\nQuestion: ", 1)[0]
+            context = context.removeprefix("Context:\n")
+            line = context.split("\n", 1)[0] if context else "nothing found"
+            said.append(f"{line} in {len(context)}")
         return [json.dumps({"content": [{"type": "text", "text": t}]}) for t in said]
 
     return reply
@@ -608,7 +734,7 @@ def _chunk_table(spark, sf):
 @query
 def answer_questions(spark, sf):
     return prompts.answer_questions(
-        _questions(spark, sf), _chunk_table(spark, sf), "question_id", "question", last_line,
+        _questions(spark, sf), _chunk_table(spark, sf), "question_id", "question", first_source,
         dims=DIMS,
     ).select("question_id", "answer")
 
@@ -628,13 +754,10 @@ def query_chunks(spark, sf):
 
 @query
 def request_bodies(spark, sf):
-    """Request JSON of questions for which nothing was found."""
-    none = spark.createDataFrame(
-        [],
-        "question_id string, rank int, metadata struct<source_bucket:string,"
-        "source_key:string,chunk_index:int,text:string>",
+    """Request JSON of every user turn over the chunks of all documents."""
+    asked = prompts.retrieve_prompts(
+        _questions(spark, sf), _chunk_table(spark, sf), "question_id", "question", dims=DIMS
     )
-    asked = prompts.build_prompts(_questions(spark, sf), none, "question_id", "question")
     body = asked.select("question_id", prompts.request_body(F.col("prompt")).alias("body"))
     return body.select(
         "question_id",
@@ -742,28 +865,35 @@ def notification_refs(spark, sf):
 def _run_notifications(spark, sf) -> NotificationJob:
     """Supplier accounts uploaded over a table of customer accounts.
 
-    Every supplier is one uploaded file with a message, and every nation has a
-    message about a file that does not exist.
+    Suppliers are uploaded by nation and half of their numbers, one file and one
+    message for each. Every nation also has a message about a file that does not
+    exist. Suppliers of the first nation come in a message without identifier,
+    and each event has a copy that is cut short.
     """
     root = storage.scratch_path(spark, "uploads")
-    folder = f"{BUCKET}/{fixed.DATA_PREFIX}accounts"
     accounts = _supplier_accounts(spark, sf)
-    accounts.select(F.to_json(F.struct(*accounts.columns)).alias("value")).repartition(
-        spark.sparkContext.defaultParallelism
-    ).write.option("maxRecordsPerFile", 1).text(f"{root}/{folder}")
-    key = F.concat(F.lit(f"{fixed.DATA_PREFIX}accounts/"), F.col("_metadata.file_name"))
-    good = spark.read.text(f"{root}/{folder}").select(
-        F.concat(F.lit("s-"), F.get_json_object("value", "$.account_id")).alias("message_id"),
+    record = F.to_json(F.struct(*accounts.columns))
+    part = F.concat_ws("-", "nation", F.col("account_id") % 2)
+    files = accounts.groupBy(part.alias("part"), "nation").agg(
+        F.concat(F.lit("["), F.array_join(F.collect_list(record), ","), F.lit("]")).alias("value")
+    )
+    folder = f"{BUCKET}/{fixed.DATA_PREFIX}accounts"
+    files.select("part", "value").write.partitionBy("part").text(f"{root}/{folder}")
+    written = spark.read.text(f"{root}/{folder}").select("part", F.col("_metadata.file_name").alias("name"))
+    key = F.concat(F.lit(f"{fixed.DATA_PREFIX}accounts/part="), "part", F.lit("/"), "name")
+    good = written.select(
+        F.when(~F.col("part").startswith("0-"), F.concat(F.lit("s-"), "part")).alias("message_id"),
         _body(F.url_encode(key)).alias("body"),
     )
     lost = table(spark, sf, "nation").select(
         F.concat(F.lit("n-"), F.col("n_nationkey").cast("string")).alias("message_id"),
         _wrapped(_body(F.concat(F.lit("data/lost/"), "n_name"))).alias("body"),
     )
-    good.unionByName(lost).select(
-        _event_json(F.col("message_id"), F.col("body"))
-    ).repartition(4).write.text(f"{root}/events")
-    accounts_table = tables.SnapshotTable(spark, f"{root}/table")
+    line = _event_json(F.col("message_id"), F.col("body"))
+    events = good.unionByName(lost).select(line.alias("value"))
+    cut = F.substring("value", F.lit(1), F.length("value") - 1)
+    events.unionByName(events.select(cut.alias("value"))).repartition(4).write.text(f"{root}/events")
+    accounts_table = tables.BucketTable(spark, f"{root}/table")
     accounts_table.create(_customer_accounts(spark, sf), "account_id")
     job = NotificationJob(
         spark,
@@ -771,10 +901,9 @@ def _run_notifications(spark, sf) -> NotificationJob:
         table=accounts_table,
         key="account_id",
         state=f"{root}/state",
-        object_root=root,
+        object_root=_odd_spelling(root),
     )
     job.start(files_per_batch=4, wait=None).awaitTermination()
-    job.redeliver()
     return job
 
 
@@ -785,19 +914,8 @@ def notification_upsert(spark, sf):
 
 @query
 def notification_outcomes(spark, sf):
-    job = _run_notifications(spark, sf)
-    dead = job.dead_letters().select("message_id", F.lit(True).alias("dead"))
-    return (
-        job.outcomes()
-        .groupBy("message_id")
-        .agg(
-            F.max("attempt").cast("bigint").alias("attempts"),
-            F.max_by("status", "attempt").alias("status"),
-            F.max_by("reason", "attempt").alias("reason"),
-        )
-        .join(dead, "message_id", "left")
-        .withColumn("dead", F.coalesce("dead", F.lit(False)))
-    )
+    outcomes = _run_notifications(spark, sf).outcomes()
+    return outcomes.groupBy("message_id", "status", "reason").agg(F.count("*").alias("n"))
 
 
 @query
@@ -928,12 +1046,21 @@ def rank_envelope(spark, sf):
 
 @query
 def ranked_sink(spark, sf):
+    """Payloads of one segment are cut short: they come back as rejects."""
     path = storage.scratch_path(spark, "ranked")
-    ranking.write_ranked_documents(_payloads(spark, sf), "payload", path)
+    cut = F.substring("payload", F.lit(1), F.length("payload") - 2)
+    payloads = _payloads(spark, sf).join(
+        table(spark, sf, "customer").select("c_custkey", "c_mktsegment"), "c_custkey"
+    )
+    payload = F.when(F.col("c_mktsegment") == "FURNITURE", cut).otherwise(F.col("payload"))
+    rejects = ranking.write_ranked_documents(payloads.withColumn("payload", payload), "payload", path)
     parsed = json_records.read_json(spark, path, DOCUMENT, multiline=False).good
-    return parsed.select("source", "total", F.explode("top_cards").alias("c")).select(
+    stored = parsed.select("source", "total", F.explode("top_cards").alias("c")).select(
         "source", "total", "c.name", "c.score", "c.rank"
     )
+    return stored.unionByName(
+        rejects.select(F.col("c_custkey").alias("rejected")), allowMissingColumns=True
+    )
 
 
 def _responses(spark, sf):
