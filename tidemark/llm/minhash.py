@@ -27,8 +27,10 @@ class MinHash:
 
     Each shingle is hashed once; its top bits name the bin, where the smallest
     hash stays. An empty bin takes the value of the first filled bin in a
-    random order of its own (optimal densification). Of each value the low bits
-    are stored, packed, as hex. No words: the empty string.
+    random order of its own (optimal densification). Each bin hashes its value
+    once more with its number, so that a value which many bins hold does not
+    agree by chance in all of them at once. The low bits are stored, packed, as
+    hex. No words: the empty string.
     """
 
     bins: int = 256
@@ -36,6 +38,7 @@ class MinHash:
     shingle: int = 5
     seed: int = 0
     _order: np.ndarray = field(init=False, repr=False, compare=False)
+    _salt: np.ndarray = field(init=False, repr=False, compare=False)
 
     def __post_init__(self):
         if self.bins & (self.bins - 1) or not 2 <= self.bins <= 4096:
@@ -45,6 +48,7 @@ class MinHash:
         draw = np.random.default_rng(self.seed)
         order = draw.permuted(np.tile(np.arange(self.bins, dtype=np.int16), (self.bins, 1)), axis=1)
         object.__setattr__(self, "_order", order)
+        object.__setattr__(self, "_salt", draw.integers(0, 1 << 64, self.bins, np.uint64))
 
     def low_bits(self, data: bytes) -> np.ndarray | None:
         """The low bits of every bin; None for a text without words."""
@@ -57,14 +61,15 @@ class MinHash:
         first = np.flatnonzero(np.diff(at, prepend=-1))
         filled = np.zeros(self.bins, bool)
         filled[at[first]] = True
-        out = np.zeros(self.bins, np.uint8)
-        out[at[first]] = (h[first] & np.uint64((1 << self.bits) - 1)).astype(np.uint8)
+        value = np.zeros(self.bins, np.uint64)
+        value[at[first]] = h[first]
         empty = np.flatnonzero(~filled)
         if len(empty):
             order = self._order[empty]
             donor = order[np.arange(len(empty)), filled[order].argmax(1)]
-            out[empty] = out[donor]
-        return out
+            value[empty] = value[donor]
+        low = T.mix(value + self._salt) & np.uint64((1 << self.bits) - 1)
+        return low.astype(np.uint8)
 
     def pack(self, low: np.ndarray | None) -> str:
         if low is None:
