@@ -1,0 +1,309 @@
+"""Licenses, secrets, benchmark windows, repeated windows."""
+
+import hashlib
+import random
+import re
+from collections import Counter
+
+import pytest
+from helpers import ALNUM, PLAIN, low, odd_rows, rows_of, table
+from pyspark.sql import functions as F
+
+from tidemark.llm import decontaminate, licenses, queries, secrets, substrings
+
+
+def sha(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+# Licenses
+
+
+def base_places(text):
+    words = ALNUM.findall(low(text))
+    return len(words), sorted(
+        (i, i + len(p.split()), label)
+        for p, label in licenses.PHRASES.items()
+        for i in range(len(words))
+        if words[i : i + len(p.split())] == p.split()
+    )
+
+
+LICENSED = [
+    (20, "the MIT License. mit license mit mit\nlicense General, Public License"),
+    (21, "x " * 7 + "Licensed under the Apache License, Version 2.0. " + "y " * 9),
+    (22, "general public licenses; general public-license"),
+    (23, "Permission is hereby granted, free of charge, to any person obtaining a copy"),
+    (24, "die mit der license mit " * 300 + "mit license"),
+    (25, licenses.TEMPLATES[1][1] + " and more words after it"),
+    (26, "licensed to you under a CC BY-NC 4.0 grant"),
+]
+
+
+def test_license_places(spark):
+    rows = odd_rows() + LICENSED
+    found = licenses.scan(table(spark, rows))
+    got = [
+        (r["doc_id"], r["n_words"], sorted((h["start"], h["end"], h["label"]) for h in r["hits"] if h["base"]))
+        for r in found.collect()
+    ]
+    assert sorted(got, key=repr) == sorted(((i, *base_places(t)) for i, t in rows), key=repr)
+
+
+def test_license_blocks_meet_the_threshold(spark):
+    rows = LICENSED + [(30 + i, " ".join(random.Random(i).sample(licenses.TEMPLATES[2][1].split() * 3, 14))) for i in range(40)]
+    index = licenses.Index(licenses.PHRASES, licenses.TEMPLATES, 0.8)
+    for r in licenses.scan(table(spark, rows)).collect():
+        words = ALNUM.findall(low(dict(rows)[r["doc_id"]]))
+        want = Counter()
+        for (label, text), rec in zip(licenses.TEMPLATES, [x for x in index.records if not x.base]):
+            wanted = set(ALNUM.findall(low(text)))
+            shares = [
+                len(wanted & set(words[b : b + 2 * rec.span])) / len(wanted)
+                for b in range(0, max(1, len(words)), rec.span)
+            ]
+            if max(shares) >= 0.8:
+                want[label] = max(shares)
+        got = Counter()
+        for h in r["hits"]:
+            if not h["base"]:
+                got[h["label"]] = max(got[h["label"]], h["containment"])
+        assert got == want
+
+
+def test_license_arguments(spark):
+    with pytest.raises(ValueError):
+        licenses.Index({"...": "none"}, (), 0.8)
+    assert licenses.scan(table(spark, [])).count() == 0
+
+
+# Secrets
+
+ASSIGN = re.compile(
+    r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A
+)
+
+
+def base_secrets(text):
+    text = text or ""
+    found = [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if len(m[2]) >= 6]
+    found += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 20]
+    found += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 24]
+    return [(("assign", "access", "hex")[k], s, e) for s, k, e in sorted(found)]
+
+
+HEX = "0123456789abcdef" * 2
+SECRET = [
+    (40, f'é token = "{HEX}" PASSWORD:abcde secret=token=abcdef ſecret=abcdefgh'),
+    (41, "AKIA" + "Z" * 16 + " AKIA" + "Z" * 15 + " " + HEX[:23]),
+    (42, "Bearer " + "q" * 20 + " https://user:hunter22@host/ eyJabcdefghi.eyJabcdefghi.sig"),
+    (43, "-----BEGIN RSA PRIVATE KEY-----\nMIIB\n-----END RSA PRIVATE KEY----- api_key: 'abc.def=gh'"),
+]
+
+
+def test_secret_spans(spark):
+    rows = odd_rows() + SECRET + [(50 + i, SECRET[0][1]) for i in range(30)]
+    found = secrets.scan(table(spark, rows)).collect()
+    got = [
+        (r["path"], r["blob"], [(s["kind"], s["start"], s["end"]) for s in r["spans"] if s["kind"] in ("assign", "access", "hex")])
+        for r in found
+    ]
+    assert sorted(got, key=repr) == sorted(((i, sha(t or ""), base_secrets(t)) for i, t in rows), key=repr)
+    kinds = {s["kind"] for r in found for s in r["spans"]}
+    assert kinds >= {"bearer", "url", "jwt", "pem"}
+
+
+def test_secret_ledger_scans_once(spark):
+    ledger = secrets.Ledger(spark)
+    first = ledger.add(table(spark, SECRET + [(60, SECRET[0][1])]))
+    assert ledger.findings().count() == 4
+    again = ledger.add(table(spark, SECRET + [(61, "token=abcdefg"), (62, None)]))
+    assert ledger.findings().count() == 6  # two unseen texts
+    assert rows_of(ledger.spans_of(first), "path") == [(40,), (41,), (42,), (43,), (60,)]
+    assert {r["path"]: len(r["spans"]) for r in ledger.spans_of(again).collect()}[61] == 1
+    other = secrets.Ledger(spark, ledger.root, secrets.RULES[:1])
+    other.add(table(spark, SECRET))
+    assert other.version != ledger.version and other.findings().count() == 4
+    assert ledger.add(table(spark, [])).count() == 0
+
+
+def test_redact(spark):
+    rows = odd_rows() + SECRET
+    got = secrets.redact(table(spark, rows), length_col="n_chars").collect()
+    assert len(got) == len(rows) and set(got[0].asDict()) == set(table(spark, rows).columns)
+    by = {r["doc_id"]: r for r in got}
+    assert by[41]["text"] == "[SECRET] AKIA" + "Z" * 15 + " " + HEX[:23]
+    assert by[41]["n_chars"] == len(by[41]["text"])
+    scanner = secrets.Scanner()
+    for i, t in rows:
+        if i is not None and not scanner.spans(t or ""):
+            assert by[i]["text"] == t
+    assert not any(HEX in (r["text"] or "") for r in got)
+
+
+# Benchmark windows
+
+
+def windows_hit(words, items, window=10):
+    hit, found = set(), set()
+    for item, text in items:
+        w = ALNUM.findall(low(text))
+        size = min(window, len(w))
+        if not size:
+            continue
+        mine = {tuple(w[i : i + size]) for i in range(len(w) - size + 1)}
+        for i in range(len(words) - size + 1):
+            if tuple(words[i : i + size]) in mine:
+                hit.update(range(i, i + size))
+                found.add(item)
+    return hit, found
+
+
+def contamination_rows(n=60, seed=2):
+    draw = random.Random(seed)
+    vocabulary = [f"v{i}" for i in range(12)]
+    prose = lambda k: " ".join(draw.choice(vocabulary) for _ in range(k))
+    items = [(i, prose(draw.randint(12, 40))) for i in range(15)]
+    items += [(20, "v1"), (21, "Zz v2!"), (22, None), (23, ""), (24, "q " * 30), (25, items[0][1]), (3, items[3][1])]
+    items += [(None, "lonely item")]
+    rows = []
+    for i in range(n):
+        words = prose(draw.randint(0, 80)).split()
+        if i % 3 == 0:
+            w = draw.choice(items[:15])[1].split()
+            at = draw.randrange(len(w) - 9)
+            words[len(words) // 2 : len(words) // 2] = w[at : at + draw.randint(8, 30)]
+        if i % 5 == 0:
+            words += ["ZZ", "v2", *["q"] * draw.randint(5, 50)]
+        rows.append((100 + i, " ".join(words)))
+    return rows + odd_rows() + [(90, "a LONELY, Item b")], items
+
+
+@pytest.mark.parametrize("block_words", [300_000, 40])
+def test_contamination(spark, block_words):
+    rows, items = contamination_rows()
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    found = decontaminate.contamination(table(spark, rows), bench, block_words=block_words).collect()
+    got, want = [], []
+    for r in found:
+        hit = {p for s in r["spans"] for p in range(s["start"], s["end"])}
+        got.append((r["doc_id"], r["n_words"], sorted(hit), sorted(r["items"], key=repr)))
+    for i, t in rows:
+        words = ALNUM.findall(low(t))
+        hit, its = windows_hit(words, items)
+        want.append((i, len(words), sorted(hit), sorted(its, key=repr)))
+    assert sorted(got, key=repr) == sorted(want, key=repr)
+    for r in found:
+        for a, b in zip(r["spans"], r["spans"][1:]):
+            assert a["end"] < b["start"] or block_words < 100 and a["end"] <= b["start"]
+
+
+@pytest.mark.parametrize("block_words", [300_000, 40])
+def test_clean(spark, block_words):
+    rows, items = contamination_rows()
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    docs = table(spark, rows)
+    kept = decontaminate.clean(docs, bench, block_words=block_words)
+    want = [(i, t) for i, t in rows if not windows_hit(ALNUM.findall(low(t)), items)[0]]
+    assert rows_of(kept, "doc_id", "text") == sorted(want, key=repr)
+    assert kept.columns == docs.columns
+    assert decontaminate.clean(docs, bench.where("false")).count() == len(rows)
+    assert decontaminate.contamination(docs.where("false"), bench).count() == 0
+
+
+def test_winnowing_keeps_one_of_every_run():
+    import numpy as np
+
+    grams = np.random.default_rng(1).integers(0, 9, 500, np.uint64)
+    at = set(decontaminate.winnow(grams, 6).tolist())
+    for i in range(495):
+        run = grams[i : i + 6].tolist()
+        assert i + 5 - run[::-1].index(min(run)) in at
+
+
+# Repeated windows
+
+
+def kept_words(rows, window=20):
+    """(doc_id, n_words, n_removed, sha) by comparing all windows."""
+    texts = [(i, PLAIN.findall(t or "")) for i, t in rows]
+    first = {}
+    key = lambda i, s: (i is not None, i or 0, s)
+    for i, w in texts:
+        for s in range(len(w) - window + 1):
+            h = tuple(w[s : s + window])
+            first[h] = min(first.get(h, key(i, s)), key(i, s))
+    out = []
+    for i, w in texts:
+        gone = set()
+        for s in range(len(w) - window + 1):
+            if first[tuple(w[s : s + window])] < key(i, s):
+                gone.update(range(s, s + window))
+        out.append((i, len(w), len(gone), sha(" ".join(x for p, x in enumerate(w) if p not in gone))))
+    return sorted(out, key=repr)
+
+
+def repeat_rows(seed=4):
+    draw = random.Random(seed)
+    prose = lambda k: [draw.choice("abcdefgh") * draw.randint(1, 9) for _ in range(k)]
+    passages = [prose(draw.randint(15, 70)) for _ in range(12)]
+    rows = []
+    for i in range(120):
+        words = prose(draw.randint(0, 50))
+        for _ in range(draw.randint(0, 3)):
+            p = draw.choice(passages)
+            a = draw.randrange(len(p) // 2)
+            words += p[a : a + draw.randint(15, 70)] + prose(draw.randint(0, 4))
+        rows.append((1000 - i, " ".join(words)))
+    return rows
+
+
+def test_repeats(spark):
+    rows = repeat_rows() + odd_rows()
+    found = substrings.repeats(table(spark, rows))
+    assert rows_of(found, "doc_id", "n_words", "n_removed", "kept_sha256") == kept_words(rows)
+
+
+def test_repeats_across_slices(spark, monkeypatch):
+    rows = repeat_rows(5)
+    docs = table(spark, rows).repartition(7)
+    got = substrings.repeats(docs, window=12)
+    assert rows_of(got, "doc_id", "n_words", "n_removed", "kept_sha256") == kept_words(rows, 12)
+    assert substrings.repeats(table(spark, [])).count() == 0
+
+
+def test_removed_spans_are_what_is_left_out(spark):
+    rows = dict(repeat_rows(6))
+    for r in substrings.repeats(table(spark, list(rows.items()))).collect():
+        gone = {p for s in r["removed"] for p in range(s["start"], s["end"])}
+        words = PLAIN.findall(rows[r["doc_id"]])
+        assert len(gone) == r["n_removed"]
+        assert sha(" ".join(w for p, w in enumerate(words) if p not in gone)) == r["kept_sha256"]
+
+
+def test_query_digests(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()
+    got = {r["doc_id"]: r for r in queries.op5_secret_scan(spark, sf).collect()}
+    assert len(got) == len(docs)
+    for doc_id, text in docs:
+        base, r = base_secrets(text), got[doc_id]
+        assert r["base_sha256"] == sha(",".join(f"{k}:{s}:{e}" for k, s, e in base))
+        assert [r["n_assign"], r["n_access"], r["n_hex"]] == [
+            sum(k == kind for k, _, _ in base) for kind in ("assign", "access", "hex")
+        ]
+    for r in queries.op2_license_scan(spark, sf).collect():
+        n, places = base_places({i: t for i, t in docs}[r["doc_id"]])
+        starts = [p[0] for p in places]
+        assert (r["n_words"], r["n_base"]) == (n, len(places))
+        assert (r["first_word"], r["last_word"]) == (min(starts, default=None), max(starts, default=None))
+        base = sorted({p[2] for p in places})
+        assert r["base_labels"] == ",".join(base)
+        assert set(base) <= set(r["labels"].split(",")) | {""} and 0 <= r["score"] <= 1
+        assert r["labels"].split(",") == sorted(set(r["labels"].split(",")))
+
+
+def test_hit_words(spark):
+    df = spark.createDataFrame([([(0, 3), (5, 6)],), ([],)], "spans array<struct<start:bigint,end:bigint>>")
+    assert [r[0] for r in df.select(decontaminate.hit_words("spans")).collect()] == [4, 0]
+    merged = df.select(decontaminate._joined("spans").alias("s")).select(F.size("s"))
+    assert [r[0] for r in merged.collect()] == [2, 0]
