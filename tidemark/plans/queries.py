@@ -682,7 +682,7 @@ def knn_dot(spark, sf):
 @query
 def knn_blocks(spark, sf):
     corpus = _vectors(spark, sf)
-    return _hits(knn.nearest_in_blocks(_as_queries(corpus), corpus))
+    return _hits(knn.nearest_in_blocks(_as_queries(corpus), corpus, limit=128 << 10))
 
 
 @query
