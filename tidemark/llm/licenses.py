@@ -54,6 +54,9 @@ TEMPLATES = (
     ("cc-by-sa-4.0-notice", "Licensed under CC BY-SA 4.0"),
 )
 THRESHOLD = 0.8
+#: Records with fewer distinct words must be shared whole: in so few, the word that is missing may be
+#: the one that tells two licenses apart.
+WHOLE = 16
 #: All records together may hold so many words; the index of them is broadcast.
 MOST_WORDS = 200_000
 
@@ -89,7 +92,8 @@ class Index:
             ids = tuple(self.vocabulary.setdefault(w, len(self.vocabulary)) for w in found)
             size = len(set(ids))
             # The least overlap whose share of the record reaches the threshold.
-            need = size if base else next(o for o in range(1, size + 1) if o / size >= threshold)
+            whole = base or size < WHOLE
+            need = size if whole else next(o for o in range(1, size + 1) if o / size >= threshold)
             span = 4
             while span < len(ids):
                 span *= 2
@@ -103,6 +107,7 @@ class Index:
         rank[np.lexsort((np.arange(len(counts)), counts))] = np.arange(len(counts))
         self.rank = rank.tolist()
         self.sorted = [sorted({self.rank[t] for t in r.sequence}) for r in self.records]
+        self.words_of = {r.label: frozenset(r.sequence) for r in self.records if not r.base}
         self.prefix: dict[int, list[tuple[int, int]]] = defaultdict(list)
         for at, (r, tokens) in enumerate(zip(self.records, self.sorted)):
             for i, token in enumerate(tokens[: len(tokens) - r.need + 1]):
@@ -126,7 +131,8 @@ class Index:
         A phrase matches where its words stand consecutively. A template matches
         in blocks of twice its class's span, one beginning at every multiple of
         the span, so any stretch up to the span is inside one. The best of
-        overlapping blocks is listed, from its first to its last shared word.
+        overlapping blocks is listed, from its first to its last shared word, but
+        not if it overlaps the match of a template that has all of its words and more.
         """
         blocks: dict[tuple[int, int], int] = {}
         rank, prefix = self.rank, self.prefix
@@ -176,6 +182,11 @@ class Index:
                 out.discard((self.records[at].label, False, *before))
             last[at] = start, end, share
             out.add((self.records[at].label, False, start, end, share))
+        found = [m for m in out if not m[1]]
+        for m in found:  # part of a longer notice
+            part = self.words_of[m[0]]
+            if any(n[2] < m[3] and m[2] < n[3] and part < self.words_of[n[0]] for n in found):
+                out.discard(m)
         return sorted(out, key=lambda m: (m[2], m[3], m[0]))
 
 
@@ -190,7 +201,7 @@ def scan(
     """``doc_id``, ``n_words`` and ``hits`` (label, base, start, end, containment) per row.
 
     Every block whose share of a template's distinct words reaches the threshold
-    is found, and every place of a phrase. One pass counts the vocabulary's words
+    (all of them for short templates) is found, and every place of a phrase. One pass counts the vocabulary's words
     in all texts; the next looks only at blocks that hold one of a record's
     rarest words and could still share enough of it by length and position.
     Null, empty and wordless texts have no hits; repeated rows stay; an empty
