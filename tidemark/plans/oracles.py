@@ -404,6 +404,12 @@ ORACLES = {
                CASE WHEN event_type <> 'error' THEN user_id END AS user,
                CASE WHEN event_type <> 'error' THEN replace(props, ' ', '') END AS nested
         FROM events""",
+    "metadata_documents": """
+        SELECT event_id, CAST(CASE WHEN event_type = 'error' THEN 0 ELSE 3 END AS BIGINT) AS n_fields,
+               CASE WHEN event_type <> 'error' THEN event_type END AS type,
+               CASE WHEN event_type <> 'error' THEN concat('[', user_id, ',"x"]') END AS at,
+               CASE WHEN event_type <> 'error' THEN value END AS value
+        FROM events""",
     "offer_score": f"SELECT p_partkey, score FROM ({_PART_SCORE})",
     "offer_rank": _PART_RANK,
     "offer_rank_ranges": _PART_RANK,

@@ -936,6 +936,24 @@ def metadata_variant(spark, sf):
     )
 
 
+@query
+def metadata_documents(spark, sf):
+    """Event properties cleaned and put together as documents again."""
+    text = F.concat(
+        F.lit('{"value":'), F.col("value").cast("string"), F.lit(',"none":null,"at":['),
+        F.col("user_id").cast("string"), F.lit(',"x"],"type":"'), "event_type", F.lit('"}'),
+    )
+    text = F.when(F.col("event_type") == "error", F.lit("cut {")).otherwise(text)
+    doc = F.to_json(metadata.metadata_document(text))
+    return table(spark, sf, "events").select("event_id", doc.alias("doc")).select(
+        "event_id",
+        F.coalesce(F.size(F.json_object_keys("doc")), F.lit(0)).cast("bigint").alias("n_fields"),
+        F.get_json_object("doc", "$.type").alias("type"),
+        F.get_json_object("doc", "$.at").alias("at"),
+        F.get_json_object("doc", "$.value").cast("double").alias("value"),
+    )
+
+
 # Offers -----------------------------------------------------------------------
 
 
