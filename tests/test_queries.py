@@ -4,6 +4,8 @@ import pytest
 
 import __spark_entry__ as spec
 from check import compare, connect
+from tidemark.plans.oracles import ORACLES
+from tidemark.plans.queries import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -12,17 +14,19 @@ def con(sf):
 
 
 def test_every_query_has_a_twin():
-    assert set(spec.oracle_sql()) == set(spec.queries())
+    assert set(ORACLES) == set(QUERIES)
+    assert set(spec.oracle_sql()) <= set(spec.queries())
+    assert set(QUERIES) <= set(spec.queries())
 
 
-@pytest.mark.parametrize("name", sorted(spec.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, sf, con, name):
-    df = spec.queries()[name](spark, sf)
+    df = QUERIES[name](spark, sf)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
     mine = df.toArrow()
     assert mine.num_rows
-    assert compare(mine, con.sql(spec.oracle_sql()[name]).to_arrow_table()) == ""
+    assert compare(mine, con.sql(ORACLES[name]).to_arrow_table()) == ""
 
 
 def test_entry(spark):
