@@ -18,7 +18,7 @@ BUCKETS = 1 << 15
 MOST_CELLS = 1 << 22
 #: Code points scored together; a longer text is scored in pieces that overlap.
 CHUNK = 1 << 18
-#: Documents counted in one sparse table.
+#: Documents counted in one sparse table at most.
 GROUP = 32
 SMOOTHING = 0.1
 UNKNOWN = "und"
@@ -157,26 +157,35 @@ def _counted(lang: str, at: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
 
 
 def _scores(texts: list[str], model: Model) -> np.ndarray:
-    """Log scores by (text, language): counts of a group in one sparse table, times the matrix."""
+    """Log scores by (text, language): sparse counts of a few texts at a time, times the matrix."""
     count = len(model.matrix)
-    keys, long = [], {}
-    for i, text in enumerate(texts):
-        if len(text) > CHUNK:
-            long[i] = _counts(text, model.sizes, count)
-        else:
-            keys.append(buckets(_code_points(text), model.sizes, count) + i * count)
     out = np.tile(model.priors, (len(texts), 1))
-    dense = np.bincount(np.concatenate(keys), minlength=len(texts) * count) if keys else np.zeros(0, np.int64)
-    for i, total in long.items():
-        out[i] += total[total > 0] @ model.matrix[total > 0].astype(np.float64)
-    cell = np.flatnonzero(dense)
-    if len(cell):
-        weight = dense[cell].astype(np.float64)
+    held: list[int] = []
+
+    def flush():
+        keys = [buckets(_code_points(texts[i]), model.sizes, count) + at * count for at, i in enumerate(held)]
+        dense = np.bincount(np.concatenate(keys), minlength=len(held) * count)
+        cell = np.flatnonzero(dense)
         owner, bucket = np.divmod(cell, count)
         starts = np.flatnonzero(np.diff(owner, prepend=-1))
-        # A text has no more cells than n-grams; the product is cut to bounded blocks.
         for a, b in zip(starts, [*starts[1:], len(cell)]):
-            out[owner[a]] += weight[a:b] @ model.matrix[bucket[a:b]].astype(np.float64)
+            out[held[owner[a]]] += dense[cell[a:b]] @ model.matrix[bucket[a:b]].astype(np.float64)
+        held.clear()
+
+    size = 0
+    for i, text in enumerate(texts):
+        if len(text) > CHUNK:
+            n = _counts(text, model.sizes, count)
+            at = np.flatnonzero(n)
+            out[i] += n[at] @ model.matrix[at].astype(np.float64)
+            continue
+        if held and (len(held) == GROUP or size + len(text) > CHUNK):
+            flush()
+            size = 0
+        held.append(i)
+        size += len(text)
+    if held:
+        flush()
     return out
 
 
@@ -192,7 +201,7 @@ def predict(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_c
 
     def run(batches):
         ours = shared.value
-        for batch in T.slices(batches, GROUP):
+        for batch in T.slices(batches):
             texts = batch.column(1).to_pylist()
             known = [i for i, t in enumerate(texts) if ours and any(map(str.isalpha, t))]
             langs, sure = [UNKNOWN] * len(texts), np.zeros(len(texts))

@@ -30,22 +30,31 @@ def features(text: str) -> list[float]:
     """Shares of kinds of characters, lengths, and repetition of words and lines."""
     data = text.encode()
     n = len(data)
-    found = data.split()
     lines = data.split(b"\n")
-    low = data.translate(T.LOWER).split() if found else []
     counts = [n - len(data.translate(None, kind)) for kind in _KINDS]
     letters = n - len(data.translate(None, _LETTERS))
-    m = max(len(found), 1)
+    words = length = upper = edge = 0
+    seen: set[bytes] = set()
+    last = b""
+    for found in T.words(data, T.PLAIN):
+        if found:
+            edge = edge or len(found[0])
+            last = found[-1]
+        words += len(found)
+        length += sum(map(len, found))
+        upper += sum(map(bytes.isupper, found))
+        seen.update(w.translate(T.LOWER) for w in set(found))
+    m = max(words, 1)
     return [
         np.log1p(n),
-        np.log1p(len(found)),
+        np.log1p(words),
         letters / max(n, 1),
         *[np.sqrt(c / max(n, 1)) for c in counts],
-        sum(map(len, found)) / m / 10,
-        len(set(low)) / np.sqrt(m) / 10,
+        length / m / 10,
+        len(seen) / np.sqrt(m) / 10,
         len(set(lines)) / len(lines),
-        max((len(w) for w in found[:1] + found[-1:]), default=0) / 20,
-        sum(map(bytes.isupper, found)) / m,
+        max(edge, len(last)) / 20,
+        upper / m,
     ]
 
 
