@@ -181,11 +181,11 @@ ORACLES = {
                    ',"event_type":"', event_type, '","user_id":', user_id) END AS text
         FROM events""",
     "json_whole_files": """
-        SELECT s_suppkey AS account_id, CASE WHEN s_acctbal >= 0 THEN s_name END AS holder,
-               CASE WHEN s_acctbal >= 0 THEN s_nationkey END AS nation,
-               CASE WHEN s_acctbal >= 0 THEN s_acctbal END AS balance,
-               CASE WHEN s_acctbal >= 0 THEN 'good' ELSE 'malformed' END AS reason
-        FROM supplier""",
+        SELECT s_suppkey AS account_id, s_name AS holder, s_nationkey AS nation,
+               s_acctbal AS balance, 'good' AS reason FROM supplier WHERE s_nationkey % 4 <> 0
+        UNION ALL
+        SELECT NULL, NULL, NULL, NULL, 'malformed' FROM (
+            SELECT DISTINCT s_nationkey FROM supplier WHERE s_nationkey % 4 = 0)""",
     "json_mixed_file": """
         SELECT o_orderkey, o_custkey, o_orderstatus,
                CASE WHEN o_orderkey % 7 <> 0 THEN o_totalprice END AS o_totalprice,
