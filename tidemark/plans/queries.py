@@ -103,7 +103,9 @@ def json_whole_files(spark, sf):
     record = F.replace(F.to_json(F.struct(*accounts.columns)), F.lit(","), F.lit(",\n"))
     files = accounts.groupBy("nation").agg(F.array_join(F.collect_list(record), ",").alias("all"))
     end = F.when(F.col("nation") % 4 != 0, "]").otherwise("")
-    files.select(F.concat(F.lit("["), "all", end).alias("value"), "nation").write.partitionBy("nation").text(path)
+    files.select(F.concat(F.lit("["), "all", end).alias("value"), F.col("nation").alias("part")).write.partitionBy(
+        "part"
+    ).text(path)
     schema = "account_id BIGINT, holder STRING, nation INT, balance DOUBLE"
     records = json_records.read_json(spark, path, schema, "account_id")
     return _good_and_bad(records, "account_id", "holder", "nation", "balance")
