@@ -19,6 +19,8 @@ COLUMNS = (
 )
 #: Ranges of ids per shuffle partition, so that hashed ranges spread evenly.
 RANGES_PER_TASK = 4
+#: Bytes of text in a range at most, about.
+RANGE_BYTES = 64 << 20
 
 
 @dataclass(frozen=True)
@@ -103,14 +105,17 @@ def fingerprints(
     Documents follow each other by id, nulls first, equal ids by text; the last
     is followed by the first, a lone one by itself. A null text is empty. Texts
     are shuffled once, into ranges of ids; the first document of each range is
-    also sent to the range before. Only range bounds come to the driver.
+    also sent to the range before. Only bounds and first ids of ranges come to the
+    driver.
     An empty table gives no rows.
     """
     how = how or MinHash()
     spark = docs.sparkSession
     rows = T.narrow(docs, id_col, text_col).withColumn("key", T.id_key("doc_id"))
-    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranges = tasks * RANGES_PER_TASK
+    size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    ranges = int(spark.conf.get("spark.sql.shuffle.partitions")) * RANGES_PER_TASK
+    ranges = max(ranges, size // RANGE_BYTES + 1)
+    tasks = -(-ranges // RANGES_PER_TASK)
     keys = rows.select("key")
     shares = [i / ranges for i in range(1, ranges)]
     bounds = np.unique(np.array(keys.approxQuantile("key", shares, 0.2 / ranges), np.float64))
