@@ -20,6 +20,8 @@ ROWS = 1024
 BYTES = 8 << 20
 #: Hashes that one task takes in at once, about.
 BUCKET = 4_000_000
+#: Bytes of text in a group of documents, which answers come back to, about.
+GROUP = 4 << 20
 
 _U = np.uint64
 
@@ -54,6 +56,11 @@ def _codes(h: np.ndarray, buckets: int) -> np.ndarray:
     return (_bucket(h, buckets) << _U(32)) | (h & _U(0xFFFFFFFE))
 
 
+def _group(handle: np.ndarray, groups: int) -> np.ndarray:
+    """The group of a document, as Spark's pmod has it."""
+    return (handle % groups).astype(np.int32)
+
+
 def _heads(*sorted_columns: np.ndarray) -> np.ndarray:
     """Where a run of equal values begins."""
     n = len(sorted_columns[0])
@@ -66,16 +73,23 @@ def _heads(*sorted_columns: np.ndarray) -> np.ndarray:
     return np.flatnonzero(change)
 
 
-def _grouped(owner: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, pa.Array]:
-    """Distinct owners, and their values as lists."""
-    order = np.argsort(owner, kind="stable")
+def _by_group(owner: np.ndarray, group: np.ndarray, values: np.ndarray):
+    """Values by owner, packed by the group of the owner.
+
+    Gives the groups, then per group the lists of its owners, of how many values
+    each has, and of the values.
+    """
+    order = np.lexsort((owner, group[owner]))
     owner, values = owner[order], values[order]
-    at = _heads(owner)
-    return owner[at], _lists(values, at)
+    one = _heads(owner)
+    size = np.diff(np.append(one, len(owner))).astype(np.int32)
+    each = group[owner[one]]
+    part = _heads(each)
+    return each[part], owner[one], part, _lists(size, part), _lists(values, one[part])
 
 
-def _anchors(rows: DataFrame, window: int, buckets: int) -> DataFrame:
-    """``handle`` (of a document) and ``codes``: its words' runs that meet an anchor elsewhere.
+def _anchors(rows: DataFrame, window: int, buckets: int, groups: int) -> DataFrame:
+    """``group``, ``handles`` of documents, ``sizes`` and ``codes``: their words' runs that meet an anchor elsewhere.
 
     The anchors are the documents' own blocks of half a window, end to end; any
     window holds a whole one. Every rolling run of that length is a probe. Both
@@ -122,15 +136,14 @@ def _anchors(rows: DataFrame, window: int, buckets: int) -> DataFrame:
             yield from _packed(sent, from_, is_anchor, handle)
             hit = local & once
             if hit.any():
-                docs, codes = _grouped(who[hit], _codes(h[hit], buckets).view(np.int64))
-                n = len(docs)
-                to = (T.mix(handle[docs].view(np.uint64).copy()) % _U(buckets)).astype(np.int32)
+                codes = _codes(h[hit], buckets).view(np.int64)
+                group, docs, part, size, lists = _by_group(who[hit], _group(handle, groups), codes)
                 yield _row_batch(
-                    to,
-                    _lists(handle[docs], np.arange(n)),
-                    pa.array([[]] * n, pa.list_(pa.int32())),
-                    pa.array([[]] * n, pa.list_(pa.int32())),
-                    codes,
+                    (T.mix(group.astype(np.uint64)) % _U(buckets)).astype(np.int32),
+                    _lists(handle[docs], part),
+                    size,
+                    pa.array([[]] * len(group), pa.list_(pa.int32())),
+                    lists,
                 )
 
     def _packed(h, who, is_anchor, handle):
@@ -155,55 +168,63 @@ def _anchors(rows: DataFrame, window: int, buckets: int) -> DataFrame:
         )
 
     def meet(table: pa.Table) -> pa.Table:
-        names = ["handle", "codes"]
-        out = []
-        ready = table.filter(pc.greater(pc.list_value_length(table["codes"]), 0))
-        if ready.num_rows:
-            handles = pc.list_flatten(ready["handles"])
-            out.append(pa.table([handles, ready["codes"]], names))
+        schema = pa.schema(
+            [("group", pa.int32()), ("handles", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int32())),
+             ("codes", pa.list_(pa.int64()))]
+        )
         bucket = table["bucket"][0].as_py()
-        flat = lambda c, kind: pc.list_flatten(table[c]).to_numpy().astype(kind)
-        size, name = flat("sizes", np.int64), None
-        if len(size):
-            rows = pc.greater(pc.list_value_length(table["sizes"]), 0)
-            name = pc.list_flatten(table.filter(rows)["handles"]).to_numpy()
-            key = flat("keys", np.int32).view(np.uint32)
+        known = pc.greater(pc.list_value_length(table["codes"]), 0)
+        flat = lambda t, c: pc.list_flatten(t[c]).to_numpy()
+        ready, table = table.filter(known), table.filter(pc.invert(known))
+        name, code = [flat(ready, "handles")], [flat(ready, "codes")]
+        name = [np.repeat(name[0], flat(ready, "sizes"))]
+        if table.num_rows:
+            size, handle = flat(table, "sizes").astype(np.int64), flat(table, "handles")
+            key = flat(table, "keys").astype(np.int32).view(np.uint32)
             plain = key & np.uint32(0xFFFFFFFE)
             values, times = np.unique(plain, return_counts=True)
             anchors = np.unique(plain[(key & np.uint32(1)) == 1])
             hits = np.intersect1d(values[times > 1], anchors, assume_unique=True)
-            who = np.repeat(np.where(size > 0, np.arange(len(size)), -1), np.abs(size))
             if len(hits):
+                who = np.repeat(np.where(size > 0, np.arange(len(size)), -1), np.abs(size))
                 at = np.searchsorted(hits, plain)
                 at[at == len(hits)] = 0
                 found = (hits[at] == plain) & (who >= 0)
-                if found.any():
-                    codes = (plain[found].astype(np.int64)) | (np.int64(bucket) << np.int64(32))
-                    docs, lists = _grouped(who[found], codes)
-                    out.append(pa.table([pa.array(name[docs]), lists], names))
-        schema = pa.schema([("handle", pa.int64()), ("codes", pa.list_(pa.int64()))])
-        return pa.concat_tables([t.cast(schema) for t in out]) if out else schema.empty_table()
+                name.append(handle[who[found]])
+                code.append(plain[found].astype(np.int64) | (np.int64(bucket) << np.int64(32)))
+        name, code = np.concatenate(name), np.concatenate(code)
+        if not len(name):
+            return schema.empty_table()
+        handle, who = np.unique(name, return_inverse=True)
+        group, docs, part, size, lists = _by_group(who, _group(handle, groups), code)
+        return pa.table([pa.array(group), _lists(handle[docs], part), size, lists], schema=schema)
 
     packed = rows.select("handle", "text").mapInArrow(
         probe, "bucket int, handles array<bigint>, sizes array<int>, keys array<int>, codes array<bigint>"
     )
     met = packed.repartition(buckets, "bucket").groupBy("bucket")
-    return met.applyInArrow(meet, "handle bigint, codes array<bigint>")
+    return met.applyInArrow(
+        meet, "group int, handles array<bigint>, sizes array<int>, codes array<bigint>"
+    )
 
 
 def _later(rows: DataFrame, window: int, buckets: int) -> DataFrame:
-    """``key``, ``tag`` and ``starts`` of windows that also start earlier, from documents with codes.
+    """By ``group`` the ``key``, ``tag``, ``sizes`` and ``starts`` of windows that also start earlier.
 
     Around each hit the windows are told by 96 bits. A slice keeps the first of
     equal ones; its bucket keeps the first of all.
     """
     block = window // 2
-    schema = "bucket int, key array<bigint>, tag array<bigint>, sizes array<int>, high array<bigint>, low array<int>, start array<int>, later array<int>"
+    schema = (
+        "bucket int, groups array<int>, key array<bigint>, tag array<bigint>, sizes array<int>,"
+        " high array<bigint>, low array<int>, start array<int>, later array<int>"
+    )
     names = [c.split()[0] for c in schema.split(", ")]
 
     def route(batches):
         for batch in _runs(batches):
             key, tag = batch.column("key").to_numpy(), batch.column("tag").to_numpy()
+            group = batch.column("group").to_numpy()
             parts = []
             for i, data in enumerate(T.as_bytes(batch.column("text"))):
                 words = T.word_hashes(data)
@@ -233,12 +254,14 @@ def _later(rows: DataFrame, window: int, buckets: int) -> DataFrame:
             to = _bucket(high, buckets).astype(np.int32)
             later = ~same
             if later.any():
-                docs, lists = _grouped(who[later], start[later])
+                each, docs, part, size, lists = _by_group(who[later], group, start[later])
                 yield _batch(
-                    (T.mix(tag[docs].view(np.uint64).copy()) % _U(buckets)).astype(np.int32),
-                    _lists(key[docs], np.arange(len(docs))),
-                    _lists(tag[docs], np.arange(len(docs))),
-                    *[None] * 4,
+                    (T.mix(each.astype(np.uint64)) % _U(buckets)).astype(np.int32),
+                    _lists(group[docs], part),
+                    _lists(key[docs], part),
+                    _lists(tag[docs], part),
+                    size,
+                    *[None] * 3,
                     lists,
                 )
             who, start, high, low, to = (x[same] for x in (who, start, high, low, to))
@@ -249,6 +272,7 @@ def _later(rows: DataFrame, window: int, buckets: int) -> DataFrame:
             count = np.diff(np.append(pairs, len(who))).astype(np.int32)
             yield _batch(
                 to[rows_],
+                _lists(group[who[pairs]], starts),
                 _lists(key[who[pairs]], starts),
                 _lists(tag[who[pairs]], starts),
                 _lists(count, starts),
@@ -259,7 +283,7 @@ def _later(rows: DataFrame, window: int, buckets: int) -> DataFrame:
             )
 
     def _batch(to, *columns):
-        kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int32())
+        kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), *[pa.int32()] * 3]
         made = [
             pa.array([[]] * len(to), pa.list_(kind)) if c is None else c
             for c, kind in zip(columns, kinds)
@@ -267,34 +291,41 @@ def _later(rows: DataFrame, window: int, buckets: int) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(to), *made], names)
 
     def settle(table: pa.Table) -> pa.Table:
-        out_schema = pa.schema(
-            [("key", pa.int64()), ("tag", pa.int64()), ("starts", pa.list_(pa.int32()))]
+        schema = pa.schema(
+            [("group", pa.int32()), ("key", pa.list_(pa.int64())), ("tag", pa.list_(pa.int64())),
+             ("sizes", pa.list_(pa.int32())), ("starts", pa.list_(pa.int32()))]
         )
-        out = []
-        size = pc.list_value_length(table["later"])
-        ready = table.filter(pc.greater(size, 0))
-        if ready.num_rows:
-            made = [pc.list_flatten(ready["key"]), pc.list_flatten(ready["tag"]), ready["later"]]
-            out.append(pa.table(made, out_schema.names).cast(out_schema))
-        table = table.filter(pc.equal(size, 0))
-        if table.num_rows:
-            flat = lambda c: pc.list_flatten(table[c]).to_numpy()
-            key, tag, sizes = flat("key"), flat("tag"), flat("sizes")
-            who = np.repeat(np.arange(len(sizes)), sizes)
-            high, low, start = flat("high"), flat("low"), flat("start")
-            order = np.lexsort((start, key[who], low, high))
-            who, start, high, low = who[order], start[order], high[order], low[order]
+        flat = lambda t, c: pc.list_flatten(t[c]).to_numpy()
+        known = pc.greater(pc.list_value_length(table["later"]), 0)
+        ready, table = table.filter(known), table.filter(pc.invert(known))
+        # Owners of the ready ones first, then those of the others.
+        group, key, tag = (
+            np.concatenate([flat(ready, c), flat(table, c)]) for c in ("groups", "key", "tag")
+        )
+        sizes = flat(ready, "sizes")
+        who, late = np.repeat(np.arange(len(sizes)), sizes), flat(ready, "later")
+        mine = flat(table, "sizes")
+        if len(mine):
+            owner = np.repeat(len(sizes) + np.arange(len(mine)), mine)
+            high, low, start = flat(table, "high"), flat(table, "low"), flat(table, "start")
+            order = np.lexsort((start, key[owner], low, high))
+            owner, start, high, low = owner[order], start[order], high[order], low[order]
             at = _heads(high, low)
-            first = np.repeat(at, np.diff(np.append(at, len(who))))
-            later = (key[who] != key[who[first]]) | (start != start[first])
-            if later.any():
-                docs, lists = _grouped(who[later], start[later])
-                out.append(pa.table([pa.array(key[docs]), pa.array(tag[docs]), lists], out_schema.names).cast(out_schema))
-        return pa.concat_tables(out) if out else out_schema.empty_table()
+            first = np.repeat(at, np.diff(np.append(at, len(owner))))
+            later = (key[owner] != key[owner[first]]) | (start != start[first])
+            who, late = np.concatenate([who, owner[later]]), np.concatenate([late, start[later]])
+        if not len(who):
+            return schema.empty_table()
+        each, docs, part, size, lists = _by_group(who, group, late)
+        return pa.table(
+            [pa.array(each), _lists(key[docs], part), _lists(tag[docs], part), size, lists], schema=schema
+        )
 
-    routed = rows.select("key", "tag", "codes", "text").mapInArrow(route, schema)
+    routed = rows.select("key", "tag", "group", "codes", "text").mapInArrow(route, schema)
     met = routed.repartition(buckets, "bucket").groupBy("bucket")
-    return met.applyInArrow(settle, "key bigint, tag bigint, starts array<int>")
+    return met.applyInArrow(
+        settle, "group int, key array<bigint>, tag array<bigint>, sizes array<int>, starts array<int>"
+    )
 
 
 def repeats(
@@ -310,7 +341,9 @@ def repeats(
     table gives no rows.
 
     Texts are scanned where they lie; packed hashes go to buckets whose number
-    grows with the words. Only documents with a hit are compared further.
+    grows with the words. What a bucket finds goes back packed by group of
+    documents, where it meets their texts. Only documents with a hit are
+    compared further.
     """
     spark = docs.sparkSession
     shared_dir(spark)
@@ -319,61 +352,60 @@ def repeats(
     size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), size // 6 // BUCKET + 1)
 
-    hits = _anchors(rows, window, buckets)
-    hits = hits.groupBy(F.col("handle").alias("_handle")).agg(
-        F.flatten(F.collect_set("codes")).alias("codes")
+    groups = min(max(4 * buckets, size // GROUP + 1), (1 << 31) - 1)
+    rows = rows.withColumn("group", F.pmod("handle", F.lit(groups)).cast("int"))
+    hits = _anchors(rows, window, buckets, groups)
+    columns = (
+        "doc_id bigint, key bigint, tag bigint, group int, codes array<bigint>, text string,"
+        " n_words bigint, kept_sha256 string"
     )
-    joined = rows.join(hits.hint("merge"), F.col("handle") == F.col("_handle"), "left")
-    columns = "doc_id bigint, key bigint, tag bigint, codes array<bigint>, text string, n_words bigint, kept_sha256 string"
 
-    def split(batches):
+    def split(docs: pa.Table, hits: pa.Table) -> pa.Table:
         """Documents without a hit are done; of the others the text goes on."""
-        for batch in T.slices(batches):
-            open_ = batch.column("codes").is_valid().to_pylist()
-            n, sha, left = [], [], []
-            for data, more in zip(T.as_bytes(batch.column("text")), open_):
-                words, digest = _digest(data, None)
-                n.append(words)
-                sha.append(None if more else digest)
-                left.append(data.decode() if more else None)
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in ("doc_id", "key", "tag", "codes")),
-                 pa.array(left, pa.string()), pa.array(n, pa.int64()), pa.array(sha, pa.string())],
-                [c.split()[0] for c in columns.split(", ")],
-            )
+        found = _answers(hits, ["handles"], "codes")
+        made = []
+        for handle, data in zip(docs["handle"].to_pylist(), _texts(docs)):
+            codes = found.get((handle,))
+            n, digest = _digest(data, None)
+            done = codes is None
+            made.append((codes, None if done else data.decode(), n, digest if done else None))
+        codes, left, n, sha = zip(*made) if made else ((), (), (), ())
+        return pa.table(
+            [
+                *(docs[c] for c in ("doc_id", "key", "tag", "group")),
+                pa.array(codes, pa.list_(pa.int64())),
+                pa.array(left, pa.string()),
+                pa.array(n, pa.int64()),
+                pa.array(sha, pa.string()),
+            ],
+            [c.split()[0] for c in columns.split(", ")],
+        )
 
+    both = rows.groupBy("group").cogroup(hits.groupBy("group"))
     at = scratch_path(spark, "repeats")
-    joined.select("doc_id", "key", "tag", "codes", "text").mapInArrow(split, columns).write.option(
-        "compression", "zstd"
-    ).parquet(at)
+    both.applyInArrow(split, columns).write.option("compression", "zstd").parquet(at)
     done = spark.read.parquet(at)
     open_ = done.where("codes IS NOT NULL")
     later = _later(open_, window, buckets)
-    later = later.groupBy(F.col("key").alias("_key"), F.col("tag").alias("_tag")).agg(
-        F.flatten(F.collect_set("starts")).alias("starts")
-    )
-    same = (F.col("key") == F.col("_key")) & (F.col("tag") == F.col("_tag"))
-    met = open_.select("doc_id", "key", "tag", "text").join(later.hint("merge"), same, "left")
     out = "doc_id bigint, n_words bigint, n_removed bigint, removed array<struct<start:bigint,end:bigint>>, kept_sha256 string"
 
-    def finish(batches):
+    def finish(docs: pa.Table, later: pa.Table) -> pa.Table:
         kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-        for batch in T.slices(batches):
-            made = []
-            starts = batch.column("starts")
-            for i, data in enumerate(T.as_bytes(batch.column("text"))):
-                one = starts[i].values
-                spans = _spans(one.to_numpy() if one is not None else np.zeros(0, np.int64), window)
-                n, digest = _digest(data, spans)
-                made.append((n, sum(e - s for s, e in spans), [{"start": s, "end": e} for s, e in spans], digest))
-            n, gone, spans, sha = zip(*made)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(gone, pa.int64()),
-                 pa.array(spans, kind), pa.array(sha, pa.string())],
-                [c.split()[0] for c in out.split(", ")],
-            )
+        found = _answers(later, ["key", "tag"], "starts")
+        made = []
+        for key, tag, data in zip(docs["key"].to_pylist(), docs["tag"].to_pylist(), _texts(docs)):
+            spans = _spans(found.get((key, tag), np.zeros(0, np.int64)), window)
+            n, digest = _digest(data, spans)
+            made.append((n, sum(e - s for s, e in spans), [{"start": s, "end": e} for s, e in spans], digest))
+        n, gone, spans, sha = zip(*made) if made else ((), (), (), ())
+        return pa.table(
+            [docs["doc_id"], pa.array(n, pa.int64()), pa.array(gone, pa.int64()), pa.array(spans, kind),
+             pa.array(sha, pa.string())],
+            [c.split()[0] for c in out.split(", ")],
+        )
 
-    finished = met.select("doc_id", "text", "starts").mapInArrow(finish, out)
+    left = open_.select("doc_id", "key", "tag", "group", "text").groupBy("group")
+    finished = left.cogroup(later.groupBy("group")).applyInArrow(finish, out)
     plain = done.where("codes IS NULL").select(
         "doc_id", "n_words", F.lit(0).cast("bigint").alias("n_removed"),
         F.array().cast("array<struct<start:bigint,end:bigint>>").alias("removed"), "kept_sha256",
@@ -381,6 +413,23 @@ def repeats(
     return plain.unionByName(finished)
 
 
+def _texts(docs: pa.Table) -> list[bytes]:
+    return docs["text"].cast(pa.binary()).to_pylist()
+
+
+def _answers(table: pa.Table, owner: list[str], values: str) -> dict[tuple, np.ndarray]:
+    """Distinct values by owner, out of packed rows."""
+    size = pc.list_flatten(table["sizes"]).to_numpy()
+    if not len(size):
+        return {}
+    names = list(zip(*(pc.list_flatten(table[c]).to_pylist() for c in owner)))
+    flat = pc.list_flatten(table[values]).to_numpy()
+    held: dict[tuple, list[np.ndarray]] = {}
+    for name, part in zip(names, np.split(flat, np.cumsum(size)[:-1])):
+        held.setdefault(name, []).append(part)
+    return {name: np.unique(np.concatenate(parts)) for name, parts in held.items()}
+
+
 def _spans(starts: np.ndarray, window: int) -> list[tuple[int, int]]:
     """Windows by their starts, joined where they overlap or adjoin."""
     if not len(starts):
