@@ -41,12 +41,13 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
             now.select(F.col("low").alias("n"), F.col("high").alias("m"))
         )
         least = both.groupBy("n").agg(F.min("m").alias("least"))
-        least = least.select("n", F.least("n", "least").alias("least"))
+        # Written first: joined as a table of its own, a node with many links is split among tasks.
+        least = least.select("n", F.least("n", "least").alias("least")).checkpoint()
         # To the larger neighbours, the node itself included among the smaller ones.
         large = both.join(least.hint("merge"), "n").where(F.col("m") > F.col("n"))
         large = large.select(F.col("m").alias("high"), F.col("least").alias("low")).distinct()
         large = large.checkpoint()
-        least = large.groupBy("high").agg(F.min("low").alias("least"))
+        least = large.groupBy("high").agg(F.min("low").alias("least")).checkpoint()
         small = large.join(least.hint("merge"), "high")
         now = (
             small.select(F.col("low").alias("high"), F.col("least").alias("low"))

@@ -232,8 +232,8 @@ def near_duplicates(
     codes = codes.persist(StorageLevel.DISK_ONLY)
     roots = C.components(links(codes.select("bits"), distance), "a", "b").checkpoint()
     members = roots.withColumnRenamed("node", "bits").join(codes, "bits")
-    least = members.groupBy("root").agg(F.min("least").alias("component_id"))
-    # A hot root is a group of fingerprints; its one row meets them in a join that can be split.
+    # Written first: joined as a table of its own, a root with many members is split among tasks.
+    least = members.groupBy("root").agg(F.min("least").alias("component_id")).checkpoint()
     linked = members.join(least.hint("merge"), "root").select("bits", "component_id")
     alone = codes.join(linked.select("bits"), "bits", "left_anti")
     named = linked.unionByName(alone.select("bits", F.col("least").alias("component_id")))
