@@ -147,6 +147,45 @@ def test_secret_ledger_scans_once(spark):
     assert ledger.add(table(spark, [])).count() == 0
 
 
+KEY_LINES = "\n".join(["MIIEpAIBAAKCAQEA" + "x+/9" * 12] * 3)
+HEADERS = "Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0123456789ABCDEF"
+BEGIN, END = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+WHOLE_SECRETS = [
+    f"{BEGIN}\n{HEADERS}\n\n{KEY_LINES}\nab==\n{END}",
+    f"{BEGIN}\n{HEADERS}\n\n{KEY_LINES}\nab==",
+    f"{BEGIN}\n{KEY_LINES}",
+    f"{BEGIN}\n{KEY_LINES}\nab".replace("\n", "\\n"),
+    f"{BEGIN} {HEADERS} {KEY_LINES}".replace("\n", " "),
+    f"{BEGIN}\n> {KEY_LINES}".replace("\n", "\r\n> "),
+    f"{BEGIN}\nComment: a-b -- c ----- d\n\n{KEY_LINES}\n{END}",
+    "https://u:" + "p" * 66 + "@",
+    "https://" + "u" * 300 + ":" + "p" * 5000 + "@",
+]
+
+
+@pytest.mark.parametrize("secret", WHOLE_SECRETS)
+def test_secrets_are_cut_whole(secret):
+    spans = lambda t: [(k, s, e) for k, s, e in secrets.Scanner().spans(t) if k in ("pem", "url")]
+    kind = "pem" if secret.startswith(BEGIN) else "url"
+    after = "\nplain words after it - and more" if kind == "pem" else "host"
+    assert spans(f"before {secret}{after}") == [(kind, 7, 7 + len(secret))]
+    assert spans(f"before {secret}") == [(kind, 7, 7 + len(secret))]
+
+
+def test_keys_without_an_end_stop_at_the_next_block():
+    text = f"{BEGIN}\n{KEY_LINES}\n{BEGIN}\n{KEY_LINES}\n{END} - x"
+    at = text.index(BEGIN, 1)
+    assert secrets.Scanner().spans(text) == [("pem", 0, at - 1), ("pem", at, len(text) - 4)]
+    assert secrets.Scanner().spans(f"{BEGIN} is how a key begins, in words") == [("pem", 0, len(BEGIN))]
+
+
+def test_redact_leaves_nothing_of_a_key(spark):
+    rows = [(i, f"before {s} after") for i, s in enumerate(WHOLE_SECRETS)]
+    got = secrets.redact(table(spark, rows)).collect()
+    assert {r["text"].replace("[SECRET]", "").split()[0] for r in got} == {"before"}
+    assert not any("MIIE" in r["text"] or "pppp" in r["text"] or "DEK" in r["text"] for r in got)
+
+
 def test_redact(spark):
     rows = odd_rows() + SECRET
     got = secrets.redact(table(spark, rows), length_col="n_chars").collect()

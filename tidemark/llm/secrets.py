@@ -31,6 +31,18 @@ class Rule:
     any_case: bool = False
 
 
+# A private key runs to its END line. Where another block begins or ends before that, or the text is cut
+# short, it runs over its header lines and its key lines: words of 16 base64 characters or more, and
+# shorter ones alone on a line. Lines may be quoted, or broken by the two characters of an escape.
+_LINE_END = r"""(?:[\x20\t"',;+]*(?:[\r\n]|\\[nr]))"""
+_GAP = r"""(?:[\s>#*|"',;]|\\[nrt])*+"""
+_PEM = (
+    r"-----BEGIN [A-Z ]*PRIVATE KEY-----(?:"
+    r"(?:[^-]++|-(?!----(?:BEGIN|END) ))*+-----END [A-Z ]*PRIVATE KEY-----|"
+    rf"(?:{_LINE_END}{_GAP}[A-Za-z][A-Za-z0-9-]*:(?:(?!\\[nr])[^\r\n])*+|{_GAP}(?:Proc-Type|DEK-Info):\x20*[^\s\\]++)*+"
+    rf"(?:{_GAP}[A-Za-z0-9+/]{{16,}}+={{0,2}}|{_LINE_END}{_GAP}[A-Za-z0-9+/]++={{0,2}}(?={_LINE_END}|[\x20\t\"',;]*\Z))*+)"
+)
+
 # The first three patterns and their least lengths. Spans sort in the order of the kinds.
 RULES = (
     Rule(
@@ -45,9 +57,9 @@ RULES = (
     Rule("hex", r"[0-9a-f]+", (), least=24),
     Rule("bearer", r"Bearer\x20+[A-Za-z0-9._~+/-]{16,}", ("bearer",)),
     Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]*", ("eyj",)),
-    Rule("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----[^-]*(?:-----END [A-Z ]*PRIVATE KEY-----)?", ("private key",)),
+    Rule("pem", _PEM, ("private key",)),
     Rule("prefixed", r"(?:gh[pousr]_|xox[abprs]-|sk_live_|AIza)[A-Za-z0-9_-]{16,}", ("gh", "xox", "sk_live_", "aiza")),
-    Rule("url", r"[a-z][a-z0-9+.-]{1,15}://[^\s/:@]{1,64}:[^\s/:@]{4,64}@", ("://",)),
+    Rule("url", r"[a-z][a-z0-9+.-]{1,15}://[^\s/:@]++:[^\s/:@]{4,}+@", ("://",)),
 )
 
 _HEX = bytes(ord("x") if chr(c) in "0123456789abcdef" else 32 for c in range(256))
