@@ -91,6 +91,37 @@ def test_license_labels(spark):
     assert found == {i: [label] if label else [] for i, label in enumerate(notices.values())}
 
 
+def test_license_notices_that_lack_a_word(spark, tmp_path):
+    notices = {
+        "Licensed under Apache License, Version 2.0": {"apache-2.0-notice": (3, 10, 7 / 8)},
+        "This work is licensed under the GNU General Public License, version 2.": {"gpl-3.0-notice": (3, 14, 11 / 12)},
+        "Released under the BSD license. Licensed under X BY 4.0": {},
+        "Licensed under CC BY-NC 3.0": {"cc-by-nc-4.0-notice": (3, 10, 6 / 7)},
+        "Licensed under CC BY 4.0. Licensed under CC BY-NC 4.0": {
+            "cc-by-4.0-notice": (3, 9, 1.0), "cc-by-nc-4.0-notice": (9, 16, 1.0),
+        },
+        "Licensed under CC BY-NC 4.0. Licensed under CC BY 4.0": {
+            "cc-by-nc-4.0-notice": (3, 10, 1.0), "cc-by-4.0-notice": (10, 16, 1.0),
+        },
+        "Licensed under CC BY 3.0. Licensed under CC BY-NC 4.0": {
+            "cc-by-4.0-notice": (3, 9, 5 / 6), "cc-by-nc-4.0-notice": (9, 16, 1.0),
+        },
+    }
+    rows = [(i, f"eins zwei drei\n{text}\nvier fünf") for i, text in enumerate(notices)]
+    want = dict(enumerate(notices.values()))
+    for r in licenses.scan(table(spark, rows)).collect():
+        hits = [h for h in r["hits"] if not h["base"]]
+        got = {h["label"]: (h["start"], h["end"], h["containment"]) for h in hits + r["near"]}
+        assert got.keys() == want[r["doc_id"]].keys()
+        for label, (start, end, share) in want[r["doc_id"]].items():
+            assert got[label][2] == share and start <= got[label][0] and got[label][1] <= end
+    table(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    for r in queries.op2_license_scan(spark, str(tmp_path)).collect():
+        assert set(want[r["doc_id"]]) == {label for label in r["labels"].split(",") if "-" in label}
+        if want[r["doc_id"]]:
+            assert r["score"] == 1.0 or not r["base_labels"] and r["score"] == max(w[2] for w in want[r["doc_id"]].values())
+
+
 def test_license_arguments(spark):
     with pytest.raises(ValueError):
         licenses.Index({"...": "none"}, (), 0.8)

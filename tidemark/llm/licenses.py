@@ -54,15 +54,25 @@ TEMPLATES = (
     ("cc-by-sa-4.0-notice", "Licensed under CC BY-SA 4.0"),
 )
 THRESHOLD = 0.8
-#: Records with fewer distinct words must be shared whole: in so few, the word that is missing may be
-#: the one that tells two licenses apart.
+#: Words without which a block is no copy of a template, as they tell it from another license.
+MARKS = {
+    "mit-notice": "mit",
+    "apache-2.0-notice": "apache",
+    "gpl-3.0-notice": "general public",
+    "cc-by-4.0-notice": "cc by",
+    "cc-by-nc-4.0-notice": "cc by nc",
+    "cc-by-sa-4.0-notice": "cc by sa",
+}
+#: Templates with fewer distinct words are notices: a block that reaches the threshold but lacks some of
+#: their words (another version, say) is listed apart, in ``near``.
 WHOLE = 16
 #: All records together may hold so many words; the index of them is broadcast.
 MOST_WORDS = 200_000
 
 _COLUMNS = (
     "doc_id bigint, n_words bigint,"
-    " hits array<struct<label:string,base:boolean,start:bigint,end:bigint,containment:double>>"
+    " hits array<struct<label:string,base:boolean,start:bigint,end:bigint,containment:double>>,"
+    " near array<struct<label:string,base:boolean,start:bigint,end:bigint,containment:double>>"
 )
 
 
@@ -75,12 +85,13 @@ class Record:
     sequence: tuple[int, ...]
     need: int
     span: int  # words a block of this record's class starts in; blocks are twice as long
+    marks: frozenset[int] = frozenset()  # tokens that must be among the shared ones
 
 
 class Index:
     """Records by the rarest tokens that a matching block cannot do without."""
 
-    def __init__(self, phrases, templates, threshold: float):
+    def __init__(self, phrases, templates, threshold: float, marks=MARKS):
         self.vocabulary: dict[bytes, int] = {}
         self.records: list[Record] = []
         for label, text, base in [(l, p, True) for p, l in phrases.items()] + [
@@ -92,12 +103,13 @@ class Index:
             ids = tuple(self.vocabulary.setdefault(w, len(self.vocabulary)) for w in found)
             size = len(set(ids))
             # The least overlap whose share of the record reaches the threshold.
-            whole = base or size < WHOLE
-            need = size if whole else next(o for o in range(1, size + 1) if o / size >= threshold)
+            need = size if base else next(o for o in range(1, size + 1) if o / size >= threshold)
             span = 4
             while span < len(ids):
                 span *= 2
-            self.records.append(Record(label, base, ids, need, span))
+            held = T.words(b"" if base else marks.get(label, "").encode(), T.ALNUM_LOWER)
+            held = frozenset(self.vocabulary[w] for part in held for w in part if self.vocabulary.get(w) in ids)
+            self.records.append(Record(label, base, ids, need, span, held))
         if sum(len(r.sequence) for r in self.records) > MOST_WORDS:
             raise ValueError(f"more than {MOST_WORDS} words of phrases and templates")
 
@@ -107,7 +119,13 @@ class Index:
         rank[np.lexsort((np.arange(len(counts)), counts))] = np.arange(len(counts))
         self.rank = rank.tolist()
         self.sorted = [sorted({self.rank[t] for t in r.sequence}) for r in self.records]
-        self.words_of = {r.label: frozenset(r.sequence) for r in self.records if not r.base}
+        self.marks = [{self.rank[t] for t in r.marks} for r in self.records]
+        # The records with the most words first, and for each the templates that have all of its words and more.
+        self.largest = sorted(range(len(self.records)), key=lambda at: -len(self.sorted[at]))
+        self.above = [
+            [o for o, n in enumerate(self.records) if not (r.base or n.base) and set(r.sequence) < set(n.sequence)]
+            for r in self.records
+        ]
         self.prefix: dict[int, list[tuple[int, int]]] = defaultdict(list)
         for at, (r, tokens) in enumerate(zip(self.records, self.sorted)):
             for i, token in enumerate(tokens[: len(tokens) - r.need + 1]):
@@ -131,64 +149,105 @@ class Index:
         A phrase matches where its words stand consecutively. A template matches
         in blocks of twice its class's span, one beginning at every multiple of
         the span, so any stretch up to the span is inside one. The best of
-        overlapping blocks is listed, from its first to its last shared word, but
-        not if it overlaps the match of a template that has all of its words and more.
+        overlapping blocks is listed, by the shortest stretch that has all the
+        shared words. Words in a match of a template do not count for the
+        templates whose words it has all and more.
         """
-        blocks: dict[tuple[int, int], int] = {}
+        blocks: dict[int, dict[int, int]] = defaultdict(dict)
         rank, prefix = self.rank, self.prefix
         for place, token in zip(places, ids):
             for at, i in prefix.get(rank[token], ()):
-                block = place // self.records[at].span
+                block, mine = place // self.records[at].span, blocks[at]
                 for b in (block - 1, block) if block else (block,):
                     # The rarest shared prefix token of a candidate decides its position bound.
-                    if i < blocks.get((at, b), 1 << 30):
-                        blocks[at, b] = i
-        out, best = set(), {}
+                    if i < mine.get(b, 1 << 30):
+                        mine[b] = i
+        out: set[tuple] = set()
         held: dict[tuple[int, int], tuple[int, int, list[int]]] = {}
-        for (at, b), i in blocks.items():
-            r, wanted = self.records[at], self.sorted[at]
-            key = (r.span, b)
-            if key not in held:
-                lo = bisect_left(places, b * r.span)
-                hi = bisect_left(places, (b + 2) * r.span)
-                held[key] = lo, hi, sorted({rank[t] for t in ids[lo:hi]})
-            lo, hi, tokens = held[key]
-            if len(tokens) < r.need:  # length
-                continue
-            j = bisect_left(tokens, wanted[i])
-            if 1 + min(len(wanted) - i - 1, len(tokens) - j - 1) < r.need:  # position
-                continue
-            shared = set(wanted).intersection(tokens)
-            if len(shared) < r.need:
-                continue
-            if r.base:
-                first, size = r.sequence[0], len(r.sequence)
-                for x in range(lo, hi - size + 1):
-                    if (
-                        ids[x] == first
-                        and places[x + size - 1] - places[x] == size - 1
-                        and tuple(ids[x : x + size]) == r.sequence
-                    ):
-                        out.add((r.label, True, places[x], places[x] + size, 1.0))
+        matched: dict[int, list[tuple[int, int, float]]] = {}
+        for at in self.largest:
+            if at not in blocks:
                 continue
-            inside = [places[x] for x in range(lo, hi) if rank[ids[x]] in shared]
-            best[at, b] = (len(shared) / len(wanted), inside[0], inside[-1] + 1)
-        last: dict[int, tuple[int, int, float]] = {}
-        for (at, _), (share, start, end) in sorted(best.items(), key=lambda x: (x[0][0], x[1][1])):
-            before = last.get(at)
-            if before and start < before[1]:  # overlapping blocks of one record: the best stays
-                if share <= before[2]:
+            r, wanted, best = self.records[at], self.sorted[at], []
+            gone = None
+            for start, end, _ in (m for o in self.above[at] for m in matched.get(o, ())):
+                gone = gone or bytearray(len(places))
+                lo, hi = bisect_left(places, start), bisect_left(places, end)
+                gone[lo:hi] = b"\x01" * (hi - lo)
+            for b, i in blocks[at].items():
+                key = (r.span, b)
+                if key not in held:
+                    lo = bisect_left(places, b * r.span)
+                    hi = bisect_left(places, (b + 2) * r.span)
+                    held[key] = lo, hi, sorted({rank[t] for t in ids[lo:hi]})
+                lo, hi, tokens = held[key]
+                if gone and any(gone[lo:hi]):
+                    tokens = sorted({rank[ids[x]] for x in range(lo, hi) if not gone[x]})
+                if len(tokens) < r.need:  # length
+                    continue
+                j = bisect_left(tokens, wanted[i])
+                if 1 + min(len(wanted) - i - 1, len(tokens) - j - 1) < r.need:  # position
+                    continue
+                shared = set(wanted).intersection(tokens)
+                if len(shared) < r.need or not self.marks[at] <= shared:
+                    continue
+                if r.base:
+                    first, size = r.sequence[0], len(r.sequence)
+                    for x in range(lo, hi - size + 1):
+                        if (
+                            ids[x] == first
+                            and places[x + size - 1] - places[x] == size - 1
+                            and tuple(ids[x : x + size]) == r.sequence
+                        ):
+                            out.add((r.label, True, places[x], places[x] + size, 1.0))
                     continue
-                out.discard((self.records[at].label, False, *before))
-            last[at] = start, end, share
-            out.add((self.records[at].label, False, start, end, share))
-        found = [m for m in out if not m[1]]
-        for m in found:  # part of a longer notice
-            part = self.words_of[m[0]]
-            if any(n[2] < m[3] and m[2] < n[3] and part < self.words_of[n[0]] for n in found):
-                out.discard(m)
+                inside = [x for x in range(lo, hi) if rank[ids[x]] in shared and not (gone and gone[x])]
+                start, end = _shortest(r.sequence, inside, places, ids, len(shared))
+                best.append((start, end, len(shared) / len(wanted)))
+            kept: list[tuple[int, int, float]] = []
+            for m in sorted(best):
+                if kept and m[0] < kept[-1][1]:  # overlapping blocks of one record: the best stays
+                    if m[2] <= kept[-1][2]:
+                        continue
+                    kept.pop()
+                kept.append(m)
+            matched[at] = kept
+            out.update((r.label, False, *m) for m in kept)
         return sorted(out, key=lambda m: (m[2], m[3], m[0]))
 
+    def short(self) -> set[str]:
+        """Labels of the templates under ``WHOLE`` distinct words."""
+        return {r.label for r in self.records if not r.base and len(set(r.sequence)) < WHOLE}
+
+
+def _shortest(sequence, inside: list[int], places: array, ids: array, size: int) -> tuple[int, int]:
+    """Start and end of the shortest stretch with ``size`` distinct tokens; of equals, the one most in order."""
+    counts: dict[int, int] = defaultdict(int)
+    left, least, found = 0, 1 << 62, []
+    for x in inside:
+        counts[ids[x]] += 1
+        while counts[ids[inside[left]]] > 1:
+            counts[ids[inside[left]]] -= 1
+            left += 1
+        length = places[x] - places[inside[left]]
+        if len(counts) == size and length <= least:
+            if length < least:
+                least, found = length, []
+            found.append((inside[left], x))
+    if len(found) > 1:
+        found.sort(key=lambda w: -_in_order(sequence, ids[w[0] : w[1] + 1]))
+    return places[found[0][0]], places[found[0][1]] + 1
+
+
+def _in_order(a, b) -> int:
+    """Length of the longest common subsequence."""
+    row = [0] * (len(b) + 1)
+    for x in a:
+        before = 0
+        for j, y in enumerate(b, 1):
+            before, row[j] = row[j], before + 1 if x == y else max(row[j], row[j - 1])
+    return row[-1]
+
 
 def scan(
     docs: DataFrame,
@@ -197,18 +256,22 @@ def scan(
     phrases: dict[str, str] = PHRASES,
     templates=TEMPLATES,
     threshold: float = THRESHOLD,
+    marks: dict[str, str] = MARKS,
 ) -> DataFrame:
-    """``doc_id``, ``n_words`` and ``hits`` (label, base, start, end, containment) per row.
+    """``doc_id``, ``n_words``, ``hits`` and ``near`` (label, base, start, end, containment) per row.
 
-    Every block whose share of a template's distinct words reaches the threshold
-    (all of them for short templates) is found, and every place of a phrase. One pass counts the vocabulary's words
+    Every block whose share of a template's distinct words reaches the threshold,
+    with the template's ``marks`` among them, is found, and every place of a
+    phrase. Blocks that lack some of a short template's words are in ``near``,
+    all others in ``hits``. One pass counts the vocabulary's words
     in all texts; the next looks only at blocks that hold one of a record's
     rarest words and could still share enough of it by length and position.
     Null, empty and wordless texts have no hits; repeated rows stay; an empty
     table gives no rows. Only the vocabulary's counts come to the driver.
     """
     spark = docs.sparkSession
-    index = Index(phrases, templates, threshold)
+    index = Index(phrases, templates, threshold, marks)
+    short = index.short()
     rows = T.narrow(docs, id_col, text_col)
 
     def count(batches):
@@ -231,16 +294,16 @@ def scan(
     def run(batches):
         ours = shared.value
         for batch in T.slices(batches):
-            sizes, hits = [], []
+            sizes, hits, near = [], [], []
             for data in T.as_bytes(batch.column(1)):
                 n, places, ids = ours.tokens(data)
                 sizes.append(n)
-                hits.append(
-                    [
-                        dict(zip(("label", "base", "start", "end", "containment"), m))
-                        for m in (ours.match(places, ids) if len(ids) else ())
-                    ]
-                )
+                listed = [], []
+                for m in ours.match(places, ids) if len(ids) else ():
+                    apart = m[0] in short and not m[1] and m[4] < 1
+                    listed[apart].append(dict(zip(("label", "base", "start", "end", "containment"), m)))
+                hits.append(listed[0])
+                near.append(listed[1])
             kind = pa.list_(
                 pa.struct(
                     [("label", pa.string()), ("base", pa.bool_()), ("start", pa.int64()),
@@ -248,8 +311,8 @@ def scan(
                 )
             )
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(hits, kind)],
-                ["doc_id", "n_words", "hits"],
+                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(hits, kind), pa.array(near, kind)],
+                ["doc_id", "n_words", "hits", "near"],
             )
 
     return rows.mapInArrow(run, _COLUMNS)

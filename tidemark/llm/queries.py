@@ -33,6 +33,7 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = licenses.scan(_table(spark, sf_dir, "documents"))
     base = F.filter("hits", lambda h: h["base"])
+    every = F.concat("hits", "near")
     return found.select(
         "doc_id",
         "n_words",
@@ -40,8 +41,8 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array_min(F.transform(base, lambda h: h["start"])).alias("first_word"),
         F.array_max(F.transform(base, lambda h: h["start"])).alias("last_word"),
         _labels(base).alias("base_labels"),
-        _labels(F.col("hits")).alias("labels"),
-        F.coalesce(F.array_max(F.transform("hits", lambda h: h["containment"])), F.lit(0.0)).alias("score"),
+        _labels(every).alias("labels"),
+        F.coalesce(F.array_max(F.transform(every, lambda h: h["containment"])), F.lit(0.0)).alias("score"),
     )
 
 
