@@ -77,6 +77,42 @@ def test_values_after_the_first_are_named(spark, tmp_path):
     assert [(r.file.rsplit("/", 1)[1], r.reason) for r in bad.collect()] == [("two.json", "more than one value")]
 
 
+GOES_ON = {
+    "lines.json": '{"id":"a"}\n{"id":"b"}\n',
+    "pretty.json": '{\n"id":\n"a{"}\n{\n"id":\n"b"\n}',
+    "arrays.json": '[\n{"id":"a"},\n{"id":"b"}\n]\n[]',
+    "tail.json": '[{"id":"a}\\""}\n] tail',
+    "closer.json": '{"id":"a"}}',
+    "cut.json": '{"id":"a"} {"id":"b',
+    "string.json": '{"id":"a"}\n"b"',
+    "wide.json": '{"id":"' + "a" * (1 << 21) + '"}\n{"id":"b"}',
+}
+ONE_VALUE = {
+    "one.json": ' \n[ {"id":"a}{\\"]["}, {"id":"it\'s", "n": 1}\n] \n\n',
+    "mark.json": "\ufeff" + '{"id":"a"}\n',
+    "single.json": "{'id': 'a\"}{'}",
+    "empty.json": "[]",
+}
+
+
+def test_files_that_go_on_are_named_at_any_size_and_layout(spark, tmp_path):
+    for name, text in {**GOES_ON, **ONE_VALUE}.items():
+        write(tmp_path, name, text)
+    write(tmp_path, "zip.json.gz", gzip.compress(GOES_ON["pretty.json"].encode()))
+    write(tmp_path, "zipped.json.gz", gzip.compress(ONE_VALUE["one.json"].encode()))
+    several = "\n".join(json.dumps({"id": f"k{i}", "n": i, "t": "}{" * 40 + "'"}, indent=1) for i in range(20_000))
+    write(tmp_path, "several.json", several)
+    write(tmp_path, "array.json", "[" + ",".join(json.dumps({"id": f'"{i}', "t": "it's {" * 9}) for i in range(20_000)) + "]")
+    for split in ("128m", "100k"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+        try:
+            bad = json_records.read_json(spark, str(tmp_path), SCHEMA, key="id").rejects.collect()
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        named = [r.file.rsplit("/", 1)[1] for r in bad if r.reason == "more than one value"]
+        assert sorted(named) == sorted([*GOES_ON, "several.json", "zip.json.gz"])
+
+
 def test_lines(spark, tmp_path):
     write(tmp_path, "l.json", '{"id":"a","n":1}\n{"id":"b","n":"x"}\n{"n":3}\ncut {\n{"id":"c"}\n')
     good, bad = json_records.read_json(spark, str(tmp_path), SCHEMA, "id", multiline=False)

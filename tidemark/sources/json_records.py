@@ -2,16 +2,24 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from typing import NamedTuple
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BAD_TEXT = "_bad_text"
-#: Multiline files up to this size are looked at for values after the first, and lines up to that length.
-LOOKED_AT, LINE = 256 << 20, 1 << 20
+
+_STRING = re.compile(rb'"(?:[^"\\]|\\.)*+"|\'(?:[^\'\\]|\\.)*+\'', re.DOTALL)
+_REST = {q: re.compile(rb"(?:[^%b\\]|\\.)*+%b" % (q, q), re.DOTALL) for q in (b'"', b"'")}
+_STEP = np.zeros(256, np.int8)
+_STEP[list(b"[{")], _STEP[list(b"]}")] = 1, -1
+#: Bytes between values, with those of a byte order mark.
+_BLANK = np.isin(np.arange(256), list(b" \t\r\n\x00\xef\xbb\xbf"))
 
 
 class Records(NamedTuple):
@@ -38,9 +46,9 @@ def read_json(
     the wrong type is rejected alone. A file that is not JSON from start to end
     of its value, or lists something other than objects, is rejected once, with
     its text. What follows the first value of a multiline file is not read, as
-    by Spark's reader: JSON lines are for ``multiline=False``. A file up to
-    ``LOOKED_AT`` bytes whose first line is a value by itself, with more lines
-    after it, is named in the rejects. Rejects carry ``file``, ``reason`` and the
+    by Spark's reader: JSON lines are for ``multiline=False``. A file that goes on
+    after its first array or object, whatever its size and lines, is named in the
+    rejects. Rejects carry ``file``, ``reason`` and the
     bad text.
     """
     fields = as_struct(schema)
@@ -88,17 +96,95 @@ def read_json(
 
 
 def _second_values(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    """``file`` and ``reason`` of files that go on after a value that ends with their first line."""
-    lines = spark.read.text(path).select(
+    """``file`` and ``reason`` of files that go on after their first array or object.
+
+    Files are read in splits and cut at ``{``, so that no piece is longer than a
+    record, and every split is summed up: see ``_walk``. What a split holds
+    depends on the string it begins in, so later splits are summed up for each.
+    """
+    pieces = spark.read.option("lineSep", "{").text(path).select(
         F.col("_metadata.file_path").alias("file"),
-        F.struct("_metadata.file_block_start", F.monotonically_increasing_id()).alias("at"),
-        F.when(F.length("value") <= LINE, F.col("value")).alias("value"),
-        F.col("_metadata.file_size").alias("size"),
+        F.col("_metadata.file_block_start").alias("start"),
+        F.col("value").cast("binary").alias("value"),
     )
-    lines = lines.where((F.col("size") <= LOOKED_AT) & (F.coalesce(F.trim("value"), F.lit("-")) != ""))
-    files = lines.groupBy("file").agg(F.min_by("value", "at").alias("first"), F.count("*").alias("n"))
-    several = (F.col("n") > 1) & F.try_parse_json("first").isNotNull()
-    return files.where(several).select("file", F.lit("more than one value").alias("reason"))
+    names = ["file", "start", "before", "after", "depth", "least", "opened", "rest", "first"]
+    schema = "file string, start long, before string, after string, depth long, least long, opened long, rest boolean, first string"
+
+    def sum_up(batches):
+        key, sums = None, {}
+
+        def rows():
+            if key is None:
+                return
+            listed = [(*key, before.decode(), s[0].decode(), *s[1:5], s[5].decode()) for before, s in sums.items()]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*listed)], names)
+
+        for batch in batches:
+            files, starts, values = (c.to_pylist() for c in batch.columns)
+            at = 0
+            while at < len(files):
+                end = at + 1
+                while end < len(files) and files[end] == files[at] and starts[end] == starts[at]:
+                    end += 1
+                if key != (files[at], starts[at]):
+                    yield from rows()
+                    key = files[at], starts[at]
+                    sums = {q: (q, 0, 0, 0, False, b"") for q in ((b'"', b"'", b"") if starts[at] else (b"",))}
+                    data = b"{" if starts[at] else b""
+                else:
+                    data = b"{"
+                data += b"{".join(values[at:end])
+                sums = {q: _joined(s, _walk(data, s[0])) for q, s in sums.items()}
+                at = end
+        yield from rows()
+
+    @F.udf("boolean")
+    def goes_on(splits):
+        whole = (b"", 0, 0, 0, False, b"")
+        by = {(s["start"], s["before"]): s for s in splits}
+        for start in sorted({s["start"] for s in splits}):
+            s = by[start, whole[0].decode()]
+            whole = _joined(whole, (s["after"].encode(), *(s[n] for n in names[4:8]), s["first"].encode()))
+        _, _, least, opened, rest, first = whole
+        return first in (b"[", b"{") and (least < 0 or opened + rest > 1)
+
+    splits = pieces.mapInArrow(sum_up, schema)
+    files = splits.groupBy("file").agg(F.collect_list(F.struct(*names[1:])).alias("splits"))
+    return files.where(goes_on("splits")).select("file", F.lit("more than one value").alias("reason"))
+
+
+def _walk(data: bytes, quote: bytes) -> tuple:
+    """A stretch of JSON that begins inside a string (``quote``) or outside (empty), summed up.
+
+    The quote it ends in; how much deeper it ends; the least depth, from its
+    beginning; the arrays and objects opened there; whether anything else stands
+    there; the first byte that is not blank.
+    """
+    if quote:
+        rest = _REST[quote].match(data)
+        if not rest:
+            return quote, 0, 0, 0, True, b"s"
+        data = b"s" + data[rest.end() :]
+    data = _STRING.sub(b"s", data)
+    cut = min((at for q in _REST if (at := data.find(q)) >= 0), default=-1)
+    quote = data[cut : cut + 1] if cut >= 0 else b""
+    a = np.frombuffer(data[:cut] + b"s" if quote else data, np.uint8)
+    a = a[~_BLANK[a]]
+    if not len(a):
+        return quote, 0, 0, 0, False, b""
+    step = _STEP[a]
+    depth = np.cumsum(step, dtype=np.int64)
+    least = min(0, int(depth.min()))
+    opened = int(np.count_nonzero((step == 1) & (depth == least + 1)))
+    rest = bool(((step == 0) & (depth == least)).any())
+    return quote, int(depth[-1]), least, opened, rest, bytes(a[:1]) if a[0] < 128 else b"s"
+
+
+def _joined(a: tuple, b: tuple) -> tuple:
+    """What ``_walk`` gives for a stretch and the one after it."""
+    least = min(a[2], a[1] + b[2])
+    low = [s for s, at in ((a, a[2]), (b, a[1] + b[2])) if at == least]
+    return b[0], a[1] + b[1], least, sum(s[3] for s in low), any(s[4] for s in low), a[5] or b[5]
 
 
 def parse_records(text: Column, schema: str | T.StructType) -> Column:
