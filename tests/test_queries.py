@@ -4,6 +4,7 @@ import pytest
 
 import __spark_entry__ as spec
 from check import compare, connect
+from tidemark.plans import queries
 from tidemark.plans.oracles import ORACLES
 from tidemark.plans.queries import QUERIES
 
@@ -29,6 +30,36 @@ def test_query(spark, sf, con, name):
     assert compare(mine, con.sql(ORACLES[name]).to_arrow_table()) == ""
 
 
+@pytest.mark.parametrize(
+    "name", ["json_whole_files", "json_mixed_file", "card_load", "notification_upsert", "notification_outcomes"]
+)
+def test_files_grow_with_the_rows(spark, sf, con, name, monkeypatch):
+    monkeypatch.setattr(queries, "FILE_ROWS", 5 if name in ("json_mixed_file", "card_load") else 1)
+    made = []
+    scratch = queries.storage.scratch_path
+    monkeypatch.setattr(
+        queries.storage, "scratch_path", lambda s, n: made.append((n, scratch(s, n))) or made[-1][1]
+    )
+    mine = QUERIES[name](spark, sf).toArrow()
+    assert compare(mine, con.sql(ORACLES[name]).to_arrow_table()) == ""
+    kinds = {"accounts-json": "supplier", "orders-array": "orders", "cards": "customer", "uploads": "supplier"}
+    kind, path = next(m for m in made if m[0] in kinds)
+    if kind == "uploads":
+        path += f"/{queries.BUCKET}/{queries.fixed.DATA_PREFIX}accounts"
+    files = spark.read.text(path).select("_metadata.file_path").distinct().count()
+    rows = spark.read.parquet(f"{sf}/{kinds[kind]}.parquet").count()
+    assert files >= rows // 10
+
+
+def test_large_groups_are_sliced(spark, monkeypatch):
+    monkeypatch.setattr(queries, "FILE_ROWS", 10)
+    rows = spark.range(1000).selectExpr("id", "CASE WHEN id < 900 THEN 'hot' ELSE 'x' || id END AS part")
+    sizes = [r["count"] for r in queries._sliced(rows, "id", "part").groupBy("part", "slice").count().collect()]
+    assert sum(sizes) == 1000 and max(sizes) < 40 and len(sizes) > 150
+    number = queries._file_of(rows, "id", 8).alias("n")
+    assert 90 < rows.select(number).distinct().count() <= 100
+
+
 def test_entry(spark):
     prompts = spec.entry(spark)
     assert prompts.columns == ["question_id", "prompt"]

@@ -60,6 +60,22 @@ def _orders_json(spark, sf) -> str:
     return path
 
 
+#: Rows to a file that holds them as one array: the number of files grows with the table.
+FILE_ROWS = 50_000
+
+
+def _file_of(rows, key, least):
+    """The number of a row's file, by a hash of its key."""
+    return F.pmod(F.xxhash64(key), F.lit(max(least, -(-rows.count() // FILE_ROWS))))
+
+
+def _sliced(rows, key, *groups):
+    """Rows with the ``slice`` of their group that they are in; a group has as many as its rows ask for."""
+    sizes = rows.groupBy(*groups).agg(F.ceil(F.count("*") / FILE_ROWS).alias("_n"))
+    rows = rows.join(F.broadcast(sizes), list(groups))
+    return rows.withColumn("slice", F.pmod(F.xxhash64(key), F.col("_n"))).drop("_n")
+
+
 @query
 def json_typed_read(spark, sf):
     path = _orders_json(spark, sf)
@@ -97,18 +113,24 @@ def json_rejects(spark, sf):
 
 @query
 def json_whole_files(spark, sf):
-    """The accounts of a nation in one file, over several lines; every fourth file is cut short."""
+    """The accounts of a nation in files of their own, over several lines; those of every fourth are cut short.
+
+    A nation whose files are cut short is listed once, however many they are.
+    """
     path = storage.scratch_path(spark, "accounts-json")
     accounts = _supplier_accounts(spark, sf)
     record = F.replace(F.to_json(F.struct(*accounts.columns)), F.lit(","), F.lit(",\n"))
-    files = accounts.groupBy("nation").agg(F.array_join(F.collect_list(record), ",").alias("all"))
+    files = _sliced(accounts, "account_id", "nation").groupBy("nation", "slice").agg(
+        F.array_join(F.collect_list(record), ",").alias("all")
+    )
     end = F.when(F.col("nation") % 4 != 0, "]").otherwise("")
-    files.select(F.concat(F.lit("["), "all", end).alias("value"), F.col("nation").alias("part")).write.partitionBy(
-        "part"
-    ).text(path)
+    text = F.concat(F.lit("["), "all", end).alias("value")
+    files.select(text, F.col("nation").alias("part"), "slice").write.partitionBy("part", "slice").text(path)
     schema = "account_id BIGINT, holder STRING, nation INT, balance DOUBLE"
-    records = json_records.read_json(spark, path, schema, "account_id")
-    return _good_and_bad(records, "account_id", "holder", "nation", "balance")
+    columns = ["account_id", "holder", "nation", "balance"]
+    good, bad = json_records.read_json(spark, path, schema, "account_id")
+    bad = bad.withColumn("_of", F.regexp_extract("file", r"/part=(\d+)/", 1))
+    return _good_and_bad((good, bad.dropDuplicates(["_of", "reason", *columns])), *columns)
 
 
 def _orders_array(spark, sf, bad, **options) -> str:
@@ -121,7 +143,8 @@ def _orders_array(spark, sf, bad, **options) -> str:
     )
     rest = F.to_json(F.struct("o_orderkey", "o_custkey", "o_orderstatus", day, "o_orderpriority"))
     record = F.concat(F.substring(rest, F.lit(1), F.length(rest) - 1), F.lit(","), F.substring(raw, F.lit(2), F.length(raw)))
-    orders = table(spark, sf, "orders").select((F.col("o_orderkey") % 16).alias("part"), record.alias("r"))
+    orders = table(spark, sf, "orders")
+    orders = orders.select(_file_of(orders, "o_orderkey", 16).alias("part"), record.alias("r"))
     grouped = orders.groupBy("part").agg(F.array_join(F.collect_list("r"), ",\n").alias("all"))
     text = F.concat(F.lit("["), F.col("all"), F.lit("]"))
     grouped.select(text.alias("value"), "part").write.partitionBy("part").options(**options).text(path)
@@ -169,7 +192,7 @@ def _card_files(spark, sf) -> str:
             F.when(F.col("c_nationkey") != 3, "EUR").alias("currency"),
         )
     )
-    listed = customers.select((F.col("c_custkey") % 8).alias("part"), card.alias("card"))
+    listed = customers.select(_file_of(customers, "c_custkey", 8).alias("part"), card.alias("card"))
     grouped = listed.groupBy("part").agg(F.array_join(F.collect_list("card"), ",").alias("all"))
     text = F.concat(F.lit("["), F.col("all"), F.lit("]"))
     grouped.select(text.alias("value"), "part").write.partitionBy("part").text(path)
@@ -821,17 +844,23 @@ def _event_json(message_id, body):
     )
 
 
-def _body(key):
-    """A message body for one uploaded object."""
+def _body(*keys):
+    """A message body for uploaded objects."""
+    return _bodies(F.array(*keys))
+
+
+def _bodies(keys):
+    """A message body for a list of uploaded objects."""
     return F.to_json(
         F.struct(
-            F.array(
-                F.struct(
+            F.transform(
+                keys,
+                lambda key: F.struct(
                     F.struct(
                         F.struct(F.lit(BUCKET).alias("name")).alias("bucket"),
                         F.struct(key.alias("key")).alias("object"),
                     ).alias("s3")
-                )
+                ),
             ).alias("Records")
         )
     )
@@ -863,8 +892,8 @@ def notification_refs(spark, sf):
 def _run_notifications(spark, sf) -> NotificationJob:
     """Supplier accounts uploaded over a table of customer accounts.
 
-    Suppliers are uploaded by nation and half of their numbers, one file and one
-    message for each. Every nation also has a message about a file that does not
+    Suppliers are uploaded by nation and half of their numbers, one message for
+    each, which names all its files. Every nation also has a message about a file that does not
     exist. Suppliers of the first nation come in a message without identifier,
     and each event has a copy that is cut short.
     """
@@ -872,16 +901,18 @@ def _run_notifications(spark, sf) -> NotificationJob:
     accounts = _supplier_accounts(spark, sf)
     record = F.to_json(F.struct(*accounts.columns))
     part = F.concat_ws("-", "nation", F.col("account_id") % 2)
-    files = accounts.groupBy(part.alias("part"), "nation").agg(
+    sliced = _sliced(accounts.withColumn("part", part), "account_id", "part")
+    files = sliced.groupBy("part", "slice").agg(
         F.concat(F.lit("["), F.array_join(F.collect_list(record), ","), F.lit("]")).alias("value")
     )
     folder = f"{BUCKET}/{fixed.DATA_PREFIX}accounts"
-    files.select("part", "value").write.partitionBy("part").text(f"{root}/{folder}")
-    written = spark.read.text(f"{root}/{folder}").select("part", F.col("_metadata.file_name").alias("name"))
-    key = F.concat(F.lit(f"{fixed.DATA_PREFIX}accounts/part="), "part", F.lit("/"), "name")
-    good = written.select(
+    files.select("part", "slice", "value").write.partitionBy("part", "slice").text(f"{root}/{folder}")
+    written = spark.read.text(f"{root}/{folder}").select("part", "slice", F.col("_metadata.file_name").alias("name"))
+    prefix = F.lit(f"{fixed.DATA_PREFIX}accounts/part=")
+    key = F.concat(prefix, "part", F.lit("/slice="), F.col("slice").cast("string"), F.lit("/"), "name")
+    good = written.groupBy("part").agg(F.sort_array(F.collect_list(F.url_encode(key))).alias("keys")).select(
         F.when(~F.col("part").startswith("0-"), F.concat(F.lit("s-"), "part")).alias("message_id"),
-        _body(F.url_encode(key)).alias("body"),
+        _bodies(F.col("keys")).alias("body"),
     )
     lost = table(spark, sf, "nation").select(
         F.concat(F.lit("n-"), F.col("n_nationkey").cast("string")).alias("message_id"),
