@@ -12,6 +12,7 @@ from tidemark.llm import (
     minhash,
     mixing,
     quality,
+    resample,
     secrets,
     simhash,
     substrings,
@@ -123,6 +124,11 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("held_out", held)
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = resample.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -136,12 +142,22 @@ QUERIES = {
         op8_toxicity,
         op9_substring_dedup,
         op10_quality,
+        op11_importance_resampling,
     )
 }
 
 _LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = rf"regexp_extract_all({_LOWERED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
+# CRC-32 by its table, which is made from the polynomial; ``x`` is the text in hex.
+_CRC_TABLE = """steps(i, j, c) AS (
+  SELECT i, 0, i::BIGINT FROM range(256) AS t(i)
+  UNION ALL
+  SELECT i, j + 1, CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM steps WHERE j < 8),
+crc AS (SELECT list(c ORDER BY i) AS t FROM steps WHERE j = 8)"""
+_CRC = """xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, len(x) + 1, 2),
+  lambda k: ('0x' || x[k:k + 1])::BIGINT)), lambda a, b: xor(a >> 8, t[xor(a, b) % 256 + 1])), 4294967295)"""
+
 ORACLES = {
     "op6_decontamination": f"""
 WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
@@ -222,4 +238,31 @@ kept AS (
 SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(len(ps), 0)::BIGINT AS n_removed,
   sha256(coalesce(kept.t, '')) AS kept_sha256
 FROM d LEFT JOIN gone ON d.doc_id = gone.doc_id LEFT JOIN kept ON d.doc_id = kept.doc_id""",
+    "op11_importance_resampling": f"""
+WITH RECURSIVE {_CRC_TABLE},
+d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents),
+f AS (SELECT r, unnest(w) AS word FROM d),
+b AS (SELECT unnest({_WORDS}) AS word FROM benchmark),
+words AS (SELECT word, hex(encode(word)) AS x FROM (SELECT word FROM f UNION SELECT word FROM b)),
+bucket AS (SELECT word, {_CRC} % 10000 AS bucket FROM words, crc),
+s AS (SELECT bucket, count(*) AS s FROM f JOIN bucket USING (word) GROUP BY bucket),
+t AS (SELECT bucket, count(*) AS t FROM b JOIN bucket USING (word) GROUP BY bucket),
+gain AS (
+  SELECT bucket, floor(1000 * ln((coalesce(t, 0) + 1)::DOUBLE * ((SELECT count(*) FROM f) + 10000)
+    / ((s + 1)::DOUBLE * ((SELECT count(*) FROM b) + 10000))))::BIGINT AS gain
+  FROM s LEFT JOIN t USING (bucket)),
+weights AS (SELECT r, floor(sum(gain)::DOUBLE / count(*))::BIGINT AS weight
+  FROM f JOIN bucket USING (word) JOIN gain USING (bucket) GROUP BY r),
+scored AS (
+  SELECT doc_id, len(w)::BIGINT AS n_features, coalesce(weight, 0) AS weight,
+    coalesce(weight, 0) + floor(-1000 * ln(-ln(
+      (('0x' || substr(sha256('2024:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT + 0.5::DOUBLE)
+      / 4294967296::DOUBLE)))::BIGINT AS score
+  FROM d LEFT JOIN weights USING (r)),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id NULLS FIRST, n_features) AS k,
+    count(*) OVER (PARTITION BY n_features >= 20) AS n FROM scored)
+SELECT doc_id, n_features, weight, score,
+  CASE WHEN n_features >= 20 AND k <= 10 * n // 100 THEN k END AS rank
+FROM ranked""",
 }
