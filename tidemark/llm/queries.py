@@ -11,6 +11,8 @@ from tidemark.llm import (
     licenses,
     minhash,
     mixing,
+    near_vectors,
+    prefix_tree,
     quality,
     resample,
     secrets,
@@ -129,6 +131,14 @@ def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_features", "weight", "score", "rank")
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_tree.prefix_tree(_table(spark, sf_dir, "conversations"), shared=(20, 4))
+
+
+def op13_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors.near_vectors(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -143,6 +153,8 @@ QUERIES = {
         op9_substring_dedup,
         op10_quality,
         op11_importance_resampling,
+        op12_prefix_trie,
+        op13_embedding_near_dedup,
     )
 }
 
@@ -265,4 +277,54 @@ ranked AS (
 SELECT doc_id, n_features, weight, score,
   CASE WHEN n_features >= 20 AND k <= 10 * n // 100 THEN k END AS rank
 FROM ranked""",
+    "op12_prefix_trie": rf"""
+WITH RECURSIVE {_CRC_TABLE},
+o AS (
+  SELECT conv_id AS c, md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS k,
+    len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS words,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) - 1 AS pos
+  FROM conversations WHERE conv_id IS NOT NULL),
+n AS (SELECT c, hex(encode(c::VARCHAR)) AS x FROM (SELECT DISTINCT c FROM o)),
+convs AS (SELECT c, c - c % 20 AS base, {_CRC} % 4 AS h FROM n, crc),
+given AS (SELECT convs.c, pos, k, words FROM convs JOIN o ON o.c = base WHERE pos < h),
+turns AS (
+  SELECT * FROM given
+  UNION ALL SELECT c, 1000000 + pos, k, words FROM o JOIN convs USING (c) WHERE pos >= h),
+seq AS (
+  SELECT c, coalesce(list(k ORDER BY pos) FILTER (k IS NOT NULL), []) AS s,
+    coalesce(list(words ORDER BY pos) FILTER (k IS NOT NULL), []) AS w
+  FROM convs LEFT JOIN turns USING (c) GROUP BY c),
+paths AS (
+  SELECT c, d, s[1:d] AS p, CASE WHEN d > 0 THEN w[d] ELSE 0 END AS words, len(s) = d AS ends
+  FROM seq, unnest(range(0, len(s) + 1)) AS t(d)),
+nodes AS (
+  SELECT p, d, min(c) AS c, count(*) AS n, (count(*) - 1) * any_value(words) AS gain,
+    sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (ends), '')) AS sha
+  FROM paths GROUP BY p, d),
+children AS (SELECT p[1:d - 1] AS p, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY ALL),
+whole AS (SELECT nodes.*, coalesce(n_children, 0) AS n_children FROM nodes LEFT JOIN children USING (p)),
+below AS (
+  SELECT p[1:a] AS p, sum((n_children = 0)::INT) AS n_leaves, sum(gain) AS saved
+  FROM whole, unnest(range(0, d + 1)) AS t(a) GROUP BY ALL)
+SELECT whole.c::BIGINT AS conv_id, whole.d::BIGINT AS depth, up.c::BIGINT AS parent_conv_id, whole.n::BIGINT AS n_convs,
+  whole.n_children::BIGINT AS n_children, n_leaves::BIGINT AS n_leaves, saved::BIGINT AS saved_tokens, whole.sha AS ends_sha256
+FROM whole JOIN below USING (p) LEFT JOIN nodes up ON whole.d > 0 AND up.p = whole.p[1:whole.d - 1]""",
+    "op13_embedding_near_dedup": """
+WITH RECURSIVE v AS (
+  SELECT row_number() OVER () AS r, vec_id, label, embedding::DOUBLE[] AS e FROM embeddings),
+u AS (
+  SELECT r, vec_id, label, e FROM v
+  WHERE label IS NOT NULL AND e IS NOT NULL AND len(e) > 0 AND list_aggregate(e, 'count') = len(e)
+    AND len(list_filter(e, lambda x: NOT isfinite(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.r AS a, b.r AS b FROM u a JOIN u b ON a.label = b.label AND a.r <> b.r AND len(a.e) = len(b.e)
+  WHERE list_dot_product(a.e, b.e) >= 0.93::DOUBLE * sqrt(list_dot_product(a.e, a.e)) * sqrt(list_dot_product(b.e, b.e))),
+reach(r, other) AS (
+  SELECT r, r FROM v
+  UNION
+  SELECT reach.r, links.b FROM reach JOIN links ON links.a = reach.other),
+named AS (SELECT reach.r, min(v.vec_id) AS component_id FROM reach JOIN v ON v.r = reach.other GROUP BY reach.r),
+degrees AS (SELECT a AS r, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, coalesce(vec_id = component_id, false) AS kept
+FROM v JOIN named USING (r) LEFT JOIN degrees USING (r)""",
 }
