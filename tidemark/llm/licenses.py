@@ -54,26 +54,8 @@ TEMPLATES = (
     ("cc-by-sa-4.0-notice", "Licensed under CC BY-SA 4.0"),
 )
 THRESHOLD = 0.8
-#: Words without which a block is no copy of a template, as they tell it from another license.
-MARKS = {
-    "mit-notice": "mit",
-    "apache-2.0-notice": "apache",
-    "gpl-3.0-notice": "general public",
-    "cc-by-4.0-notice": "cc by",
-    "cc-by-nc-4.0-notice": "cc by nc",
-    "cc-by-sa-4.0-notice": "cc by sa",
-}
-#: Templates with fewer distinct words are notices: a block that reaches the threshold but lacks some of
-#: their words (another version, say) is listed apart, in ``near``.
-WHOLE = 16
-#: All records together may hold so many words; the index of them is broadcast.
-MOST_WORDS = 200_000
-
-_COLUMNS = (
-    "doc_id bigint, n_words bigint,"
-    " hits array<struct<label:string,base:boolean,start:bigint,end:bigint,containment:double>>,"
-    " near array<struct<label:string,base:boolean,start:bigint,end:bigint,containment:double>>"
-)
+_HITS = "array<struct<label:string,base:boolean,start:bigint,end:bigint,containment:double>>"
+_COLUMNS = f"doc_id bigint, n_words bigint, hits {_HITS}, best string"
 
 
 @dataclass(frozen=True)
@@ -85,13 +67,12 @@ class Record:
     sequence: tuple[int, ...]
     need: int
     span: int  # words a block of this record's class starts in; blocks are twice as long
-    marks: frozenset[int] = frozenset()  # tokens that must be among the shared ones
 
 
 class Index:
     """Records by the rarest tokens that a matching block cannot do without."""
 
-    def __init__(self, phrases, templates, threshold: float, marks=MARKS):
+    def __init__(self, phrases, templates, threshold: float):
         self.vocabulary: dict[bytes, int] = {}
         self.records: list[Record] = []
         for label, text, base in [(l, p, True) for p, l in phrases.items()] + [
@@ -107,11 +88,7 @@ class Index:
             span = 4
             while span < len(ids):
                 span *= 2
-            held = T.words(b"" if base else marks.get(label, "").encode(), T.ALNUM_LOWER)
-            held = frozenset(self.vocabulary[w] for part in held for w in part if self.vocabulary.get(w) in ids)
-            self.records.append(Record(label, base, ids, need, span, held))
-        if sum(len(r.sequence) for r in self.records) > MOST_WORDS:
-            raise ValueError(f"more than {MOST_WORDS} words of phrases and templates")
+            self.records.append(Record(label, base, ids, need, span))
 
     def order(self, counts: np.ndarray) -> None:
         """Put tokens in ascending order of their count in the corpus, and cut the prefixes."""
@@ -119,13 +96,6 @@ class Index:
         rank[np.lexsort((np.arange(len(counts)), counts))] = np.arange(len(counts))
         self.rank = rank.tolist()
         self.sorted = [sorted({self.rank[t] for t in r.sequence}) for r in self.records]
-        self.marks = [{self.rank[t] for t in r.marks} for r in self.records]
-        # The records with the most words first, and for each the templates that have all of its words and more.
-        self.largest = sorted(range(len(self.records)), key=lambda at: -len(self.sorted[at]))
-        self.above = [
-            [o for o, n in enumerate(self.records) if not (r.base or n.base) and set(r.sequence) < set(n.sequence)]
-            for r in self.records
-        ]
         self.prefix: dict[int, list[tuple[int, int]]] = defaultdict(list)
         for at, (r, tokens) in enumerate(zip(self.records, self.sorted)):
             for i, token in enumerate(tokens[: len(tokens) - r.need + 1]):
@@ -148,10 +118,10 @@ class Index:
 
         A phrase matches where its words stand consecutively. A template matches
         in blocks of twice its class's span, one beginning at every multiple of
-        the span, so any stretch up to the span is inside one. The best of
+        the span, so any stretch up to the span is inside one. Each template is
+        judged on its own words, whatever else matches there. The best of
         overlapping blocks is listed, by the shortest stretch that has all the
-        shared words. Words in a match of a template do not count for the
-        templates whose words it has all and more.
+        shared words.
         """
         blocks: dict[int, dict[int, int]] = defaultdict(dict)
         rank, prefix = self.rank, self.prefix
@@ -164,32 +134,22 @@ class Index:
                         mine[b] = i
         out: set[tuple] = set()
         held: dict[tuple[int, int], tuple[int, int, list[int]]] = {}
-        matched: dict[int, list[tuple[int, int, float]]] = {}
-        for at in self.largest:
-            if at not in blocks:
-                continue
+        for at, mine in blocks.items():
             r, wanted, best = self.records[at], self.sorted[at], []
-            gone = None
-            for start, end, _ in (m for o in self.above[at] for m in matched.get(o, ())):
-                gone = gone or bytearray(len(places))
-                lo, hi = bisect_left(places, start), bisect_left(places, end)
-                gone[lo:hi] = b"\x01" * (hi - lo)
-            for b, i in blocks[at].items():
+            for b, i in mine.items():
                 key = (r.span, b)
                 if key not in held:
                     lo = bisect_left(places, b * r.span)
                     hi = bisect_left(places, (b + 2) * r.span)
                     held[key] = lo, hi, sorted({rank[t] for t in ids[lo:hi]})
                 lo, hi, tokens = held[key]
-                if gone and any(gone[lo:hi]):
-                    tokens = sorted({rank[ids[x]] for x in range(lo, hi) if not gone[x]})
                 if len(tokens) < r.need:  # length
                     continue
                 j = bisect_left(tokens, wanted[i])
                 if 1 + min(len(wanted) - i - 1, len(tokens) - j - 1) < r.need:  # position
                     continue
                 shared = set(wanted).intersection(tokens)
-                if len(shared) < r.need or not self.marks[at] <= shared:
+                if len(shared) < r.need:
                     continue
                 if r.base:
                     first, size = r.sequence[0], len(r.sequence)
@@ -201,7 +161,7 @@ class Index:
                         ):
                             out.add((r.label, True, places[x], places[x] + size, 1.0))
                     continue
-                inside = [x for x in range(lo, hi) if rank[ids[x]] in shared and not (gone and gone[x])]
+                inside = [x for x in range(lo, hi) if rank[ids[x]] in shared]
                 start, end = _shortest(r.sequence, inside, places, ids, len(shared))
                 best.append((start, end, len(shared) / len(wanted)))
             kept: list[tuple[int, int, float]] = []
@@ -211,13 +171,18 @@ class Index:
                         continue
                     kept.pop()
                 kept.append(m)
-            matched[at] = kept
             out.update((r.label, False, *m) for m in kept)
         return sorted(out, key=lambda m: (m[2], m[3], m[0]))
 
-    def short(self) -> set[str]:
-        """Labels of the templates under ``WHOLE`` distinct words."""
-        return {r.label for r in self.records if not r.base and len(set(r.sequence)) < WHOLE}
+    def best(self, matches: list[tuple]) -> str | None:
+        """The likeliest template of a text: most of its words, then least besides, then the longest."""
+        sizes = {r.label: len(set(r.sequence)) for r in self.records if not r.base}
+
+        def order(m):
+            shared = m[4] * sizes[m[0]]
+            return -m[4], -round(shared / (m[3] - m[2]), 9), -shared, m[0]
+
+        return min((m for m in matches if not m[1]), key=order, default=(None,))[0]
 
 
 def _shortest(sequence, inside: list[int], places: array, ids: array, size: int) -> tuple[int, int]:
@@ -256,22 +221,22 @@ def scan(
     phrases: dict[str, str] = PHRASES,
     templates=TEMPLATES,
     threshold: float = THRESHOLD,
-    marks: dict[str, str] = MARKS,
 ) -> DataFrame:
-    """``doc_id``, ``n_words``, ``hits`` and ``near`` (label, base, start, end, containment) per row.
+    """``doc_id``, ``n_words``, ``hits`` (label, base, start, end, containment) and ``best`` per row.
 
-    Every block whose share of a template's distinct words reaches the threshold,
-    with the template's ``marks`` among them, is found, and every place of a
-    phrase. Blocks that lack some of a short template's words are in ``near``,
-    all others in ``hits``. One pass counts the vocabulary's words
-    in all texts; the next looks only at blocks that hold one of a record's
-    rarest words and could still share enough of it by length and position.
-    Null, empty and wordless texts have no hits; repeated rows stay; an empty
-    table gives no rows. Only the vocabulary's counts come to the driver.
+    Every block whose share of a template's distinct words reaches the threshold
+    is in ``hits``, and every place of a phrase. Templates that look alike are
+    all listed, each with the share of its own words; ``best`` names the template
+    with the largest share, of equals the one with the fewest words in between.
+    One pass counts the vocabulary's words in all texts; the next looks only at
+    blocks that hold one of a record's rarest words and could still share enough
+    of it by length and position. Null, empty and wordless texts have no hits;
+    repeated rows stay; an empty table gives no rows. Phrases and templates are
+    the caller's own lists; their words are broadcast, and only the counts of
+    these words come to the driver.
     """
     spark = docs.sparkSession
-    index = Index(phrases, templates, threshold, marks)
-    short = index.short()
+    index = Index(phrases, templates, threshold)
     rows = T.narrow(docs, id_col, text_col)
 
     def count(batches):
@@ -294,16 +259,13 @@ def scan(
     def run(batches):
         ours = shared.value
         for batch in T.slices(batches):
-            sizes, hits, near = [], [], []
+            sizes, hits, best = [], [], []
             for data in T.as_bytes(batch.column(1)):
                 n, places, ids = ours.tokens(data)
+                found = ours.match(places, ids) if len(ids) else []
                 sizes.append(n)
-                listed = [], []
-                for m in ours.match(places, ids) if len(ids) else ():
-                    apart = m[0] in short and not m[1] and m[4] < 1
-                    listed[apart].append(dict(zip(("label", "base", "start", "end", "containment"), m)))
-                hits.append(listed[0])
-                near.append(listed[1])
+                hits.append([dict(zip(("label", "base", "start", "end", "containment"), m)) for m in found])
+                best.append(ours.best(found))
             kind = pa.list_(
                 pa.struct(
                     [("label", pa.string()), ("base", pa.bool_()), ("start", pa.int64()),
@@ -311,8 +273,8 @@ def scan(
                 )
             )
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(hits, kind), pa.array(near, kind)],
-                ["doc_id", "n_words", "hits", "near"],
+                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(hits, kind), pa.array(best, pa.string())],
+                ["doc_id", "n_words", "hits", "best"],
             )
 
     return rows.mapInArrow(run, _COLUMNS)

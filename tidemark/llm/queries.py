@@ -36,7 +36,6 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = licenses.scan(_table(spark, sf_dir, "documents"))
     base = F.filter("hits", lambda h: h["base"])
-    every = F.concat("hits", "near")
     return found.select(
         "doc_id",
         "n_words",
@@ -44,8 +43,8 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array_min(F.transform(base, lambda h: h["start"])).alias("first_word"),
         F.array_max(F.transform(base, lambda h: h["start"])).alias("last_word"),
         _labels(base).alias("base_labels"),
-        _labels(every).alias("labels"),
-        F.coalesce(F.array_max(F.transform(every, lambda h: h["containment"])), F.lit(0.0)).alias("score"),
+        _labels(F.col("hits")).alias("labels"),
+        F.coalesce(F.array_max(F.transform("hits", lambda h: h["containment"])), F.lit(0.0)).alias("score"),
     )
 
 
@@ -170,7 +169,42 @@ crc AS (SELECT list(c ORDER BY i) AS t FROM steps WHERE j = 8)"""
 _CRC = """xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, len(x) + 1, 2),
   lambda k: ('0x' || x[k:k + 1])::BIGINT)), lambda a, b: xor(a >> 8, t[xor(a, b) % 256 + 1])), 4294967295)"""
 
+
+
+def _license_rows() -> str:
+    """Label, base, words in order, distinct words and block span of every phrase and template, as SQL values."""
+    index = licenses.Index(licenses.PHRASES, licenses.TEMPLATES, licenses.THRESHOLD)
+    words = [w.decode() for w in index.vocabulary]
+    return ",\n  ".join(
+        f"('{r.label}', {r.base}, {[words[t] for t in r.sequence]}, {sorted({words[t] for t in r.sequence})}, {r.span})"
+        for r in index.records
+    )
+
+
 ORACLES = {
+    "op2_license_scan": rf"""
+WITH records(label, base, seq, toks, span) AS (VALUES
+  {_license_rows()}),
+d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents),
+phrases AS (
+  SELECT r, label, s - 1 AS s
+  FROM d, records, unnest(range(1, len(w) - len(seq) + 2)) AS t(s)
+  WHERE base AND len(w) >= len(seq) AND w[s] = seq[1] AND w[s:s + len(seq) - 1] = seq),
+shares AS (
+  SELECT r, label, len(list_intersect(list_distinct(w[b + 1:b + 2 * span]), toks))::DOUBLE / len(toks) AS share
+  FROM d, records, unnest(range(0, len(w), span)) AS t(b) WHERE NOT base),
+found AS (
+  SELECT r, label, true AS base, s, 1.0::DOUBLE AS share FROM phrases
+  UNION ALL SELECT r, label, false, NULL, share FROM shares WHERE share >= 0.8::DOUBLE),
+total AS (
+  SELECT r, count(*) FILTER (base) AS n_base, min(s) AS first_word, max(s) AS last_word, max(share) AS score,
+    string_agg(DISTINCT label, ',' ORDER BY label) FILTER (base) AS base_labels,
+    string_agg(DISTINCT label, ',' ORDER BY label) AS labels
+  FROM found GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word::BIGINT AS first_word,
+  last_word::BIGINT AS last_word, coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
+  coalesce(score, 0)::DOUBLE AS score
+FROM d LEFT JOIN total USING (r)""",
     "op6_decontamination": f"""
 WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
 b AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
