@@ -3,22 +3,26 @@
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Labelled rows a classifier is fitted on, at most. Documented bound of the sample.
 SAMPLE = 20_000
+#: Different texts of one id among them, at most.
+PER_ID = 16
 
 
 def labelled(
     docs: DataFrame, labels: DataFrame, label_col: str, id_col: str, text_col: str, path: str,
-    train: Column | None = None, most: int = SAMPLE,
+    train: Column | None = None, most: int = SAMPLE, per_id: int = PER_ID,
 ) -> DataFrame:
-    """``doc_id``, ``text``, ``label`` (0 or 1) of at most ``most`` labelled ids, written to ``path``.
+    """``doc_id``, ``text``, ``label`` (0 or 1) of at most ``most`` labelled rows, written to ``path``.
 
-    Which ids, decides a hash of the id. Several labels of an id count as the
-    largest; null labels and null ids as none. ``train`` filters ids. The ids
-    are at most ``most`` numbers, so they are broadcast.
+    Which ids, decides a hash of the id; which ``per_id`` texts of an id that has
+    more, a hash of the text. Rows equal in both count once. Several labels of an
+    id count as the largest; null labels and null ids as none. ``train`` filters
+    ids. Ids, and pairs of id and hash, are ``most`` numbers at most, so they are
+    broadcast; an id that holds a third of all rows sends its hashes only.
     """
     ids = labels.select(F.col(id_col).cast("bigint").alias(id_col), F.col(label_col).cast("int").alias("label"))
     ids = ids.where(F.col(id_col).isNotNull() & F.col("label").isNotNull())
@@ -31,7 +35,13 @@ def labelled(
         F.col(id_col).cast("bigint").alias("doc_id"),
         F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
     )
-    rows.join(F.broadcast(ids), F.col("doc_id") == F.col("_id")).drop("_id").write.parquet(path)
+    rows = rows.join(F.broadcast(ids), F.col("doc_id") == F.col("_id")).drop("_id")
+    rows = rows.withColumn("tag", F.xxhash64("text"))
+    nth = F.row_number().over(Window.partitionBy("doc_id").orderBy("tag"))
+    keys = rows.select("doc_id", "tag").distinct().withColumn("nth", nth).where(F.col("nth") <= per_id)
+    keys = keys.orderBy(F.xxhash64("doc_id"), "doc_id", "tag").limit(most).select("doc_id", "tag")
+    chosen = rows.join(F.broadcast(keys), ["doc_id", "tag"]).dropDuplicates(["doc_id", "tag"])
+    chosen.drop("tag").write.parquet(path)
     return docs.sparkSession.read.parquet(path)
 
 

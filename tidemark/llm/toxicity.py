@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import re
 import unicodedata
+from bisect import bisect_right
 from collections import Counter
 from dataclasses import dataclass
 
@@ -30,16 +31,22 @@ THRESHOLD = 0.3
 #: Lengths of the stems that are learned, in letters.
 STEM = (3, 12)
 LEAST_DOCS = 4
+#: Beginnings of words that are weighed as stems at most, the most frequent ones.
+MOST_STEMS = 200_000
 
 # Letters of other scripts that look like Latin ones.
 _LOOKALIKES = str.maketrans(
     "аеорсхуіјѕһԁԛԝкмтвнгαεορνικτυχ",
     "aeopcxyijshdqwkmtbhraeopviktux",
 )
-_DIGITS = str.maketrans("013457@$!", "oieastasi")
-_OTHER = re.compile(r"[^\x00-ɏ]")
-_MIXED = re.compile(r"(?<=[^\W\d_])[013457@$]+|[013457@$]+(?=[^\W\d_])|(?<=[^\W\d_])!(?=[^\W\d_])")
+_DIGITS = str.maketrans("013457@$!|", "oieastasii")
+_OTHER = re.compile(r"[^\x00-\u024f]")
+_ACCENTED = re.compile(r"[\u00c0-\u024f\u1e00-\u1eff]+")
+_MARKS = "013457@$!|"
+_MIXED = re.compile(rf"(?<=[^\W\d_])[{_MARKS}]+(?=[^\W\d_])|(?<=[^\W\d_])[013457@$]+|[013457@$]+(?=[^\W\d_])")
 _WORD = re.compile(r"[^\W\d_]+")
+_BLANKS = re.compile(r"\s+")
+_SOME = re.compile(r"\S")
 
 
 def _fold_table() -> dict:
@@ -54,15 +61,35 @@ def _fold_table() -> dict:
     return table
 
 
-_FOLD = _fold_table()
+def _accent_table() -> dict:
+    """Accented Latin letters as the letter that their decomposition begins with."""
+    table = {}
+    for cp in [*range(0xC0, 0x250), *range(0x1E00, 0x1F00)]:
+        letter = unicodedata.normalize("NFD", chr(cp))[0].lower()
+        if letter != chr(cp) and "a" <= letter <= "z":
+            table[cp] = "i" if letter == "l" else letter
+    return table
+
+
+_FOLD, _ACCENTS = _fold_table(), _accent_table()
 
 
 def fold(text: str) -> str:
-    """Lower case, lookalike letters as Latin ones, digits in words as the letters they stand for."""
+    """Lower case, lookalike letters as Latin ones, signs in words as the letters they stand for.
+
+    The letters i and l, the digit 1 and the signs ! and | look alike: inside a
+    word they all are i. Runs of blanks are one space.
+    """
     text = text.lower()
     if _OTHER.search(text):
         text = text.translate(_FOLD)
-    return _MIXED.sub(lambda m: m[0].translate(_DIGITS), text)
+    text = _MIXED.sub(lambda m: m[0].translate(_DIGITS), text)
+    return _BLANKS.sub(" ", text.replace("l", "i"))
+
+
+def bare(folded: str) -> str:
+    """A folded text, letter by letter without accents; itself where it has none."""
+    return _ACCENTED.sub(lambda m: m[0].translate(_ACCENTS), folded)
 
 
 @dataclass(frozen=True)
@@ -79,39 +106,69 @@ class Matcher:
 
     def __init__(self, stems, exceptions):
         self.automaton = ahocorasick.Automaton()
-        for phrase in exceptions:
-            self.automaton.add_word(phrase, (len(phrase), None))
+        self.exceptions = tuple(map(fold, exceptions))
+        for phrase in self.exceptions:
+            self.automaton.add_word(phrase, (len(phrase), None, True))
+        seeds = tuple(map(fold, SEED))
         for stem, weight in stems:
-            self.automaton.add_word(stem, (len(stem), weight))
+            stem = fold(stem)
+            loose = any(seed.startswith(stem) or stem.startswith(seed) for seed in seeds)
+            self.automaton.add_word(stem, (len(stem), weight, loose))
         self.some = len(self.automaton) > 0
         if self.some:
             self.automaton.make_automaton()
 
     def hits(self, folded: str) -> list[tuple[int, int, float]]:
-        """(start, end, weight) in the folded text, the longest stem of a word only."""
+        """(start, end, weight) in the folded text, the longest stem of a word only.
+
+        Words match as they are; the seed's and exceptions also without accents.
+        Learned stems do not: accents tell words of other languages apart. Both
+        forms have the same places.
+        """
         if not self.some:
             return []
         hidden, found = [], {}
-        for last, (size, weight) in self.automaton.iter(folded):
-            start = last + 1 - size
-            if start and folded[start - 1].isalpha():
-                continue
-            if weight is None:
-                if last + 1 == len(folded) or not folded[last + 1].isalpha():
-                    hidden.append((start, last + 1))
-            elif start not in found or found[start][0] < last + 1:
-                found[start] = last + 1, weight
-        return [
-            (s, e, w) for s, (e, w) in sorted(found.items())
-            if not any(a <= s and e <= b for a, b in hidden)
-        ]
-
-
-def _pieces(text: str, size: int = T.PIECE):
-    """A long text in pieces cut at spaces, for folding piece by piece."""
-    at = 0
+        plain = bare(folded)
+        for form in (folded,) if plain == folded else (folded, plain):
+            for last, (size, weight, loose) in self.automaton.iter(form):
+                start = last + 1 - size
+                if start and form[start - 1].isalpha() or form is not folded and not loose:
+                    continue
+                if weight is None:
+                    if last + 1 == len(form) or not form[last + 1].isalpha():
+                        hidden.append((start, last + 1))
+                elif start not in found or found[start][0] < last + 1:
+                    found[start] = last + 1, weight
+        if not hidden:
+            return [(s, e, w) for s, (e, w) in sorted(found.items())]
+        hidden.sort()
+        begins, ends, far = [a for a, _ in hidden], [], 0
+        for _, b in hidden:
+            far = max(far, b)
+            ends.append(far)
+        out = []
+        for s, (e, w) in sorted(found.items()):
+            at = bisect_right(begins, s) - 1
+            if at < 0 or ends[at] < e:
+                out.append((s, e, w))
+        return out
+
+
+def _pieces(text: str, exceptions=(), size: int = T.PIECE):
+    """A long text in pieces cut at blanks, outside of exception phrases, for folding piece by piece."""
+    at, far = 0, 2 * max(map(len, exceptions), default=0) + 2
     while len(text) - at > size:
         end = text.find(" ", at + size)
+        while end >= 0:
+            after = _SOME.search(text, end)
+            if not after:
+                end = -1
+                break
+            before = fold(text[at:end].rstrip()[-far:])
+            around = f"{before} {fold(text[after.start() : after.start() + far])}"
+            if not any(p in around for p in exceptions):
+                break
+            end = text.find(" ", after.start() + far)
         if end < 0:
             break
         yield text[at:end]
@@ -122,9 +179,8 @@ def _pieces(text: str, size: int = T.PIECE):
 def feature(text: str, matcher: Matcher) -> float:
     """Weight of all hits over the root of the number of words."""
     weight, words = 0.0, 0
-    for piece in _pieces(text):
-        folded = fold(piece)
-        weight += sum(h[2] for h in matcher.hits(folded))
+    for piece in _pieces(text, matcher.exceptions):
+        weight += sum(h[2] for h in matcher.hits(fold(piece)))
         words += len(piece.split())
     return math.log1p(max(0.0, weight) / math.sqrt(words + 1))
 
@@ -139,8 +195,8 @@ def train(
     A stem is the beginning of a word whose share of toxic documents is surely
     above that of others: its log ratio less two standard errors counts. Of the
     beginnings of one word the most telling stays. Seed stems stay unless the
-    labels speak against them. All that comes to the driver is bounded by the
-    sample. Without labels the seed and a fixed score are used.
+    labels speak against them. At most ``MOST_STEMS`` beginnings and one number
+    per row of the sample come to the driver. Without labels the seed and a fixed score are used.
     """
     spark = docs.sparkSession
     shared_dir(spark)
@@ -171,8 +227,9 @@ def train(
     schema = "stem string, n bigint"
     seen = rows.where("label = 1").select("text").mapInArrow(counted(None), schema)
     often = seen.groupBy("stem").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST_DOCS)
+    often = often.orderBy(F.desc("n"), "stem").limit(MOST_STEMS)
     toxic = dict(often.toPandas().itertuples(index=False))
-    wanted = spark.sparkContext.broadcast(frozenset(toxic) | frozenset(SEED))
+    wanted = spark.sparkContext.broadcast(frozenset(toxic) | frozenset(map(fold, SEED)))
     clean = rows.where("label = 0").select("text").mapInArrow(counted(wanted), schema)
     other = dict(clean.groupBy("stem").agg(F.sum("n").alias("n")).toPandas().itertuples(index=False))
     wanted.unpersist()
@@ -207,7 +264,7 @@ def choose_stems(toxic: dict, other: dict, bad: int, good: int) -> tuple[tuple[s
             continue
         chosen[stem] = min(weight, 8.0)
         begun.update(stem[:k] for k in range(STEM[0], len(stem)))
-    for stem in SEED:
+    for stem in map(fold, SEED):
         covered = any(stem[:k] in chosen for k in range(STEM[0], len(stem) + 1))
         if not covered and toxic.get(stem, 0) * good >= other.get(stem, 0) * bad:
             chosen[stem] = SEED_WEIGHT
