@@ -210,16 +210,79 @@ def test_batches_of_files(job, tmp_path):
     assert {r.batch for r in job.outcomes().collect()} == {0, 1, 2}
 
 
-def test_nothing_comes_to_the_driver(job, tmp_path, monkeypatch):
-    """Neither paths nor messages: only bucket numbers and counts of the table are collected."""
+def test_messages_of_one_file_in_batches(job, tmp_path):
+    for i in range(25):
+        upload(tmp_path, f"data/{i}.json", {"card_id": f"k{i % 20}", "amount": float(i)})
+    notices = [event((f"m{i}", notice(f"data/{i}.json")), (f"x{i}", "no")) for i in range(0, 25)]
+    notify(tmp_path, "e.json", *notices)
+    run(job, messages_per_batch=15)
+    got = job.outcomes().groupBy("batch", "part").agg(F.count("*").alias("n")).collect()
+    assert sorted(map(tuple, got)) == [(0, 0, 15), (0, 1, 15), (0, 2, 15), (0, 3, 5)]
+    firsts = {r.message_id for r in job.outcomes().where("part = 0").collect()}
+    assert firsts == {f"{c}{i}" for i in range(7) for c in "mx"} | {"m7"}
+    amounts = dict(rows(job.table.read()))
+    assert all(amounts[f"k{i}"] == (i + 20 if i < 5 else i) for i in range(20))
+
+
+def test_a_thousand_messages_make_a_hundred_batches(job, tmp_path, monkeypatch):
+    notify(tmp_path, "e.json", *[event(*[(f"m{i}-{j}", notice()) for j in range(8)]) for i in range(125)])
+    seen = []
+    monkeypatch.setattr(
+        NotificationJob, "_part",
+        lambda self, read, done: (seen.append([r.message_id for r in read.orderBy("place").collect()]),
+                                  read.select("message_id").write.parquet(done)),
+    )
+    run(job)
+    assert [len(s) for s in seen] == [10] * 100
+    assert [m for s in seen for m in s] == [f"m{i}-{j}" for i in range(125) for j in range(8)]
+
+
+def test_a_stopped_batch_goes_on_in_the_middle_of_its_file(job, tmp_path, monkeypatch):
+    for i in range(9):
+        upload(tmp_path, f"data/{i}.json", [{"card_id": f"k{i}", "amount": float(i)}, {"amount": float(i)}])
+    notify(tmp_path, "e.json", event(*[(f"m{i}", notice(f"data/{i}.json")) for i in range(9)]))
+    real, ran = NotificationJob._part, []
+
+    def stops(self, read, done):
+        if "part=2" in done and len(ran) == 2:
+            raise RuntimeError("stopped")
+        ran.append(done[-1])
+        real(self, read, done)
+
+    monkeypatch.setattr(NotificationJob, "_part", stops)
+    query = job.start(wait=None, messages_per_batch=2)
+    with pytest.raises(Exception):
+        query.awaitTermination()
+    assert ran == ["0", "1"] and job.table.count() == 2 + 8
+    ran.append("again")
+    run(job, messages_per_batch=2)
+    assert ran == ["0", "1", "again", "2", "3", "4"]
+    assert job.table.count() == 2 + 18 and len(outcomes(job)) == 9
+
+
+def test_only_a_block_of_paths_comes_to_the_driver(spark, job, tmp_path, monkeypatch):
+    """No messages, bodies or contents; paths in blocks of bounded size."""
     from pyspark.sql.classic.dataframe import DataFrame
 
-    upload(tmp_path, "data/1.json", {"card_id": "a", "amount": 1.0})
-    notify(tmp_path, "e.json", event(("m", notice("data/1.json"))))
+    from tidemark.sources import objects
+
+    for i in range(40):
+        upload(tmp_path, f"data/{i}.json", {"card_id": f"a{i}", "amount": 1.0})
+    notify(tmp_path, "e.json", event(*[(f"m{i}", notice(f"data/{i}.json")) for i in range(40)]))
+    monkeypatch.setattr(objects.object_blocks, "__defaults__", ("path", 8))
     real, seen = DataFrame.collect, []
-    monkeypatch.setattr(DataFrame, "collect", lambda self: seen.append(self.columns) or real(self))
-    run(job)
-    assert all(not {"path", "message_id", "body", "place"} & set(c) for c in seen)
+
+    def collect(self):
+        got = real(self)
+        seen.append((self.columns, len(got)))
+        return got
+
+    monkeypatch.setattr(DataFrame, "collect", collect)
+    run(job, messages_per_batch=None)
+    assert all(not {"message_id", "body", "place", "content"} & set(c) for c, _ in seen)
+    sizes = [n for c, n in seen if "path" in c]
+    assert sum(sizes) == 40 and len(sizes) == 5 and max(sizes) < 20
+    assert job.table.count() == 42
 
 
 @pytest.mark.parametrize("spelled", ["{}", "/{}", "file://{}", "{}/", "/.{}"])
@@ -230,3 +293,16 @@ def test_root_in_any_spelling(job, tmp_path, spelled):
     run(job)
     assert outcomes(job) == [("m", "ok", "")]
     assert ("a", 1.5) in rows(job.table.read())
+
+
+def test_objects_of_a_scheme_that_only_the_session_knows(spark, job, tmp_path):
+    upload(tmp_path, "data/1.json", {"card_id": "a", "amount": 1.5})
+    upload(tmp_path, "data/e.json", "")
+    conf = spark._jsc.hadoopConfiguration()
+    conf.set("fs.viewfs.mounttable.uploads.link./up", f"file://{tmp_path}/objects")
+    notify(tmp_path, "e.json", event(("m", notice("data/1.json")), ("n", notice("data/2.json")), ("o", notice("data/e.json"))))
+    job.object_root = "viewfs://uploads/up"
+    run(job)
+    lost = "missing or empty file"
+    assert outcomes(job) == [("m", "ok", ""), ("n", "failed", lost), ("o", "failed", lost)]
+    assert ("a", 1.5) in rows(job.table.read())

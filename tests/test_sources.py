@@ -177,6 +177,15 @@ def test_objects_keep_odd_names(spark, tmp_path):
     }
 
 
+def test_objects_in_blocks(spark, tmp_path):
+    paths = [write(tmp_path, f"o{i}", "x" * i) for i in range(30)] + [f"{tmp_path}/gone{i}" for i in range(5)]
+    paths.append(write(tmp_path, "_hidden", "x"))
+    df = spark.createDataFrame([(p,) for p in [*paths, None]], "path string")
+    found = {r.path: r.content for r in read_objects(df, block=7).collect()}
+    assert found == {p: b"x" * i if i < 30 else None for i, p in enumerate(paths)}
+    assert read_objects(df.where("false")).collect() == []
+
+
 def test_fit_schema(spark):
     df = spark.createDataFrame([("a", 1, "drop")], "id string, n bigint, other string")
     fitted = json_records.fit_schema(df, SCHEMA)

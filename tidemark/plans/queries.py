@@ -932,7 +932,7 @@ def _run_notifications(spark, sf) -> NotificationJob:
         state=f"{root}/state",
         object_root=_odd_spelling(root),
     )
-    job.start(files_per_batch=4, wait=None).awaitTermination()
+    job.start(files_per_batch=4, wait=None, messages_per_batch=60).awaitTermination()
     return job
 
 

@@ -26,7 +26,7 @@ def read_documents(spark: SparkSession, root: str, bucket: str, prefix: str = ""
         files = (
             spark.read.format("binaryFile")
             .option("recursiveFileLookup", True)
-            .load(_literal(folder))
+            .load(literal_path(folder))
         )
     else:
         files = spark.createDataFrame([], "path string, content binary")
@@ -48,6 +48,6 @@ def read_documents(spark: SparkSession, root: str, bucket: str, prefix: str = ""
     )
 
 
-def _literal(path: str) -> str:
+def literal_path(path: str) -> str:
     """The path with its glob characters escaped."""
     return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)

@@ -1,62 +1,68 @@
-"""Objects by path, opened by the tasks that need them."""
+"""Objects by path, through the session's own file systems."""
 
 from __future__ import annotations
 
-import re
+from collections.abc import Iterator
 
-import pyarrow as pa
-from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Objects that one call of a task holds at once, in bytes, but for a single larger one.
-BATCH_BYTES = 32 << 20
-
-
-def _open(path: str) -> bytes | None:
-    # The file systems of Arrow know s3a and s3n as s3, and local files by their plain path.
-    plain = re.sub("^s3[an]:", "s3:", path)
-    if plain.startswith("file:"):
-        plain = "/" + plain[5:].lstrip("/")
-    if plain.startswith("/"):
-        store, name = fs.LocalFileSystem(), plain
-    else:
-        # The name is taken as it is: a whole URI would be unquoted.
-        root, rest = re.match("([^:/]+://[^/]*)(.*)", plain, re.S).groups()
-        store, base = fs.FileSystem.from_uri(f"{root}/")
-        name = base.rstrip("/") + rest
-    if store.get_file_info(name).type != fs.FileType.File:
-        return None
-    with store.open_input_stream(name) as stream:
-        return stream.read()
-
-
-def read_objects(paths: DataFrame, path: str = "path") -> DataFrame:
-    """``path`` and ``content`` (binary) of each path; null where there is no such object.
-
-    Every task opens its own objects, so nothing is listed and no path comes to
-    the driver. A store that cannot be reached fails the task, which is run again.
+from tidemark.sources import storage
+from tidemark.sources.documents import literal_path
+
+#: Paths that are looked up and read together; so many come to the driver at once.
+BLOCK = 1000
+_SCHEMA = "path string, content binary"
+
+
+def object_blocks(paths: DataFrame, path: str = "path", block: int = BLOCK) -> Iterator[DataFrame]:
+    """``path`` and ``content`` (binary) of the distinct paths, in blocks of about ``block``.
+
+    Spark reads the objects, so every scheme and credential of the session works.
+    The paths of one block come to the driver, which asks the file system for
+    their sizes; contents stay in the tasks. Content is null where there is no
+    such object, or a folder, or a name that Spark hides (first character ``_``
+    or ``.``), and empty for an empty object. Equal objects may have several paths.
+    """
+    spark = paths.sparkSession
+    at = storage.scratch_path(spark, "paths")
+    distinct = paths.select(F.col(path).cast("string").alias("path")).where("path IS NOT NULL").distinct()
+    distinct.write.parquet(at)
+    names = spark.read.parquet(at)
+    blocks = -(-names.count() // block)
+    part = F.pmod(F.xxhash64("path"), F.lit(max(blocks, 1)))
+    for i in range(blocks):
+        yield _read(spark, [r["path"] for r in names.where(part == i).collect()])
+
+
+def _read(spark, names: list[str]) -> DataFrame:
+    found = storage.file_sizes(spark, names)
+    full = [(name, found[name][0]) for name in names if found[name] and found[name][1]]
+    rest = [(name, b"" if found[name] else None) for name in names if not (found[name] and found[name][1])]
+    done = spark.createDataFrame(rest, _SCHEMA)
+    if not full:
+        return done
+    spelled = spark.createDataFrame(full, "path string, object string")
+    read = spark.read.format("binaryFile").load(sorted({literal_path(q) for _, q in full}))
+    read = read.select(F.col("path").alias("object"), "content")
+    return read.join(F.broadcast(spelled), "object").select("path", "content").unionByName(done)
+
+
+def read_objects(paths: DataFrame, path: str = "path", block: int = BLOCK) -> DataFrame:
+    """``path`` and ``content`` of each distinct path, as ``object_blocks`` has them.
+
+    Up to one block is read when the rows are used; more are written to the
+    shared folder, block after block.
     """
-    cores = paths.sparkSession.sparkContext.defaultParallelism
-
-    def fetch(batches):
-        for batch in batches:
-            names, held, size = [], [], 0
-            for name in batch.column(0).to_pylist():
-                data = _open(name)
-                names.append(name)
-                held.append(data)
-                size += len(data or b"")
-                if size >= BATCH_BYTES:
-                    yield _rows(names, held)
-                    names, held, size = [], [], 0
-            yield _rows(names, held)
-
-    dealt = paths.select(F.col(path).alias("path")).distinct().repartition(cores, "path")
-    return dealt.mapInArrow(fetch, "path string, content binary")
-
-
-def _rows(names: list[str], held: list[bytes | None]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array(names, pa.string()), pa.array(held, pa.binary())], ["path", "content"]
-    )
+    spark, at, first = paths.sparkSession, None, None
+    for rows in object_blocks(paths, path, block):
+        if first is None:
+            first = rows
+            continue
+        if at is None:
+            at = storage.scratch_path(spark, "objects")
+            first.write.parquet(at)
+        rows.write.mode("append").parquet(at)
+    if at:
+        return spark.read.schema(_SCHEMA).parquet(at)
+    return spark.createDataFrame([], _SCHEMA) if first is None else first

@@ -5,7 +5,9 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
@@ -49,6 +51,28 @@ def is_file(spark: SparkSession, path: str) -> bool:
     return files.exists(target) and files.getFileStatus(target).isFile()
 
 
+def file_sizes(spark: SparkSession, paths: list[str], threads: int = 16) -> dict[str, tuple[str, int] | None]:
+    """For each path of a bounded list, the file's qualified name and its bytes; None where there is no file.
+
+    Names that Spark hides when it reads (first character ``_`` or ``.``) count as none.
+    """
+
+    def look(path: str) -> tuple[str, int] | None:
+        if path.rstrip("/").rsplit("/", 1)[-1][:1] in ("_", "."):
+            return None
+        files, target = _handle(spark, re.sub("^/+", "/", path))
+        try:
+            status = files.getFileStatus(target)
+        except Py4JJavaError as e:
+            if e.java_exception.getClass().getSimpleName() == "FileNotFoundException":
+                return None
+            raise
+        return (files.makeQualified(target).toString(), status.getLen()) if status.isFile() else None
+
+    with ThreadPoolExecutor(threads) as pool:
+        return dict(zip(paths, pool.map(look, paths)))
+
+
 def child_names(spark: SparkSession, path: str) -> list[str]:
     """Sorted names under a folder; none when it is missing."""
     files, target = _handle(spark, path)
