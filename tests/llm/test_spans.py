@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 from collections import Counter
 
 import pytest
@@ -181,12 +182,54 @@ def test_secret_ledger_scans_once(spark):
     assert ledger.findings().count() == 6  # two unseen texts
     assert rows_of(ledger.spans_of(first), "path") == [(40,), (41,), (42,), (43,), (60,)]
     assert {r["path"]: len(r["spans"]) for r in ledger.spans_of(again).collect()}[61] == 1
-    other = secrets.Ledger(spark, ledger.root, secrets.RULES[:1])
-    other.add(table(spark, SECRET))
-    assert other.version != ledger.version and other.findings().count() == 4
+    assert ledger.blobs().count() == 6 and rows_of(ledger.blobs().select("text").distinct(), "text") == sorted(
+        [(t,) for _, t in SECRET] + [("token=abcdefg",), ("",)], key=repr
+    )
     assert ledger.add(table(spark, [])).count() == 0
 
 
+def test_new_rules_scan_all_of_history_once(spark, monkeypatch):
+    scanned = []
+    real = secrets.Ledger._scanned
+
+    def counted(self, texts):
+        texts = texts.persist()
+        scanned.append(sorted(r["text"] for r in texts.collect()))
+        return real(self, texts)
+
+    monkeypatch.setattr(secrets.Ledger, "_scanned", counted)
+    old = secrets.Ledger(spark, rules=secrets.RULES[:1])
+    old.add(table(spark, [(1, "token=abcdefg"), (2, "AKIA" + "Z" * 16), (3, "token=abcdefg")]))
+    old.add(table(spark, [(1, "changed " + "AKIA" + "Y" * 16), (2, "AKIA" + "Z" * 16)]))
+    new = secrets.Ledger(spark, old.root)
+    assert new.version != old.version and new.findings().count() == 0
+    new.add(table(spark, [(4, "password: hunter2222"), (1, "token=abcdefg")]))
+    texts = ["token=abcdefg", "AKIA" + "Z" * 16, "changed AKIA" + "Y" * 16, "password: hunter2222"]
+    assert [len(s) for s in scanned] == [2, 1, 4]
+    assert sorted(scanned[0] + scanned[1]) == sorted(texts[:3]) and scanned[2] == sorted(texts)
+    new.add(table(spark, [(9, texts[0])]))
+    assert scanned[3] == []
+    want = {(1, texts[0]): ["assign"], (1, texts[2]): ["access"], (2, texts[1]): ["access"], (3, texts[0]): ["assign"],
+            (4, texts[3]): ["assign"], (9, texts[0]): ["assign"]}
+    got = {(r["path"], r["blob"]): [s["kind"] for s in r["spans"]] for r in new.history().collect()}
+    assert got == {(p, sha(t)): kinds for (p, t), kinds in want.items()}
+    assert {len(r["spans"]) for r in old.history().where("path = 2").collect()} == {0}
+
+
+def test_token_rules_take_linear_time():
+    for text in ("eyJ" * 300_000, "eyJabcdefgh." * 100_000, "token " * 100_000, "ghp_" * 200_000, "a://" * 200_000, "Bearer " * 100_000):
+        start = time.perf_counter()
+        secrets.Scanner().spans(text)
+        assert time.perf_counter() - start < 3, text[:20]
+
+
+def test_redact_with_columns_of_inner_names(spark):
+    docs = table(spark, SECRET).withColumns({c: F.lit("mine") for c in ("_blob", "_spans", "_found", "__found", "spans")})
+    got = secrets.redact(docs)
+    assert got.columns == docs.columns
+    assert {r["_blob"] + r["_spans"] + r["_found"] + r["__found"] + r["spans"] for r in got.collect()} == {"mine" * 5}
+
+
 KEY_LINES = "\n".join(["MIIEpAIBAAKCAQEA" + "x+/9" * 12] * 3)
 HEADERS = "Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0123456789ABCDEF"
 BEGIN, END = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"

@@ -56,7 +56,7 @@ RULES = (
     Rule("access", r"AKIA[A-Z0-9]+", ("akia",), least=20),
     Rule("hex", r"[0-9a-f]+", (), least=24),
     Rule("bearer", r"Bearer\x20+[A-Za-z0-9._~+/-]{16,}", ("bearer",)),
-    Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]*", ("eyj",)),
+    Rule("jwt", r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]*+", ("eyj",)),
     Rule("pem", _PEM, ("private key",)),
     Rule("prefixed", r"(?:gh[pousr]_|xox[abprs]-|sk_live_|AIza)[A-Za-z0-9_-]{16,}", ("gh", "xox", "sk_live_", "aiza")),
     Rule("url", r"[a-z][a-z0-9+.-]{1,15}://[^\s/:@]++:[^\s/:@]{4,}+@", ("://",)),
@@ -101,40 +101,67 @@ class Ledger:
     """Texts by the SHA-256 of their UTF-8, and findings by text and rule version.
 
     ``root/versions`` holds (blob, path) of every text ever shown, one folder
-    per increment; ``root/findings`` holds the spans of every blob scanned, by
-    rule version. Both only grow. An increment that fails leaves folders that
-    Spark's writer did not commit, and is simply run again.
+    per increment, ``root/blobs`` one text per blob, and ``root/findings`` the
+    spans of every blob scanned, by rule version. All only grow. An increment
+    that fails leaves folders that Spark's writer did not commit, or texts
+    without findings; either is made good by the next one.
+
+    ``keep=False`` stores no texts: for a ledger that is used once, as blobs of
+    earlier increments are then not scanned under new rules.
     """
 
-    def __init__(self, spark, root: str | None = None, rules=RULES):
-        self.spark, self.rules = spark, tuple(rules)
+    def __init__(self, spark, root: str | None = None, rules=RULES, keep: bool = True):
+        self.spark, self.rules, self.keep = spark, tuple(rules), keep
         self.root = (root or scratch_path(spark, "secret-ledger")).rstrip("/")
         self.version = rule_version(rules)
         self.findings_path = f"{self.root}/findings/{self.version}"
 
+    def _read(self, path: str, schema: str) -> DataFrame:
+        if not exists(self.spark, path):
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(path)
+
     def findings(self) -> DataFrame:
         """``blob`` and ``spans`` of everything scanned under this rule version."""
-        if not exists(self.spark, self.findings_path):
-            return self.spark.createDataFrame([], f"blob string, spans {_SPANS}")
-        return self.spark.read.schema(f"blob string, spans {_SPANS}").option(
-            "recursiveFileLookup", "true"
-        ).parquet(self.findings_path)
+        return self._read(self.findings_path, f"blob string, spans {_SPANS}")
+
+    def blobs(self) -> DataFrame:
+        """``blob`` and ``text`` of every text ever shown, each once."""
+        return self._read(f"{self.root}/blobs", "blob string, text string")
+
+    def versions(self) -> DataFrame:
+        """``path`` and ``blob`` of every text that any path ever had, each pair once."""
+        return self._read(f"{self.root}/versions", "path bigint, blob string").distinct()
+
+    def history(self) -> DataFrame:
+        """``path``, ``blob`` and ``spans`` of every text that any path ever had."""
+        return self.spans_of(self.versions())
 
     def add(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-        """Record every text, scan those not scanned yet; ``path`` and ``blob`` of the rows given.
+        """Record every text and scan what this rule version has not seen; ``path`` and ``blob`` of the rows given.
 
         Null texts count as empty; rows with a null id are kept with a null path.
-        One row per blob is scanned, however many copies there are.
+        One row per unseen blob is kept and scanned, however many copies there
+        are. Blobs of earlier increments are scanned as well if the rules are new.
         """
         step = uuid.uuid4().hex
         rows = T.narrow(docs, id_col, text_col).withColumn("blob", F.sha2("text", 256))
         at = f"{self.root}/versions/{step}"
         rows.select(F.col("doc_id").alias("path"), "blob").write.parquet(at)
         versions = self.spark.read.parquet(at)
-        known = self.findings().select("blob")
+        known = (self.blobs() if self.keep else self.findings()).select("blob")
         once = versions.groupBy("blob").agg(F.min(T.id_key("path")).alias("key"))
         unseen = once.join(known, "blob", "left_anti")
         texts = rows.withColumn("key", T.id_key("doc_id")).join(unseen, ["blob", "key"], "left_semi")
+        # Repeated rows share path and blob, so a blob may come more than once.
+        texts = texts.select("blob", "text").dropDuplicates(["blob"])
+        if self.keep:
+            texts.write.option("compression", "zstd").parquet(f"{self.root}/blobs/{step}")
+            texts = self.blobs().join(self.findings().select("blob"), "blob", "left_anti")
+        self._scanned(texts).write.parquet(f"{self.findings_path}/{step}")
+        return versions
+
+    def _scanned(self, texts: DataFrame) -> DataFrame:
         rules = self.rules
 
         def scan(batches):
@@ -149,10 +176,7 @@ class Ledger:
                     [batch.column(0), pa.array(spans, kind)], ["blob", "spans"]
                 )
 
-        scanned = texts.select("blob", "text").mapInArrow(scan, f"blob string, spans {_SPANS}")
-        # Repeated rows share path and blob, so a blob may have been scanned more than once.
-        scanned.dropDuplicates(["blob"]).write.parquet(f"{self.findings_path}/{step}")
-        return versions
+        return texts.mapInArrow(scan, f"blob string, spans {_SPANS}")
 
     def spans_of(self, versions: DataFrame) -> DataFrame:
         """``path``, ``blob`` and ``spans`` (empty where nothing is found) of the rows given."""
@@ -168,10 +192,10 @@ def scan(
 ) -> DataFrame:
     """``path`` (the id), ``blob`` and ``spans`` of every row, through the ledger at ``root``.
 
-    Without ``root`` the ledger is a new one in the session's shared folder. An
-    empty table gives no rows.
+    Without ``root`` the ledger is a new one in the session's shared folder that
+    keeps no texts, as nobody comes back to it. An empty table gives no rows.
     """
-    ledger = Ledger(docs.sparkSession, root, rules)
+    ledger = Ledger(docs.sparkSession, root, rules, keep=root is not None)
     return ledger.spans_of(ledger.add(docs, id_col, text_col))
 
 
@@ -181,29 +205,34 @@ def redact(
 ) -> DataFrame:
     """The rows as they are, with each stretch of spans in the text replaced by ``mark``.
 
-    ``length_col`` gets the new number of code points. Rows without findings are untouched, null texts as well. Other columns and
+    ``length_col`` gets the new number of code points. Rows without findings are
+    untouched, null texts as well. Other columns, whatever their names, and
     repeated rows stay.
     """
-    ledger = Ledger(docs.sparkSession, root, rules)
+    ledger = Ledger(docs.sparkSession, root, rules, keep=root is not None)
     versions = ledger.add(docs, id_col, text_col)
     # Findings are by blob, so one row for each blob with a secret meets the rows.
     found = ledger.findings().where(F.size("spans") > 0)
     found = found.join(versions.select("blob").distinct(), "blob", "left_semi")
-    found = found.select(F.col("blob").alias("_blob"), F.col("spans").alias("_spans"))
+    name = "_found"
+    while name in docs.columns:
+        name = f"_{name}"
+    found = found.select(F.struct("blob", "spans").alias(name))
     blob = F.sha2(F.coalesce(F.col(text_col).cast("string"), F.lit("")), 256)
-    joined = docs.join(found.hint("merge"), blob == F.col("_blob"), "left")
+    joined = docs.join(found.hint("merge"), blob == F.col(name)["blob"], "left")
+    spans = F.col(name)["spans"]
 
     @F.pandas_udf("string")
     def cut(text, spans):
         return text.combine(spans, lambda t, s: t if s is None else _replace(t, s, mark))
 
-    new = F.when(F.col("_spans").isNull(), F.col(text_col)).otherwise(cut(text_col, "_spans"))
+    new = F.when(spans.isNull(), F.col(text_col)).otherwise(cut(F.col(text_col), spans))
     joined = joined.withColumn(text_col, new)
     if length_col:
         kind = joined.schema[length_col].dataType
-        size = F.when(F.col("_spans").isNull(), F.col(length_col)).otherwise(F.length(text_col).cast(kind))
+        size = F.when(spans.isNull(), F.col(length_col)).otherwise(F.length(text_col).cast(kind))
         joined = joined.withColumn(length_col, size)
-    return joined.drop("_blob", "_spans")
+    return joined.drop(name)
 
 
 def _replace(text: str, spans, mark: str) -> str:
