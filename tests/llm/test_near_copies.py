@@ -5,6 +5,7 @@ import random
 
 import numpy as np
 import pytest
+import xxhash
 from helpers import PLAIN, groups, odd_rows, rows_of, simhash, table
 from pyspark.sql import functions as F
 
@@ -99,7 +100,8 @@ def shingles(text):
 
 
 def check_fingerprints(rows, found):
-    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] or ""))
+    tag = lambda t: (xxhash.xxh64_intdigest((t or "").encode(), 42) ^ 1 << 63)
+    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, tag(r[1])))
     want, near = [], []
     for i, (doc_id, text) in enumerate(order):
         text, after = text or "", order[(i + 1) % len(order)][1] or ""
@@ -134,6 +136,29 @@ def test_fingerprints_tables(spark, sf):
     check_fingerprints(rows, minhash.fingerprints(docs.orderBy(F.rand(3))))
 
 
+def test_fingerprints_of_a_hot_id_are_spread(spark):
+    """Null ids fill all ranges evenly, and each text is still compared with the one that follows."""
+    rows = [(None, f"t{i % 40} " * 30) for i in range(3000)] + [(i, f"u{i} " * 30) for i in range(200)]
+    docs = table(spark, rows)
+    seen = []
+    real = minhash.scratch_path
+    minhash.scratch_path = lambda *a: seen.append(real(*a)) or seen[-1]
+    try:
+        found = minhash.fingerprints(docs).collect()
+    finally:
+        minhash.scratch_path = real
+    sizes = [r["n"] for r in spark.read.parquet(seen[0]).groupBy(F.input_file_name()).agg(F.count("*").alias("n")).collect()]
+    assert len(sizes) >= 8 and max(sizes) <= 2.5 * sum(sizes) / len(sizes)
+    by_id = {r["doc_id"]: r for r in found if r["doc_id"] is not None}
+    assert len(found) == len(rows) and len(by_id) == 200
+    for i in range(199):
+        changed = minhash.edited(f"u{i} " * 30, f"u{i + 1} " * 30)
+        assert by_id[i]["edited_sha256"] == hashlib.sha256(changed.encode()).hexdigest()
+    nulls = [r for r in found if r["doc_id"] is None]
+    # Equal texts follow each other: 40 groups of 75, of which only the last row of each meets another text.
+    assert len(nulls) == 3000 and sum(r["near_next"] < 1 for r in nulls) == 40
+
+
 def test_fingerprints_alone_and_empty(spark):
     text = " ".join(map(str, range(40)))
     check_fingerprints([(3, text)], minhash.fingerprints(table(spark, [(3, text)])))

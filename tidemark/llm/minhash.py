@@ -6,21 +6,24 @@ import hashlib
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm import text as T
+from tidemark.sources.storage import scratch_path
 
 COLUMNS = (
     "doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string,"
     " edited_fingerprint string, near_edited double, near_next double"
 )
-#: Ranges of ids per shuffle partition, so that hashed ranges spread evenly.
-RANGES_PER_TASK = 4
-#: Bytes of text in a range at most, about.
+#: Bytes of text in a range of ids, about.
 RANGE_BYTES = 64 << 20
+_ENDS = "part int, first boolean, text string"
+_KINDS = {
+    "doc_id": pa.int64(), "n_chars": pa.int64(), "edited_sha256": pa.string(), "fingerprint": pa.string(),
+    "edited_fingerprint": pa.string(), "near_edited": pa.float64(), "near_next": pa.float64(),
+}
 
 
 @dataclass(frozen=True)
@@ -102,76 +105,63 @@ def fingerprints(
 ) -> DataFrame:
     """Fingerprint every text, its edited text, and compare with the next document.
 
-    Documents follow each other by id, nulls first, equal ids by text; the last
-    is followed by the first, a lone one by itself. A null text is empty. Texts
-    are shuffled once, into ranges of ids; the first document of each range is
-    also sent to the range before. Only bounds and first ids of ranges come to the
-    driver.
-    An empty table gives no rows.
+    Documents follow each other by id, nulls first, equal ids by a hash of the
+    text; the last is followed by the first, a lone one by itself. A null text is
+    empty. Texts are shuffled once, sorted by ranges over all tasks; rows that are
+    equal in id and text are told apart by their place, so no range is larger for
+    an id that many rows share. A task compares the documents of its range; the
+    first and last text of each range are compared with those of its neighbours
+    afterwards. Only a byte count comes to the driver. An empty table gives no rows.
     """
     how = how or MinHash()
     spark = docs.sparkSession
-    rows = T.narrow(docs, id_col, text_col).withColumn("key", T.id_key("doc_id"))
-    size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    ranges = int(spark.conf.get("spark.sql.shuffle.partitions")) * RANGES_PER_TASK
-    ranges = max(ranges, size // RANGE_BYTES + 1)
-    tasks = -(-ranges // RANGES_PER_TASK)
-    keys = rows.select("key")
-    shares = [i / ranges for i in range(1, ranges)]
-    bounds = np.unique(np.array(keys.approxQuantile("key", shares, 0.2 / ranges), np.float64))
-
-    @F.pandas_udf("int")
-    def range_of(key: pd.Series) -> pd.Series:
-        return pd.Series(np.searchsorted(bounds, key.to_numpy(np.float64), "right").astype(np.int32))
-
-    firsts = (
-        keys.select(range_of("key").alias("part"), "key")
-        .groupBy("part")
-        .agg(F.min("key").alias("key"))
-        .orderBy("part")
-        .toPandas()
-    )
-    heads = firsts["key"].to_numpy(np.int64)
-    before = np.roll(firsts["part"].to_numpy(np.int64), 1)
-
-    @F.pandas_udf("array<int>")
-    def places(key: pd.Series) -> pd.Series:
-        """The range of a document; for a head also that before, as its negative less one."""
-        keys = key.to_numpy(np.int64)
-        parts = np.searchsorted(bounds, keys.astype(np.float64), "right")
-        at = np.searchsorted(heads, keys)
-        is_head = np.isin(keys, heads)
-        return pd.Series(
-            [[int(p), int(-1 - before[i])] if h else [int(p)] for p, i, h in zip(parts, at, is_head)]
-        )
-
-    placed = rows.withColumn("place", F.explode(places("key"))).select(
-        F.when(F.col("place") < 0, -1 - F.col("place")).otherwise(F.col("place")).alias("part"),
-        (F.col("place") < 0).alias("tail"),
-        "key",
-        "doc_id",
-        "text",
+    rows = T.narrow(docs, id_col, text_col).select(
+        T.id_key("doc_id").alias("key"), F.xxhash64("text").alias("tag"),
+        F.monotonically_increasing_id().alias("place"), "doc_id", "text",
     )
-    dealt = placed.repartition(tasks, "part").sortWithinPartitions("part", "tail", "key", "text")
+    size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), size // RANGE_BYTES + 1)
+    order = ["key", "tag", "place"]
+    sorted_ = rows.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
 
     def walk(batches):
-        part, last, out = None, None, []
+        part, last = None, None
         for batch in T.slices(batches):
-            columns = [c.to_pylist() for c in batch.columns]
-            for at, tail, _, doc_id, text in zip(*columns):
-                if at != part:
-                    part, last = at, None
-                if tail and last is None:
-                    continue
+            out, ends = [], []
+            for at, doc_id, text in zip(*(c.to_pylist() for c in batch.columns)):
                 low = how.low_bits(text.encode())
-                if last is not None:
+                if last is None:
+                    part = at
+                    ends.append((doc_id, part, True, text))
+                else:
                     out.append(_row(how, *last, text, low))
-                last = None if tail else (doc_id, text, low)
-            if out:
-                yield _batch(out)
-                out = []
+                last = doc_id, text, low
+            yield _batch(out, ends)
+        if last is not None:
+            yield _batch([], [(last[0], part, False, last[1])])
+
+    at = scratch_path(spark, "fingerprints")
+    walked = sorted_.select(F.spark_partition_id().alias("part"), "doc_id", "text")
+    walked.mapInArrow(walk, f"{COLUMNS}, {_ENDS}").write.parquet(at)
+    done = spark.read.parquet(at)
+    ends = done.where("part IS NOT NULL").select("part", "first", "doc_id", "text")
+    heads = ends.where("first").select(F.col("part").alias("following"), F.col("text").alias("next_text"))
+    # One number per range: which range comes next, after the last the first.
+    parts = heads.select(F.col("following").alias("part"))
+    after = F.coalesce(F.lead("part").over(Window.orderBy("part")), F.min("part").over(Window.partitionBy()))
+    pairs = ends.where("NOT first").join(parts.withColumn("following", after), "part").join(heads, "following")
+
+    def close(batches):
+        for batch in T.slices(batches):
+            texts = [c.to_pylist() for c in batch.columns]
+            out = [
+                _row(how, doc_id, text, how.low_bits(text.encode()), following, how.low_bits(following.encode()))
+                for doc_id, text, following in zip(*texts)
+            ]
+            yield pa.RecordBatch.from_arrays(_batch(out, []).columns[: len(_KINDS)], list(_KINDS))
 
-    return dealt.mapInArrow(walk, COLUMNS)
+    closed = pairs.select("doc_id", "text", "next_text").mapInArrow(close, COLUMNS)
+    return done.where("part IS NULL").select(closed.columns).unionByName(closed)
 
 
 def _row(how: MinHash, doc_id, text, low, following, following_low) -> tuple:
@@ -188,7 +178,15 @@ def _row(how: MinHash, doc_id, text, low, following, following_low) -> tuple:
     )
 
 
-def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    names = [c.split()[0] for c in COLUMNS.split(", ")]
-    kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
+def _batch(rows: list[tuple], ends: list[tuple]) -> pa.RecordBatch:
+    """Finished rows, and the ends of ranges (id, range, whether it is the first, text)."""
+    made = [list(c) for c in zip(*rows)] or [[] for _ in _KINDS]
+    n = len(rows)
+    columns = [pa.array(c + [None] * len(ends), k) for c, k in zip(made, _KINDS.values())]
+    ids, parts, firsts, texts = [list(c) for c in zip(*ends)] or [[], [], [], []]
+    columns[0] = pa.array(made[0] + ids, pa.int64())
+    columns += [
+        pa.array([None] * n + c, k)
+        for c, k in ((parts, pa.int32()), (firsts, pa.bool_()), (texts, pa.string()))
+    ]
+    return pa.RecordBatch.from_arrays(columns, [*_KINDS, "part", "first", "text"])
