@@ -423,6 +423,25 @@ def test_removed_spans_are_what_is_left_out(spark):
         assert sha(" ".join(w for p, w in enumerate(words) if p not in gone)) == r["kept_sha256"]
 
 
+def test_windows_that_collide_in_one_hash_differ_in_the_other():
+    import numpy as np
+
+    from tidemark.llm import text as T
+
+    draw = np.random.default_rng(1)
+    a = draw.integers(0, 1 << 64, 20, np.uint64)
+    b = a.copy()
+    # One more in a word is made up for in the next, under the first hash's multiplier.
+    b[7] += np.uint64(1)
+    b[8] -= T.multiplier_of(1)
+    assert T.window_hashes(a, 20, 1) == T.window_hashes(b, 20, 1)
+    assert T.window_hashes(a, 20, 2) != T.window_hashes(b, 20, 2)
+    assert T.window_hashes(a, 20, 2).astype(np.uint32) != T.window_hashes(b, 20, 2).astype(np.uint32)
+    many = draw.integers(0, 1 << 64, (1000, 20), np.uint64)
+    apart = {int(T.window_hashes(m, 20, 2)[0] - T.window_hashes(m, 20, 1)[0]) for m in many}
+    assert len(apart) == 1000
+
+
 def test_query_digests(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()
     got = {r["doc_id"]: r for r in queries.op5_secret_scan(spark, sf).collect()}

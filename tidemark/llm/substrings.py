@@ -22,6 +22,8 @@ BYTES = 8 << 20
 BUCKET = 4_000_000
 #: Bytes of text in a group of documents, which answers come back to, about.
 GROUP = 4 << 20
+#: Bytes of text of the groups that meet in one task, about.
+TASK = 32 << 20
 
 _U = np.uint64
 
@@ -211,8 +213,9 @@ def _anchors(rows: DataFrame, window: int, buckets: int, groups: int) -> DataFra
 def _later(rows: DataFrame, window: int, buckets: int) -> DataFrame:
     """By ``group`` the ``key``, ``tag``, ``sizes`` and ``starts`` of windows that also start earlier.
 
-    Around each hit the windows are told by 96 bits. A slice keeps the first of
-    equal ones; its bucket keeps the first of all.
+    Around each hit the windows are told by 64 bits of one hash and 32 of another
+    with a multiplier of its own. A slice keeps the first of equal ones; its
+    bucket keeps the first of all.
     """
     block = window // 2
     schema = (
@@ -381,7 +384,10 @@ def repeats(
             [c.split()[0] for c in columns.split(", ")],
         )
 
-    both = rows.groupBy("group").cogroup(hits.groupBy("group"))
+    # Cogroups are not split at run time, so their tasks are as many as the text asks for.
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), size // TASK + 1)
+    meeting = lambda df: df.repartition(tasks, "group").groupBy("group")
+    both = meeting(rows).cogroup(meeting(hits))
     at = scratch_path(spark, "repeats")
     both.applyInArrow(split, columns).write.option("compression", "zstd").parquet(at)
     done = spark.read.parquet(at)
@@ -404,8 +410,8 @@ def repeats(
             [c.split()[0] for c in out.split(", ")],
         )
 
-    left = open_.select("doc_id", "key", "tag", "group", "text").groupBy("group")
-    finished = left.cogroup(later.groupBy("group")).applyInArrow(finish, out)
+    left = meeting(open_.select("doc_id", "key", "tag", "group", "text"))
+    finished = left.cogroup(meeting(later)).applyInArrow(finish, out)
     plain = done.where("codes IS NULL").select(
         "doc_id", "n_words", F.lit(0).cast("bigint").alias("n_removed"),
         F.array().cast("array<struct<start:bigint,end:bigint>>").alias("removed"), "kept_sha256",

@@ -117,14 +117,24 @@ def word_hashes(data: bytes, table: bytes = PLAIN) -> np.ndarray:
     return made[0] if len(made) == 1 else np.concatenate(made)
 
 
+def multiplier_of(seed: int) -> np.uint64:
+    """An odd number for each seed."""
+    return _U((0xD6E8FEB86659FD93 + seed * 0x3C6EF372FE94F82A) % (1 << 64))
+
+
 def window_hashes(hashes: np.ndarray, k: int, seed: int = 0) -> np.ndarray:
-    """A 64-bit hash of each run of k words; of the whole sequence when it is shorter."""
+    """A 64-bit hash of each run of k words; of the whole sequence when it is shorter.
+
+    Every seed has a multiplier of its own, so runs that agree under one seed do
+    not agree under another for that reason.
+    """
     n = len(hashes)
     if not n:
         return hashes
     k = min(k, n)
     h = np.full(n - k + 1, (seed + 1) * _BASE % (1 << 64), np.uint64)
+    multiplier = multiplier_of(seed)
     for j in range(k):
-        h *= _U(0xD6E8FEB86659FD93)
+        h *= multiplier
         h += hashes[j : n - k + 1 + j]
     return mix(h)
