@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark.operators import bloom
 from tidemark.operators import keyed_join as kj
 from tidemark.operators import upsert
 
@@ -93,13 +94,42 @@ def joined_plan(spark, df):
 
 
 @pytest.mark.parametrize("hot_rows", [1000, 10**9])
-def test_the_target_is_read_once(spark, skewed, tmp_path, hot_rows):
-    skewed.write.parquet(f"{tmp_path}/big")
+def test_only_rows_that_may_match_are_shuffled(spark, tmp_path, hot_rows):
+    """Of 200,000 rows with 100 keys of the batch among them, under a twentieth."""
+    spark.range(200_000).select(F.col("id").cast("string").alias("k"), "id").write.parquet(f"{tmp_path}/big")
     big = spark.read.parquet(f"{tmp_path}/big")
-    unique = spark.range(0, 500).select(F.col("id").cast("string").alias("k")).distinct()
-    plan = joined_plan(spark, kj.keyed_join(big, unique, ["k"], "left_anti", 0, hot_rows))
-    assert plan.count("FileScan parquet") == 1
-    assert plan.count("SortMergeJoin") == 1
+    unique = spark.range(0, 200_000, 2000).select(F.col("id").cast("string").alias("k"))
+    joined = kj.keyed_join(big, unique, ["k"], "left_anti", 0, hot_rows)
+    plan = joined_plan(spark, joined)
+    # One read for the rows that are done where they lie, one for those that are joined.
+    assert plan.count("FileScan parquet") == 2 and plan.count("SortMergeJoin") == 1
+    assert joined.count() == 199_900 and joined.where(F.col("id") % 2000 == 0).isEmpty()
+    words = bloom.words_for(100)
+    marked = bloom.maybe_in(big, ["k"], bloom.bloom_filter(unique, ["k"], words), words, "maybe")
+    assert 100 <= marked.where("maybe").count() <= 10_000
+
+
+def test_a_filter_loses_no_key(spark):
+    keys = spark.range(5000).select((F.col("id") * 7).alias("a"), F.col("id").cast("string").alias("b"))
+    for words in (1, 50, bloom.words_for(5000)):
+        made = bloom.bloom_filter(keys.unionByName(keys.limit(9).select(F.lit(None).cast("bigint").alias("a"), "b")), ["a", "b"], words)
+        assert made.count() <= words
+        held = bloom.maybe_in(keys, ["a", "b"], made, words, "maybe")
+        assert held.where("maybe").count() == 5000 and held.columns == ["a", "b", "maybe"]
+    other = spark.range(50_000).select((F.col("id") + 10**6).alias("a"), F.col("id").cast("string").alias("b"))
+    assert bloom.maybe_in(other, ["a", "b"], made, words, "maybe").where("maybe").count() < 2500
+    empty = bloom.bloom_filter(keys.where("false"), ["a", "b"], 1)
+    assert bloom.maybe_in(keys, ["a", "b"], empty, 1, "maybe").where("maybe").isEmpty()
+    none = keys.select(F.lit(None).cast("bigint").alias("a"), "b")
+    assert bloom.maybe_in(none, ["a", "b"], made, words, "maybe").where("maybe IS NULL OR maybe").isEmpty()
+
+
+def test_a_full_filter_gives_the_same_join(spark, skewed, monkeypatch):
+    monkeypatch.setattr(kj, "words_for", lambda keys: 1)
+    unique = spark.range(0, 500, 2).select(F.col("id").cast("string").alias("k"))
+    for how in ("left_semi", "left_anti"):
+        want = rows(skewed.join(unique, "k", how).select("k", "v"))
+        assert rows(kj.keyed_join(skewed, unique, ["k"], how, 0, 100)) == want
 
 
 def test_hot_rows_are_dealt_to_parts(spark, skewed):

@@ -8,10 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.operators.bloom import bloom_filter, maybe_in, words_for
+
 BROADCAST_BYTES = 64 << 20
 HOT_ROWS = 4_000_000
-#: Parts that rows without a key are spread over.
-NULL_PARTS = 64
 
 
 def fits_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
@@ -53,22 +53,34 @@ def keyed_join(
     """``big`` left_semi or left_anti ``unique``, whatever rows a key of ``big`` has.
 
     ``unique`` holds the key ``on[0]`` at most once. When it fits a broadcast,
-    ``big`` is filtered as it is read. Otherwise the two are shuffled by key and
-    part: the rows of a hot key are dealt to several parts by a hash of the row,
-    and its row in ``unique`` is copied to each. ``big`` is read once for the
-    count of its keys and once for the join. AQE would not split such keys, as it
-    only does for sides that come straight from a shuffle, and ``unique`` mostly
-    comes from an aggregate. Null keys match nothing; they are spread as well.
+    ``big`` is filtered as it is read. Otherwise a Bloom filter of the keys is
+    broadcast, whose size is bounded whatever they are: rows whose key surely is
+    not among them are done where they lie, without a shuffle. The others and
+    ``unique`` are shuffled by key and part: the rows of a hot key are dealt to
+    several parts by a hash of the row, and its row in ``unique`` is copied to
+    each. ``big`` is read for the count of the keys that may match, for those
+    rows and for the others. AQE would not split such keys, as it only does for
+    sides that come straight from a shuffle, and ``unique`` mostly comes from an
+    aggregate. Null keys match nothing and are not shuffled.
     """
     key, on = on[0], list(on)
     unique = unique.where(F.col(key).isNotNull())
     if fits_broadcast(unique, limit):
         return big.join(F.broadcast(unique), on, how)
-    if how == "left_semi":
-        big = big.where(F.col(key).isNotNull())
+    words = words_for(unique.count())
+    names = big.columns
+    marked = maybe_in(big, [key], bloom_filter(unique, [key], words), words, "_maybe")
+    surely = marked.where(~F.col("_maybe")).select(names)
+    found = _shuffled(marked.where("_maybe").select(names), unique, on, how, hot_rows)
+    return found if how == "left_semi" else surely.unionByName(found)
+
+
+def _shuffled(big: DataFrame, unique: DataFrame, on: list[str], how: str, hot_rows: int) -> DataFrame:
+    """The join by shuffle, hot keys in parts. No key of ``big`` is null."""
+    key = on[0]
     hot = hot_keys(big, key, hot_rows)
     columns = big.columns
-    parts = F.when(F.col(key).isNull(), NULL_PARTS).otherwise(F.lit(1))
+    parts = F.lit(1)
     if not hot.isEmpty():
         named = F.broadcast(hot.withColumnRenamed(key, "_hot"))
         big = big.join(named, F.col(key) == F.col("_hot"), "left")
