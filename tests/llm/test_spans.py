@@ -321,11 +321,11 @@ def contamination_rows(n=60, seed=2):
     return rows + odd_rows() + [(90, "a LONELY, Item b")], items
 
 
-@pytest.mark.parametrize("block_words", [300_000, 40])
-def test_contamination(spark, block_words):
+@pytest.mark.parametrize("block_words, few", [(300_000, 4), (40, 1000), (40, 4)], ids=["block", "in turn", "joined"])
+def test_contamination(spark, block_words, few):
     rows, items = contamination_rows()
     bench = spark.createDataFrame(items, "item_id bigint, text string")
-    found = decontaminate.contamination(table(spark, rows), bench, block_words=block_words).collect()
+    found = decontaminate.contamination(table(spark, rows), bench, block_words=block_words, few_blocks=few).collect()
     got, want = [], []
     for r in found:
         hit = {p for s in r["spans"] for p in range(s["start"], s["end"])}
@@ -340,12 +340,12 @@ def test_contamination(spark, block_words):
             assert a["end"] < b["start"] or block_words < 100 and a["end"] <= b["start"]
 
 
-@pytest.mark.parametrize("block_words", [300_000, 40])
-def test_clean(spark, block_words):
+@pytest.mark.parametrize("block_words, few", [(300_000, 4), (40, 1000), (40, 4)], ids=["block", "in turn", "joined"])
+def test_clean(spark, block_words, few):
     rows, items = contamination_rows()
     bench = spark.createDataFrame(items, "item_id bigint, text string")
     docs = table(spark, rows)
-    kept = decontaminate.clean(docs, bench, block_words=block_words)
+    kept = decontaminate.clean(docs, bench, block_words=block_words, few_blocks=few)
     want = [(i, t) for i, t in rows if not windows_hit(ALNUM.findall(low(t)), items)[0]]
     assert rows_of(kept, "doc_id", "text") == sorted(want, key=repr)
     assert kept.columns == docs.columns
@@ -353,6 +353,22 @@ def test_clean(spark, block_words):
     assert decontaminate.contamination(docs.where("false"), bench).count() == 0
 
 
+def test_a_large_benchmark_reads_documents_a_fixed_number_of_times(spark, tmp_path, monkeypatch):
+    """However many blocks it would be, and with a filter too small for its fingerprints."""
+    monkeypatch.setattr(decontaminate, "MOST_BITS", 256)
+    rows, items = contamination_rows()
+    table(spark, rows).write.parquet(f"{tmp_path}/docs")
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    monkeypatch.setattr(decontaminate, "_blocks", None)
+    docs = spark.read.parquet(f"{tmp_path}/docs")
+    found = decontaminate.contamination(docs, bench, block_words=10)
+    assert f"{tmp_path}/docs" not in found._jdf.queryExecution().toString()
+    want = {(i, t or ""): windows_hit(ALNUM.findall(low(t)), items)[0] for i, t in rows}
+    hits = sum(r["n"] for r in found.select(decontaminate.hit_words("spans").alias("n")).collect())
+    assert hits == sum(len(want[i, t or ""]) for i, t in rows)
+    assert decontaminate.contamination(docs.where("false"), bench, block_words=10).count() == 0
+
+
 def test_winnowing_keeps_one_of_every_run():
     import numpy as np
 
