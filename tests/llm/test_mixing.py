@@ -95,6 +95,43 @@ def test_weights_are_inclusion_probabilities(spark):
     assert 1.6 < heavy / light < 2.5
 
 
+def test_long_documents_are_preferred_as_their_weight_says(spark):
+    """Over many seeds, copies by size follow the expected ones; the order is not that of the plain draw."""
+    sizes = [1, 3, 7, 15, 31]
+    rows = [(i, "w " * sizes[i % 5], "b") for i in range(400)] + [(5000 + i, "w " * 20, "a") for i in range(150)]
+    docs = table(spark, rows)
+    taken, seeds = defaultdict(int), 8
+    for seed in range(seeds):
+        for r in mixing.mixed(docs, seed=seed, keep=["doc_id"]).where("doc_id < 5000").collect():
+            taken[r["size"]] += r["copies"]
+            target, source = r["target"], r["source_size"]
+    weight = {n: n.bit_length() for n in sizes}
+    rate = target / sum(80 * n * weight[n] for n in sizes)
+    assert target < source and all(rate * w < 3 for w in weight.values())
+    for n in sizes:
+        assert taken[n] / (80 * seeds) == pytest.approx(rate * weight[n], rel=0.2)
+    found = mixing._measured(docs, "doc_id", "text", "source", 0).join(mixing.mixed(docs, keep=["doc_id"]), "doc_id")
+    draws = sorted((r["_mix_draw"], r["copies"]) for r in found.where("doc_id < 5000").collect())
+    copies = [c for _, c in draws]
+    assert copies != sorted(copies, reverse=True)
+    plain = mixing.mixed(docs, by_size=False, keep=["doc_id"]).join(found.select("doc_id", "_mix_draw"), "doc_id")
+    copies = [c for _, c in sorted((r["_mix_draw"], r["copies"]) for r in plain.where("doc_id < 5000").collect())]
+    assert copies == sorted(copies, reverse=True)
+
+
+@pytest.mark.parametrize("share", [0.4, 1.0, 2.6, 3.0])
+def test_rates_meet_the_target_when_some_are_held(spark, share):
+    """Three copies of the heaviest at most, the others make up for it."""
+    groups = [("s", 10, 8.0), ("s", 40, 4.0), ("s", 100, 1.0), ("t", 5, 0.5)]
+    small = spark.createDataFrame(groups, "_mix_source string, _mix_size bigint, _mix_weight double")
+    size = {"s": 150.0, "t": 5.0}
+    targets = spark.createDataFrame([(k, v, share * v) for k, v in size.items()], "_mix_source string, _mix_source_size double, _mix_target double")
+    rates = {r["_mix_source"]: r["_mix_rate"] for r in mixing._rates(small, targets).collect()}
+    for name, total in size.items():
+        words = sum(n * min(rates[name] * w, 3) for s, n, w in groups if s == name)
+        assert words == pytest.approx(share * total)
+
+
 def test_main_path_is_native(spark):
     found = mixing.mixed(table(spark, many(60)).repartition(3))
     plan = found._jdf.queryExecution().executedPlan().toString()

@@ -79,6 +79,27 @@ def _targets(sizes: DataFrame, weights: tuple, most: int) -> DataFrame:
     return sources.select(_SOURCE, "source_size", held.alias("target"))
 
 
+def _rates(small: DataFrame, targets: DataFrame) -> DataFrame:
+    """Adds ``_mix_rate``: expected copies per unit of weight, so that the words expected are the target.
+
+    Documents whose weight would make more than ``MOST`` copies are held there
+    and the rate of the others rises, the largest weights first. One row per
+    source and weight is looked at.
+    """
+    classes = small.where(f"{_SIZE} > 0 AND _mix_weight > 0").groupBy(_SOURCE, "_mix_weight")
+    classes = _by_source(classes.agg(F.sum(_SIZE).alias("words")), targets)
+    order = Window.partitionBy(_SOURCE).orderBy(F.desc("_mix_weight"))
+    mass = F.col("words") * F.col("_mix_weight")
+    held = F.sum("words").over(order) - F.col("words")
+    rest = F.sum(mass).over(Window.partitionBy(_SOURCE)) - F.sum(mass).over(order) + mass
+    rate = (F.col(_MEASURES[1]) - float(MOST) * held) / rest
+    classes = classes.withColumn("rate", rate).where(F.col("rate") * F.col("_mix_weight") <= float(MOST))
+    rates = classes.groupBy(_SOURCE).agg(F.max_by("rate", "_mix_weight").alias("_mix_rate"))
+    # Where all are held at the most, any rate does that is large enough.
+    full = F.when(F.col(_MEASURES[1]) > 0, F.lit(1e300)).otherwise(F.lit(0.0))
+    return _by_source(targets, rates, "left").withColumn("_mix_rate", F.coalesce("_mix_rate", full))
+
+
 def _side(table: DataFrame) -> DataFrame:
     """A table with a row per source, as one side of a join."""
     return F.broadcast(table) if table.count() <= FEW_SOURCES else table.hint("merge")
@@ -126,17 +147,21 @@ def mixed(
     weights: tuple = WEIGHTS,
     seed: int = 0,
     weight_col: str | None = None,
+    by_size: bool = True,
     keep: list[str] | None = None,
 ) -> DataFrame:
     """The rows (their ``keep`` columns) with ``size``, ``source_size``, ``target``, ``copies``, ``taken``.
 
-    A document's expected copies are its source's target over the source's size
-    (times ``weight_col`` relative to its mean by words, if given; null counts as
-    0), three at most. The whole part is taken for certain. The
-    fraction is its inclusion probability in a Pareto order sample: documents
-    come in order of random odds over inclusion odds, and those whose middle
-    word lies within what the source's target leaves are taken once more, so a
-    source's words end within half a document of its target.
+    A document's expected copies are its weight times its source's rate, three
+    at most; the rate is such that the words expected are the source's target.
+    The weight is ``weight_col`` if given (null and negative count as 0; in 64
+    steps for each power of two), else the number of binary digits of its size,
+    so that long documents are preferred a little; with ``by_size=False`` all weigh
+    the same. The whole part is taken for certain. The fraction is the inclusion
+    probability in a Pareto order sample: documents come in order of random odds
+    over inclusion odds, and those whose middle word lies within what the
+    source's target leaves are taken once more, so a source's words end within
+    half a document of its target.
 
     The cut is found in two levels of bins of the rank key, from sums per source
     and bin; only the documents of one fine bin per source are put in exact
@@ -150,30 +175,18 @@ def mixed(
     names = ["size", "source_size", "target", "copies", "taken"]
     keep = [c for c in (docs.columns if keep is None else keep) if c not in names]
     rows = _measured(docs, id_col, text_col, source_col, seed)
-    weight = F.lit(1.0)
+    weight = F.length(F.bin(F.col(_SIZE))).cast("double") if by_size else F.lit(1.0)
     if weight_col:
-        weight = F.greatest(F.coalesce(F.col(weight_col).cast("double"), F.lit(0.0)), F.lit(0.0))
+        given = F.col(weight_col).cast("double")
+        weight = F.when(given > 0, F.pow(F.lit(2.0), F.round(F.log2(given) * 64) / 64)).otherwise(F.lit(0.0))
     small = rows.select(
         F.col(id_col).alias("_mix_id"), _SOURCE, _SIZE, _DRAW, weight.alias("_mix_weight")
     ).checkpoint()
-    sizes = small.groupBy(_SOURCE).agg(
-        F.sum(_SIZE).alias("source_size"),
-        F.sum(F.col(_SIZE) * F.col("_mix_weight")).alias("weighted"),
+    sizes = small.groupBy(_SOURCE).agg(F.sum(_SIZE).alias("source_size"))
+    targets = _targets(sizes, weights, MOST).select(
+        _SOURCE, F.col("source_size").alias(_MEASURES[0]), F.col("target").alias(_MEASURES[1])
     )
-    targets = _targets(sizes.select(_SOURCE, "source_size"), weights, MOST).checkpoint()
-    if weight_col:
-        targets = targets.join(
-            sizes.select(F.col(_SOURCE).alias("_k"), "weighted"), F.col(_SOURCE).eqNullSafe(F.col("_k"))
-        ).drop("_k")
-    else:
-        targets = targets.withColumn("weighted", F.col("source_size"))
-    rate = F.when(F.col("weighted") > 0, F.col("target") / F.col("weighted")).otherwise(0.0)
-    targets = targets.select(
-        _SOURCE,
-        F.col("source_size").alias(_MEASURES[0]),
-        F.col("target").alias(_MEASURES[1]),
-        rate.alias("_mix_rate"),
-    ).checkpoint()
+    targets = _rates(small, targets.checkpoint()).checkpoint()
 
     ranked = _ranked(small, targets, F.col("_mix_weight"))
     whole = ranked.groupBy(_SOURCE, _MEASURES[1]).agg(
@@ -194,7 +207,7 @@ def mixed(
     )
     low = low.checkpoint()
 
-    if weight_col or set(keep) - {id_col}:
+    if set(keep) - {id_col}:
         final = _ranked(rows.withColumn("_mix_weight", weight), targets, F.col("_mix_weight"))
     else:
         final = ranked.withColumnRenamed("_mix_id", id_col)

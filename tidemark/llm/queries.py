@@ -248,10 +248,21 @@ lev AS (
 cut AS (SELECT level FROM lev WHERE weight * level <= bound ORDER BY k LIMIT 1),
 t AS (
   SELECT source, source_size, CASE WHEN weight * level > bound THEN bound::DOUBLE ELSE weight * level END AS target FROM n, cut),
+classes AS (
+  SELECT source, length(bin(size))::DOUBLE AS weight, sum(size)::BIGINT AS words FROM d WHERE size > 0 GROUP BY ALL),
+rated AS (
+  SELECT c.source, weight, (target - 3.0::DOUBLE * (sum(words) OVER w - words)::DOUBLE)
+    / (sum(words * weight) OVER (PARTITION BY c.source) - sum(words * weight) OVER w + words * weight) AS rate
+  FROM classes c JOIN t ON c.source IS NOT DISTINCT FROM t.source
+  WINDOW w AS (PARTITION BY c.source ORDER BY weight DESC ROWS UNBOUNDED PRECEDING)),
+rates AS (SELECT source, max_by(rate, weight) AS rate FROM rated WHERE rate * weight <= 3.0::DOUBLE GROUP BY source),
+tr AS (
+  SELECT t.*, coalesce(rate, CASE WHEN target > 0 THEN 1e300::DOUBLE ELSE 0::DOUBLE END) AS rate
+  FROM t LEFT JOIN rates ON t.source IS NOT DISTINCT FROM rates.source),
 r AS (
-  SELECT d.doc_id, d.size, d.u, t.source, t.source_size, t.target,
-    CASE WHEN source_size > 0 THEN least(target / source_size, 3.0::DOUBLE) ELSE 0::DOUBLE END AS expected
-  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+  SELECT d.doc_id, d.size, d.u, tr.source, tr.source_size, tr.target,
+    least(rate * length(bin(d.size))::DOUBLE, 3.0::DOUBLE) AS expected
+  FROM d JOIN tr ON d.source IS NOT DISTINCT FROM tr.source),
 q AS (
   SELECT *, floor(expected)::BIGINT AS whole, expected - floor(expected) AS share,
     (u / (1 - u)) / ((expected - floor(expected)) / (1 - (expected - floor(expected)))) AS odds FROM r),
