@@ -127,7 +127,8 @@ class Ledger:
 
     def blobs(self) -> DataFrame:
         """``blob`` and ``text`` of every text ever shown, each once."""
-        return self._read(f"{self.root}/blobs", "blob string, text string")
+        # Rows that repeat path and text are kept as often as they came in one increment.
+        return self._read(f"{self.root}/blobs", "blob string, text string").dropDuplicates(["blob"])
 
     def versions(self) -> DataFrame:
         """``path`` and ``blob`` of every text that any path ever had, each pair once."""
@@ -149,16 +150,16 @@ class Ledger:
         at = f"{self.root}/versions/{step}"
         rows.select(F.col("doc_id").alias("path"), "blob").write.parquet(at)
         versions = self.spark.read.parquet(at)
-        known = (self.blobs() if self.keep else self.findings()).select("blob")
+        known = self._read(f"{self.root}/blobs", "blob string") if self.keep else self.findings().select("blob")
         once = versions.groupBy("blob").agg(F.min(T.id_key("path")).alias("key"))
         unseen = once.join(known, "blob", "left_anti")
         texts = rows.withColumn("key", T.id_key("doc_id")).join(unseen, ["blob", "key"], "left_semi")
-        # Repeated rows share path and blob, so a blob may come more than once.
-        texts = texts.select("blob", "text").dropDuplicates(["blob"])
+        texts = texts.select("blob", "text")
         if self.keep:
             texts.write.option("compression", "zstd").parquet(f"{self.root}/blobs/{step}")
             texts = self.blobs().join(self.findings().select("blob"), "blob", "left_anti")
-        self._scanned(texts).write.parquet(f"{self.findings_path}/{step}")
+        # Repeated rows share path and blob, so a blob may have been scanned more than once.
+        self._scanned(texts).dropDuplicates(["blob"]).write.parquet(f"{self.findings_path}/{step}")
         return versions
 
     def _scanned(self, texts: DataFrame) -> DataFrame:
