@@ -225,3 +225,26 @@ def test_metadata(spark):
     }
     assert json.loads(got[0].d) == first
     assert [r.m for r in got[1:]] == ["{}"] * 5
+
+
+def test_documents_of_batches(spark):
+    """The best of every batch, the whole count, ties by name; each task cuts before the shuffle."""
+    rows = [(b, f"{b}{i:03}", 3.0 * (i % 7)) for b in ("x", "y", None) for i in range(40 if b else 3)]
+    df = spark.createDataFrame(rows, "b string, name string, rewards double")
+    offer = F.parse_json(F.to_json(F.struct("name", F.col("rewards").alias("rewards_score"))))
+    df = df.withColumn("offer", F.when(F.col("name") != "x000", offer))
+    found = ranking.ranked_batches(df.repartition(5), "b", "offer", "name", n=10)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "WindowGroupLimit" in plan
+    documents = {r["b"]: json.loads(r["document"]) for r in found.collect()}
+    assert {b: d["total"] for b, d in documents.items()} == {"x": 40, "y": 40, None: 3}
+    for b, d in documents.items():
+        mine = sorted(((-score, name) for bb, name, score in rows if bb == b))[:10]
+        assert [(c["rank"], c["score"], c["name"]) for c in d["top_cards"]] == [
+            (i + 1, -s, n) for i, (s, n) in enumerate(mine)
+        ]
+    with pytest.raises(ValueError):
+        ranking.ranked_batches(df, "b", "offer", "name", n=1001)
+    only = ranking.ranked_batches(df.where("name = 'x000'"), "b", "offer", "name").first()
+    assert json.loads(only["document"])["top_cards"] == [{"score": 0.0, "rank": 1}]
+    assert ranking.ranked_batches(df.where("false"), "b", "offer", "name").count() == 0

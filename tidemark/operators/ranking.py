@@ -93,24 +93,56 @@ def ranked_documents(
         cards = F.transform(
             r, lambda o: offers.with_rank_fields(o["offer"], o["score"], o["rank"])
         )
-        return F.when(
-            r.isNotNull(),
-            F.concat(
-                F.lit('{"generated_at":"'),
-                F.date_format(moment, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'"),
-                F.lit('","source":'),
-                F.to_json(F.lit(source).cast("variant")),
-                F.lit(',"total":'),
-                F.size(r).cast("string"),
-                F.lit(',"top_cards":['),
-                F.array_join(cards, ","),
-                F.lit("]}"),
-            ),
-        )
+        return F.when(r.isNotNull(), _envelope(moment, source, F.size(r), cards))
 
     return df.withColumn("document", offers.bind(ranked, document))
 
 
+def _envelope(moment, source: str, total, cards):
+    return F.concat(
+        F.lit('{"generated_at":"'),
+        F.date_format(moment, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'"),
+        F.lit('","source":'),
+        F.to_json(F.lit(source).cast("variant")),
+        F.lit(',"total":'),
+        total.cast("string"),
+        F.lit(',"top_cards":['),
+        F.array_join(cards, ","),
+        F.lit("]}"),
+    )
+
+
+def ranked_batches(
+    df: DataFrame, batch: str, offer: str, tie: str, n: int = 100, source: str = fixed.RANKING_SOURCE, at=None
+) -> DataFrame:
+    """``batch`` and ``document``: the ranked JSON document of every batch of a table of offers.
+
+    ``offer`` holds one offer per row as VARIANT. ``total`` counts all offers of
+    the batch, ``top_cards`` holds the ``n`` with the highest scores, ties by
+    ``tie``. Tasks keep their own n best of each batch before anything is
+    shuffled, so a batch of any size sends n rows a task, and its document is
+    put together from n rows. ``n`` is a thousand at most, up to which Spark
+    plans such a limit. A null batch is a batch of its own; a null offer scores
+    nothing and is listed as ``{}`` with its rank.
+    """
+    if not 1 <= n <= 1000:
+        raise ValueError(f"n must be 1 to 1000, not {n}")
+    moment = F.to_utc_timestamp(
+        F.current_timestamp() if at is None else at, F.current_timezone()
+    )
+    rows = df.select(F.col(batch).alias("_batch"), F.col(offer).alias("_offer"), F.col(tie).alias("_tie"))
+    totals = rows.groupBy("_batch").agg(F.count("*").alias("_total"))
+    scored = rows.withColumn("_score", offers.offer_score(F.col("_offer")))
+    order = Window.partitionBy("_batch").orderBy(F.desc("_score"), "_tie")
+    best = scored.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= n)
+    given = F.coalesce("_offer", F.parse_json(F.lit("{}")))
+    card = offers.with_rank_fields(given, F.col("_score"), F.col("_rank"))
+    listed = best.groupBy("_batch").agg(F.array_sort(F.collect_list(F.struct("_rank", card.alias("card")))).alias("_cards"))
+    joined = totals.alias("t").join(listed.alias("l"), F.col("t._batch").eqNullSafe(F.col("l._batch")))
+    cards = F.transform("_cards", lambda c: c["card"])
+    return joined.select(F.col("t._batch").alias(batch), _envelope(moment, source, F.col("_total"), cards).alias("document"))
+
+
 def write_ranked_documents(df: DataFrame, payload: str, path: str, **options) -> DataFrame:
     """Write one ranked JSON document per line; gives the rows with an unreadable payload."""
     documents = ranked_documents(df, payload, **options)
