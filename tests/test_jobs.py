@@ -4,7 +4,7 @@ import numpy as np
 
 from tidemark.operators.spread import spread
 from tidemark.plans import jobs
-from tidemark.sources import tables
+from tidemark.sources import tables, vector_table
 from tidemark.sources.tables import BucketTable
 
 
@@ -75,3 +75,47 @@ def test_spread_leaves_large_inputs_alone(spark, sf):
     cores = spark.sparkContext.defaultParallelism
     assert spread(docs, "doc_id").rdd.getNumPartitions() == cores
     assert spread(docs, "doc_id", bytes_per_core=1) is docs
+
+
+def test_only_changed_documents_are_embedded(spark, tmp_path):
+    """A model that writes down what it sees; the table equals a full ingest after every step."""
+    seen = tmp_path / "seen"
+
+    def load():
+        def model(texts):
+            if any("fail" in t for t in texts):
+                raise ValueError("no")
+            with seen.open("a") as f:
+                f.write("".join(f"{t}\n" for t in texts))
+            return np.array([[len(t), 1.0] for t in texts])
+
+        return model
+
+    stored, digests = (tables.BucketTable(spark, f"{tmp_path}/{n}") for n in ("chunks", "digests"))
+
+    def step(docs, model="a"):
+        seen.write_text("")
+        rows = [("b", k, t) for k, t in docs.items()]
+        frame = spark.createDataFrame(rows, "source_bucket string, source_key string, text string").coalesce(1)
+        got = vector_table.ingest_changes(frame, stored, digests, 2, 4, 0, load, model)
+        held = sorted((r.metadata.source_key, r.metadata.chunk_index, r.metadata.text) for r in stored.read().collect())
+        return got, sorted(seen.read_text().split()), held
+
+    def full(docs):
+        return sorted((k, i // 4, t[i : i + 4]) for k, t in docs.items() if t and t.strip() for i in range(0, len(t), 4))
+
+    docs = {"one": "aaaabbbb", "two": "cccc", "blank": "  ", "none": None}
+    got, texts, held = step(docs)
+    assert (got.stored, got.changed, got.vanished) == (3, 4, 0) and held == full(docs)
+    assert texts == ["aaaa", "bbbb", "cccc"]
+    got, texts, held = step(docs)
+    assert (got.changed, got.vanished, texts) == (0, 0, []) and held == full(docs)
+    docs = {"one": "aaaa", "three": "dddd", "blank": "eeee", "none": None}
+    got, texts, held = step(docs)
+    assert (got.changed, got.vanished, texts) == (3, 1, ["aaaa", "dddd", "eeee"]) and held == full(docs)
+    got, texts, held = step({**docs, "three": "fail"})
+    assert [r.source_key for r in got.rejects.collect()] == ["three"] and held == full(docs)
+    got, texts, held = step({**docs, "three": "gggg"})
+    assert texts == ["gggg"] and held == full({**docs, "three": "gggg"})
+    got, texts, held = step({**docs, "three": "gggg"}, model="b")
+    assert texts == ["aaaa", "eeee", "gggg"] and got.changed == 4

@@ -157,7 +157,7 @@ class BucketTable:
         layout = self._layout()
         if key != layout["key"]:
             raise ValueError(f"table at {self.path} is keyed by {layout['key']}, not {key}")
-        schema = T.StructType.fromJson(layout["schema"])
+        schema = _nullable(T.StructType.fromJson(layout["schema"]))
         rows = self._stage(batch, schema, key, once)
         count = rows.count()
         if not count and drop is None:
@@ -231,8 +231,16 @@ def written_bytes(rows: DataFrame) -> int:
     return int(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
-def _nullable(schema: T.StructType) -> T.StructType:
-    return T.StructType([T.StructField(f.name, f.dataType, True) for f in schema])
+def _nullable(kind: T.DataType) -> T.DataType:
+    """The type with nulls allowed everywhere, as files give it back."""
+    if isinstance(kind, T.StructType):
+        return T.StructType([T.StructField(f.name, _nullable(f.dataType), True) for f in kind])
+    if isinstance(kind, T.ArrayType):
+        return T.ArrayType(_nullable(kind.elementType), True)
+    if isinstance(kind, T.MapType):
+        return T.MapType(_nullable(kind.keyType), _nullable(kind.valueType), True)
+    return kind
+
 
 
 # Catalog tables ---------------------------------------------------------------

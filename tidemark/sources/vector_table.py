@@ -97,3 +97,70 @@ def ingest_documents(
     if replaced is not None:
         replaced = keyed_join(replaced, named, document, "left_anti")
     return Ingested(put_chunks(good, table, replaced), rejects)
+
+
+class Changes(NamedTuple):
+    stored: int
+    changed: int
+    vanished: int
+    rejects: DataFrame
+
+
+DIGEST = "document string, source_bucket string, source_key string, digest string"
+
+
+def ingest_changes(
+    documents: DataFrame,
+    table: BucketTable,
+    digests: BucketTable,
+    dims: int = fixed.EMBED_DIMS,
+    size: int = fixed.CHUNK_SIZE,
+    overlap: int = fixed.CHUNK_OVERLAP,
+    load=None,
+    model: str = "",
+    n_buckets: int | None = None,
+) -> Changes:
+    """Bring the chunk table to the state of ``documents``, embedding only what is new or changed.
+
+    ``digests`` keeps, by document, a digest of its text and of what else decides
+    its chunks: the sizes, the dimensions and the ``model``'s name. Documents with
+    another digest are cut, embedded and put in place of their old chunks; chunks
+    of documents that are not given any more go. A document that the model fails
+    on keeps its old chunks and digest, so it is tried again. The chunks are
+    written before the digests: a run that stops in between is made good by the
+    next one. Each document, named by ``source_bucket`` and ``source_key``, may be
+    given once; of several with one name any text may count.
+    """
+    spark = documents.sparkSession
+    names = list(DOCUMENT)
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    made = F.concat_ws(":", F.lit(f"{dims}:{size}:{overlap}:{model}"), F.sha2(text, 256))
+    document = F.to_json(F.struct("source_bucket", "source_key"))
+    now = documents.select(document.alias("document"), "source_bucket", "source_key", made.alias("digest"))
+    at = scratch_path(spark, "digests")
+    now.dropDuplicates(["document"]).write.parquet(at)
+    now = spark.read.parquet(at)
+    held = digests.read() if digests.exists() else spark.createDataFrame([], DIGEST)
+    old = held.select("document", F.col("digest").alias("_old"))
+    changed = now.join(old, "document", "left").where(F.col("_old").isNull() | (F.col("_old") != F.col("digest")))
+    at = scratch_path(spark, "changed")
+    changed.drop("_old").write.parquet(at)
+    changed = spark.read.parquet(at)
+    gone = held.join(now.select("document"), "document", "left_anti")
+    at = scratch_path(spark, "gone")
+    gone.write.parquet(at)
+    gone = spark.read.parquet(at)
+
+    new = documents.withColumn("document", document)
+    new = keyed_join(new, changed.select("document"), ["document"], "left_semi").drop("document")
+    stored, rejects = ingest_documents(new, table, dims, size, overlap, load, replace_document=True)
+    vanished = gone.count()
+    if vanished and table.exists():
+        put_chunks(table.read().where("false"), table, gone.select(*names))
+    failed = rejects.select(F.to_json(F.struct("source_bucket", "source_key")).alias("document"))
+    done = changed.join(failed, "document", "left_anti").select(held.columns)
+    if digests.exists():
+        digests.replace(done, "document", gone.select("document"))
+    else:
+        digests.create(done, "document", n_buckets)
+    return Changes(stored, changed.count(), vanished, rejects)
