@@ -323,6 +323,14 @@ ORACLES = {
                    ELSE text END AS text FROM conversations
         ), {_chunks("now", "conv_id, turn", 60, 10)}
         SELECT concat_ws('/', conv_id, turn) AS source_key, chunk_index, chunk FROM chunk""",
+    "ingest_changes": f"""
+        WITH was AS (
+            SELECT conv_id, turn, CASE WHEN turn % 5 = 4 THEN ' ' ELSE text END AS text FROM conversations
+        ), now AS (
+            SELECT conv_id, turn, CASE turn % 3 WHEN 0 THEN substring(text, 1, 70) ELSE text END AS text
+            FROM was WHERE turn % 4 > 0
+        ), {_chunks("now", "conv_id, turn", 60, 10)}
+        SELECT concat_ws('/', conv_id, turn) AS source_key, chunk_index, chunk FROM chunk""",
     "vector_upsert": f"""
         WITH {_weights("documents", "doc_id", "text", DIMS)}, base AS (
             SELECT vec_id, unnest(embedding) AS w, unnest(range(0, len(embedding))) AS dim
@@ -349,6 +357,7 @@ ORACLES = {
     "knn_dot": _nearest("list_inner_product(q.v, c.v)"),
     "knn_blocks": _COSINE,
     "knn_cells": _COSINE,
+    "knn_cells_dot": _nearest("list_inner_product(q.v, c.v)"),
     "prompt_build": f"{_FOUND} SELECT question_id, prompt FROM asked",
     "answer_questions": f"""{_FOUND}
         SELECT question_id, concat(CASE WHEN context = '' THEN 'nothing found'
@@ -416,6 +425,11 @@ ORACLES = {
     "offer_payload": f"WITH {_OFFERS} SELECT c_custkey, rank, pos, score, name FROM ranked",
     "rank_envelope": _ENVELOPE,
     "saved_rankings": _ENVELOPE,
+    "brand_envelopes": f"""
+        SELECT p_brand, '{fixed.RANKING_SOURCE}' AS source, total, p_name AS name, score, rank
+        FROM ({_PART_RANK}) JOIN part USING (p_brand, p_partkey)
+        JOIN (SELECT p_brand, count(*) AS total FROM part GROUP BY p_brand) USING (p_brand)
+        WHERE rank <= 100""",
     "ranked_sink": f"""
         WITH {_OFFERS}, cut AS (
             SELECT c_custkey FROM customer WHERE c_mktsegment = 'FURNITURE')

@@ -623,6 +623,29 @@ def replaced_documents(spark, sf):
     )
 
 
+@query
+def ingest_changes(spark, sf):
+    """Conversations stored twice; the second time some turns are shorter, some gone, some new."""
+    root = storage.scratch_path(spark, "changes")
+    stored, digests = (tables.BucketTable(spark, f"{root}/{name}") for name in ("chunks", "digests"))
+    docs = table(spark, sf, "conversations").select(
+        F.lit(BUCKET).alias("source_bucket"),
+        F.concat_ws("/", "conv_id", "turn").alias("source_key"),
+        F.col("turn"),
+        F.when(F.col("turn") % 5 == 4, F.lit(" ")).otherwise(F.col("text")).alias("text"),
+    )
+    vector_table.ingest_changes(docs.where("turn % 4 < 3").drop("turn"), stored, digests, 4, 60, 10)
+    short = F.when(F.col("turn") % 3 == 0, F.substring("text", 1, 70)).otherwise(F.col("text"))
+    now = docs.where("turn % 4 > 0").withColumn("text", short).drop("turn")
+    vector_table.ingest_changes(now, stored, digests, 4, 60, 10)
+    m = F.col("metadata")
+    return stored.read().select(
+        m["source_key"].alias("source_key"),
+        m["chunk_index"].cast("bigint").alias("chunk_index"),
+        m["text"].alias("chunk"),
+    )
+
+
 @query
 def vector_upsert(spark, sf):
     """Hashed documents put over the embeddings with the same number."""
@@ -713,6 +736,13 @@ def knn_cells(spark, sf):
     return _hits(knn.nearest_in_cells(_as_queries(corpus), index))
 
 
+@query
+def knn_cells_dot(spark, sf):
+    corpus = _vectors(spark, sf)
+    index = knn.build_cells(corpus, 16, "dot")
+    return _hits(knn.nearest_in_cells(_as_queries(corpus), index))
+
+
 # Prompts and responses --------------------------------------------------------
 
 
@@ -1091,6 +1121,16 @@ def rank_envelope(spark, sf):
     ).select("c_custkey", "source", "total", "c.name", "c.score", "c.rank")
 
 
+@query
+def brand_envelopes(spark, sf):
+    """One document per brand, with its hundred best parts."""
+    documents_ = ranking.ranked_batches(_part_offers(spark, sf), "p_brand", "offer", "p_partkey")
+    parsed = documents_.select("p_brand", F.from_json("document", DOCUMENT).alias("d"))
+    return parsed.select("p_brand", "d.source", "d.total", F.explode("d.top_cards").alias("c")).select(
+        "p_brand", "source", "total", "c.name", "c.score", "c.rank"
+    )
+
+
 @query
 def ranked_sink(spark, sf):
     """Payloads of one segment are cut short: they come back as rejects."""
