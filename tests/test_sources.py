@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark import fixed
+from tidemark.operators import quality
 from tidemark.operators.quality import card_quality
 from tidemark.sources import documents, json_records, names, storage
 from tidemark.sources.objects import read_objects
@@ -314,3 +315,25 @@ def test_transactions_are_typed(spark, tmp_path):
     row = good.first()
     assert (row.transaction_id, row.amount, row.posted_date) == ("T1", -5.0, None)
     assert len(good.columns) == 16
+
+
+def test_quality_kept_per_load(spark, tmp_path):
+    """States add up to the whole; a known load is not read again, an empty one counts nothing."""
+    rows = spark.range(9000).select(
+        F.when(F.col("id") % 50 != 0, F.col("id") % 3000).alias("k"), (F.col("id") % 7).cast("int").alias("v"), "id"
+    )
+    checks = {"seven": F.col("v") > 5, "none": F.col("k").isNull()}
+    kept = quality.KeptQuality(spark, f"{tmp_path}/states", checks, ["k", "v"])
+    assert {r.violations for r in kept.report(min_rows=5).collect()} == {0, 5}
+    for part in range(3):
+        assert kept.add(rows.where(F.col("id") % 3 == part), f"p{part}")
+    assert kept.add(rows.where("false"), "empty")
+    unread = rows.select(*(F.raise_error(F.lit("read again")).cast("bigint").alias(c) for c in rows.columns))
+    assert not kept.add(unread, "p1")
+    again = quality.KeptQuality(spark, f"{tmp_path}/states", checks, ["k", "v"])
+    want = quality.quality_report(rows, checks, min_rows=10_000)
+    assert {tuple(r) for r in again.report(min_rows=10_000).collect()} == {tuple(r) for r in want.collect()}
+    found = {r["column"]: r for r in again.distinct_values().collect()}
+    exact = rows.agg(F.count_distinct("k").alias("k"), F.count_distinct("v").alias("v")).first()
+    assert abs(found["k"].estimate - exact.k) <= 0.05 * exact.k and found["v"].estimate == exact.v
+    assert (found["k"].nulls, found["k"].rows) == (180, 9000)

@@ -274,6 +274,11 @@ ORACLES = {
         UNION ALL SELECT 'orders', 'price', b FROM o
         UNION ALL SELECT 'orders', 'unique_key', d FROM o
         UNION ALL SELECT 'orders', 'min_rows', e FROM o""",
+    "quality_by_load": """
+        SELECT 'status' AS "check", count(*) FILTER (o_orderstatus NOT IN ('F', 'O')) AS violations FROM orders
+        UNION ALL SELECT 'price', count(*) FILTER (o_totalprice > 300000) FROM orders
+        UNION ALL SELECT 'min_rows', greatest(10000000 - count(*), 0) FROM orders
+        UNION ALL SELECT 'distinct o_custkey', 0 UNION ALL SELECT 'distinct o_orderstatus', 0""",
     "row_count": "SELECT count(*) AS n FROM lineitem",
     "distinct_values": "SELECT DISTINCT o_orderstatus, o_orderpriority FROM orders",
     "distinct_count": "SELECT count(*) AS n FROM (SELECT DISTINCT l_partkey FROM lineitem)",

@@ -428,6 +428,22 @@ def quality_report(spark, sf):
     )
 
 
+@query
+def quality_by_load(spark, sf):
+    """Orders loaded by priority, the last load twice; checks and distinct customers from the kept states."""
+    orders = table(spark, sf, "orders")
+    checks = {"status": quality.outside(F.col("o_orderstatus"), ("F", "O")), "price": F.col("o_totalprice") > 300_000}
+    kept = quality.KeptQuality(spark, storage.scratch_path(spark, "quality"), checks, ["o_custkey", "o_orderstatus"])
+    for name in ("1", "2", "3", "4", "5", "5"):
+        kept.add(orders.where(F.col("o_orderpriority").startswith(name)), name)
+    exact = orders.agg(*(F.count_distinct(c).alias(c) for c in kept.distinct))
+    exact = exact.unpivot([], kept.distinct, "column", "exact")
+    off = F.abs(F.col("estimate") - F.col("exact")) / F.col("exact")
+    found = kept.distinct_values().join(exact, "column")
+    near = found.select(F.concat(F.lit("distinct "), "column").alias("check"), (off > 0.06).cast("bigint").alias("violations"))
+    return kept.report(min_rows=10_000_000).unionByName(near)
+
+
 @query
 def row_count(spark, sf):
     return table(spark, sf, "lineitem").agg(F.count("*").alias("n"))
