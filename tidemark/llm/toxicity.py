@@ -45,7 +45,6 @@ _ACCENTED = re.compile(r"[\u00c0-\u024f\u1e00-\u1eff]+")
 _MARKS = "013457@$!|"
 _MIXED = re.compile(rf"(?<=[^\W\d_])[{_MARKS}]+(?=[^\W\d_])|(?<=[^\W\d_])[013457@$]+|[013457@$]+(?=[^\W\d_])")
 _WORD = re.compile(r"[^\W\d_]+")
-_BLANKS = re.compile(r"\s+")
 _SOME = re.compile(r"\S")
 
 
@@ -84,7 +83,7 @@ def fold(text: str) -> str:
     if _OTHER.search(text):
         text = text.translate(_FOLD)
     text = _MIXED.sub(lambda m: m[0].translate(_DIGITS), text)
-    return _BLANKS.sub(" ", text.replace("l", "i"))
+    return " ".join(text.replace("l", "i").split())
 
 
 def bare(folded: str) -> str:
