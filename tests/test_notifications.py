@@ -226,15 +226,18 @@ def test_messages_of_one_file_in_batches(job, tmp_path):
 
 def test_a_thousand_messages_make_a_hundred_batches(job, tmp_path, monkeypatch):
     notify(tmp_path, "e.json", *[event(*[(f"m{i}-{j}", notice()) for j in range(8)]) for i in range(125)])
-    seen = []
-    monkeypatch.setattr(
-        NotificationJob, "_part",
-        lambda self, read, done: (seen.append([r.message_id for r in read.orderBy("place").collect()]),
-                                  read.select("message_id").write.parquet(done)),
-    )
+    seen = {}
+
+    def part(self, read, done):
+        at = len(seen)
+        seen[done] = [r.message_id for r in read.orderBy("place").collect()] if at in (0, 37, 99) else None
+
+    monkeypatch.setattr(NotificationJob, "_part", part)
     run(job)
-    assert [len(s) for s in seen] == [10] * 100
-    assert [m for s in seen for m in s] == [f"m{i}-{j}" for i in range(125) for j in range(8)]
+    names = [f"m{i}-{j}" for i in range(125) for j in range(8)]
+    assert [d.rsplit("/", 1)[1] for d in seen] == [f"part={i}" for i in range(100)]
+    got = list(seen.values())
+    assert (got[0], got[37], got[99]) == (names[:10], names[370:380], names[990:])
 
 
 def test_a_stopped_batch_goes_on_in_the_middle_of_its_file(job, tmp_path, monkeypatch):

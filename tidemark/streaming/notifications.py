@@ -82,7 +82,7 @@ class NotificationJob:
             read.withColumn("place", F.struct(*PLACE)).drop(*PLACE).write.parquet(at)
             read = self.spark.read.parquet(at).withColumns({"all": F.lit(0), "score": F.lit(0)})
             part = F.lit(0).cast("bigint")
-            if messages:
+            if messages and read.count() > messages:
                 read = rank_rows(read, "all", "score", "place", hot_rows=0)
                 part = F.floor((F.col("rank") - 1) / messages)
             read.withColumn("part", part).drop("all", "score", "rank").write.mode("overwrite").partitionBy(
