@@ -142,7 +142,7 @@ def fingerprints(
 
     at = scratch_path(spark, "fingerprints")
     walked = sorted_.select(F.spark_partition_id().alias("part"), "doc_id", "text")
-    walked.mapInArrow(walk, f"{COLUMNS}, {_ENDS}").write.parquet(at)
+    walked.mapInArrow(walk, f"{COLUMNS}, {_ENDS}").write.option("compression", "zstd").parquet(at)
     done = spark.read.parquet(at)
     ends = done.where("part IS NOT NULL").select("part", "first", "doc_id", "text")
     heads = ends.where("first").select(F.col("part").alias("following"), F.col("text").alias("next_text"))
