@@ -42,8 +42,8 @@ _LOOKALIKES = str.maketrans(
 _DIGITS = str.maketrans("013457@$!|", "oieastasii")
 _OTHER = re.compile(r"[^\x00-\u024f]")
 _ACCENTED = re.compile(r"[\u00c0-\u024f\u1e00-\u1eff]+")
-_MARKS = "013457@$!|"
-_MIXED = re.compile(rf"(?<=[^\W\d_])[{_MARKS}]+(?=[^\W\d_])|(?<=[^\W\d_])[013457@$]+|[013457@$]+(?=[^\W\d_])")
+_SIGNS = "013457@$"
+_MIXED = re.compile(rf"[{_SIGNS}!|]+")
 _WORD = re.compile(r"[^\W\d_]+")
 _SOME = re.compile(r"\S")
 
@@ -73,6 +73,22 @@ def _accent_table() -> dict:
 _FOLD, _ACCENTS = _fold_table(), _accent_table()
 
 
+def _letters(run: re.Match) -> str:
+    """A run of digits and signs as letters where it touches some; ! and | only between letters."""
+    signs, text = run[0], run.string
+    before = run.start() > 0 and text[run.start() - 1].isalpha()
+    after = run.end() < len(text) and text[run.end()].isalpha()
+    if before and after:
+        return signs.translate(_DIGITS)
+    if before:
+        rest = signs.lstrip(_SIGNS)
+        return signs[: len(signs) - len(rest)].translate(_DIGITS) + rest
+    if after:
+        rest = signs.rstrip(_SIGNS)
+        return rest + signs[len(rest) :].translate(_DIGITS)
+    return signs
+
+
 def fold(text: str) -> str:
     """Lower case, lookalike letters as Latin ones, signs in words as the letters they stand for.
 
@@ -82,7 +98,7 @@ def fold(text: str) -> str:
     text = text.lower()
     if _OTHER.search(text):
         text = text.translate(_FOLD)
-    text = _MIXED.sub(lambda m: m[0].translate(_DIGITS), text)
+    text = _MIXED.sub(_letters, text)
     return " ".join(text.replace("l", "i").split())
 
 
