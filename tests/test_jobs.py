@@ -1,11 +1,13 @@
 import json
 
 import numpy as np
+import pytest
 
 from tidemark.operators.spread import spread
 from tidemark.plans import jobs
 from tidemark.sources import tables, vector_table
 from tidemark.sources.tables import BucketTable
+from tidemark.streaming.documents import DocumentJob
 
 
 def put(folder, name, body):
@@ -119,3 +121,53 @@ def test_only_changed_documents_are_embedded(spark, tmp_path):
     assert texts == ["gggg"] and held == full({**docs, "three": "gggg"})
     got, texts, held = step({**docs, "three": "gggg"}, model="b")
     assert texts == ["aaaa", "eeee", "gggg"] and got.changed == 4
+
+
+def test_documents_as_they_arrive(spark, tmp_path, monkeypatch):
+    """Three arrivals, a stop between chunks and outcome, and a replay, against one ingest of all."""
+
+    def load():
+        def model(texts):
+            if any("boom" in t for t in texts):
+                raise RuntimeError
+            return np.array([[len(t), 1.0] for t in texts])
+
+        return model
+
+    options = {"dims": 2, "size": 10, "overlap": 2, "load": load}
+    docs = tmp_path / "objects" / "b" / "raw"
+    t = BucketTable(spark, f"{tmp_path}/t")
+    job = DocumentJob(spark, f"{tmp_path}/objects", "b", "raw/", t, f"{tmp_path}/state", options)
+    with pytest.raises(FileNotFoundError):
+        job.start(wait=None)
+
+    def arrive(**files):
+        for name, body in files.items():
+            put(docs / "deep", f"{name}.txt", body)
+        job.start(files_per_batch=2, wait=None).awaitTermination()
+
+    def held(table):
+        return sorted(tuple(r) for r in table.read().select("key", "vector", "metadata").collect())
+
+    arrive(a="x" * 25, blank="  ", bad=b"\xff\xfe")
+    arrive(fails="boom", empty="")
+    # Written, but stopped before its outcome: the batch runs again when the stream is next started.
+    ingest = vector_table.ingest_documents
+    monkeypatch.setattr("tidemark.streaming.documents.ingest_documents", lambda *a, **o: ingest(*a, **o) and 1 / 0)
+    with pytest.raises(Exception, match="ZeroDivisionError"):
+        arrive(b="y" * 12)
+    assert {r.metadata.source_key for r in t.read().collect()} == {"raw/deep/a.txt", "raw/deep/b.txt"}
+    monkeypatch.undo()
+    arrive(c="zzz")
+    once = BucketTable(spark, f"{tmp_path}/once")
+    done = jobs.ingest_prefix(spark, f"{tmp_path}/objects", "b", "raw/", once, **options)
+    assert held(t) == held(once) and len(held(t)) == 4 + 2 + 1
+    columns = ["source_key", "reason"]
+    assert sorted(job.rejects().select(columns).collect()) == sorted(done.rejects.select(columns).collect())
+    assert {r.source_key for r in job.rejects().collect()} == {"raw/deep/bad.txt", "raw/deep/fails.txt"}
+    # A replay of what is there, under a new state, changes nothing.
+    before = held(t)
+    DocumentJob(spark, f"{tmp_path}/objects", "b", "raw/", t, f"{tmp_path}/other", options).start(
+        wait=None
+    ).awaitTermination()
+    assert held(t) == before

@@ -168,6 +168,11 @@ _FOUND = f"""
         FROM question LEFT JOIN context USING (question_id)
     )"""
 
+_ITEM_CHUNKS = f"""
+    WITH item AS (SELECT item_id, concat(text, chr(10)) AS text FROM benchmark),
+    {_chunks("item", "item_id", fixed.CHUNK_SIZE, fixed.CHUNK_OVERLAP)}
+    SELECT item_id, chunk_index, chunk, true AS keyed FROM chunk"""
+
 ORACLES = {
     "json_typed_read": _ORDERS,
     "json_to_table": _ORDERS,
@@ -308,10 +313,8 @@ ORACLES = {
         SELECT key, source_key, chunk_index, sha1(chunk) AS digest,
                (SELECT count(*) FROM weight WHERE weight.key = keyed.key) AS n_dims
         FROM keyed""",
-    "ingest_prefix": f"""
-        WITH item AS (SELECT item_id, concat(text, chr(10)) AS text FROM benchmark),
-        {_chunks("item", "item_id", fixed.CHUNK_SIZE, fixed.CHUNK_OVERLAP)}
-        SELECT item_id, chunk_index, chunk, true AS keyed FROM chunk""",
+    "ingest_prefix": _ITEM_CHUNKS,
+    "ingest_stream": _ITEM_CHUNKS,
     "ingest_rejects": f"""
         WITH {_chunks("conversations", "conv_id, turn", 200, 20)}, doc AS (
             SELECT concat_ws('/', conv_id, turn) AS source_key, count(*) AS n,

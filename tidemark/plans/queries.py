@@ -26,6 +26,7 @@ from tidemark.operators import offers as responses
 from tidemark.operators.spread import spread
 from tidemark.plans import jobs
 from tidemark.sources import documents, json_records, storage, tables, vector_table
+from tidemark.streaming.documents import DocumentJob
 from tidemark.streaming.notifications import NotificationJob
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -243,12 +244,12 @@ def record_payloads(spark, sf):
     )
 
 
-def _item_files(spark, sf) -> str:
-    """Benchmark items written as one text object each."""
-    root = storage.scratch_path(spark, "objects")
+def _item_files(spark, sf, root=None, which="true") -> str:
+    """Benchmark items written as one text object each, to those under ``root`` if given."""
+    root = root or storage.scratch_path(spark, "objects")
     cores = spark.sparkContext.defaultParallelism
-    items = table(spark, sf, "benchmark").select("item_id", "text").repartition(cores, "item_id")
-    items.write.partitionBy("item_id").text(f"{root}/{BUCKET}/raw")
+    items = table(spark, sf, "benchmark").select("item_id", "text").where(which).repartition(cores, "item_id")
+    items.write.mode("append").partitionBy("item_id").text(f"{root}/{BUCKET}/raw")
     return root
 
 
@@ -572,11 +573,7 @@ def ingest_documents(spark, sf):
     )
 
 
-@query
-def ingest_prefix(spark, sf):
-    """Text objects under a prefix to a stored chunk table."""
-    stored = tables.BucketTable(spark, storage.scratch_path(spark, "chunks"))
-    jobs.ingest_prefix(spark, _item_files(spark, sf), BUCKET, "raw/", stored, dims=DIMS)
+def _item_chunks(stored):
     m = F.col("metadata")
     return stored.read().select(
         F.regexp_extract(m["source_key"], r"item_id=(\d+)/", 1).cast("bigint").alias("item_id"),
@@ -586,6 +583,26 @@ def ingest_prefix(spark, sf):
     )
 
 
+@query
+def ingest_prefix(spark, sf):
+    """Text objects under a prefix to a stored chunk table."""
+    stored = tables.BucketTable(spark, storage.scratch_path(spark, "chunks"))
+    jobs.ingest_prefix(spark, _item_files(spark, sf), BUCKET, "raw/", stored, dims=DIMS)
+    return _item_chunks(stored)
+
+
+@query
+def ingest_stream(spark, sf):
+    """The same objects in two arrivals, which a stream takes in as they come."""
+    at = storage.scratch_path(spark, "stream")
+    stored = tables.BucketTable(spark, f"{at}/chunks")
+    job = DocumentJob(spark, f"{at}/objects", BUCKET, "raw/", stored, f"{at}/state", {"dims": DIMS})
+    for which in ("item_id % 3 = 0", "item_id % 3 <> 0"):
+        _item_files(spark, sf, f"{at}/objects", which)
+        job.start(wait=None).awaitTermination()
+    return _item_chunks(stored)
+
+
 def picky_model():
     """A model that fails on texts with a letter it does not know."""
 
