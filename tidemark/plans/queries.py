@@ -14,6 +14,7 @@ from tidemark.functions import metadata, offers
 from tidemark.functions import text as text_fns
 from tidemark.operators import (
     chunks,
+    codes,
     embed,
     knn,
     notifications,
@@ -776,6 +777,25 @@ def knn_cells_dot(spark, sf):
     return _hits(knn.nearest_in_cells(_as_queries(corpus), index))
 
 
+@query
+def knn_codes(spark, sf):
+    """Neighbours of every fiftieth vector by codes, held against the exact ones."""
+    corpus = _vectors(spark, sf)
+    asked = _as_queries(corpus.where("key % 50 = 0"))
+    index = codes.build_codes(corpus, n_cells=16, parts=16)
+    found = codes.nearest_by_codes(asked, index, probes=14, rerank=128)
+    exact = knn.nearest(asked, corpus).select("query_id", "key", F.col("score").alias("exact"))
+    both = found.join(exact, ["query_id", "key"], "left")
+    right = F.count_if(F.col("exact").isNotNull())
+    same = F.round("score", 6) == F.round("exact", 6)
+    return both.agg(
+        F.count_distinct("query_id").alias("n_queries"),
+        F.count("*").alias("n_hits"),
+        (right >= 0.9 * F.count("*")).alias("recall_reached"),
+        F.coalesce(F.every(F.coalesce(same, F.lit(True))), F.lit(True)).alias("scores_exact"),
+    )
+
+
 # Prompts and responses --------------------------------------------------------
 
 
