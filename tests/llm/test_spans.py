@@ -1,6 +1,7 @@
 """Licenses, secrets, benchmark windows, repeated windows."""
 
 import hashlib
+import os
 import random
 import re
 import time
@@ -11,6 +12,7 @@ from helpers import ALNUM, PLAIN, low, odd_rows, rows_of, table
 from pyspark.sql import functions as F
 
 from tidemark.llm import decontaminate, licenses, queries, secrets, substrings
+from tidemark.sources import storage
 
 
 def sha(text):
@@ -484,3 +486,23 @@ def test_hit_words(spark):
     assert [r[0] for r in df.select(decontaminate.hit_words("spans")).collect()] == [4, 0]
     merged = df.select(decontaminate._joined("spans").alias("s")).select(F.size("s"))
     assert [r[0] for r in merged.collect()] == [2, 0]
+
+
+def test_files_of_the_first_half_go_before_the_second(spark):
+    """Hashes and texts that the first half shuffled do not lie beside what the second shuffles."""
+    env = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get()
+
+    def shuffled():
+        found = env.blockManager().diskBlockManager().getAllFiles()
+        names = (found.apply(i).getPath() for i in range(found.size()))
+        return {n for n in names if "/shuffle_" in n and n.endswith(".data")}
+
+    draw = random.Random(5)
+    docs = table(spark, [(i, " ".join(draw.choices("abcdefgh", k=60))) for i in range(40)])
+    docs.agg(F.sum("doc_id")).collect()
+    before, was = shuffled(), spark.conf.get(storage.DROP_SHUFFLES, None)
+    found = substrings.repeats(docs)
+    # The bytes of the input are added up by a shuffle of one row.
+    assert sum(os.path.getsize(n) for n in shuffled() - before) < 1000
+    assert spark.conf.get(storage.DROP_SHUFFLES, None) == was
+    assert found.count() == 40

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import text as T
-from tidemark.sources.storage import scratch_path, shared_dir
+from tidemark.sources.storage import scratch_path, shared_dir, shuffles_dropped
 
 #: Words of a repeat that counts.
 WINDOW = 20
@@ -389,7 +389,9 @@ def repeats(
     meeting = lambda df: df.repartition(tasks, "group").groupBy("group")
     both = meeting(rows).cogroup(meeting(hits))
     at = scratch_path(spark, "repeats")
-    both.applyInArrow(split, columns).write.option("compression", "zstd").parquet(at)
+    # Else the hashes and texts that meet here would lie beside those of the second half.
+    with shuffles_dropped(spark):
+        both.applyInArrow(split, columns).write.option("compression", "zstd").parquet(at)
     done = spark.read.parquet(at)
     open_ = done.where("codes IS NOT NULL")
     later = _later(open_, window, buckets)
