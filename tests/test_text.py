@@ -2,6 +2,8 @@ import hashlib
 import urllib.parse
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -93,6 +95,17 @@ def test_unquote(spark):
     assert [r.u for r in got] == [urllib.parse.unquote_plus(k) for k in KEYS]
 
 
+def test_few_bytes_of_text_are_cut_at_once(monkeypatch):
+    """An Arrow batch of long texts is cut into words part by part, each text whole."""
+    monkeypatch.setattr(embed, "TEXT_BYTES", 100)
+    texts = pa.array(["a " * n for n in (10, 20, 30, 300, 0, 0, 1, 40, 10)])
+    parts = list(embed._slices(texts, 4))
+    assert pa.concat_arrays(parts).equals(texts)
+    assert all(len(p) <= 4 and (len(p) == 1 or pc.sum(pc.binary_length(p)).as_py() <= 100) for p in parts)
+    assert [len(p) for p in parts] == [2, 1, 1, 4, 1]
+    assert not list(embed._slices(texts.slice(0, 0), 4))
+
+
 def test_hashed_vector(spark):
     said = ["The cat the CAT", "", None, " \n ", "one\ttwo\r\nthree  one"]
     df = spark.createDataFrame([(s,) for s in said], "t string")
