@@ -159,6 +159,7 @@ def nearest_by_codes(
 
     def one(block: DataFrame):
         ids, matrix = knn._collected(block, query_id)
+        matrix = matrix.astype(np.float64, copy=False)
         points = knn._placed(matrix, cells.metric)
         cut = knn.home_cuts(points, cells.seeds, size, min(rerank, int(size.sum())))
         cut = np.maximum(cut, _probe_cuts(points, cells.seeds[full], probes))
