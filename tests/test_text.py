@@ -119,6 +119,19 @@ def test_hashed_vector(spark):
         assert vector == pytest.approx(counts / norm if norm else counts, abs=1e-6)
 
 
+def test_words_and_their_buckets():
+    """Runs of blanks, other blanks and zero bytes; a slice of texts has the words of that slice."""
+    texts = pa.array(["skipped", " a\t\r\nb  \u00a0c\n", "", "\0 \0\0 é a", "\x0b\t"]).slice(1)
+    words = embed._words(texts)
+    assert [[w for w in text if w] for text in words.to_pylist()] == [
+        ["a", "b", "\u00a0c"], [], ["\0", "\0\0", "é", "a"], ["\x0b"]
+    ]
+    flat = words.flatten()
+    want = [int(hashlib.sha1(w.encode()).hexdigest()[:8], 16) % 999 if w else -1 for w in flat.to_pylist()]
+    assert embed._token_buckets(flat, 999).tolist() == want
+    assert not len(embed._token_buckets(flat.slice(0, 0), 999))
+
+
 def test_model_is_loaded_per_task_and_checked(spark):
     df = spark.createDataFrame([("a",), ("bbb",), (None,)], "t string")
 
