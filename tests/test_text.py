@@ -119,9 +119,10 @@ def test_hashed_vector(spark):
         assert vector == pytest.approx(counts / norm if norm else counts, abs=1e-6)
 
 
-def test_words_and_their_buckets():
+def test_words_and_their_buckets(monkeypatch):
     """Runs of blanks, other blanks and zero bytes; a slice of texts has the words of that slice."""
     texts = pa.array(["skipped", " a\t\r\nb  \u00a0c\n", "", "\0 \0\0 é a", "\x0b\t"]).slice(1)
+    monkeypatch.setattr(embed, "WORDS", 3)
     words = embed._words(texts)
     assert [[w for w in text if w] for text in words.to_pylist()] == [
         ["a", "b", "\u00a0c"], [], ["\0", "\0\0", "é", "a"], ["\x0b"]
